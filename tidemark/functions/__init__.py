@@ -1,7 +1,9 @@
 """Column-level building blocks shared by every operator."""
 
 from tidemark.functions.core import (  # noqa: F401
+    favg,
     flag,
+    fsum,
     money,
     money_avg,
     money_sum,
@@ -9,6 +11,7 @@ from tidemark.functions.core import (  # noqa: F401
     ratio,
     safe_div,
     scalar_join,
+    share_pct,
     summarise,
 )
 from tidemark.functions.calendar import (  # noqa: F401

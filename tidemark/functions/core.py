@@ -70,3 +70,23 @@ def scalar_join(df: DataFrame, scalars: DataFrame) -> DataFrame:
 def summarise(df: DataFrame, keys: Iterable[str], metrics: Mapping[str, Column]) -> DataFrame:
     """groupBy(keys).agg(named metrics) — the reference's many small summaries."""
     return df.groupBy(*keys).agg(*[c.alias(n) for n, c in metrics.items()])
+
+
+# Derived doubles (costs, ratios) are summed on a fine decimal grid for the
+# same reason as money: the total must not depend on merge order.
+FINE_TYPE = "decimal(38,9)"
+
+
+def fsum(x: Column | str) -> Column:
+    """Order-independent sum of a derived DOUBLE column (9-decimal grid)."""
+    return F.sum(_c(x).cast(FINE_TYPE)).cast("double")
+
+
+def favg(x: Column | str) -> Column:
+    """Order-independent mean of a DOUBLE column; NULL for an empty group."""
+    return safe_div(fsum(x), F.count(_c(x)))
+
+
+def share_pct(part: Column, total: Column) -> Column:
+    """part / total * 100, NULL when the total is 0."""
+    return safe_div(part, total) * 100

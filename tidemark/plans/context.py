@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import features
+from tidemark.operators import cohort, features, rfm
 from tidemark.sources.adapters import load_canonical
 
 
@@ -48,3 +48,39 @@ class Tables:
     @cached_property
     def transaction_features(self) -> DataFrame:
         return features.transaction_features(self.transactions)
+
+    @cached_property
+    def rfm_a(self) -> DataFrame:
+        return rfm.rfm_table(self.transactions, self.customer_features, "A")
+
+    @cached_property
+    def rfm_b(self) -> DataFrame:
+        return rfm.rfm_table(self.transactions, self.customer_features, "B")
+
+    @cached_property
+    def segment_summary_b(self) -> DataFrame:
+        return rfm.segment_summary_b(self.rfm_b)
+
+    @cached_property
+    def cohorted(self) -> DataFrame:
+        return cohort.with_cohort(self.transactions, self.customers)
+
+    @cached_property
+    def cohort_counts(self) -> DataFrame:
+        return cohort.cohort_counts(self.cohorted)
+
+    @cached_property
+    def retention_a(self) -> DataFrame:
+        return cohort.cohort_retention(self.cohort_counts, base="first_index", fill_zero=True)
+
+    @cached_property
+    def retention_b(self) -> DataFrame:
+        return cohort.cohort_retention(self.cohort_counts, base="first_index", fill_zero=False)
+
+    @cached_property
+    def retention_curve(self) -> DataFrame:
+        return cohort.average_retention(self.retention_b)
+
+    @cached_property
+    def cohort_revenue(self) -> DataFrame:
+        return cohort.cohort_revenue(self.cohorted)

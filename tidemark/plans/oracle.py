@@ -221,3 +221,309 @@ FROM customers GROUP BY 1
 """,
     "customers",
 )
+
+# ---------------------------------------------------------------- RFM
+MS = "CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"  # exact money sum
+FS = "CAST(SUM(CAST({x} AS DECIMAL(38,9))) AS DOUBLE)"  # exact derived-double sum
+
+
+def ms(x: str) -> str:
+    return MS.format(x=x)
+
+
+def fs(x: str) -> str:
+    return FS.format(x=x)
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _rules_case(rules, default: str) -> str:
+    from tidemark.operators.rfm import RULES_A  # noqa: F401  (same fixed values)
+
+    parts = []
+    for name, cond in rules:
+        c = cond.replace("r ", "R_score ").replace("f ", "F_score ").replace("m ", "M_score ")
+        parts.append(f"WHEN {c} THEN {_sql_str(name)}")
+    return "CASE " + " ".join(parts) + f" ELSE {_sql_str(default)} END"
+
+
+def _quantile_edges(src: str, col: str, probs: list[str], prefix: str) -> str:
+    """Exact linear quantiles of ``col`` (lo + (hi - lo) * frac), one row."""
+    sel = []
+    for i, p in enumerate(probs):
+        h = f"(CAST(n - 1 AS DOUBLE) * CAST({p} AS DOUBLE))"
+        lo = f"MAX(CASE WHEN pos = FLOOR({h}) THEN v END)"
+        hi = f"MAX(CASE WHEN pos = CEIL({h}) THEN v END)"
+        fr = f"MAX({h} - FLOOR({h}))"
+        sel.append(f"{lo} + ({hi} - {lo}) * {fr} AS {prefix}{i}")
+    return (
+        f"SELECT {', '.join(sel)} FROM (SELECT CAST({col} AS DOUBLE) AS v, "
+        f"ROW_NUMBER() OVER (ORDER BY {col}) - 1 AS pos, COUNT(*) OVER () AS n "
+        f"FROM {src} WHERE {col} IS NOT NULL) t"
+    )
+
+
+def _rfm_ctes(variant: str, plus: int) -> None:
+    from tidemark.operators.rfm import VARIANTS
+
+    v = VARIANTS[variant]
+    cte(
+        f"rfm_base_{variant}",
+        f"""
+SELECT p.customer_id, CAST(r.ref - p.last AS INTEGER) AS recency, p.frequency,
+       GREATEST(p.m, 0.0) AS monetary
+FROM (SELECT customer_id, MAX(transaction_date) AS last, COUNT(transaction_id) AS frequency,
+             {ms('amount')} AS m
+      FROM completed GROUP BY customer_id) p
+CROSS JOIN (SELECT CAST(MAX(transaction_date) + {plus} AS DATE) AS ref FROM txns) r
+""",
+        ["completed", "txns"],
+    )
+    cte(f"rfm_edges_{variant}", _quantile_edges(f"rfm_base_{variant}", "recency", ["0.2", "0.4", "0.6", "0.8"], "e"),
+        [f"rfm_base_{variant}"])
+    fscore = "CAST(CASE WHEN n <= 1 THEN 1 ELSE GREATEST(1, (5 * ({r} - 1) + n - 2) // GREATEST(n - 1, 1)) END AS INTEGER)"
+    cte(
+        f"rfm_scored_{variant}",
+        f"""
+SELECT customer_id, recency, frequency, monetary, R_score, F_score, M_score,
+       CAST(R_score AS VARCHAR) || CAST(F_score AS VARCHAR) || CAST(M_score AS VARCHAR) AS RFM_score,
+       R_score + F_score + M_score AS RFM_total
+FROM (
+  SELECT b.*,
+         CAST(CASE WHEN recency <= e.e0 THEN 5 WHEN recency <= e.e1 THEN 4 WHEN recency <= e.e2 THEN 3
+                   WHEN recency <= e.e3 THEN 2 WHEN recency IS NOT NULL THEN 1 END AS INTEGER) AS R_score,
+         {fscore.format(r='rf')} AS F_score,
+         {fscore.format(r='rm')} AS M_score
+  FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY frequency, customer_id) AS rf,
+               ROW_NUMBER() OVER (ORDER BY monetary, customer_id) AS rm,
+               COUNT(*) OVER () AS n
+        FROM rfm_base_{variant}) b CROSS JOIN rfm_edges_{variant} e) s
+""",
+        [f"rfm_base_{variant}", f"rfm_edges_{variant}"],
+    )
+    extra = ", c.signup_date" if variant == "B" else ""
+    cte(
+        f"rfm_{variant}",
+        f"""
+SELECT s.*, {_rules_case(v['rules'], v['default'])} AS {v['col']},
+       c.country, c.industry, c.subscription_type{extra}
+FROM rfm_scored_{variant} s LEFT JOIN customers c ON s.customer_id = c.customer_id
+""",
+        [f"rfm_scored_{variant}", "customers"],
+    )
+
+
+_rfm_ctes("A", 0)
+_rfm_ctes("B", 1)
+
+
+def _seg_summary(src: str, col: str) -> str:
+    return f"""
+SELECT {col} AS segment, COUNT(customer_id) AS customer_count, AVG(recency) AS avg_recency,
+       AVG(frequency) AS avg_frequency, {ms('monetary')} AS total_revenue,
+       {ms('monetary')} / NULLIF(COUNT(monetary), 0) AS avg_revenue, AVG(RFM_total) AS avg_rfm_score
+FROM {src} GROUP BY {col}
+"""
+
+
+cte("rfm_summary_a", _seg_summary("rfm_A", "segment"), ["rfm_A"])
+
+
+def _seg_text_case(idx: int) -> str:
+    from tidemark.operators.rfm import SEGMENT_TEXT_B
+
+    parts = " ".join(f"WHEN {_sql_str(k)} THEN {_sql_str(v[idx])}" for k, v in SEGMENT_TEXT_B.items())
+    return f"CASE segment {parts} ELSE 'N/A' END"
+
+
+cte(
+    "rfm_summary_b",
+    f"""
+SELECT s.*, {_seg_text_case(0)} AS description, {_seg_text_case(1)} AS recommended_action,
+       round_even(CAST(s.customer_count AS DOUBLE) / NULLIF(t.nc, 0) * 100, 1) AS customer_pct,
+       round_even(s.total_revenue / NULLIF(t.rv, 0) * 100, 1) AS revenue_pct
+FROM ({_seg_summary('rfm_B', 'rfm_segment')}) s
+CROSS JOIN (SELECT COUNT(*) AS nc, {ms('monetary')} AS rv FROM rfm_B) t
+""",
+    ["rfm_B"],
+)
+
+register("rfm_scores", "SELECT * FROM rfm_B", "rfm_B")
+register("rfm_segments_a", "SELECT * FROM rfm_A", "rfm_A")
+register("rfm_segments_b", "SELECT * FROM rfm_B", "rfm_B")
+register(
+    "rfm_metric_summary",
+    f"""
+SELECT MIN(recency) AS recency_min, MAX(recency) AS recency_max, AVG(recency) AS recency_mean,
+       MIN(frequency) AS frequency_min, MAX(frequency) AS frequency_max, AVG(frequency) AS frequency_mean,
+       MIN(monetary) AS monetary_min, MAX(monetary) AS monetary_max,
+       {ms('monetary')} / NULLIF(COUNT(monetary), 0) AS monetary_mean
+FROM rfm_B
+""",
+    "rfm_B",
+)
+register("rfm_summary_a", "SELECT * FROM rfm_summary_a", "rfm_summary_a")
+register("rfm_summary_b", "SELECT * FROM rfm_summary_b", "rfm_summary_b")
+register(
+    "segment_kpis",
+    "SELECT segment, customer_count, customer_pct, total_revenue, revenue_pct, avg_revenue, avg_rfm_score FROM rfm_summary_b",
+    "rfm_summary_b",
+)
+register(
+    "segment_insights",
+    """
+SELECT arg_min(segment, (-avg_rfm_score, segment)) AS top_segment,
+       arg_min(segment, (-customer_count, segment)) AS largest_segment,
+       arg_min(segment, (-avg_revenue, segment)) AS highest_value_segment
+FROM rfm_summary_b
+""",
+    "rfm_summary_b",
+)
+
+# ---------------------------------------------------------------- cohorts
+cte(
+    "cohorted",
+    """
+SELECT t.*, strftime(c.cm, '%Y-%m') AS cohort,
+       CAST((year(t.transaction_date) - year(c.cm)) * 12 + month(t.transaction_date) - month(c.cm) AS INTEGER)
+           AS cohort_index
+FROM completed t
+JOIN (SELECT customer_id, CAST(date_trunc('month', signup_date) AS DATE) AS cm FROM customers) c
+  ON t.customer_id = c.customer_id
+WHERE c.cm IS NOT NULL
+""",
+    ["completed", "customers"],
+)
+cte(
+    "cohort_counts",
+    "SELECT cohort, cohort_index, COUNT(DISTINCT customer_id) AS customers FROM cohorted GROUP BY 1, 2",
+    ["cohorted"],
+)
+cte(
+    "cohort_cells",
+    """
+SELECT s.cohort, s.cohort_index, cc.customers, b.base
+FROM (SELECT * FROM (SELECT DISTINCT cohort FROM cohort_counts) a
+      CROSS JOIN (SELECT DISTINCT cohort_index FROM cohort_counts) i) s
+LEFT JOIN cohort_counts cc ON cc.cohort = s.cohort AND cc.cohort_index = s.cohort_index
+LEFT JOIN (SELECT cohort, customers AS base FROM cohort_counts
+           WHERE cohort_index = (SELECT MIN(cohort_index) FROM cohort_counts)) b ON b.cohort = s.cohort
+""",
+    ["cohort_counts"],
+)
+cte(
+    "cohort_retention_a",
+    """
+SELECT cohort, cohort_index,
+       COALESCE(CAST(customers AS DOUBLE) / NULLIF(CAST(base AS DOUBLE), 0) * 100, 0.0) AS retention
+FROM cohort_cells
+""",
+    ["cohort_cells"],
+)
+cte(
+    "cohort_retention_b",
+    """
+SELECT cohort, cohort_index,
+       CAST(COALESCE(customers, 0) AS DOUBLE) / NULLIF(CAST(base AS DOUBLE), 0) * 100 AS retention
+FROM cohort_cells
+""",
+    ["cohort_cells"],
+)
+cte(
+    "retention_curve",
+    f"SELECT cohort_index AS month, {fs('retention')} / NULLIF(COUNT(retention), 0) AS avg_retention "
+    "FROM cohort_retention_b GROUP BY 1",
+    ["cohort_retention_b"],
+)
+cte(
+    "cohort_revenue",
+    f"""
+SELECT cohort, customers, total_revenue, transactions,
+       total_revenue / customers AS avg_revenue_per_customer,
+       CAST(transactions AS DOUBLE) / customers AS avg_transactions_per_customer,
+       total_revenue / NULLIF(tot, 0) * 100 AS revenue_contribution_pct,
+       CAST(SUM(customers) OVER (ORDER BY cohort ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+           AS cumulative_customers,
+       total_revenue / customers AS cohort_ltv
+FROM (SELECT cohort, COUNT(DISTINCT customer_id) AS customers, {ms('amount')} AS total_revenue,
+             COUNT(transaction_id) AS transactions
+      FROM cohorted GROUP BY cohort) p
+CROSS JOIN (SELECT {ms('amount')} AS tot FROM cohorted) t
+""",
+    ["cohorted"],
+)
+
+register("cohort_counts", "SELECT * FROM cohort_counts", "cohort_counts")
+register("cohort_retention", "SELECT * FROM cohort_retention_a", "cohort_retention_a")
+register(
+    "average_retention",
+    f"SELECT cohort_index AS month, {fs('retention')} / NULLIF(COUNT(retention), 0) AS avg_retention "
+    "FROM cohort_retention_a GROUP BY 1",
+    "cohort_retention_a",
+)
+register("retention_curve", "SELECT * FROM retention_curve", "retention_curve")
+register(
+    "retention_dashboard",
+    """
+SELECT r.cohort_index, r.cohort, r.retention FROM cohort_retention_b r
+WHERE r.cohort_index IN (SELECT cohort_index FROM (SELECT DISTINCT cohort_index FROM cohort_retention_b)
+                         ORDER BY cohort_index LIMIT 12)
+""",
+    "cohort_retention_b",
+)
+register("cohort_revenue", "SELECT * FROM cohort_revenue", "cohort_revenue")
+register(
+    "cohort_revenue_overall",
+    f"""
+SELECT COUNT(*) AS total_cohorts, CAST(SUM(customers) AS BIGINT) AS total_customers,
+       {ms('total_revenue')} AS total_revenue, {fs('cohort_ltv')} / NULLIF(COUNT(cohort_ltv), 0) AS avg_ltv
+FROM cohort_revenue
+""",
+    "cohort_revenue",
+)
+register(
+    "segmentation_metrics",
+    f"""
+SELECT * FROM (VALUES ('total_customers', (SELECT CAST(COUNT(*) AS DOUBLE) FROM rfm_B)),
+  ('total_revenue', (SELECT {ms('monetary')} FROM rfm_B)),
+  ('avg_recency', (SELECT AVG(recency) FROM rfm_B)),
+  ('avg_frequency', (SELECT AVG(frequency) FROM rfm_B)),
+  ('avg_monetary', (SELECT {ms('monetary')} / COUNT(monetary) FROM rfm_B)),
+  ('num_segments', (SELECT CAST(COUNT(DISTINCT rfm_segment) AS DOUBLE) FROM rfm_B)),
+  ('num_cohorts', (SELECT CAST(COUNT(DISTINCT cohort) AS DOUBLE) FROM cohorted)),
+  ('avg_retention_month1', COALESCE((SELECT avg_retention FROM retention_curve WHERE month = 1), 0.0)),
+  ('avg_retention_month6', COALESCE((SELECT avg_retention FROM retention_curve WHERE month = 6), 0.0))
+) v(metric, value)
+""",
+    "rfm_B",
+    "cohorted",
+    "retention_curve",
+)
+
+# ---------------------------------------------------------------- lifecycle
+LIFECYCLE_CASE = """CASE WHEN customer_tenure_days <= 90 THEN 'New (0-3 months)'
+     WHEN customer_tenure_days <= 180 THEN CASE WHEN days_since_last_transaction <= 45
+          THEN 'Growing (3-6 months)' ELSE 'Early Churn Risk' END
+     WHEN customer_tenure_days <= 365 THEN CASE WHEN days_since_last_transaction <= 45
+          THEN 'Established (6-12 months)' ELSE 'Declining' END
+     ELSE CASE WHEN days_since_last_transaction <= 45 THEN 'Mature (12+ months)'
+               WHEN days_since_last_transaction <= 90 THEN 'At Risk' ELSE 'Churned/Dormant' END END"""
+register(
+    "lifecycle_stages",
+    f"SELECT customer_id, {LIFECYCLE_CASE} AS lifecycle_stage, customer_tenure_days, days_since_last_transaction "
+    "FROM customer_features",
+    "customer_features",
+)
+register(
+    "lifecycle_summary",
+    f"""
+SELECT {LIFECYCLE_CASE} AS stage, COUNT(customer_id) AS customer_count, {ms('total_revenue')} AS total_revenue,
+       {ms('total_revenue')} / NULLIF(COUNT(total_revenue), 0) AS avg_revenue,
+       {fs('customer_ltv')} / NULLIF(COUNT(customer_ltv), 0) AS avg_ltv,
+       AVG(customer_tenure_days) AS avg_tenure_days
+FROM customer_features GROUP BY 1
+""",
+    "customer_features",
+)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import features
+from tidemark.operators import cohort, features, lifecycle, rfm
 from tidemark.plans.context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,97 @@ def _q_monthly_acquisitions(t: Tables) -> DataFrame:
     return features.monthly_acquisitions(t.customers)
 
 
+
+@query("rfm_scores")
+def _q_rfm_scores(t: Tables) -> DataFrame:
+    return t.rfm_b
+
+
+@query("rfm_segments_a")
+def _q_rfm_segments_a(t: Tables) -> DataFrame:
+    return t.rfm_a
+
+
+@query("rfm_segments_b")
+def _q_rfm_segments_b(t: Tables) -> DataFrame:
+    return t.rfm_b
+
+
+@query("rfm_metric_summary")
+def _q_rfm_metric_summary(t: Tables) -> DataFrame:
+    return rfm.rfm_metric_summary(t.rfm_b)
+
+
+@query("rfm_summary_a")
+def _q_rfm_summary_a(t: Tables) -> DataFrame:
+    return rfm.segment_summary(t.rfm_a, "segment")
+
+
+@query("rfm_summary_b")
+def _q_rfm_summary_b(t: Tables) -> DataFrame:
+    return t.segment_summary_b
+
+
+@query("segment_kpis")
+def _q_segment_kpis(t: Tables) -> DataFrame:
+    return rfm.segment_kpis(t.segment_summary_b)
+
+
+@query("segment_insights")
+def _q_segment_insights(t: Tables) -> DataFrame:
+    return rfm.segment_insights(t.segment_summary_b)
+
+
+@query("cohort_counts")
+def _q_cohort_counts(t: Tables) -> DataFrame:
+    return t.cohort_counts
+
+
+@query("cohort_retention")
+def _q_cohort_retention(t: Tables) -> DataFrame:
+    return t.retention_a
+
+
+@query("average_retention")
+def _q_average_retention(t: Tables) -> DataFrame:
+    return cohort.average_retention(t.retention_a)
+
+
+@query("retention_curve")
+def _q_retention_curve(t: Tables) -> DataFrame:
+    return t.retention_curve
+
+
+@query("retention_dashboard")
+def _q_retention_dashboard(t: Tables) -> DataFrame:
+    return cohort.retention_dashboard(t.retention_b, 12)
+
+
+@query("cohort_revenue")
+def _q_cohort_revenue(t: Tables) -> DataFrame:
+    return t.cohort_revenue
+
+
+@query("cohort_revenue_overall")
+def _q_cohort_revenue_overall(t: Tables) -> DataFrame:
+    return cohort.cohort_revenue_overall(t.cohort_revenue)
+
+
+@query("segmentation_metrics")
+def _q_segmentation_metrics(t: Tables) -> DataFrame:
+    return cohort.segmentation_metrics(t.rfm_b, t.cohorted, t.retention_curve)
+
+
+@query("lifecycle_stages")
+def _q_lifecycle_stages(t: Tables) -> DataFrame:
+    return lifecycle.lifecycle_stages(t.customer_features)
+
+
+@query("lifecycle_summary")
+def _q_lifecycle_summary(t: Tables) -> DataFrame:
+    return lifecycle.lifecycle_summary(t.customer_features)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer features (D2); joined with the RFM segment once RFM lands."""
     return Tables(spark, sf_dir).customer_features
