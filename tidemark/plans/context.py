@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import cohort, features, rfm
+from tidemark.operators import cohort, features, profit, rfm
 from tidemark.sources.adapters import load_canonical
 
 
@@ -84,3 +84,7 @@ class Tables:
     @cached_property
     def cohort_revenue(self) -> DataFrame:
         return cohort.cohort_revenue(self.cohorted)
+
+    @cached_property
+    def profit(self) -> DataFrame:
+        return profit.profitability(self.customer_features, self.transactions)

@@ -527,3 +527,195 @@ FROM customer_features GROUP BY 1
 """,
     "customer_features",
 )
+
+# ---------------------------------------------------------------- profitability
+D = "CAST({} AS DOUBLE)"
+
+
+def dbl(x) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+cte(
+    "profit_base",
+    f"""
+SELECT f.customer_id, f.signup_date, f.country, f.industry, f.subscription_type, f.monthly_fee,
+       f.total_transactions, COALESCE(v.verified_revenue, 0.0) AS total_revenue, f.avg_transaction,
+       f.std_transaction, f.first_transaction, f.last_transaction, f.successful_transactions,
+       f.failed_transactions, f.customer_tenure_days, f.days_since_last_transaction, f.transaction_frequency,
+       f.payment_failure_rate, f.avg_monthly_revenue, f.is_churned, f.customer_ltv,
+       COALESCE(v.verified_revenue, 0.0) AS verified_revenue
+FROM customer_features f
+LEFT JOIN (SELECT customer_id, {ms('amount')} AS verified_revenue FROM completed GROUP BY customer_id) v
+  ON f.customer_id = v.customer_id
+""",
+    ["customer_features", "completed"],
+)
+cte(
+    "profit_costs",
+    f"""
+SELECT *, acquisition_cost + servicing_cost + transaction_cost + support_cost + infrastructure_cost
+          + payment_processing_cost AS total_cost
+FROM (SELECT *,
+        CASE subscription_type WHEN 'Basic' THEN {dbl(50)} WHEN 'Professional' THEN {dbl(100)}
+             WHEN 'Enterprise' THEN {dbl(200)} WHEN 'Premium' THEN {dbl(300)} END AS acquisition_cost,
+        total_revenue * {dbl(0.15)} AS servicing_cost,
+        total_transactions * {dbl(0.5)} AS transaction_cost,
+        CASE subscription_type WHEN 'Basic' THEN {dbl(5)} WHEN 'Professional' THEN {dbl(15)}
+             WHEN 'Enterprise' THEN {dbl(40)} WHEN 'Premium' THEN {dbl(75)} END
+          * (customer_tenure_days / 30) AS support_cost,
+        total_revenue * {dbl(0.05)} AS infrastructure_cost,
+        total_revenue * {dbl(0.029)} AS payment_processing_cost
+      FROM profit_base) t
+""",
+    ["profit_base"],
+)
+cte(
+    "profit",
+    """
+SELECT *, CASE profitability_tier WHEN 'Loss-Making' THEN 0 WHEN 'Low Profit' THEN 1
+                                  WHEN 'Medium Profit' THEN 2 WHEN 'High Profit' THEN 3 END AS tier_rank
+FROM (SELECT *, CASE WHEN gross_profit < 0 THEN 'Loss-Making' WHEN profit_margin < 20 THEN 'Low Profit'
+                     WHEN profit_margin < 50 THEN 'Medium Profit' ELSE 'High Profit' END AS profitability_tier
+      FROM (SELECT *,
+              CASE WHEN total_revenue > 0 THEN gross_profit / total_revenue * 100 ELSE -100.0 END AS profit_margin,
+              gross_profit / GREATEST(customer_tenure_days / 30, 1.0) AS monthly_profit,
+              CASE WHEN total_cost > 0 THEN gross_profit / total_cost * 100 ELSE 0.0 END AS customer_roi,
+              CASE WHEN total_transactions > 0 THEN gross_profit / total_transactions ELSE 0.0 END
+                  AS profit_per_transaction
+            FROM (SELECT *, total_revenue - total_cost AS gross_profit FROM profit_costs) a) b) c
+""",
+    ["profit_costs"],
+)
+cte(
+    "profit_totals",
+    f"SELECT COUNT(*) AS n, {ms('total_revenue')} AS rev, {fs('gross_profit')} AS gp FROM profit",
+    ["profit"],
+)
+
+PROFIT_COLS = (
+    "customer_id, signup_date, country, industry, subscription_type, monthly_fee, total_transactions, "
+    "total_revenue, avg_transaction, std_transaction, first_transaction, last_transaction, "
+    "successful_transactions, failed_transactions, customer_tenure_days, days_since_last_transaction, "
+    "transaction_frequency, payment_failure_rate, avg_monthly_revenue, is_churned, customer_ltv, "
+    "verified_revenue, acquisition_cost, servicing_cost, transaction_cost, support_cost, infrastructure_cost, "
+    "payment_processing_cost, total_cost, gross_profit, profit_margin, monthly_profit, customer_roi, "
+    "profit_per_transaction, profitability_tier, tier_rank"
+)
+register("verified_revenue", "SELECT customer_id, verified_revenue, total_revenue FROM profit_base", "profit_base")
+register(
+    "revenue_percentiles",
+    "SELECT * FROM (VALUES (25, 0), (50, 1), (75, 2), (90, 3), (95, 4), (99, 5)) p(percentile, i) "
+    "JOIN (SELECT * FROM (" + _quantile_edges("profit_base", "total_revenue",
+                                              ["0.25", "0.5", "0.75", "0.9", "0.95", "0.99"], "p") + ") "
+    "UNPIVOT (value FOR k IN (p0, p1, p2, p3, p4, p5))) q ON q.k = 'p' || CAST(p.i AS VARCHAR)",
+    "profit_base",
+)
+ORACLE["revenue_percentiles"] = ORACLE["revenue_percentiles"].replace(
+    "SELECT * FROM (VALUES", "SELECT percentile, value FROM (VALUES", 1
+)
+register("customer_costs", f"SELECT {PROFIT_COLS} FROM profit", "profit")
+register("customer_profit", f"SELECT {PROFIT_COLS} FROM profit", "profit")
+register(
+    "cost_breakdown",
+    f"""
+SELECT cost_type, total, total / NULLIF(al, 0) * 100 AS pct_of_total_cost
+FROM (SELECT {fs('acquisition_cost')} AS acquisition_cost, {fs('servicing_cost')} AS servicing_cost,
+             {fs('transaction_cost')} AS transaction_cost, {fs('support_cost')} AS support_cost,
+             {fs('infrastructure_cost')} AS infrastructure_cost,
+             {fs('payment_processing_cost')} AS payment_processing_cost, {fs('total_cost')} AS al
+      FROM profit)
+UNPIVOT (total FOR cost_type IN (acquisition_cost, servicing_cost, transaction_cost, support_cost,
+                                 infrastructure_cost, payment_processing_cost))
+""",
+    "profit",
+)
+register(
+    "profit_tier_summary",
+    f"""
+SELECT tier, customer_count, total_revenue, total_cost, total_profit, avg_margin, avg_monthly_profit,
+       CAST(customer_count AS DOUBLE) / NULLIF(t.n, 0) * 100 AS customer_pct,
+       total_revenue / NULLIF(t.rev, 0) * 100 AS revenue_pct,
+       total_profit / NULLIF(t.gp, 0) * 100 AS profit_pct
+FROM (SELECT profitability_tier AS tier, COUNT(customer_id) AS customer_count,
+             {ms('total_revenue')} AS total_revenue, {fs('total_cost')} AS total_cost,
+             {fs('gross_profit')} AS total_profit,
+             {fs('profit_margin')} / NULLIF(COUNT(profit_margin), 0) AS avg_margin,
+             {fs('monthly_profit')} / NULLIF(COUNT(monthly_profit), 0) AS avg_monthly_profit
+      FROM profit GROUP BY 1) s CROSS JOIN profit_totals t
+""",
+    "profit",
+    "profit_totals",
+)
+
+
+def _contribution_sql(dim: str, margin: bool) -> str:
+    m = f", {fs('profit_margin')} / NULLIF(COUNT(profit_margin), 0) AS profit_margin" if margin else ""
+    mcol = ", profit_margin" if margin else ""
+    return f"""
+SELECT {dim}, customer_id, total_revenue, gross_profit{mcol},
+       total_revenue / NULLIF(t.rev, 0) * 100 AS revenue_contribution_pct,
+       gross_profit / NULLIF(t.gp, 0) * 100 AS profit_contribution_pct
+FROM (SELECT {dim}, COUNT(customer_id) AS customer_id, {ms('total_revenue')} AS total_revenue,
+             {fs('gross_profit')} AS gross_profit{m}
+      FROM profit GROUP BY {dim}) s CROSS JOIN profit_totals t
+"""
+
+
+register("contribution_tier", _contribution_sql("profitability_tier", False), "profit", "profit_totals")
+register("contribution_subscription", _contribution_sql("subscription_type", True), "profit", "profit_totals")
+register("contribution_country", _contribution_sql("country", True), "profit", "profit_totals")
+register("contribution_industry", _contribution_sql("industry", True), "profit", "profit_totals")
+register(
+    "profit_dashboard",
+    """
+SELECT customer_id, country, industry, subscription_type, total_revenue, total_cost, gross_profit,
+       profit_margin, monthly_profit, customer_roi, profitability_tier, customer_tenure_days, total_transactions,
+       '$' || format('{:,.2f}', total_revenue) AS revenue_formatted,
+       '$' || format('{:,.2f}', gross_profit) AS profit_formatted,
+       printf('%.1f', profit_margin) || '%' AS margin_formatted,
+       round_even(customer_tenure_days / 30, 1) AS tenure_months
+FROM profit
+""",
+    "profit",
+)
+register(
+    "profit_kpis",
+    f"""
+SELECT * FROM (VALUES
+  ('total_revenue', (SELECT {ms('total_revenue')} FROM profit)),
+  ('total_cost', (SELECT {fs('total_cost')} FROM profit)),
+  ('gross_profit', (SELECT {fs('gross_profit')} FROM profit)),
+  ('overall_margin', (SELECT {fs('gross_profit')} / NULLIF({ms('total_revenue')}, 0) * 100 FROM profit)),
+  ('total_customers', (SELECT CAST(COUNT(*) AS DOUBLE) FROM profit)),
+  ('profitable_customers', (SELECT CAST(COUNT(*) FILTER (WHERE gross_profit > 0) AS DOUBLE) FROM profit)),
+  ('loss_customers', (SELECT CAST(COUNT(*) FILTER (WHERE gross_profit <= 0) AS DOUBLE) FROM profit)),
+  ('avg_profit_per_customer', (SELECT {fs('gross_profit')} / COUNT(gross_profit) FROM profit)),
+  ('avg_monthly_profit', (SELECT {fs('monthly_profit')} / COUNT(monthly_profit) FROM profit)),
+  ('avg_roi', (SELECT {fs('customer_roi')} / COUNT(customer_roi) FROM profit))
+) v(metric, value)
+""",
+    "profit",
+)
+register(
+    "top_profitable",
+    "SELECT customer_id, subscription_type, gross_profit, profit_margin FROM profit "
+    "ORDER BY gross_profit DESC, customer_id LIMIT 10",
+    "profit",
+)
+register(
+    "top_losses",
+    "SELECT customer_id, subscription_type, gross_profit, profit_margin FROM profit WHERE gross_profit < 0 "
+    "ORDER BY gross_profit, customer_id LIMIT 10",
+    "profit",
+)
+register(
+    "tier_costs",
+    f"""
+SELECT s.tier, s.tier_order, p.avg_revenue, p.avg_cost
+FROM (VALUES ('Loss-Making', 0), ('Low Profit', 1), ('Medium Profit', 2), ('High Profit', 3)) s(tier, tier_order)
+LEFT JOIN (SELECT profitability_tier AS tier, {fs('total_revenue')} / COUNT(total_revenue) AS avg_revenue,
+                  {fs('total_cost')} / COUNT(total_cost) AS avg_cost FROM profit GROUP BY 1) p ON p.tier = s.tier
+""",
+    "profit",
+)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import cohort, features, lifecycle, rfm
+from tidemark.operators import cohort, features, lifecycle, profit, rfm
 from tidemark.plans.context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +156,84 @@ def _q_lifecycle_summary(t: Tables) -> DataFrame:
     return lifecycle.lifecycle_summary(t.customer_features)
 
 
+
+@query("verified_revenue")
+def _q_verified_revenue(t: Tables) -> DataFrame:
+    return profit.verified_revenue(t.customer_features, t.transactions).select(
+        "customer_id", "verified_revenue", "total_revenue"
+    )
+
+
+@query("revenue_percentiles")
+def _q_revenue_percentiles(t: Tables) -> DataFrame:
+    return profit.revenue_percentiles(profit.verified_revenue(t.customer_features, t.transactions))
+
+
+@query("customer_costs")
+def _q_customer_costs(t: Tables) -> DataFrame:
+    return t.profit
+
+
+@query("customer_profit")
+def _q_customer_profit(t: Tables) -> DataFrame:
+    return t.profit
+
+
+@query("cost_breakdown")
+def _q_cost_breakdown(t: Tables) -> DataFrame:
+    return profit.cost_breakdown(t.profit)
+
+
+@query("profit_tier_summary")
+def _q_profit_tier_summary(t: Tables) -> DataFrame:
+    return profit.profit_tier_summary(t.profit)
+
+
+@query("contribution_tier")
+def _q_contribution_tier(t: Tables) -> DataFrame:
+    return profit.contribution(t.profit, "profitability_tier")
+
+
+@query("contribution_subscription")
+def _q_contribution_subscription(t: Tables) -> DataFrame:
+    return profit.contribution(t.profit, "subscription_type")
+
+
+@query("contribution_country")
+def _q_contribution_country(t: Tables) -> DataFrame:
+    return profit.contribution(t.profit, "country")
+
+
+@query("contribution_industry")
+def _q_contribution_industry(t: Tables) -> DataFrame:
+    return profit.contribution(t.profit, "industry")
+
+
+@query("profit_dashboard")
+def _q_profit_dashboard(t: Tables) -> DataFrame:
+    return profit.profit_dashboard(t.profit)
+
+
+@query("profit_kpis")
+def _q_profit_kpis(t: Tables) -> DataFrame:
+    return profit.profit_kpis(t.profit)
+
+
+@query("top_profitable")
+def _q_top_profitable(t: Tables) -> DataFrame:
+    return profit.top_profitable(t.profit)
+
+
+@query("top_losses")
+def _q_top_losses(t: Tables) -> DataFrame:
+    return profit.top_losses(t.profit)
+
+
+@query("tier_costs")
+def _q_tier_costs(t: Tables) -> DataFrame:
+    return profit.tier_costs(t.profit)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer features (D2); joined with the RFM segment once RFM lands."""
     return Tables(spark, sf_dir).customer_features
