@@ -78,7 +78,7 @@ def global_dense_rank(
     the per-group start offsets come from a table with one row per group.
     """
     keys = [group] if group else []
-    distinct = df.select(*keys, value).where(F.col(value).isNotNull()).groupBy(*keys, value).agg()
+    distinct = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
     v = F.col(value).desc() if descending else F.col(value).asc()
     ranked = global_rank(distinct, [*keys, v], out="_dr_pos")
     if group:

@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import cohort, features, profit, rfm
+from tidemark.operators import cohort, features, profit, retention, rfm
 from tidemark.sources.adapters import load_canonical
 
 
@@ -88,3 +88,20 @@ class Tables:
     @cached_property
     def profit(self) -> DataFrame:
         return profit.profitability(self.customer_features, self.transactions)
+
+    @cached_property
+    def churn_scores(self) -> DataFrame:
+        """Deterministic stand-in score (oracle-checkable); the ML score is ``churn.score_customers``."""
+        return retention.recency_score(self.customer_features)
+
+    @cached_property
+    def churn_predictions(self) -> DataFrame:
+        return retention.churn_predictions(self.customer_features, self.churn_scores)
+
+    @cached_property
+    def value_scores(self) -> DataFrame:
+        return retention.value_scores(retention.with_behaviour(self.churn_predictions, self.customer_features))
+
+    @cached_property
+    def recommendations(self) -> DataFrame:
+        return retention.recommendations(self.value_scores)

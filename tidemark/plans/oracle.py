@@ -719,3 +719,143 @@ LEFT JOIN (SELECT profitability_tier AS tier, {fs('total_revenue')} / COUNT(tota
 """,
     "profit",
 )
+
+# ---------------------------------------------------------------- churn risk and retention
+
+
+def _retention_ctes() -> None:
+    from tidemark.operators.retention import ACTION_TEMPLATES, STRATEGIES
+
+    cte(
+        "churn_pred",
+        f"""
+SELECT customer_id, country, industry, subscription_type, monthly_fee, total_revenue, customer_tenure_days,
+       is_churned, p AS churn_probability,
+       CASE WHEN p >= {dbl(0)} AND p <= {dbl(0.3)} THEN 'Low'
+            WHEN p > {dbl(0.3)} AND p <= {dbl(0.6)} THEN 'Medium'
+            WHEN p > {dbl(0.6)} AND p <= {dbl(1.0)} THEN 'High' END AS churn_risk_level
+FROM (SELECT *, LEAST({dbl(1.0)}, days_since_last_transaction / {dbl(365)}) AS p FROM customer_features) t
+""",
+        ["customer_features"],
+    )
+    cte(
+        "churn_data",
+        """
+SELECT p.*, f.transaction_frequency, f.avg_monthly_revenue, f.days_since_last_transaction,
+       f.payment_failure_rate, f.successful_transactions, f.failed_transactions
+FROM churn_pred p LEFT JOIN customer_features f ON p.customer_id = f.customer_id
+""",
+        ["churn_pred", "customer_features"],
+    )
+    cte(
+        "value_scored",
+        f"""
+SELECT *, DENSE_RANK() OVER (PARTITION BY churn_risk_level ORDER BY value_score DESC) AS priority_rank
+FROM (SELECT *, revenue_score * {dbl(0.5)} + engagement_score * {dbl(0.3)} + tenure_score * {dbl(0.2)} AS value_score
+      FROM (SELECT d.*, d.total_revenue / NULLIF(m.mr, 0) * 100 AS revenue_score,
+                   d.transaction_frequency / NULLIF(m.mf, 0) * 100 AS engagement_score,
+                   CAST(d.customer_tenure_days AS DOUBLE) / NULLIF(m.mt, 0) * 100 AS tenure_score
+            FROM churn_data d CROSS JOIN (SELECT MAX(total_revenue) AS mr, MAX(transaction_frequency) AS mf,
+                                                 MAX(customer_tenure_days) AS mt FROM churn_data) m) a) b
+""",
+        ["churn_data"],
+    )
+
+    def by_risk(i: int) -> str:
+        parts = " ".join(f"WHEN {_sql_str(k)} THEN {_sql_str(str(v[i])) if isinstance(v[i], str) else v[i]}"
+                         for k, v in STRATEGIES.items())
+        return f"CASE churn_risk_level {parts} END"
+
+    def template(i: int) -> str:
+        parts = " ".join(
+            f"WHEN churn_risk_level = {_sql_str(r)} AND subscription_type = {_sql_str(s)} THEN {_sql_str(t[i])}"
+            for (r, s), t in ACTION_TEMPLATES.items()
+        )
+        return f"replace(CASE {parts} END, '{{discount}}', CAST(recommended_discount_pct AS VARCHAR))"
+
+    cte(
+        "recs",
+        f"""
+SELECT customer_id, country, industry, subscription_type, monthly_fee, total_revenue, churn_probability,
+       churn_risk_level, round_even(value_score, 2) AS value_score, CAST(priority_rank AS INTEGER) AS priority_rank,
+       {by_risk(2)} AS urgency, {by_risk(3)} AS action_timeline, {by_risk(6)} AS contact_channel,
+       {by_risk(0)} AS primary_action, {by_risk(1)} AS secondary_action,
+       CASE WHEN payment_failure_rate > {dbl(0.1)}
+              THEN 'Address payment issues - offer alternative payment methods'
+            WHEN days_since_last_transaction > 90
+              THEN 'Re-engagement campaign - ' || CAST(days_since_last_transaction AS VARCHAR) || ' days inactive'
+            WHEN transaction_frequency < {dbl(0.5)} THEN 'Increase engagement - schedule product demo'
+            ELSE {template(0)} END AS specific_recommendation,
+       recommended_discount_pct,
+       {template(0)} AS action_1, {template(1)} AS action_2, {template(2)} AS action_3, {template(3)} AS action_4
+FROM (SELECT *, CAST(TRUNC({by_risk(4)} + ({by_risk(5)} - {by_risk(4)}) * (value_score / 100)) AS INTEGER)
+                  AS recommended_discount_pct
+      FROM value_scored) t
+""",
+        ["value_scored"],
+    )
+
+
+_retention_ctes()
+register(
+    "churn_predictions",
+    "SELECT * FROM churn_pred",
+    "churn_pred",
+)
+register(
+    "churn_risk_summary",
+    f"""
+SELECT churn_risk_level AS risk_level, COUNT(customer_id) AS customer_count,
+       {ms('total_revenue')} AS revenue_at_risk,
+       {fs('churn_probability')} / NULLIF(COUNT(churn_probability), 0) AS avg_probability
+FROM churn_pred GROUP BY 1
+""",
+    "churn_pred",
+)
+register(
+    "high_risk_list",
+    """
+SELECT customer_id, country, industry, subscription_type, monthly_fee, total_revenue, customer_tenure_days,
+       days_since_last_transaction, transaction_frequency, payment_failure_rate, churn_probability,
+       churn_risk_level
+FROM churn_data WHERE churn_risk_level = 'High'
+""",
+    "churn_data",
+)
+register(
+    "value_scores",
+    "SELECT * EXCLUDE (priority_rank), CAST(priority_rank AS INTEGER) AS priority_rank FROM value_scored",
+    "value_scored",
+)
+register("retention_recommendations", "SELECT * FROM recs", "recs")
+register(
+    "retention_action_summary",
+    f"""
+SELECT churn_risk_level AS risk_level, COUNT(customer_id) AS customer_count,
+       {ms('total_revenue')} AS total_revenue_at_risk,
+       {fs('value_score')} / NULLIF(COUNT(value_score), 0) AS avg_value_score,
+       AVG(recommended_discount_pct) AS avg_recommended_discount
+FROM recs GROUP BY 1
+""",
+    "recs",
+)
+register(
+    "retention_by_risk_sub",
+    f"SELECT churn_risk_level AS risk_level, subscription_type, COUNT(customer_id) AS customer_count, "
+    f"{ms('total_revenue')} AS revenue FROM recs GROUP BY 1, 2",
+    "recs",
+)
+for _lvl in ("High", "Medium", "Low"):
+    register(f"retention_list_{_lvl.lower()}", f"SELECT * FROM recs WHERE churn_risk_level = '{_lvl}'", "recs")
+register(
+    "retention_impact",
+    f"SELECT CAST(COUNT(*) // 2 AS BIGINT) AS customers_saved, COALESCE({ms('total_revenue')}, 0.0) / 2 "
+    "AS revenue_protected FROM recs WHERE churn_risk_level = 'High'",
+    "recs",
+)
+register(
+    "retention_top_at_risk",
+    "SELECT customer_id, subscription_type, total_revenue, churn_probability, specific_recommendation FROM recs "
+    "WHERE churn_risk_level = 'High' ORDER BY value_score DESC, customer_id LIMIT 10",
+    "recs",
+)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import cohort, features, lifecycle, profit, rfm
+from tidemark.operators import cohort, features, lifecycle, profit, retention, rfm
 from tidemark.plans.context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,6 +234,67 @@ def _q_tier_costs(t: Tables) -> DataFrame:
     return profit.tier_costs(t.profit)
 
 
+
+@query("churn_predictions")
+def _q_churn_predictions(t: Tables) -> DataFrame:
+    return t.churn_predictions
+
+
+@query("churn_risk_summary")
+def _q_churn_risk_summary(t: Tables) -> DataFrame:
+    return retention.churn_risk_summary(t.churn_predictions)
+
+
+@query("high_risk_list")
+def _q_high_risk_list(t: Tables) -> DataFrame:
+    return retention.high_risk_list(t.churn_predictions, t.customer_features)
+
+
+@query("value_scores")
+def _q_value_scores(t: Tables) -> DataFrame:
+    return t.value_scores
+
+
+@query("retention_recommendations")
+def _q_retention_recommendations(t: Tables) -> DataFrame:
+    return t.recommendations
+
+
+@query("retention_action_summary")
+def _q_retention_action_summary(t: Tables) -> DataFrame:
+    return retention.action_summary(t.recommendations)
+
+
+@query("retention_by_risk_sub")
+def _q_retention_by_risk_sub(t: Tables) -> DataFrame:
+    return retention.by_risk_subscription(t.recommendations)
+
+
+@query("retention_impact")
+def _q_retention_impact(t: Tables) -> DataFrame:
+    return retention.retention_impact(t.recommendations)
+
+
+@query("retention_top_at_risk")
+def _q_retention_top_at_risk(t: Tables) -> DataFrame:
+    return retention.top_at_risk(t.recommendations)
+
+
+@query("retention_list_high")
+def _q_retention_list_high(t: Tables) -> DataFrame:
+    return retention.risk_list(t.recommendations, "High")
+
+
+@query("retention_list_medium")
+def _q_retention_list_medium(t: Tables) -> DataFrame:
+    return retention.risk_list(t.recommendations, "Medium")
+
+
+@query("retention_list_low")
+def _q_retention_list_low(t: Tables) -> DataFrame:
+    return retention.risk_list(t.recommendations, "Low")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer features (D2); joined with the RFM segment once RFM lands."""
     return Tables(spark, sf_dir).customer_features
