@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 _PID_SHIFT = 33  # monotonically_increasing_id = (partition index << 33) + row index
 
 
@@ -39,17 +41,23 @@ def global_rank(
     ``order`` must be a total order (end it with a unique id) so the rank is
     deterministic.  Equivalent to ``row_number().over(Window.orderBy(*order))``
     without the single-task window: one range exchange with an explicit
-    partition count (never coalesced by AQE, so partition indices are stable),
-    a per-partition count (P rows), and a broadcast of the P-row offset table.
+    partition count, rows numbered inside each partition and checkpointed
+    (runs one job now), a per-partition count (P rows), and a broadcast of
+    the P-row offset table.
     """
     cols = _sort_cols(order)
     p = _range_partitions(df, partitions)
+    ensure_checkpoint_dir(df.sparkSession)
+    # The numbered frame is checkpointed to the shared checkpoint folder: the
+    # positions become stored data (an executor loss cannot renumber them) and
+    # the lineage is cut, so chained ranks do not multiply the plan.
     ranged = (
         df.repartitionByRange(p, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("_gr_mid", F.monotonically_increasing_id())
         .withColumn("_gr_pid", F.shiftright(F.col("_gr_mid"), _PID_SHIFT))
         .withColumn("_gr_pos", F.col("_gr_mid") - F.shiftleft(F.col("_gr_pid"), _PID_SHIFT))
+        .checkpoint(eager=True)
     )
     counts = ranged.groupBy("_gr_pid").agg(F.count(F.lit(1)).alias("_gr_n"))
     # At most P rows: an unpartitioned window over them is bounded.

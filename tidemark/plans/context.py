@@ -7,19 +7,42 @@ Catalyst sees one plan and can reuse exchanges.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import cohort, features, profit, retention, rfm
+from tidemark.session import ensure_checkpoint_dir
+
+from tidemark.operators import cohort, features, profit, retention, rfm, series
 from tidemark.sources.adapters import load_canonical
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "lineitem"):
+    """Intermediate tables of one pipeline run.
+
+    With ``materialize=True`` the tables every module reads (cleaned
+    customers and transactions, customer features, the monthly series) are
+    written once as parquet under the session's checkpoint folder and read
+    back, as the reference hands processed tables between modules.  This cuts
+    lineage, gives downstream queries column pruning and filter pushdown, and
+    survives executor loss (the files are on shared storage).
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "lineitem", materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.grain = grain
+        self.materialize = materialize
+        self._run = uuid.uuid4().hex[:12]
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        root = ensure_checkpoint_dir(self.spark).rstrip("/")
+        path = f"{root}/tidemark-{self._run}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def _raw(self) -> tuple[DataFrame, DataFrame]:
@@ -35,15 +58,15 @@ class Tables:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return features.clean_customers(self.raw_customers)
+        return self._stage(features.clean_customers(self.raw_customers), "customers")
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return features.clean_transactions(self.raw_transactions)
+        return self._stage(features.clean_transactions(self.raw_transactions), "transactions")
 
     @cached_property
     def customer_features(self) -> DataFrame:
-        return features.customer_features(self.customers, self.transactions)
+        return self._stage(features.customer_features(self.customers, self.transactions), "customer_features")
 
     @cached_property
     def transaction_features(self) -> DataFrame:
@@ -105,3 +128,27 @@ class Tables:
     @cached_property
     def recommendations(self) -> DataFrame:
         return retention.recommendations(self.value_scores)
+
+    @cached_property
+    def monthly_series(self) -> DataFrame:
+        return self._stage(series.monthly_series(self.transactions), "monthly_series")
+
+    @cached_property
+    def decomposition(self) -> DataFrame:
+        return series.decompose(self.monthly_series)
+
+    @cached_property
+    def forecast_seasonal(self) -> DataFrame:
+        return series.forecast_seasonal_trend(self.monthly_series)
+
+    @cached_property
+    def forecast_ar(self) -> DataFrame:
+        return series.forecast_ar(self.monthly_series)
+
+    @cached_property
+    def forecast_metrics(self) -> DataFrame:
+        return series.holdout_metrics(self.monthly_series)
+
+    @cached_property
+    def combined_forecast(self) -> DataFrame:
+        return series.combined_forecast(self.forecast_seasonal, self.forecast_ar)

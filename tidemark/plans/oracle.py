@@ -859,3 +859,268 @@ register(
     "WHERE churn_risk_level = 'High' ORDER BY value_score DESC, customer_id LIMIT 10",
     "recs",
 )
+
+# ---------------------------------------------------------------- monthly series (company level)
+
+
+def osum_sql(x: str) -> str:
+    return (f"CASE WHEN COUNT({x}) > 0 THEN list_reduce(list_sort(list({x}) FILTER (WHERE {x} IS NOT NULL)), "
+            f"lambda a, b: a + b) END")
+
+
+def omean_sql(x: str) -> str:
+    return f"({osum_sql(x)}) / NULLIF(COUNT({x}), 0)"
+
+
+cte(
+    "mseries",
+    f"""
+SELECT s.date, COALESCE(v.value, 0.0) AS value
+FROM (SELECT CAST(unnest(generate_series(MIN(m), MAX(m), INTERVAL 1 MONTH)) AS DATE) AS date
+      FROM (SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS m FROM completed) b) s
+LEFT JOIN (SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS date, {ms('amount')} AS value
+           FROM completed GROUP BY 1) v ON v.date = s.date
+""",
+    ["completed"],
+)
+
+
+def _positions_sql(src: str) -> str:
+    return f"""
+SELECT *, CAST(CASE WHEN n >= 24 THEN 12 ELSE LEAST(12, FLOOR(n / 2)) END AS INTEGER) AS period, n >= 24 AS mult
+FROM (SELECT date, value, CAST(ROW_NUMBER() OVER (ORDER BY date) - 1 AS INTEGER) AS pos, COUNT(*) OVER () AS n
+      FROM {src}) t
+"""
+
+
+def _decompose_sql(src: str, name: str) -> None:
+    terms = []
+    for k in range(-6, 7):
+        y = "value" if k == 0 else (f"LAG(value, {-k}) OVER (ORDER BY date)" if k < 0 else f"LEAD(value, {k}) OVER (ORDER BY date)")
+        wk = (f"(CASE WHEN {abs(k)} > FLOOR(period / 2) THEN 0.0 WHEN period % 2 = 0 AND {abs(k)} = FLOOR(period / 2) "
+              f"THEN 0.5 ELSE 1.0 END)")
+        terms.append(f"COALESCE({y}, 0.0) * {wk}")
+    total = "0.0 + " + " + ".join(terms)
+    cte(
+        f"{name}_t",
+        f"""
+SELECT *, CASE WHEN mult THEN value / NULLIF(trend, 0) ELSE value - trend END AS det,
+       pos % GREATEST(period, 1) AS cls
+FROM (SELECT *, CASE WHEN period >= 2 AND pos >= FLOOR(period / 2) AND pos <= n - 1 - FLOOR(period / 2)
+                     THEN ({total}) / period END AS trend
+      FROM ({_positions_sql(src)}) p) q
+""",
+        [src],
+    )
+    cte(
+        f"{name}_c",
+        f"""
+SELECT c.cls, c.cm, m.cmm FROM (SELECT cls, {omean_sql('det')} AS cm FROM {name}_t GROUP BY cls) c
+CROSS JOIN (SELECT {omean_sql('cm')} AS cmm FROM (SELECT cls, {omean_sql('det')} AS cm FROM {name}_t GROUP BY cls)) m
+""",
+        [f"{name}_t"],
+    )
+    cte(
+        name,
+        f"""
+SELECT date, value AS observed, trend, seasonal,
+       CASE WHEN mult THEN (value / NULLIF(seasonal, 0)) / NULLIF(trend, 0) ELSE det - seasonal END AS residual,
+       period, CASE WHEN mult THEN 'multiplicative' ELSE 'additive' END AS model
+FROM (SELECT t.*, CASE WHEN period >= 2 THEN CASE WHEN mult THEN c.cm / NULLIF(c.cmm, 0) ELSE c.cm - c.cmm END END
+                  AS seasonal
+      FROM {name}_t t LEFT JOIN {name}_c c ON t.cls = c.cls) s
+""",
+        [f"{name}_t", f"{name}_c"],
+    )
+    cte(
+        f"{name}_si",
+        f"""
+SELECT m.month, CASE m.month WHEN 1 THEN 'Jan' WHEN 2 THEN 'Feb' WHEN 3 THEN 'Mar' WHEN 4 THEN 'Apr'
+         WHEN 5 THEN 'May' WHEN 6 THEN 'Jun' WHEN 7 THEN 'Jul' WHEN 8 THEN 'Aug' WHEN 9 THEN 'Sep'
+         WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' WHEN 12 THEN 'Dec' END AS month_name,
+       COALESCE(s.si, 1.0) AS seasonal_index
+FROM (SELECT CAST(unnest(generate_series(1, 12)) AS INTEGER) AS month) m
+LEFT JOIN (SELECT CAST(month(date) AS INTEGER) AS month, {omean_sql('seasonal')} AS si FROM {name} GROUP BY 1) s
+  ON s.month = m.month
+""",
+        [name],
+    )
+
+
+def _ols_sql(y: str, x: str) -> str:
+    return (f"COUNT({y}) AS _n, {osum_sql(x)} AS _sx, {osum_sql(y)} AS _sy, {osum_sql(f'{x} * {x}')} AS _sxx, "
+            f"{osum_sql(f'{x} * {y}')} AS _sxy, {osum_sql(f'{y} * {y}')} AS _syy")
+
+
+def _ols_fit_sql(inner: str) -> str:
+    return f"""
+SELECT *, (_sy - slope * _sx) / _n AS intercept, GREATEST(cyy - slope * cxy, 0.0) AS sse
+FROM (SELECT *, cxy / NULLIF(cxx, 0) AS slope
+      FROM (SELECT *, _sxx - _sx * _sx / _n AS cxx, _sxy - _sx * _sy / _n AS cxy, _syy - _sy * _sy / _n AS cyy
+            FROM ({inner}) a) b) c
+"""
+
+
+def _stationarity_sql(src: str, name: str) -> None:
+    inner = (f"SELECT {_ols_sql('dy', 'lg')} FROM (SELECT value - lg AS dy, lg FROM "
+             f"(SELECT value, LAG(value) OVER (ORDER BY date) AS lg FROM {src}) x WHERE lg IS NOT NULL) y")
+    cte(
+        name,
+        f"""
+SELECT _n AS n_obs, ROUND(tstat, 6) AS adf_statistic, ROUND(crit, 6) AS critical_value_5pct,
+       CASE WHEN tstat < crit THEN 0 ELSE 1 END AS d
+FROM (SELECT *, slope / NULLIF(sqrt((sse / (CAST(_n AS DOUBLE) - 2)) / NULLIF(cxx, 0)), 0) AS tstat,
+             -2.86154 + -2.8903 / CAST(_n AS DOUBLE) + -4.234 / (CAST(_n AS DOUBLE) * CAST(_n AS DOUBLE))
+             + -40.04 / (CAST(_n AS DOUBLE) * CAST(_n AS DOUBLE) * CAST(_n AS DOUBLE)) AS crit
+      FROM ({_ols_fit_sql(inner)}) f) g
+""",
+        [src],
+    )
+
+
+def _forecast_ar_sql(src: str, name: str, horizon: int) -> None:
+    _stationarity_sql(src, f"{name}_st")
+    cte(
+        f"{name}_z",
+        f"""
+SELECT *, LAG(z) OVER (ORDER BY date) AS zl
+FROM (SELECT s.date, s.value, st.d,
+             CASE WHEN st.d = 1 THEN s.value - LAG(s.value) OVER (ORDER BY s.date) ELSE s.value END AS z
+      FROM {src} s CROSS JOIN {name}_st st) a
+""",
+        [src, f"{name}_st"],
+    )
+    fit = _ols_fit_sql(f"SELECT {_ols_sql('z', 'zl')} FROM {name}_z WHERE z IS NOT NULL AND zl IS NOT NULL")
+    cte(
+        name,
+        f"""
+SELECT CAST(T + to_months(step) AS DATE) AS date, step, ROUND(fc, 2) AS forecast, ROUND(fc - half, 2) AS lower,
+       ROUND(fc + half, 2) AS upper
+FROM (SELECT *, CASE WHEN d = 1 THEN yT + hh * mu + (zT - mu) * slope * ((1 - ph) / NULLIF(1 - slope, 0))
+                     ELSE mu + ph * (yT - mu) END AS fc,
+             1.96 * sqrt(GREATEST(s2 * CASE WHEN d = 1 THEN
+                 (hh - 2 * slope * ((1 - ph) / NULLIF(1 - slope, 0)) + (slope * slope) * s0)
+                   / NULLIF((1 - slope) * (1 - slope), 0)
+               ELSE s0 END, 0.0)) AS half
+      FROM (SELECT *, CAST(step AS DOUBLE) AS hh, pow(slope, CAST(step AS DOUBLE)) AS ph,
+                   (1 - pow(slope * slope, CAST(step AS DOUBLE))) / NULLIF(1 - slope * slope, 0) AS s0
+            FROM (SELECT f.*, intercept / NULLIF(1 - slope, 0) AS mu, sse / NULLIF(_n - 2, 0) AS s2,
+                         l.T, l.yT, l.zT, l.d, CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS step
+                  FROM ({fit}) f
+                  CROSS JOIN (SELECT MAX(date) AS T, arg_max(value, date) AS yT, arg_max(z, date) AS zT,
+                                     FIRST(d) AS d FROM {name}_z) l) a) b) c
+""",
+        [f"{name}_z"],
+    )
+
+
+def _forecast_st_sql(src: str, name: str, horizon: int) -> None:
+    _decompose_sql(src, f"{name}_dec")
+    cte(
+        f"{name}_h",
+        f"""
+SELECT p.*, CAST(month(p.date) AS INTEGER) AS month, si.seasonal_index, p.value / si.seasonal_index AS ds
+FROM ({_positions_sql(src)}) p LEFT JOIN {name}_dec_si si ON si.month = CAST(month(p.date) AS INTEGER)
+""",
+        [src, f"{name}_dec_si"],
+    )
+    cte(f"{name}_f", _ols_fit_sql(f"SELECT {_ols_sql('ds', 'CAST(pos AS DOUBLE)')} FROM {name}_h"), [f"{name}_h"])
+    cte(
+        f"{name}_fit",
+        f"SELECT h.*, (f.intercept + f.slope * h.pos) * h.seasonal_index AS fitted FROM {name}_h h CROSS JOIN {name}_f f",
+        [f"{name}_h", f"{name}_f"],
+    )
+    cte(
+        f"{name}_sd",
+        f"SELECT sqrt(({osum_sql('(value - fitted) * (value - fitted)')}) / NULLIF(COUNT(value) - 1, 0)) AS sd, "
+        f"MAX(date) AS T, MAX(n) AS nn FROM {name}_fit",
+        [f"{name}_fit"],
+    )
+    cte(
+        name,
+        f"""
+SELECT date, ROUND(fitted, 2) AS forecast, ROUND(fitted - 1.96 * sd, 2) AS lower, ROUND(fitted + 1.96 * sd, 2) AS upper,
+       false AS is_forecast
+FROM {name}_fit CROSS JOIN {name}_sd
+UNION ALL
+SELECT date, ROUND(fitted, 2), ROUND(fitted - 1.96 * sd, 2), ROUND(fitted + 1.96 * sd, 2), true
+FROM (SELECT x.date, x.sd, (f.intercept + f.slope * (x.nn - 1 + x.step)) * si.seasonal_index AS fitted
+      FROM (SELECT CAST(T + to_months(step) AS DATE) AS date, step, sd, nn
+            FROM (SELECT *, CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS step FROM {name}_sd) q) x
+      CROSS JOIN {name}_f f
+      LEFT JOIN {name}_dec_si si ON si.month = CAST(month(x.date) AS INTEGER)) y
+""",
+        [f"{name}_fit", f"{name}_sd", f"{name}_f", f"{name}_dec_si"],
+    )
+
+
+_decompose_sql("mseries", "decomp")
+_stationarity_sql("mseries", "stationarity")
+_forecast_ar_sql("mseries", "fc_ar", 12)
+_forecast_st_sql("mseries", "fc_st", 12)
+cte("mseries_train", "SELECT * FROM mseries WHERE date < (SELECT MAX(date) FROM mseries) - INTERVAL 2 MONTH", ["mseries"])
+cte("mseries_test", "SELECT date, value AS actual FROM mseries WHERE date >= (SELECT MAX(date) FROM mseries) - INTERVAL 2 MONTH", ["mseries"])
+_forecast_ar_sql("mseries_train", "ho_ar", 3)
+_forecast_st_sql("mseries_train", "ho_st", 3)
+
+
+def _metrics_sql(fc: str, model: str) -> str:
+    err = "(f.forecast - t.actual)"
+    return (f"SELECT ROUND({omean_sql(f'abs({err})')}, 6) AS mae, ROUND(sqrt({omean_sql(f'{err} * {err}')}), 6) AS rmse, "
+            f"ROUND(({omean_sql(f'abs({err}) / GREATEST(abs(t.actual), 2.220446049250313e-16)')}) * 100, 6) AS mape, "
+            f"'{model}' AS model FROM mseries_test t JOIN {fc} f ON f.date = t.date")
+
+
+cte(
+    "fc_metrics",
+    f"SELECT * FROM ({_metrics_sql('(SELECT * FROM ho_st WHERE is_forecast)', 'seasonal_trend')}) "
+    f"UNION ALL SELECT * FROM ({_metrics_sql('ho_ar', 'ar')})",
+    ["mseries_test", "ho_st", "ho_ar"],
+)
+cte(
+    "combined",
+    """
+SELECT *, CAST(SUM(CAST(forecast_ensemble AS DECIMAL(38,4))) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING
+                                                                     AND CURRENT ROW) AS DOUBLE) AS cumulative_forecast
+FROM (SELECT s.date, s.forecast AS forecast_seasonal, a.forecast AS forecast_ar,
+             (s.forecast + a.forecast) / 2 AS forecast_ensemble, year(s.date) AS year, month(s.date) AS month,
+             strftime(s.date, '%B') AS month_name, quarter(s.date) AS quarter
+      FROM (SELECT * FROM fc_st WHERE is_forecast) s JOIN fc_ar a ON a.date = s.date) j
+""",
+    ["fc_st", "fc_ar"],
+)
+
+register("monthly_series", "SELECT * FROM mseries", "mseries")
+register("decomposition", "SELECT * FROM decomp", "decomp")
+register("seasonal_indices", "SELECT * FROM decomp_si", "decomp_si")
+register(
+    "trend_growth",
+    "SELECT trend_start, trend_end, (trend_end / trend_start - 1) * 100 AS trend_growth_pct FROM "
+    "(SELECT arg_min(trend, date) AS trend_start, arg_max(trend, date) AS trend_end, COUNT(*) AS nt "
+    "FROM decomp WHERE trend IS NOT NULL) t WHERE nt > 1",
+    "decomp",
+)
+register("stationarity", "SELECT * FROM stationarity", "stationarity")
+register("forecast_ar", "SELECT * FROM fc_ar", "fc_ar")
+register("forecast_seasonal_trend", "SELECT * FROM fc_st", "fc_st")
+register("forecast_metrics", "SELECT * FROM fc_metrics", "fc_metrics")
+register(
+    "model_comparison",
+    """
+SELECT m.metric, m.seasonal_trend, m.ar, b.best_model FROM (
+  SELECT metric, MAX(CASE WHEN model = 'seasonal_trend' THEN value END) AS seasonal_trend,
+         MAX(CASE WHEN model = 'ar' THEN value END) AS ar
+  FROM (SELECT model, 'MAE' AS metric, mae AS value FROM fc_metrics UNION ALL
+        SELECT model, 'RMSE', rmse FROM fc_metrics UNION ALL SELECT model, 'MAPE (%)', mape FROM fc_metrics) l
+  GROUP BY metric) m
+CROSS JOIN (SELECT arg_min(model, (mape, CASE WHEN model = 'ar' THEN 0 ELSE 1 END)) AS best_model FROM fc_metrics) b
+""",
+    "fc_metrics",
+)
+register("combined_forecast", "SELECT * FROM combined", "combined")
+register(
+    "forecast_totals",
+    f"SELECT {ms('forecast_ensemble')} AS forecasted_revenue_total, "
+    f"{ms('forecast_ensemble')} / NULLIF(COUNT(forecast_ensemble), 0) AS avg_monthly_forecast FROM combined",
+    "combined",
+)

@@ -10,16 +10,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import cohort, features, lifecycle, profit, retention, rfm
+from tidemark.operators import cohort, features, lifecycle, profit, retention, rfm, series
 from tidemark.plans.context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+_RUNS: dict[tuple[str, str], Tables] = {}
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
+    """One pipeline run per (application, input directory): shared tables are staged once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _RUNS:
+        _RUNS[key] = Tables(spark, sf_dir)
+    return _RUNS[key]
 
 
 def query(name: str):
     def deco(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir, _fn=fn: _fn(Tables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir, _fn=fn: _fn(tables_for(spark, sf_dir))
         return fn
 
     return deco
@@ -295,6 +304,61 @@ def _q_retention_list_low(t: Tables) -> DataFrame:
     return retention.risk_list(t.recommendations, "Low")
 
 
+@query("monthly_series")
+def _q_monthly_series(t: Tables) -> DataFrame:
+    return t.monthly_series
+
+
+@query("decomposition")
+def _q_decomposition(t: Tables) -> DataFrame:
+    return t.decomposition
+
+
+@query("seasonal_indices")
+def _q_seasonal_indices(t: Tables) -> DataFrame:
+    return series.seasonal_indices(t.decomposition)
+
+
+@query("trend_growth")
+def _q_trend_growth(t: Tables) -> DataFrame:
+    return series.trend_growth(t.decomposition)
+
+
+@query("stationarity")
+def _q_stationarity(t: Tables) -> DataFrame:
+    return series.stationarity(t.monthly_series)
+
+
+@query("forecast_ar")
+def _q_forecast_ar(t: Tables) -> DataFrame:
+    return t.forecast_ar
+
+
+@query("forecast_seasonal_trend")
+def _q_forecast_seasonal_trend(t: Tables) -> DataFrame:
+    return t.forecast_seasonal
+
+
+@query("forecast_metrics")
+def _q_forecast_metrics(t: Tables) -> DataFrame:
+    return t.forecast_metrics
+
+
+@query("model_comparison")
+def _q_model_comparison(t: Tables) -> DataFrame:
+    return series.model_comparison(t.forecast_metrics)
+
+
+@query("combined_forecast")
+def _q_combined_forecast(t: Tables) -> DataFrame:
+    return t.combined_forecast
+
+
+@query("forecast_totals")
+def _q_forecast_totals(t: Tables) -> DataFrame:
+    return series.forecast_totals(t.combined_forecast)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer features (D2); joined with the RFM segment once RFM lands."""
-    return Tables(spark, sf_dir).customer_features
+    return tables_for(spark, sf_dir).customer_features
