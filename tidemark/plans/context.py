@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import ensure_checkpoint_dir
 
-from tidemark.operators import cohort, features, profit, retention, rfm, series
+from tidemark.operators import cohort, features, profit, retention, rfm, series, unified
 from tidemark.sources.adapters import load_canonical
 
 
@@ -152,3 +152,13 @@ class Tables:
     @cached_property
     def combined_forecast(self) -> DataFrame:
         return series.combined_forecast(self.forecast_seasonal, self.forecast_ar)
+
+    @cached_property
+    def master(self) -> DataFrame:
+        return unified.master_customers(
+            self.customer_features, self.transactions, self.churn_predictions, self.recommendations, self.profit, self.rfm_b
+        )
+
+    @cached_property
+    def business_summary(self) -> DataFrame:
+        return unified.monthly_business_summary(self.transactions, self.customers, self.master, self.profit)

@@ -1124,3 +1124,256 @@ register(
     f"{ms('forecast_ensemble')} / NULLIF(COUNT(forecast_ensemble), 0) AS avg_monthly_forecast FROM combined",
     "combined",
 )
+
+# ---------------------------------------------------------------- unified / executive exports
+cte(
+    "master",
+    """
+SELECT *, (['Bronze', 'Silver', 'Gold', 'Platinum'])[
+          CASE WHEN n <= 1 THEN 1 ELSE GREATEST(1, (4 * (vr - 1) + n - 2) // GREATEST(n - 1, 1)) END] AS customer_value_tier
+FROM (
+  SELECT f.customer_id, f.signup_date, f.country, f.industry, f.subscription_type, f.monthly_fee, f.total_revenue,
+         f.customer_tenure_days, f.is_churned,
+         COALESCE(c.churn_probability, 0.0) AS churn_probability,
+         COALESCE(c.churn_risk_level, 'Unknown') AS churn_risk_level,
+         COALESCE(r.primary_action, 'Not Assigned') AS retention_action, r.urgency, r.recommended_discount_pct,
+         r.specific_recommendation,
+         p.gross_profit, p.profit_margin, COALESCE(p.profitability_tier, 'Unknown') AS profitability_tier, p.total_cost,
+         COALESCE(b.rfm_segment, 'Unknown') AS customer_segment, b.R_score, b.F_score, b.M_score, b.RFM_total,
+         CAST(NULL AS VARCHAR) AS behavioral_segment,
+         strftime(f.signup_date, '%Y-%m') AS signup_cohort, year(f.signup_date) AS signup_year,
+         quarter(f.signup_date) AS signup_quarter,
+         round_even(CAST(m.ref - f.signup_date AS INTEGER) / 30, 1) AS lifetime_months,
+         ROW_NUMBER() OVER (ORDER BY f.total_revenue, f.customer_id) AS vr, COUNT(*) OVER () AS n
+  FROM customer_features f
+  LEFT JOIN churn_pred c ON c.customer_id = f.customer_id
+  LEFT JOIN recs r ON r.customer_id = f.customer_id
+  LEFT JOIN profit p ON p.customer_id = f.customer_id
+  LEFT JOIN rfm_B b ON b.customer_id = f.customer_id
+  CROSS JOIN (SELECT MAX(transaction_date) AS ref FROM txns) m) t
+""",
+    ["customer_features", "churn_pred", "recs", "profit", "rfm_B", "txns"],
+)
+MASTER_COLS = (
+    "customer_id, signup_date, country, industry, subscription_type, monthly_fee, total_revenue, customer_tenure_days, "
+    "is_churned, churn_probability, churn_risk_level, retention_action, urgency, recommended_discount_pct, "
+    "specific_recommendation, gross_profit, profit_margin, profitability_tier, total_cost, customer_segment, R_score, "
+    "F_score, M_score, RFM_total, behavioral_segment, signup_cohort, signup_year, signup_quarter, lifetime_months, "
+    "customer_value_tier"
+)
+cte(
+    "mbs",
+    f"""
+SELECT month, revenue, transactions, active_customers,
+       COALESCE((revenue / NULLIF(LAG(revenue) OVER (ORDER BY month), 0) - 1) * 100, 0.0) AS revenue_mom,
+       COALESCE((CAST(active_customers AS DOUBLE) / NULLIF(LAG(active_customers) OVER (ORDER BY month), 0) - 1) * 100, 0.0)
+           AS customer_mom,
+       COALESCE(a.new_customers, 0) AS new_customers,
+       COALESCE(ch.churned_customers, 0) AS churned_customers, COALESCE(ch.churn_rate, 0.0) AS churn_rate,
+       COALESCE(ch.avg_churn_prob, 0.0) AS avg_churn_prob,
+       COALESCE(revenue * mg.am, 0.0) AS estimated_profit, COALESCE(mg.am * 100, 0.0) AS profit_margin_pct,
+       hr.total_high_risk_customers, COALESCE(hr.revenue_at_risk, 0.0) AS revenue_at_risk,
+       CAST(SUM(CAST(revenue AS DECIMAL(38,4))) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS DOUBLE) AS cumulative_revenue,
+       CAST(SUM(COALESCE(a.new_customers, 0)) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS cumulative_customers
+FROM (SELECT strftime(transaction_date, '%Y-%m') AS month, {ms('amount')} AS revenue,
+             COUNT(transaction_id) AS transactions, COUNT(DISTINCT customer_id) AS active_customers
+      FROM completed GROUP BY 1) mo
+LEFT JOIN (SELECT strftime(signup_date, '%Y-%m') AS m2, COUNT(*) AS new_customers FROM customers GROUP BY 1) a
+  ON a.m2 = mo.month
+LEFT JOIN (SELECT signup_cohort AS m3, CAST(SUM(is_churned) AS BIGINT) AS churned_customers,
+                  round_even(CAST(SUM(is_churned) AS DOUBLE) / NULLIF(COUNT(is_churned), 0) * 100, 2) AS churn_rate,
+                  {fs('churn_probability')} / NULLIF(COUNT(churn_probability), 0) AS avg_churn_prob
+           FROM master GROUP BY 1) ch ON ch.m3 = mo.month
+CROSS JOIN (SELECT {fs('profit_margin')} / NULLIF(COUNT(profit_margin), 0) / 100 AS am FROM profit) mg
+CROSS JOIN (SELECT COUNT(*) AS total_high_risk_customers, {ms('total_revenue')} AS revenue_at_risk
+            FROM master WHERE churn_risk_level = 'High') hr
+""",
+    ["completed", "customers", "master", "profit"],
+)
+register("master_customers", f"SELECT {MASTER_COLS} FROM master", "master")
+register("monthly_business_summary", "SELECT * FROM mbs", "mbs")
+register(
+    "fact_customer_metrics",
+    "SELECT customer_id, signup_date, total_revenue, gross_profit, churn_probability, customer_tenure_days, "
+    "lifetime_months, CAST(strftime(signup_date, '%Y%m%d') AS INTEGER) AS date_key FROM master",
+    "master",
+)
+register(
+    "dim_customer_attributes",
+    "SELECT customer_id, country, industry, subscription_type, customer_segment, behavioral_segment, "
+    "profitability_tier, churn_risk_level, customer_value_tier, signup_cohort FROM master",
+    "master",
+)
+register(
+    "dim_retention_actions",
+    "SELECT customer_id, retention_action, urgency, recommended_discount_pct AS recommended_discount, "
+    "specific_recommendation AS specific_action FROM master",
+    "master",
+)
+register("fact_monthly_summary", "SELECT * FROM mbs", "mbs")
+register(
+    "fact_revenue_forecast",
+    "SELECT *, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, 'Ensemble' AS forecast_type FROM combined",
+    "combined",
+)
+register(
+    "dim_date",
+    """
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year, month(d) AS month,
+       strftime(d, '%B') AS month_name, quarter(d) AS quarter, strftime(d, '%Y-%m') AS year_month,
+       CAST(d > mx AS INTEGER) AS is_forecast_period
+FROM (SELECT CAST(unnest(generate_series(lo, CAST(mx + INTERVAL 12 MONTH AS DATE), INTERVAL 1 DAY)) AS DATE) AS d, mx
+      FROM (SELECT (SELECT MIN(signup_date) FROM customers) AS lo, (SELECT MAX(transaction_date) FROM txns) AS mx) b) t
+""",
+    "customers",
+    "txns",
+)
+register(
+    "dim_date_v2",
+    """
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year, month(d) AS month,
+       strftime(d, '%B') AS month_name, quarter(d) AS quarter, isodow(d) - 1 AS day_of_week,
+       strftime(d, '%A') AS day_name, CAST(isodow(d) - 1 >= 5 AS INTEGER) AS is_weekend,
+       year(d) AS fiscal_year, quarter(d) AS fiscal_quarter
+FROM (SELECT CAST(unnest(generate_series(lo, CAST(mx + INTERVAL 12 MONTH AS DATE), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM (SELECT MIN(transaction_date) AS lo, MAX(transaction_date) AS mx FROM txns) b) t
+""",
+    "txns",
+)
+_KPI_CAT = """CASE WHEN lower(kpi_name) LIKE '%revenue%' OR lower(kpi_name) LIKE '%profit%' THEN 'Financial'
+     WHEN lower(kpi_name) LIKE '%customer%' OR lower(kpi_name) LIKE '%churn%' THEN 'Customer'
+     WHEN lower(kpi_name) LIKE '%forecast%' THEN 'Forecast' ELSE 'Other' END"""
+register(
+    "kpi_summary",
+    f"""
+SELECT kpi_name, kpi_value, kpi_text, {_KPI_CAT} AS kpi_category FROM (
+  SELECT kpi_name, kpi_value, CAST(NULL AS VARCHAR) AS kpi_text FROM (
+    SELECT a.*, CAST(churned_customers AS DOUBLE) / NULLIF(total_customers, 0) * 100 AS churn_rate,
+           mo.monthly_avg_revenue, fc.forecasted_revenue_12m, fc.avg_monthly_forecast
+    FROM (SELECT {ms('total_revenue')} AS total_revenue,
+                 {ms('total_revenue')} / NULLIF(COUNT(total_revenue), 0) AS avg_revenue_per_customer,
+                 COUNT(*) AS total_customers, COUNT(*) FILTER (WHERE is_churned = 0) AS active_customers,
+                 COUNT(*) FILTER (WHERE is_churned = 1) AS churned_customers,
+                 {fs('gross_profit')} AS total_profit,
+                 {fs('profit_margin')} / NULLIF(COUNT(profit_margin), 0) AS avg_profit_margin,
+                 COUNT(*) FILTER (WHERE gross_profit > 0) AS profitable_customers,
+                 COUNT(*) FILTER (WHERE churn_risk_level = 'High') AS high_risk_customers,
+                 COALESCE({ms("CASE WHEN churn_risk_level = 'High' THEN total_revenue END")}, 0.0) AS revenue_at_risk,
+                 {fs('lifetime_months')} / NULLIF(COUNT(lifetime_months), 0) AS avg_customer_lifetime_months,
+                 {ms('total_revenue')} / NULLIF(COUNT(total_revenue), 0) AS avg_customer_ltv,
+                 COUNT(DISTINCT customer_segment) AS num_segments
+          FROM master) a
+    CROSS JOIN (SELECT {ms('revenue')} / NULLIF(COUNT(revenue), 0) AS monthly_avg_revenue FROM mbs) mo
+    CROSS JOIN (SELECT {ms('forecast_ensemble')} AS forecasted_revenue_12m,
+                       {ms('forecast_ensemble')} / NULLIF(COUNT(forecast_ensemble), 0) AS avg_monthly_forecast
+                FROM combined) fc) w
+  UNPIVOT INCLUDE NULLS (kpi_value FOR kpi_name IN (
+    total_revenue, avg_revenue_per_customer, monthly_avg_revenue, total_customers, active_customers,
+    churned_customers, churn_rate, total_profit, avg_profit_margin, profitable_customers, high_risk_customers,
+    revenue_at_risk, avg_customer_lifetime_months, avg_customer_ltv, forecasted_revenue_12m, avg_monthly_forecast,
+    num_segments))
+  UNION ALL
+  SELECT 'top_segment', CAST(NULL AS DOUBLE), arg_min(customer_segment, (-c, customer_segment))
+  FROM (SELECT customer_segment, COUNT(*) AS c FROM master GROUP BY 1)) k
+""",
+    "master",
+    "mbs",
+    "combined",
+)
+register(
+    "segment_summary",
+    f"""
+SELECT customer_segment AS segment, COUNT(customer_id) AS customers, {ms('total_revenue')} AS revenue,
+       {fs('gross_profit')} AS profit, {fs('churn_probability')} / NULLIF(COUNT(churn_probability), 0) AS avg_churn_prob
+FROM master GROUP BY 1
+""",
+    "master",
+)
+register(
+    "executive_kpis",
+    f"""
+SELECT metric, CAST(value AS DOUBLE) AS value FROM (
+  SELECT * FROM (
+    SELECT c.*, t.total_transactions, d.total_revenue, d.avg_transaction_value, d.successful_transactions,
+           CAST(d.successful_transactions AS DOUBLE) / NULLIF(t.total_transactions, 0) * 100 AS transaction_success_rate,
+           pc.avg_revenue_per_customer, pm.avg_monthly_revenue, p.total_profit, p.avg_profit_margin,
+           p.profitable_customers_pct
+    FROM (SELECT CAST(COUNT(*) AS DOUBLE) AS total_customers,
+                 CAST(COUNT(*) FILTER (WHERE is_churned = 0) AS DOUBLE) AS active_customers,
+                 CAST(COUNT(*) FILTER (WHERE is_churned = 1) AS DOUBLE) AS churned_customers,
+                 AVG(is_churned) * 100 AS churn_rate, AVG(customer_tenure_days) AS avg_customer_tenure_days,
+                 {fs('customer_ltv')} / NULLIF(COUNT(customer_ltv), 0) AS avg_customer_ltv
+          FROM customer_features) c
+    CROSS JOIN (SELECT CAST(COUNT(*) AS DOUBLE) AS total_transactions FROM txns) t
+    CROSS JOIN (SELECT {ms('amount')} AS total_revenue, {ms('amount')} / NULLIF(COUNT(amount), 0) AS avg_transaction_value,
+                       CAST(COUNT(*) AS DOUBLE) AS successful_transactions FROM completed) d
+    CROSS JOIN (SELECT {fs('r')} / NULLIF(COUNT(r), 0) AS avg_revenue_per_customer
+                FROM (SELECT {ms('amount')} AS r FROM completed GROUP BY customer_id)) pc
+    CROSS JOIN (SELECT {fs('r')} / NULLIF(COUNT(r), 0) AS avg_monthly_revenue
+                FROM (SELECT {ms('amount')} AS r FROM completed GROUP BY strftime(transaction_date, '%Y-%m'))) pm
+    CROSS JOIN (SELECT {fs('gross_profit')} AS total_profit,
+                       {fs('profit_margin')} / NULLIF(COUNT(profit_margin), 0) AS avg_profit_margin,
+                       AVG(CAST(profit_margin > 0 AS INTEGER)) * 100 AS profitable_customers_pct FROM profit) p) w
+  UNPIVOT (value FOR metric IN (total_customers, active_customers, churned_customers, churn_rate, total_revenue,
+     avg_revenue_per_customer, avg_transaction_value, total_transactions, successful_transactions,
+     transaction_success_rate, avg_monthly_revenue, avg_customer_tenure_days, avg_customer_ltv, total_profit,
+     avg_profit_margin, profitable_customers_pct))
+  UNION ALL
+  SELECT 'customers_' || lower(subscription_type), CAST(COUNT(*) AS DOUBLE) FROM customer_features GROUP BY subscription_type
+  UNION ALL
+  SELECT 'high_risk_customers', CAST(COUNT(*) AS DOUBLE) FROM churn_pred WHERE churn_risk_level = 'High'
+  HAVING COUNT(*) > 0
+  UNION ALL
+  SELECT 'revenue_at_risk', {ms('total_revenue')} FROM churn_pred WHERE churn_risk_level = 'High' HAVING COUNT(*) > 0
+) u
+""",
+    "customer_features",
+    "txns",
+    "completed",
+    "profit",
+    "churn_pred",
+)
+register(
+    "fact_transactions",
+    "SELECT transaction_id, customer_id, CAST(strftime(transaction_date, '%Y%m%d') AS INTEGER) AS date_key, amount, "
+    "payment_method, transaction_status, CAST(transaction_status = 'Completed' AS INTEGER) AS is_successful FROM txns",
+    "txns",
+)
+register(
+    "dim_customers",
+    "SELECT customer_id, signup_date, country, industry, subscription_type, monthly_fee, "
+    "CAST(strftime(signup_date, '%Y%m%d') AS INTEGER) AS signup_date_key FROM customers",
+    "customers",
+)
+register(
+    "monthly_summary",
+    f"SELECT strftime(transaction_date, '%Y-%m') AS month, {ms('amount')} AS revenue, COUNT(transaction_id) AS transactions, "
+    "COUNT(DISTINCT customer_id) AS unique_customers FROM completed GROUP BY 1",
+    "completed",
+)
+register(
+    "customer_metrics",
+    """
+SELECT f.customer_id, f.total_revenue, f.total_transactions, f.customer_tenure_days, f.is_churned, f.customer_ltv,
+       c.churn_probability, c.churn_risk_level, a.R_score, a.F_score, a.M_score, a.segment
+FROM customer_features f LEFT JOIN churn_pred c ON c.customer_id = f.customer_id
+LEFT JOIN rfm_A a ON a.customer_id = f.customer_id
+""",
+    "customer_features",
+    "churn_pred",
+    "rfm_A",
+)
+register(
+    "margin_by_subscription",
+    f"SELECT subscription_type, {fs('profit_margin')} / NULLIF(COUNT(profit_margin), 0) AS avg_margin FROM profit GROUP BY 1",
+    "profit",
+)
+register(
+    "top_segments",
+    "SELECT segment, customers, CAST(customers AS DOUBLE) / NULLIF(n, 0) * 100 AS pct FROM "
+    "(SELECT segment, COUNT(*) AS customers FROM rfm_A GROUP BY 1) s CROSS JOIN (SELECT COUNT(*) AS n FROM rfm_A) t "
+    "ORDER BY customers DESC, segment LIMIT 5",
+    "rfm_A",
+)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import cohort, features, lifecycle, profit, retention, rfm, series
+from tidemark.operators import cohort, features, lifecycle, profit, retention, rfm, series, unified
 from tidemark.plans.context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -359,6 +359,96 @@ def _q_forecast_totals(t: Tables) -> DataFrame:
     return series.forecast_totals(t.combined_forecast)
 
 
+@query("master_customers")
+def _q_master_customers(t: Tables) -> DataFrame:
+    return t.master
+
+
+@query("monthly_business_summary")
+def _q_monthly_business_summary(t: Tables) -> DataFrame:
+    return t.business_summary
+
+
+@query("fact_customer_metrics")
+def _q_fact_customer_metrics(t: Tables) -> DataFrame:
+    return unified.fact_customer_metrics(t.master)
+
+
+@query("dim_customer_attributes")
+def _q_dim_customer_attributes(t: Tables) -> DataFrame:
+    return unified.dim_customer_attributes(t.master)
+
+
+@query("dim_retention_actions")
+def _q_dim_retention_actions(t: Tables) -> DataFrame:
+    return unified.dim_retention_actions(t.master)
+
+
+@query("fact_monthly_summary")
+def _q_fact_monthly_summary(t: Tables) -> DataFrame:
+    return t.business_summary
+
+
+@query("fact_revenue_forecast")
+def _q_fact_revenue_forecast(t: Tables) -> DataFrame:
+    return unified.fact_revenue_forecast(t.combined_forecast)
+
+
+@query("dim_date")
+def _q_dim_date(t: Tables) -> DataFrame:
+    return unified.dim_date(t.customers, t.transactions)
+
+
+@query("dim_date_v2")
+def _q_dim_date_v2(t: Tables) -> DataFrame:
+    return unified.dim_date_v2(t.transactions)
+
+
+@query("kpi_summary")
+def _q_kpi_summary(t: Tables) -> DataFrame:
+    return unified.kpi_summary(t.master, t.business_summary, t.combined_forecast)
+
+
+@query("segment_summary")
+def _q_segment_summary(t: Tables) -> DataFrame:
+    return unified.segment_summary(t.master)
+
+
+@query("executive_kpis")
+def _q_executive_kpis(t: Tables) -> DataFrame:
+    return unified.executive_kpis(t.customer_features, t.transactions, t.profit, retention.churn_risk_summary(t.churn_predictions))
+
+
+@query("fact_transactions")
+def _q_fact_transactions(t: Tables) -> DataFrame:
+    return unified.fact_transactions(t.transactions)
+
+
+@query("dim_customers")
+def _q_dim_customers(t: Tables) -> DataFrame:
+    return unified.dim_customers(t.customers)
+
+
+@query("monthly_summary")
+def _q_monthly_summary(t: Tables) -> DataFrame:
+    return unified.monthly_summary(t.transactions)
+
+
+@query("customer_metrics")
+def _q_customer_metrics(t: Tables) -> DataFrame:
+    return unified.customer_metrics(t.customer_features, t.churn_predictions, t.rfm_a)
+
+
+@query("margin_by_subscription")
+def _q_margin_by_subscription(t: Tables) -> DataFrame:
+    return unified.margin_by_subscription(t.profit)
+
+
+@query("top_segments")
+def _q_top_segments(t: Tables) -> DataFrame:
+    return unified.top_segments(t.rfm_a)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer features (D2); joined with the RFM segment once RFM lands."""
     return tables_for(spark, sf_dir).customer_features
