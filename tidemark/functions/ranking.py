@@ -165,3 +165,41 @@ def cut_right(x: Column, edges: Sequence[float], labels: Sequence[str], include_
         cond = ((x >= lo) if (i == 0 and include_lowest) else (x > lo)) & (x <= hi)
         out = F.when(cond, F.lit(lab)) if out is None else out.when(cond, F.lit(lab))
     return out
+
+
+def global_cumsum(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    values: Sequence[str],
+    suffix: str = "_cum",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Inclusive running sums of ``values`` over the whole frame in ``order`` (a total order).
+
+    Same scheme as ``global_rank``: range partitions numbered and
+    checkpointed, running sums inside each partition (a window over one
+    balanced range partition), plus the exclusive prefix of the per-partition
+    totals (P rows, broadcast).  Replaces ``sum().over(Window.orderBy(...))``
+    on tables that are not bounded.
+    """
+    cols = _sort_cols(order)
+    p = _range_partitions(df, partitions)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (
+        df.repartitionByRange(p, *cols)
+        .sortWithinPartitions(*cols)
+        .withColumn("_gc_mid", F.monotonically_increasing_id())
+        .withColumn("_gc_pid", F.shiftright(F.col("_gc_mid"), _PID_SHIFT))
+        .checkpoint(eager=True)
+    )
+    w = Window.partitionBy("_gc_pid").orderBy("_gc_mid").rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged
+    for v in values:
+        local = local.withColumn(f"_gc_l_{v}", F.sum(v).over(w))
+    tot = ranged.groupBy("_gc_pid").agg(*[F.sum(v).alias(f"_gc_t_{v}") for v in values])
+    wp = Window.orderBy("_gc_pid").rowsBetween(Window.unboundedPreceding, -1)  # P rows
+    offs = tot.select("_gc_pid", *[F.coalesce(F.sum(f"_gc_t_{v}").over(wp), F.lit(0)).alias(f"_gc_o_{v}") for v in values])
+    out = local.join(F.broadcast(offs), "_gc_pid", "left")
+    for v in values:
+        out = out.withColumn(f"{v}{suffix}", F.col(f"_gc_o_{v}") + F.col(f"_gc_l_{v}"))
+    return out.drop("_gc_mid", "_gc_pid", *[f"_gc_l_{v}" for v in values], *[f"_gc_o_{v}" for v in values])

@@ -11,10 +11,11 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir
 
-from tidemark.operators import cohort, features, profit, retention, rfm, series, unified
+from tidemark.operators import churn, cluster, cohort, features, profit, retention, rfm, series, unified
 from tidemark.sources.adapters import load_canonical
 
 
@@ -162,3 +163,22 @@ class Tables:
     @cached_property
     def business_summary(self) -> DataFrame:
         return unified.monthly_business_summary(self.transactions, self.customers, self.master, self.profit)
+
+    @cached_property
+    def det_scored(self) -> DataFrame:
+        """Deterministic score with the churn label, for oracle-checked threshold metrics."""
+        return self.churn_predictions.select(
+            "customer_id", F.col("is_churned").cast("double").alias("label"), "churn_probability"
+        )
+
+    @cached_property
+    def churn_models(self) -> "churn.ChurnModels":
+        return churn.train_churn_models(self.customer_features)
+
+    @cached_property
+    def clusters(self) -> tuple[DataFrame, DataFrame]:
+        return cluster.kmeans_clusters(self.rfm_b)
+
+    @cached_property
+    def cluster_profile(self) -> DataFrame:
+        return cluster.cluster_profile(self.rfm_b, self.clusters[0])

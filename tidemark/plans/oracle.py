@@ -1377,3 +1377,130 @@ register(
     "ORDER BY customers DESC, segment LIMIT 5",
     "rfm_A",
 )
+
+# ---------------------------------------------------------------- metrics on the deterministic score, charts
+cte(
+    "det_scored",
+    "SELECT customer_id, CAST(is_churned AS DOUBLE) AS label, churn_probability FROM churn_pred",
+    ["churn_pred"],
+)
+register(
+    "classification_metrics",
+    """
+SELECT CAST(tp + tn AS DOUBLE) / NULLIF(tp + fp + tn + fn, 0) AS accuracy,
+       COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0) AS precision,
+       COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0.0) AS recall,
+       COALESCE(2 * (CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0)) * (CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0))
+                / NULLIF(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0) + CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0), 0.0) AS f1,
+       a.roc_auc
+FROM (SELECT COUNT(*) FILTER (WHERE churn_probability >= 0.5 AND label = 1) AS tp,
+             COUNT(*) FILTER (WHERE churn_probability >= 0.5 AND label = 0) AS fp,
+             COUNT(*) FILTER (WHERE churn_probability < 0.5 AND label = 0) AS tn,
+             COUNT(*) FILTER (WHERE churn_probability < 0.5 AND label = 1) AS fn FROM det_scored) c
+CROSS JOIN (
+  SELECT (SUM(pos * (below + (k + 1) / 2.0)) - SUM(pos) * (SUM(pos) + 1) / 2.0) / NULLIF(SUM(pos) * SUM(neg), 0) AS roc_auc
+  FROM (SELECT *, SUM(k) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - k AS below
+        FROM (SELECT churn_probability AS s, COUNT(*) FILTER (WHERE label = 1) AS pos,
+                     COUNT(*) FILTER (WHERE label = 0) AS neg, COUNT(*) AS k FROM det_scored GROUP BY 1) g) h) a
+""",
+    "det_scored",
+)
+register(
+    "confusion_matrix",
+    "SELECT CAST(label AS INTEGER) AS actual, CAST(churn_probability >= 0.5 AS INTEGER) AS predicted, COUNT(*) AS count "
+    "FROM det_scored GROUP BY 1, 2",
+    "det_scored",
+)
+register(
+    "roc_curve",
+    """
+SELECT s AS threshold, CAST(fp AS DOUBLE) / NULLIF(nn, 0) AS fpr, CAST(tp AS DOUBLE) / NULLIF(pp, 0) AS tpr
+FROM (SELECT s, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp, SUM(pos) OVER () AS pp, SUM(neg) OVER () AS nn
+      FROM (SELECT churn_probability AS s, COUNT(*) FILTER (WHERE label = 1) AS pos,
+                   COUNT(*) FILTER (WHERE label = 0) AS neg FROM det_scored GROUP BY 1) g
+      WINDOW w AS (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) t
+""",
+    "det_scored",
+)
+register(
+    "histogram_margin",
+    """
+SELECT b.bin, lo + (b.bin - 1) * ((hi - lo) / 30) AS bin_start, lo + b.bin * ((hi - lo) / 30) AS bin_end,
+       COALESCE(c.count, 0) AS count
+FROM (SELECT CAST(unnest(generate_series(1, 30)) AS BIGINT) AS bin) b
+CROSS JOIN (SELECT MIN(profit_margin) AS lo, MAX(profit_margin) AS hi FROM profit) m
+LEFT JOIN (SELECT CASE WHEN hi = lo THEN 1 ELSE LEAST(CAST(FLOOR((profit_margin - lo) / ((hi - lo) / 30)) AS BIGINT) + 1, 30) END
+                  AS bin, COUNT(*) AS count
+           FROM profit CROSS JOIN (SELECT MIN(profit_margin) AS lo, MAX(profit_margin) AS hi FROM profit) mm
+           WHERE profit_margin IS NOT NULL GROUP BY 1) c ON c.bin = b.bin
+""",
+    "profit",
+)
+register(
+    "rf_matrix",
+    """
+SELECT r.R_score, f.F_score, COALESCE(c.customers, 0) AS customers
+FROM (SELECT CAST(unnest(generate_series(1, 5)) AS INTEGER) AS R_score) r
+CROSS JOIN (SELECT CAST(unnest(generate_series(1, 5)) AS INTEGER) AS F_score) f
+LEFT JOIN (SELECT R_score, F_score, COUNT(*) AS customers FROM rfm_B GROUP BY 1, 2) c
+  ON c.R_score = r.R_score AND c.F_score = f.F_score
+""",
+    "rfm_B",
+)
+register(
+    "cohort_heatmap",
+    """
+SELECT r.cohort_index, r.cohort, r.retention FROM cohort_retention_a r
+WHERE r.cohort IN (SELECT cohort FROM (SELECT DISTINCT cohort FROM cohort_retention_a) ORDER BY cohort DESC LIMIT 12)
+  AND r.cohort_index IN (SELECT cohort_index FROM (SELECT DISTINCT cohort_index FROM cohort_retention_a)
+                         ORDER BY cohort_index LIMIT 12)
+""",
+    "cohort_retention_a",
+)
+register(
+    "revenue_by_country_top8",
+    f"SELECT country, {ms('total_revenue')} AS revenue FROM master GROUP BY 1 ORDER BY revenue DESC, country LIMIT 8",
+    "master",
+)
+register(
+    "revenue_by_segment",
+    f"SELECT customer_segment, {ms('total_revenue')} AS revenue FROM master GROUP BY 1",
+    "master",
+)
+register(
+    "revenue_by_subscription",
+    f"SELECT subscription_type, {ms('total_revenue')} AS revenue FROM master GROUP BY 1",
+    "master",
+)
+register(
+    "risk_revenue_by_segment_top6",
+    f"SELECT customer_segment, {ms('total_revenue')} AS revenue FROM master WHERE churn_risk_level = 'High' "
+    "GROUP BY 1 ORDER BY revenue DESC, customer_segment LIMIT 6",
+    "master",
+)
+register(
+    "action_counts_top5",
+    "SELECT specific_recommendation, COUNT(*) AS customers FROM recs GROUP BY 1 "
+    "ORDER BY customers DESC, specific_recommendation LIMIT 5",
+    "recs",
+)
+register(
+    "profit_by_tier",
+    f"""
+SELECT s.tier, s.tier_order, p.total_profit
+FROM (VALUES ('Loss-Making', 0), ('Low Profit', 1), ('Medium Profit', 2), ('High Profit', 3)) s(tier, tier_order)
+LEFT JOIN (SELECT profitability_tier AS tier, {fs('gross_profit')} AS total_profit FROM profit GROUP BY 1) p
+  ON p.tier = s.tier
+""",
+    "profit",
+)
+register(
+    "risk_level_counts",
+    """
+SELECT s.risk_level, s.risk_order, COALESCE(c.customers, 0) AS customers
+FROM (VALUES ('Low', 0), ('Medium', 1), ('High', 2)) s(risk_level, risk_order)
+LEFT JOIN (SELECT churn_risk_level AS risk_level, COUNT(*) AS customers FROM churn_pred GROUP BY 1) c
+  ON c.risk_level = s.risk_level
+""",
+    "churn_pred",
+)

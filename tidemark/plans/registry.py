@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import cohort, features, lifecycle, profit, retention, rfm, series, unified
+from tidemark.operators import charts, churn, cluster, cohort, features, lifecycle, profit, retention, rfm, series, unified
 from tidemark.plans.context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -449,6 +449,106 @@ def _q_top_segments(t: Tables) -> DataFrame:
     return unified.top_segments(t.rfm_a)
 
 
+@query("classification_metrics")
+def _q_classification_metrics(t: Tables) -> DataFrame:
+    return churn.classification_metrics(t.det_scored)
+
+
+@query("confusion_matrix")
+def _q_confusion_matrix(t: Tables) -> DataFrame:
+    return churn.confusion_matrix(t.det_scored)
+
+
+@query("roc_curve")
+def _q_roc_curve(t: Tables) -> DataFrame:
+    return churn.roc_curve(t.det_scored)
+
+
+@query("histogram_margin")
+def _q_histogram_margin(t: Tables) -> DataFrame:
+    return charts.histogram(t.profit, 'profit_margin', 30)
+
+
+@query("rf_matrix")
+def _q_rf_matrix(t: Tables) -> DataFrame:
+    return charts.rf_matrix(t.rfm_b)
+
+
+@query("cohort_heatmap")
+def _q_cohort_heatmap(t: Tables) -> DataFrame:
+    return charts.cohort_heatmap(t.retention_a)
+
+
+@query("revenue_by_country_top8")
+def _q_revenue_by_country_top8(t: Tables) -> DataFrame:
+    return charts.revenue_by(t.master, 'country', 'total_revenue', 8)
+
+
+@query("revenue_by_segment")
+def _q_revenue_by_segment(t: Tables) -> DataFrame:
+    return charts.revenue_by(t.master, 'customer_segment', 'total_revenue')
+
+
+@query("revenue_by_subscription")
+def _q_revenue_by_subscription(t: Tables) -> DataFrame:
+    return charts.revenue_by(t.master, 'subscription_type', 'total_revenue')
+
+
+@query("risk_revenue_by_segment_top6")
+def _q_risk_revenue_by_segment_top6(t: Tables) -> DataFrame:
+    return charts.revenue_by(t.master.where("churn_risk_level = 'High'"), 'customer_segment', 'total_revenue', 6)
+
+
+@query("action_counts_top5")
+def _q_action_counts_top5(t: Tables) -> DataFrame:
+    return charts.action_counts(t.recommendations)
+
+
+@query("profit_by_tier")
+def _q_profit_by_tier(t: Tables) -> DataFrame:
+    return charts.profit_by_tier(t.profit)
+
+
+@query("risk_level_counts")
+def _q_risk_level_counts(t: Tables) -> DataFrame:
+    return charts.risk_level_counts(t.churn_predictions)
+
+
+@query("churn_model_comparison")
+def _q_churn_model_comparison(t: Tables) -> DataFrame:
+    return churn.model_comparison(t.churn_models)
+
+
+@query("churn_feature_importance")
+def _q_churn_feature_importance(t: Tables) -> DataFrame:
+    return churn.feature_importance(t.churn_models)
+
+
+@query("churn_scores_ml")
+def _q_churn_scores_ml(t: Tables) -> DataFrame:
+    return retention.churn_predictions(t.customer_features, churn.score_customers(t.churn_models.rf, t.customer_features))
+
+
+@query("behavioral_clusters")
+def _q_behavioral_clusters(t: Tables) -> DataFrame:
+    return cluster.behavioural_segments(t.clusters[0], t.cluster_profile)
+
+
+@query("cluster_profile")
+def _q_cluster_profile(t: Tables) -> DataFrame:
+    return t.cluster_profile
+
+
+@query("silhouette_scores")
+def _q_silhouette_scores(t: Tables) -> DataFrame:
+    return t.clusters[1]
+
+
+@query("segmentation_dashboard")
+def _q_segmentation_dashboard(t: Tables) -> DataFrame:
+    return rfm.segmentation_dashboard(t.rfm_b, cluster.behavioural_segments(t.clusters[0], t.cluster_profile))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer features (D2); joined with the RFM segment once RFM lands."""
     return tables_for(spark, sf_dir).customer_features
