@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import stage_parquet
 
 _PID_SHIFT = 33  # monotonically_increasing_id = (partition index << 33) + row index
 
@@ -41,23 +41,22 @@ def global_rank(
     ``order`` must be a total order (end it with a unique id) so the rank is
     deterministic.  Equivalent to ``row_number().over(Window.orderBy(*order))``
     without the single-task window: one range exchange with an explicit
-    partition count, rows numbered inside each partition and checkpointed
-    (runs one job now), a per-partition count (P rows), and a broadcast of
+    partition count, rows numbered inside each partition and written once to
+    the checkpoint folder (runs one job now), a per-partition count (P rows), and a broadcast of
     the P-row offset table.
     """
     cols = _sort_cols(order)
     p = _range_partitions(df, partitions)
-    ensure_checkpoint_dir(df.sparkSession)
-    # The numbered frame is checkpointed to the shared checkpoint folder: the
+    # The numbered frame is written once to the shared checkpoint folder: the
     # positions become stored data (an executor loss cannot renumber them) and
     # the lineage is cut, so chained ranks do not multiply the plan.
-    ranged = (
+    ranged = stage_parquet(
         df.repartitionByRange(p, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("_gr_mid", F.monotonically_increasing_id())
         .withColumn("_gr_pid", F.shiftright(F.col("_gr_mid"), _PID_SHIFT))
-        .withColumn("_gr_pos", F.col("_gr_mid") - F.shiftleft(F.col("_gr_pid"), _PID_SHIFT))
-        .checkpoint(eager=True)
+        .withColumn("_gr_pos", F.col("_gr_mid") - F.shiftleft(F.col("_gr_pid"), _PID_SHIFT)),
+        "rank",
     )
     counts = ranged.groupBy("_gr_pid").agg(F.count(F.lit(1)).alias("_gr_n"))
     # At most P rows: an unpartitioned window over them is bounded.
@@ -177,20 +176,19 @@ def global_cumsum(
     """Inclusive running sums of ``values`` over the whole frame in ``order`` (a total order).
 
     Same scheme as ``global_rank``: range partitions numbered and
-    checkpointed, running sums inside each partition (a window over one
+    staged, running sums inside each partition (a window over one
     balanced range partition), plus the exclusive prefix of the per-partition
     totals (P rows, broadcast).  Replaces ``sum().over(Window.orderBy(...))``
     on tables that are not bounded.
     """
     cols = _sort_cols(order)
     p = _range_partitions(df, partitions)
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (
+    ranged = stage_parquet(
         df.repartitionByRange(p, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("_gc_mid", F.monotonically_increasing_id())
-        .withColumn("_gc_pid", F.shiftright(F.col("_gc_mid"), _PID_SHIFT))
-        .checkpoint(eager=True)
+        .withColumn("_gc_pid", F.shiftright(F.col("_gc_mid"), _PID_SHIFT)),
+        "cumsum",
     )
     w = Window.partitionBy("_gc_pid").orderBy("_gc_mid").rowsBetween(Window.unboundedPreceding, 0)
     local = ranged

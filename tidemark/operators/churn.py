@@ -113,7 +113,7 @@ def train_churn_models(
     n_train = train_x.count()
     ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
 
-    lr = LogisticRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False, maxIter=1000)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False, maxIter=200)
     lr_grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n_train) for c in LR_C_GRID]).build()
     lr_cv = CrossValidator(estimator=lr, estimatorParamMaps=lr_grid, evaluator=ev, foldCol="fold", numFolds=5, parallelism=parallelism, seed=SEED)
     lr_best = lr_cv.fit(train_x).bestModel

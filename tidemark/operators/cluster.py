@@ -34,13 +34,14 @@ def kmeans_clusters(rfm: DataFrame, k: int | None = None, k_range=range(3, 8)) -
     feats = prep.transform(x).select("customer_id", "features").cache()
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     scores = []
+    models = {}
     best_k = k
     if k is None:
         for kk in k_range:
-            pred = KMeans(k=kk, seed=SEED, featuresCol="features").fit(feats).transform(feats)
-            scores.append((kk, float(ev.evaluate(pred))))
+            models[kk] = KMeans(k=kk, seed=SEED, featuresCol="features").fit(feats)
+            scores.append((kk, float(ev.evaluate(models[kk].transform(feats)))))
         best_k = max(scores, key=lambda t: (t[1], -t[0]))[0]
-    model = KMeans(k=best_k, seed=SEED, featuresCol="features").fit(feats)
+    model = models.get(best_k) or KMeans(k=best_k, seed=SEED, featuresCol="features").fit(feats)
     clusters = model.transform(feats).select("customer_id", F.col("prediction").alias("cluster"))
     # bounded: one row per tried k
     sil = rfm.sparkSession.createDataFrame(scores or [(best_k, None)], "k int, silhouette double")

@@ -252,14 +252,18 @@ def forecast_ar(series: DataFrame, keys: Sequence[str] = (), horizon: int = 12,
     )
 
 
-def forecast_seasonal_trend(series: DataFrame, keys: Sequence[str] = (), horizon: int = 12) -> DataFrame:
+def forecast_seasonal_trend(
+    series: DataFrame, keys: Sequence[str] = (), horizon: int = 12, seasonal: DataFrame | None = None
+) -> DataFrame:
     """F8: linear trend on the deseasonalised series x seasonal index, history + horizon.
 
-    The seasonal index per calendar month comes from F3/F4; the band is
+    The seasonal index per calendar month comes from F3/F4 (pass
+    ``seasonal`` to reuse a computed one); the band is
     +-1.96 x the in-sample residual standard deviation.
     """
     keys = list(keys)
-    si = seasonal_indices(decompose(series, keys), keys).select(*keys, "month", "seasonal_index")
+    si = seasonal if seasonal is not None else seasonal_indices(decompose(series, keys), keys)
+    si = si.select(*keys, "month", "seasonal_index")
     df = _with_positions(series, keys).withColumn("month", F.month("date"))
     df = df.join(si, [*keys, "month"], "left").withColumn("_ds", F.col("value") / F.col("seasonal_index"))
     fit = _ols_fit(_grouped(df, keys, _ols(F.col("_ds"), F.col("pos").cast("double"))))

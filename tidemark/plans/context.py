@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import stage_parquet
 
 from tidemark.operators import churn, cluster, cohort, features, profit, retention, rfm, series, unified
 from tidemark.sources.adapters import load_canonical
@@ -38,12 +38,7 @@ class Tables:
         self._run = uuid.uuid4().hex[:12]
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        if not self.materialize:
-            return df
-        root = ensure_checkpoint_dir(self.spark).rstrip("/")
-        path = f"{root}/tidemark-{self._run}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return stage_parquet(df, f"{self._run}-{name}") if self.materialize else df
 
     @cached_property
     def _raw(self) -> tuple[DataFrame, DataFrame]:
@@ -75,11 +70,11 @@ class Tables:
 
     @cached_property
     def rfm_a(self) -> DataFrame:
-        return rfm.rfm_table(self.transactions, self.customer_features, "A")
+        return self._stage(rfm.rfm_table(self.transactions, self.customer_features, "A"), "rfm_a")
 
     @cached_property
     def rfm_b(self) -> DataFrame:
-        return rfm.rfm_table(self.transactions, self.customer_features, "B")
+        return self._stage(rfm.rfm_table(self.transactions, self.customer_features, "B"), "rfm_b")
 
     @cached_property
     def segment_summary_b(self) -> DataFrame:
@@ -91,7 +86,7 @@ class Tables:
 
     @cached_property
     def cohort_counts(self) -> DataFrame:
-        return cohort.cohort_counts(self.cohorted)
+        return self._stage(cohort.cohort_counts(self.cohorted), "cohort_counts")
 
     @cached_property
     def retention_a(self) -> DataFrame:
@@ -111,7 +106,7 @@ class Tables:
 
     @cached_property
     def profit(self) -> DataFrame:
-        return profit.profitability(self.customer_features, self.transactions)
+        return self._stage(profit.profitability(self.customer_features, self.transactions), "profit")
 
     @cached_property
     def churn_scores(self) -> DataFrame:
@@ -128,7 +123,7 @@ class Tables:
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        return retention.recommendations(self.value_scores)
+        return self._stage(retention.recommendations(self.value_scores), "recommendations")
 
     @cached_property
     def monthly_series(self) -> DataFrame:
@@ -136,11 +131,11 @@ class Tables:
 
     @cached_property
     def decomposition(self) -> DataFrame:
-        return series.decompose(self.monthly_series)
+        return self._stage(series.decompose(self.monthly_series), "decomposition")
 
     @cached_property
     def forecast_seasonal(self) -> DataFrame:
-        return series.forecast_seasonal_trend(self.monthly_series)
+        return series.forecast_seasonal_trend(self.monthly_series, seasonal=self.seasonal_indices)
 
     @cached_property
     def forecast_ar(self) -> DataFrame:
@@ -148,21 +143,25 @@ class Tables:
 
     @cached_property
     def forecast_metrics(self) -> DataFrame:
-        return series.holdout_metrics(self.monthly_series)
+        return self._stage(series.holdout_metrics(self.monthly_series), "forecast_metrics")
 
     @cached_property
     def combined_forecast(self) -> DataFrame:
-        return series.combined_forecast(self.forecast_seasonal, self.forecast_ar)
+        return self._stage(series.combined_forecast(self.forecast_seasonal, self.forecast_ar), "combined_forecast")
 
     @cached_property
     def master(self) -> DataFrame:
-        return unified.master_customers(
-            self.customer_features, self.transactions, self.churn_predictions, self.recommendations, self.profit, self.rfm_b
+        return self._stage(
+            unified.master_customers(
+                self.customer_features, self.transactions, self.churn_predictions, self.recommendations, self.profit,
+                self.rfm_b,
+            ),
+            "master",
         )
 
     @cached_property
     def business_summary(self) -> DataFrame:
-        return unified.monthly_business_summary(self.transactions, self.customers, self.master, self.profit)
+        return self._stage(unified.monthly_business_summary(self.transactions, self.customers, self.master, self.profit), "business_summary")
 
     @cached_property
     def det_scored(self) -> DataFrame:
@@ -177,8 +176,13 @@ class Tables:
 
     @cached_property
     def clusters(self) -> tuple[DataFrame, DataFrame]:
-        return cluster.kmeans_clusters(self.rfm_b)
+        c, sil = cluster.kmeans_clusters(self.rfm_b)
+        return self._stage(c, "clusters"), sil
 
     @cached_property
     def cluster_profile(self) -> DataFrame:
         return cluster.cluster_profile(self.rfm_b, self.clusters[0])
+
+    @cached_property
+    def seasonal_indices(self) -> DataFrame:
+        return series.seasonal_indices(self.decomposition)

@@ -316,7 +316,7 @@ def _q_decomposition(t: Tables) -> DataFrame:
 
 @query("seasonal_indices")
 def _q_seasonal_indices(t: Tables) -> DataFrame:
-    return series.seasonal_indices(t.decomposition)
+    return t.seasonal_indices
 
 
 @query("trend_growth")
@@ -550,5 +550,9 @@ def _q_segmentation_dashboard(t: Tables) -> DataFrame:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer features (D2); joined with the RFM segment once RFM lands."""
-    return tables_for(spark, sf_dir).customer_features
+    """Customer features (D2) with RFM scores and segment (D8, D9b); customers without a
+    Completed transaction keep NULL scores."""
+    t = tables_for(spark, sf_dir)
+    seg = t.rfm_b.select("customer_id", "recency", "frequency", "monetary", "R_score", "F_score", "M_score",
+                         "RFM_score", "RFM_total", "rfm_segment")
+    return t.customer_features.join(seg, "customer_id", "left")

@@ -55,3 +55,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def stage_parquet(df, tag: str = "stage"):
+    """Write ``df`` once as parquet under the checkpoint folder and read it back.
+
+    One job computes and writes (``Dataset.checkpoint`` computes the plan twice
+    unless cached); the result has no lineage, and the files sit on the
+    cluster's shared checkpoint storage, so an executor loss cannot change
+    them.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tidemark-{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
