@@ -1504,3 +1504,49 @@ LEFT JOIN (SELECT churn_risk_level AS risk_level, COUNT(*) AS customers FROM chu
 """,
     "churn_pred",
 )
+
+# ---------------------------------------------------------------- other transaction grains (adapters A and C)
+PAYMENT_CASE = """CASE o_orderpriority WHEN '1-URGENT' THEN 'Credit Card' WHEN '2-HIGH' THEN 'Bank Transfer'
+     WHEN '3-MEDIUM' THEN 'PayPal' WHEN '4-NOT SPECIFIED' THEN 'Wire Transfer' WHEN '5-LOW' THEN 'ACH'
+     ELSE 'Other' END"""
+cte(
+    "txn_raw_orders",
+    f"""
+SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS transaction_date,
+       o_totalprice AS amount, {PAYMENT_CASE} AS payment_method,
+       CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Pending' WHEN 'P' THEN 'Failed'
+            ELSE o_orderstatus END AS transaction_status
+FROM orders
+""",
+)
+cte(
+    "txn_raw_events",
+    """
+SELECT event_id AS transaction_id, user_id AS customer_id, CAST(ts AS DATE) AS transaction_date, value AS amount,
+       'Credit Card' AS payment_method,
+       CASE event_type WHEN 'purchase' THEN 'Completed' WHEN 'error' THEN 'Failed' ELSE 'Pending' END
+           AS transaction_status
+FROM events
+""",
+)
+for _g in ("orders", "events"):
+    cte(f"txns_{_g}", CTES["txns"][0].replace("FROM txn_raw)", f"FROM txn_raw_{_g})"), [f"txn_raw_{_g}"])
+    cte(
+        f"customer_features_{_g}",
+        CTES["customer_features"][0].replace("FROM txns", f"FROM txns_{_g}"),
+        ["customers", f"txns_{_g}"],
+    )
+    register(f"customer_features_{_g}", f"SELECT * FROM customer_features_{_g}", f"customer_features_{_g}")
+    register(
+        f"monthly_revenue_{_g}",
+        build(
+            f"""
+SELECT year(transaction_date) AS year, month(transaction_date) AS month,
+       {ms('amount')} AS revenue, COUNT(transaction_id) AS transaction_count,
+       COUNT(DISTINCT customer_id) AS unique_customers,
+       make_date(year(transaction_date), month(transaction_date), 1) AS date
+FROM txns_{_g} WHERE transaction_status = 'Completed' GROUP BY 1, 2
+""",
+            f"txns_{_g}",
+        ),
+    )

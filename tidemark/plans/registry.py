@@ -15,14 +15,14 @@ from tidemark.plans.context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-_RUNS: dict[tuple[str, str], Tables] = {}
+_RUNS: dict[tuple[str, str, str], Tables] = {}
 
 
-def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
-    """One pipeline run per (application, input directory): shared tables are staged once."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def tables_for(spark: SparkSession, sf_dir: str, grain: str = "lineitem") -> Tables:
+    """One pipeline run per (application, input directory, grain): shared tables are staged once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), grain)
     if key not in _RUNS:
-        _RUNS[key] = Tables(spark, sf_dir)
+        _RUNS[key] = Tables(spark, sf_dir, grain)
     return _RUNS[key]
 
 
@@ -549,6 +549,16 @@ def _q_segmentation_dashboard(t: Tables) -> DataFrame:
     return rfm.segmentation_dashboard(t.rfm_b, cluster.behavioural_segments(t.clusters[0], t.cluster_profile))
 
 
+
+def _grain_query(name: str, grain: str, fn):
+    QUERIES[name] = lambda spark, sf_dir: fn(tables_for(spark, sf_dir, grain))
+
+
+for _g in ("orders", "events"):
+    _grain_query(f"customer_features_{_g}", _g, lambda t: t.customer_features)
+    _grain_query(f"monthly_revenue_{_g}", _g, lambda t: features.monthly_revenue(t.transactions))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer features (D2) with RFM scores and segment (D8, D9b); customers without a
     Completed transaction keep NULL scores."""
