@@ -67,3 +67,13 @@ def test_many_series_in_one_job(spark, golden):
     a = {r.date: r.trend for r in d.where("k = 'a'").collect()}
     b = {r.date: r.trend for r in d.where("k = 'b'").collect()}
     assert a == b
+
+
+def test_arma_grid_picks_min_aic(golden):
+    fc, aic = series.forecast_arma_grid(golden)
+    rows = aic.collect()
+    assert {(r.p, r.q) for r in rows} <= set(series.ARMA_ORDERS) and rows
+    best = min(rows, key=lambda r: (r.aic, r.p + r.q, r.p))
+    f = fc.orderBy("step").collect()
+    assert len(f) == 12 and {(r.p, r.q) for r in f} == {(best.p, best.q)}
+    assert all(r.lower <= r.forecast <= r.upper for r in f)

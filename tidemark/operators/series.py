@@ -359,3 +359,117 @@ def forecast_totals(combined: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
             safe_div(money_sum("forecast_ensemble"), F.count("forecast_ensemble")).alias("avg_monthly_forecast"),
         ],
     )
+
+
+# ---------------------------------------------------------------- F7 grid: ARMA(p, q) by AIC
+ARMA_ORDERS = [(p, q) for p in range(4) for q in range(4)]
+
+
+def _arma_fit_forecast(pdf, horizon: int, key_cols: list[str]):
+    """Hannan-Rissanen ARMA(p, q) on one (series, p, q) group; forecasts on the original scale.
+
+    Runs inside a grouped-map task: the group is one monthly series (bounded
+    by the calendar), never a raw-data group.
+    """
+    import numpy as np
+    import pandas as pd
+
+    pdf = pdf.sort_values("date")
+    p, q, d = int(pdf["p"].iloc[0]), int(pdf["q"].iloc[0]), int(pdf["d"].iloc[0])
+    y = pdf["value"].to_numpy(dtype=float)
+    z = np.diff(y) if d == 1 else y.copy()
+    n = len(z)
+    keys = {k: pdf[k].iloc[0] for k in key_cols}
+    out_cols = [*key_cols, "p", "q", "aic", "step", "forecast", "lower", "upper"]
+    m = min(max(p, q) + 4, max(n // 4, 1))
+    if n < max(p, q) + m + 8:
+        return pd.DataFrame(columns=out_cols)
+    # stage 1: long AR(m) residuals
+    e = np.zeros(n)
+    if q > 0:
+        X = np.column_stack([np.ones(n - m)] + [z[m - i : n - i] for i in range(1, m + 1)])
+        b, *_ = np.linalg.lstsq(X, z[m:], rcond=None)
+        e[m:] = z[m:] - X @ b
+    # stage 2: z_t on 1, z lags, residual lags
+    s = max(p, q + (m if q > 0 else 0))
+    cols = [np.ones(n - s)] + [z[s - i : n - i] for i in range(1, p + 1)] + [e[s - j : n - j] for j in range(1, q + 1)]
+    X = np.column_stack(cols)
+    beta, *_ = np.linalg.lstsq(X, z[s:], rcond=None)
+    resid = z[s:] - X @ beta
+    n_eff = len(resid)
+    sigma2 = float(resid @ resid) / n_eff
+    if not np.isfinite(sigma2) or sigma2 <= 0:
+        return pd.DataFrame(columns=out_cols)
+    aic = n_eff * np.log(sigma2) + 2 * (p + q + 1)
+    c, phi, theta = beta[0], beta[1 : 1 + p], beta[1 + p :]
+    zh, eh = list(z), list(e)
+    eh[s:] = list(resid)
+    fz = []
+    for _ in range(horizon):
+        v = c + sum(phi[i] * zh[-1 - i] for i in range(p)) + sum(theta[j] * eh[-1 - j] for j in range(q))
+        zh.append(v)
+        eh.append(0.0)
+        fz.append(v)
+    # psi weights of the ARMA, integrated once when d = 1
+    psi = [1.0]
+    for k in range(1, horizon):
+        v = (theta[k - 1] if k - 1 < q else 0.0) + sum(phi[i] * psi[k - 1 - i] for i in range(min(p, k)))
+        psi.append(v)
+    psi = np.cumsum(psi) if d == 1 else np.array(psi)
+    var = sigma2 * np.cumsum(np.square(psi))
+    fc = y[-1] + np.cumsum(fz) if d == 1 else np.array(fz)
+    half = 1.96 * np.sqrt(var)
+    rows = pd.DataFrame(
+        {
+            "p": p,
+            "q": q,
+            "aic": float(aic),
+            "step": np.arange(1, horizon + 1),
+            "forecast": fc,
+            "lower": fc - half,
+            "upper": fc + half,
+        }
+    )
+    for k, v in keys.items():
+        rows[k] = v
+    return rows[out_cols]
+
+
+def forecast_arma_grid(
+    series: DataFrame, keys: Sequence[str] = (), horizon: int = 12, d: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """F7 grid: ARMA(p, q), p, q in 0..3, per series on the F6 difference order; best by AIC.
+
+    The 16 orders are replicated with ``explode`` (no join); each (series, p, q)
+    group is fitted in an ``applyInPandas`` task; the best order per series is
+    the minimum AIC (ties -> fewer parameters).  Returns (forecast of the best
+    order with dates, AIC table of all orders).
+    """
+    keys = list(keys)
+    dd = d if d is not None else stationarity(series, keys).select(*keys, "d")
+    base = series.join(dd, keys) if keys else series.crossJoin(F.broadcast(dd))
+    orders = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in ARMA_ORDERS])
+    grid = base.withColumn("_o", F.explode(orders)).select(*keys, "date", "value", "d", "_o.p", "_o.q")
+    key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema.fields if f.name in keys)
+    schema = (key_types + ", " if key_types else "") + (
+        "p int, q int, aic double, step int, forecast double, lower double, upper double"
+    )
+    fitted = grid.groupBy(*keys, "p", "q").applyInPandas(
+        lambda pdf: _arma_fit_forecast(pdf, horizon, keys), schema=schema
+    )
+    aic = fitted.select(*keys, "p", "q", "aic").distinct()
+    best = _grouped(aic, keys, [F.min_by(F.struct("p", "q"), F.struct("aic", F.col("p") + F.col("q"), "p")).alias("_b")])
+    best = best.select(*keys, F.col("_b.p").alias("p"), F.col("_b.q").alias("q"))
+    last = _grouped(series, keys, [F.max("date").alias("_T")])
+    fc = fitted.join(best, [*keys, "p", "q"]).join(last, keys) if keys else fitted.join(best, ["p", "q"]).crossJoin(last)
+    fc = fc.select(
+        *keys,
+        F.add_months(F.col("_T"), F.col("step")).alias("date"),
+        "step",
+        "p",
+        "q",
+        F.round("forecast", 2).alias("forecast"),
+        F.round("lower", 2).alias("lower"),
+        F.round("upper", 2).alias("upper"),
+    )
+    return fc, aic

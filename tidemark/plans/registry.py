@@ -550,6 +550,17 @@ def _q_segmentation_dashboard(t: Tables) -> DataFrame:
 
 
 
+
+@query("forecast_arma")
+def _q_forecast_arma(t: Tables) -> DataFrame:
+    return series.forecast_arma_grid(t.monthly_series)[0]
+
+
+@query("arma_order_aic")
+def _q_arma_order_aic(t: Tables) -> DataFrame:
+    return series.forecast_arma_grid(t.monthly_series)[1]
+
+
 def _grain_query(name: str, grain: str, fn):
     QUERIES[name] = lambda spark, sf_dir: fn(tables_for(spark, sf_dir, grain))
 
