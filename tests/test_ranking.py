@@ -107,3 +107,15 @@ def test_cut_right_include_lowest(spark):
     lowest = [r.l for r in df.select(cut_right(F.col("p"), edges, labels, include_lowest=True).alias("l")).collect()]
     assert strict == [None, "Low", "Medium", "Medium", "High"]
     assert lowest == ["Low", "Low", "Medium", "Medium", "High"]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=30), min_size=1, max_size=80))
+def test_bounded_quantiles_equal_sorted_quantiles(spark, values):
+    from tidemark.functions.ranking import exact_quantiles_bounded
+
+    probs = [0.2, 0.4, 0.6, 0.8]
+    df = _frame(spark, values)
+    a = exact_quantiles(df, "v", probs).collect()[0]
+    b = exact_quantiles_bounded(df, "v", probs).collect()[0]
+    assert tuple(a) == tuple(b)

@@ -201,3 +201,37 @@ def global_cumsum(
     for v in values:
         out = out.withColumn(f"{v}{suffix}", F.col(f"_gc_o_{v}") + F.col(f"_gc_l_{v}"))
     return out.drop("_gc_mid", "_gc_pid", *[f"_gc_l_{v}" for v in values], *[f"_gc_o_{v}" for v in values])
+
+
+def exact_quantiles_bounded(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
+    """Exact linear quantiles for a column with few distinct values (days, scores).
+
+    Same result as ``exact_quantiles`` but from a histogram: one partial
+    aggregate per distinct value, then a running count over the distinct
+    values.  Only for columns whose distinct values are bounded by
+    construction (e.g. day counts within the calendar span), because the
+    running count is a window over the histogram.
+    """
+    v = F.col(col).cast("double")
+    hist = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(v.alias("_q_v")).agg(F.count(F.lit(1)).alias("_q_c"))
+    w = Window.orderBy("_q_v").rowsBetween(Window.unboundedPreceding, 0)  # bounded: one row per distinct value
+    hist = hist.withColumn("_q_end", F.sum("_q_c").over(w)).withColumn("_q_start", F.col("_q_end") - F.col("_q_c"))
+    n = hist.agg(F.sum("_q_c").alias("_q_n"))
+    h = hist.crossJoin(F.broadcast(n))
+    aggs = []
+    for i, p in enumerate(probs):
+        hh = (F.col("_q_n") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(hh), F.ceil(hh)
+        at = lambda pos: (F.col("_q_start") <= pos) & (pos < F.col("_q_end"))
+        aggs += [
+            F.max(F.when(at(lo), F.col("_q_v"))).alias(f"_lo{i}"),
+            F.max(F.when(at(hi), F.col("_q_v"))).alias(f"_hi{i}"),
+            F.max(hh - lo).alias(f"_fr{i}"),
+        ]
+    picked = h.agg(*aggs)
+    return picked.select(
+        *[
+            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(f"{prefix}{i}")
+            for i in range(len(probs))
+        ]
+    )

@@ -231,3 +231,14 @@ def model_comparison(models: ChurnModels) -> DataFrame:
         F.min_by("model", F.struct(-F.col("roc_auc"), F.when(F.col("model") == "logistic_regression", 0).otherwise(1))).alias("best_model")
     )
     return out.crossJoin(best)
+
+
+def save_models(models: ChurnModels, path: str) -> None:
+    """Persist both fitted pipelines (Spark ML format, overwrite)."""
+    models.lr.write().overwrite().save(f"{path.rstrip('/')}/logistic_regression")
+    models.rf.write().overwrite().save(f"{path.rstrip('/')}/random_forest")
+
+
+def load_model(path: str, name: str = "random_forest") -> PipelineModel:
+    """Load one persisted pipeline for scoring with ``score_customers``."""
+    return PipelineModel.load(f"{path.rstrip('/')}/{name}")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import money_sum, safe_div, scalar_join
-from tidemark.functions.ranking import exact_quantiles, global_rank, qcut_rank, qcut_value
+from tidemark.functions.ranking import exact_quantiles_bounded, global_rank, qcut_rank, qcut_value
 
 # Rule set A, first match wins; thresholds on (r, f, m) scores.
 RULES_A = [
@@ -109,7 +109,8 @@ def rfm_scores(metrics: DataFrame, q: int = 5) -> DataFrame:
     recency).  F, M: rank-first bins via distributed ``global_rank``.
     """
     probs = [k / q for k in range(1, q)]
-    edges = exact_quantiles(metrics, "recency", probs, prefix="_re")
+    # recency is a day count inside the data's calendar span: bounded distinct values
+    edges = exact_quantiles_bounded(metrics, "recency", probs, prefix="_re")
     n = metrics.agg(F.count(F.lit(1)).alias("_n"))
     df = global_rank(metrics, ["frequency", "customer_id"], out="_rf")
     df = global_rank(df, ["monetary", "customer_id"], out="_rm")

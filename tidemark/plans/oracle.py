@@ -1550,3 +1550,21 @@ FROM txns_{_g} WHERE transaction_status = 'Completed' GROUP BY 1, 2
             f"txns_{_g}",
         ),
     )
+
+# ---------------------------------------------------------------- A18 describe
+DESCRIBE_COLS = ["total_revenue", "total_transactions", "customer_tenure_days", "transaction_frequency"]
+
+
+def _describe_sql(col: str) -> str:
+    q = _quantile_edges("customer_features", col, ["0.25", "0.5", "0.75"], "p")
+    return f"""
+SELECT '{col}' AS "column", stat, value FROM (
+  SELECT CAST(COUNT({col}) AS DOUBLE) AS "count", {fs(col)} / NULLIF(COUNT({col}), 0) AS mean,
+         ROUND(STDDEV_SAMP({col}), 6) AS std, CAST(MIN({col}) AS DOUBLE) AS "min",
+         CAST(MAX({col}) AS DOUBLE) AS "max", q.p0 AS "25%", q.p1 AS "50%", q.p2 AS "75%"
+  FROM customer_features CROSS JOIN ({q}) q GROUP BY q.p0, q.p1, q.p2) a
+UNPIVOT (value FOR stat IN ("count", mean, std, "min", "25%", "50%", "75%", "max"))
+"""
+
+
+register("customer_describe", " UNION ALL ".join(_describe_sql(c) for c in DESCRIBE_COLS), "customer_features")

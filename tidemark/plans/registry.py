@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import charts, churn, cluster, cohort, features, lifecycle, profit, retention, rfm, series, unified
+from tidemark.operators import charts, churn, cluster, cohort, describe, features, lifecycle, profit, retention, rfm, series, unified
 from tidemark.plans.context import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -561,6 +561,14 @@ def _q_arma_order_aic(t: Tables) -> DataFrame:
     return series.forecast_arma_grid(t.monthly_series)[1]
 
 
+
+@query("customer_describe")
+def _q_customer_describe(t: Tables) -> DataFrame:
+    from tidemark.plans.oracle import DESCRIBE_COLS
+
+    return describe.describe_exact(t.customer_features, DESCRIBE_COLS)
+
+
 def _grain_query(name: str, grain: str, fn):
     QUERIES[name] = lambda spark, sf_dir: fn(tables_for(spark, sf_dir, grain))
 
