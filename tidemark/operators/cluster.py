@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -17,7 +19,9 @@ CLUSTER_FEATURES = ["recency", "frequency", "monetary", "RFM_total"]
 SEED = 42
 
 
-def kmeans_clusters(rfm: DataFrame, k: int | None = None, k_range=range(3, 8)) -> tuple[DataFrame, DataFrame]:
+def kmeans_clusters(
+    rfm: DataFrame, k: int | None = None, k_range=range(3, 8), parallelism: int = 5
+) -> tuple[DataFrame, DataFrame]:
     """Standardised (recency, frequency, monetary, RFM_total) -> k-means.
 
     ``k=None`` picks k in ``k_range`` by silhouette (Spark's squared-Euclidean
@@ -37,9 +41,16 @@ def kmeans_clusters(rfm: DataFrame, k: int | None = None, k_range=range(3, 8)) -
     models = {}
     best_k = k
     if k is None:
-        for kk in k_range:
-            models[kk] = KMeans(k=kk, seed=SEED, featuresCol="features").fit(feats)
-            scores.append((kk, float(ev.evaluate(models[kk].transform(feats)))))
+        # Candidate k values are independent Spark jobs: submit them from a few
+        # driver threads (as CrossValidator's ``parallelism`` does).
+        def fit(kk: int):
+            m = KMeans(k=kk, seed=SEED, featuresCol="features").fit(feats)
+            return kk, m, float(ev.evaluate(m.transform(feats)))
+
+        with ThreadPoolExecutor(max_workers=min(parallelism, len(k_range))) as pool:
+            for kk, m, sc in pool.map(fit, list(k_range)):
+                models[kk] = m
+                scores.append((kk, sc))
         best_k = max(scores, key=lambda t: (t[1], -t[0]))[0]
     model = models.get(best_k) or KMeans(k=best_k, seed=SEED, featuresCol="features").fit(feats)
     clusters = model.transform(feats).select("customer_id", F.col("prediction").alias("cluster"))
