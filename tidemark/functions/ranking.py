@@ -21,9 +21,19 @@ _PID_SHIFT = 33  # monotonically_increasing_id = (partition index << 33) + row i
 
 
 def _range_partitions(df: DataFrame, partitions: int | None) -> int:
+    """Range partition count: explicit, else ~one partition per advisory size of the
+    optimizer's size estimate, capped by ``spark.sql.shuffle.partitions``."""
     if partitions:
         return partitions
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    conf = df.sparkSession.conf
+    cap = max(1, int(conf.get("spark.sql.shuffle.partitions")))
+    try:
+        advisory = conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+        target = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  (no JVM access, e.g. Spark Connect): use the configured count
+        return cap
+    return max(1, min(cap, -(-size // max(target, 1))))
 
 
 def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
