@@ -32,9 +32,13 @@ def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     )
 
 
-def clean_customers(customers: DataFrame) -> DataFrame:
-    """Dedup on customer_id, then fill a missing monthly_fee with the median."""
-    first = keep_first(customers.select(*CUSTOMER_COLS), "customer_id", CUSTOMER_COLS)
+def dedup_customers(customers: DataFrame) -> DataFrame:
+    """D1, first half: one row per customer_id (keep-first in column order)."""
+    return keep_first(customers.select(*CUSTOMER_COLS), "customer_id", CUSTOMER_COLS)
+
+
+def impute_monthly_fee(first: DataFrame) -> DataFrame:
+    """D1, second half: a missing monthly_fee becomes the exact median (after dedup, as in the reference)."""
     med = exact_quantiles(first, "monthly_fee", [0.5], prefix="_med")
     return scalar_join(first, med).select(
         *[c for c in CUSTOMER_COLS if c != "monthly_fee"],
@@ -42,6 +46,11 @@ def clean_customers(customers: DataFrame) -> DataFrame:
     ).select(*CUSTOMER_COLS)
 
 
+def clean_customers(customers: DataFrame) -> DataFrame:
+    """Dedup on customer_id, then fill a missing monthly_fee with the median."""
+    return impute_monthly_fee(dedup_customers(customers))
+
+
 def _numeric_amount(df: DataFrame) -> F.Column:
     t = df.schema["amount"].dataType
     if isinstance(t, StringType):

@@ -54,7 +54,8 @@ class Tables:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self._stage(features.clean_customers(self.raw_customers), "customers")
+        first = self._stage(features.dedup_customers(self.raw_customers), "customers_dedup")
+        return self._stage(features.impute_monthly_fee(first), "customers")
 
     @cached_property
     def transactions(self) -> DataFrame:
