@@ -77,3 +77,15 @@ def test_arma_grid_picks_min_aic(golden):
     f = fc.orderBy("step").collect()
     assert len(f) == 12 and {(r.p, r.q) for r in f} == {(best.p, best.q)}
     assert all(r.lower <= r.forecast <= r.upper for r in f)
+
+
+def test_short_series_is_additive_with_half_period(spark):
+    vals = [10.0, 12.0, 9.0, 14.0, 11.0, 13.0, 10.0, 15.0, 12.0, 14.0]
+    df = spark.createDataFrame(list(zip(_dates(len(vals)), vals)), "date date, value double")
+    d = series.decompose(df).orderBy("date").collect()
+    assert {r.model for r in d} == {"additive"} and {r.period for r in d} == {5}
+    # odd period 5: plain 5-point centred mean, 2 NULLs at each end
+    assert [r.trend is None for r in d] == [True, True] + [False] * 6 + [True, True]
+    assert d[2].trend == pytest.approx(sum(vals[0:5]) / 5)
+    for r in d[2:-2]:
+        assert r.observed == pytest.approx(r.trend + r.seasonal + r.residual)

@@ -164,3 +164,12 @@ def segmentation_metrics(rfm_b: DataFrame, cohorted: DataFrame, curve: DataFrame
     one = r.crossJoin(c).crossJoin(m)  # three 1-row frames
     stack = ", ".join(f"'{n}', {n}" for n in names)
     return one.select(F.expr(f"stack({len(names)}, {stack}) AS (metric, value)"))
+
+
+def cohort_sizes(customers: DataFrame) -> DataFrame:
+    """Distinct signups per cohort month (the ``cohort_size`` retention base)."""
+    return (
+        customers.where(F.col("signup_date").isNotNull())
+        .groupBy(month_label(month_start(F.col("signup_date"))).alias("cohort"))
+        .agg(F.countDistinct("customer_id").alias("size"))
+    )

@@ -1568,3 +1568,35 @@ UNPIVOT (value FOR stat IN ("count", mean, std, "min", "25%", "50%", "75%", "max
 
 
 register("customer_describe", " UNION ALL ".join(_describe_sql(c) for c in DESCRIBE_COLS), "customer_features")
+
+# ---------------------------------------------------------------- D12 other bases, A15 pivot
+cte(
+    "cohort_cells_bases",
+    """
+SELECT s.cohort, s.cohort_index, cc.customers, m0.customers AS base_m0, sz.size AS base_size
+FROM (SELECT * FROM (SELECT DISTINCT cohort FROM cohort_counts) a
+      CROSS JOIN (SELECT DISTINCT cohort_index FROM cohort_counts) i) s
+LEFT JOIN cohort_counts cc ON cc.cohort = s.cohort AND cc.cohort_index = s.cohort_index
+LEFT JOIN (SELECT cohort, customers FROM cohort_counts WHERE cohort_index = 0) m0 ON m0.cohort = s.cohort
+LEFT JOIN (SELECT strftime(signup_date, '%Y-%m') AS cohort, COUNT(DISTINCT customer_id) AS size FROM customers
+           WHERE signup_date IS NOT NULL GROUP BY 1) sz ON sz.cohort = s.cohort
+""",
+    ["cohort_counts", "customers"],
+)
+register(
+    "cohort_retention_month0",
+    "SELECT cohort, cohort_index, COALESCE(CAST(customers AS DOUBLE) / NULLIF(CAST(base_m0 AS DOUBLE), 0) * 100, 0.0) "
+    "AS retention FROM cohort_cells_bases",
+    "cohort_cells_bases",
+)
+register(
+    "cohort_retention_size",
+    "SELECT cohort, cohort_index, COALESCE(CAST(customers AS DOUBLE) / NULLIF(CAST(base_size AS DOUBLE), 0) * 100, 0.0) "
+    "AS retention FROM cohort_cells_bases",
+    "cohort_cells_bases",
+)
+register(
+    "cohort_counts_matrix",
+    "SELECT * FROM (PIVOT cohort_counts ON cohort_index USING first(customers) GROUP BY cohort)",
+    "cohort_counts",
+)

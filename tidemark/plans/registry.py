@@ -569,6 +569,22 @@ def _q_customer_describe(t: Tables) -> DataFrame:
     return describe.describe_exact(t.customer_features, DESCRIBE_COLS)
 
 
+
+@query("cohort_retention_month0")
+def _q_cohort_retention_month0(t: Tables) -> DataFrame:
+    return cohort.cohort_retention(t.cohort_counts, base="month0")
+
+
+@query("cohort_retention_size")
+def _q_cohort_retention_size(t: Tables) -> DataFrame:
+    return cohort.cohort_retention(t.cohort_counts, base="cohort_size", cohort_sizes=cohort.cohort_sizes(t.customers))
+
+
+@query("cohort_counts_matrix")
+def _q_cohort_counts_matrix(t: Tables) -> DataFrame:
+    return cohort.to_matrix(t.cohort_counts, "customers")
+
+
 def _grain_query(name: str, grain: str, fn):
     QUERIES[name] = lambda spark, sf_dir: fn(tables_for(spark, sf_dir, grain))
 
