@@ -11,28 +11,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import month_diff, month_label, month_start
-from tidemark.functions.core import favg, money_sum, safe_div, scalar_join, share_pct
+from tidemark.functions.core import favg, money, money_sum, safe_div, scalar_join, share_pct
 
 
 def with_cohort(transactions: DataFrame, customers: DataFrame) -> DataFrame:
-    """Completed transactions with signup cohort (month) and month offset.
+    """Completed activity per (customer, month) with signup cohort and month offset.
 
-    Rows whose customer has no signup month are dropped, as pandas drops
-    NaN group keys.
+    The fact table is first reduced to one row per customer and month
+    (revenue, transaction count) by a partial aggregate, so the join with
+    customers moves customer-months, not transactions, and a customer with a
+    third of all rows is already collapsed map-side.  Rows whose customer has
+    no signup month are dropped, as pandas drops NaN group keys.
     """
+    per_month = (
+        transactions.where(F.col("transaction_status") == "Completed")
+        .groupBy("customer_id", month_start(F.col("transaction_date")).alias("_txn_m"))
+        .agg(F.sum(money(F.col("amount"))).alias("revenue"), F.count("transaction_id").alias("transactions"))
+    )
     coh = customers.select("customer_id", month_start(F.col("signup_date")).alias("_cohort_m"))
     return (
-        transactions.where(F.col("transaction_status") == "Completed")
-        .join(coh, "customer_id", "inner")
+        per_month.join(coh, "customer_id", "inner")
         .where(F.col("_cohort_m").isNotNull())
         .withColumn("cohort", month_label(F.col("_cohort_m")))
-        .withColumn("cohort_index", month_diff(F.col("transaction_date"), F.col("_cohort_m")).cast("int"))
+        .withColumn("cohort_index", month_diff(F.col("_txn_m"), F.col("_cohort_m")).cast("int"))
     )
 
 
 def cohort_counts(cohorted: DataFrame) -> DataFrame:
-    """Distinct active customers per (cohort, month offset)."""
-    return cohorted.groupBy("cohort", "cohort_index").agg(F.countDistinct("customer_id").alias("customers"))
+    """Distinct active customers per (cohort, month offset).
+
+    ``cohorted`` has one row per customer and month, so a plain count is the
+    distinct count.
+    """
+    return cohorted.groupBy("cohort", "cohort_index").agg(F.count(F.lit(1)).alias("customers"))
 
 
 def _spine(counts: DataFrame) -> DataFrame:
@@ -107,10 +118,10 @@ def cohort_revenue(cohorted: DataFrame) -> DataFrame:
     """Revenue, customers, transactions and LTV per signup cohort."""
     per = cohorted.groupBy("cohort").agg(
         F.countDistinct("customer_id").alias("customers"),
-        money_sum("amount").alias("total_revenue"),
-        F.count("transaction_id").alias("transactions"),
+        F.sum("revenue").cast("double").alias("total_revenue"),
+        F.sum("transactions").alias("transactions"),
     )
-    tot = cohorted.agg(money_sum("amount").alias("_tot"))
+    tot = cohorted.agg(F.sum("revenue").cast("double").alias("_tot"))
     w = Window.orderBy("cohort").rowsBetween(Window.unboundedPreceding, 0)  # bounded: one row per month
     return scalar_join(per, tot).select(
         "cohort",
