@@ -13,6 +13,8 @@ rank-first quantiles (ties broken by customer_id) — neither is ``ntile``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,13 +71,20 @@ VARIANTS = {
 }
 
 
+def rule_sql(cond: str, r: str = "R_score", f: str = "F_score", m: str = "M_score") -> str:
+    """Rule text over r / f / m -> SQL over the score columns."""
+    cols = {"r": r, "f": f, "m": m}
+    return re.sub(r"\b([rfm])\b", lambda mt: cols[mt.group(1)], cond)
+
+
+def _quote(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
 def segment_expr(rules, default: str, r: str = "R_score", f: str = "F_score", m: str = "M_score") -> Column:
-    """CASE over score triples; a NULL score falls through to the default."""
-    parts = " ".join(
-        f"WHEN {cond.replace('r ', f'{r} ').replace('f ', f'{f} ').replace('m ', f'{m} ')} THEN '{name.replace(chr(39), chr(39) * 2)}'"
-        for name, cond in rules
-    )
-    return F.expr(f"CASE {parts} ELSE '{default.replace(chr(39), chr(39) * 2)}' END")
+    """CASE over score triples, first match wins; a NULL score falls through to the default."""
+    parts = " ".join(f"WHEN {rule_sql(cond, r, f, m)} THEN {_quote(name)}" for name, cond in rules)
+    return F.expr(f"CASE {parts} ELSE {_quote(default)} END")
 
 
 def rfm_metrics(transactions: DataFrame, plus_days: int = 0) -> DataFrame:

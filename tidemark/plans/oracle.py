@@ -240,12 +240,11 @@ def _sql_str(s: str) -> str:
 
 
 def _rules_case(rules, default: str) -> str:
-    from tidemark.operators.rfm import RULES_A  # noqa: F401  (same fixed values)
+    from tidemark.operators.rfm import rule_sql
 
     parts = []
     for name, cond in rules:
-        c = cond.replace("r ", "R_score ").replace("f ", "F_score ").replace("m ", "M_score ")
-        parts.append(f"WHEN {c} THEN {_sql_str(name)}")
+        parts.append(f"WHEN {rule_sql(cond)} THEN {_sql_str(name)}")
     return "CASE " + " ".join(parts) + f" ELSE {_sql_str(default)} END"
 
 
@@ -529,9 +528,6 @@ FROM customer_features GROUP BY 1
 )
 
 # ---------------------------------------------------------------- profitability
-D = "CAST({} AS DOUBLE)"
-
-
 def dbl(x) -> str:
     return f"CAST({x} AS DOUBLE)"
 
