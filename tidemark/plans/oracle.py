@@ -166,11 +166,11 @@ register("customer_features", "SELECT * FROM customer_features", "customer_featu
 register(
     "transaction_features",
     """
-SELECT *, year(transaction_date) AS year, month(transaction_date) AS month,
-       quarter(transaction_date) AS quarter,
-       isodow(transaction_date) - 1 AS day_of_week,
-       day(transaction_date) AS day_of_month,
-       weekofyear(transaction_date) AS week_of_year,
+SELECT *, CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
+       CAST(quarter(transaction_date) AS INTEGER) AS quarter,
+       CAST(isodow(transaction_date) - 1 AS INTEGER) AS day_of_week,
+       CAST(day(transaction_date) AS INTEGER) AS day_of_month,
+       CAST(weekofyear(transaction_date) AS INTEGER) AS week_of_year,
        CASE WHEN isodow(transaction_date) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend,
        CASE WHEN day(transaction_date) <= 5 THEN 1 ELSE 0 END AS is_month_start,
        CASE WHEN day(transaction_date) >= 25 THEN 1 ELSE 0 END AS is_month_end,
@@ -192,11 +192,11 @@ FROM completed GROUP BY transaction_date
 register(
     "monthly_revenue",
     """
-SELECT year(transaction_date) AS year, month(transaction_date) AS month,
+SELECT CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
        CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
        COUNT(transaction_id) AS transaction_count,
        COUNT(DISTINCT customer_id) AS unique_customers,
-       make_date(year(transaction_date), month(transaction_date), 1) AS date
+       make_date(CAST(year(transaction_date) AS INTEGER), CAST(month(transaction_date) AS INTEGER), 1) AS date
 FROM completed GROUP BY 1, 2
 """,
     "completed",
@@ -1079,8 +1079,8 @@ cte(
 SELECT *, CAST(SUM(CAST(forecast_ensemble AS DECIMAL(38,4))) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING
                                                                      AND CURRENT ROW) AS DOUBLE) AS cumulative_forecast
 FROM (SELECT s.date, s.forecast AS forecast_seasonal, a.forecast AS forecast_ar,
-             (s.forecast + a.forecast) / 2 AS forecast_ensemble, year(s.date) AS year, month(s.date) AS month,
-             strftime(s.date, '%B') AS month_name, quarter(s.date) AS quarter
+             (s.forecast + a.forecast) / 2 AS forecast_ensemble, CAST(year(s.date) AS INTEGER) AS year, CAST(month(s.date) AS INTEGER) AS month,
+             strftime(s.date, '%B') AS month_name, CAST(quarter(s.date) AS INTEGER) AS quarter
       FROM (SELECT * FROM fc_st WHERE is_forecast) s JOIN fc_ar a ON a.date = s.date) j
 """,
     ["fc_st", "fc_ar"],
@@ -1137,8 +1137,8 @@ FROM (
          p.gross_profit, p.profit_margin, COALESCE(p.profitability_tier, 'Unknown') AS profitability_tier, p.total_cost,
          COALESCE(b.rfm_segment, 'Unknown') AS customer_segment, b.R_score, b.F_score, b.M_score, b.RFM_total,
          CAST(NULL AS VARCHAR) AS behavioral_segment,
-         strftime(f.signup_date, '%Y-%m') AS signup_cohort, year(f.signup_date) AS signup_year,
-         quarter(f.signup_date) AS signup_quarter,
+         strftime(f.signup_date, '%Y-%m') AS signup_cohort, CAST(year(f.signup_date) AS INTEGER) AS signup_year,
+         CAST(quarter(f.signup_date) AS INTEGER) AS signup_quarter,
          round_even(CAST(m.ref - f.signup_date AS INTEGER) / 30, 1) AS lifetime_months,
          ROW_NUMBER() OVER (ORDER BY f.total_revenue, f.customer_id) AS vr, COUNT(*) OVER () AS n
   FROM customer_features f
@@ -1217,8 +1217,8 @@ register(
 register(
     "dim_date",
     """
-SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year, month(d) AS month,
-       strftime(d, '%B') AS month_name, quarter(d) AS quarter, strftime(d, '%Y-%m') AS year_month,
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       strftime(d, '%B') AS month_name, CAST(quarter(d) AS INTEGER) AS quarter, strftime(d, '%Y-%m') AS year_month,
        CAST(d > mx AS INTEGER) AS is_forecast_period
 FROM (SELECT CAST(unnest(generate_series(lo, CAST(mx + INTERVAL 12 MONTH AS DATE), INTERVAL 1 DAY)) AS DATE) AS d, mx
       FROM (SELECT (SELECT MIN(signup_date) FROM customers) AS lo, (SELECT MAX(transaction_date) FROM txns) AS mx) b) t
@@ -1229,10 +1229,10 @@ FROM (SELECT CAST(unnest(generate_series(lo, CAST(mx + INTERVAL 12 MONTH AS DATE
 register(
     "dim_date_v2",
     """
-SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year, month(d) AS month,
-       strftime(d, '%B') AS month_name, quarter(d) AS quarter, isodow(d) - 1 AS day_of_week,
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       strftime(d, '%B') AS month_name, CAST(quarter(d) AS INTEGER) AS quarter, CAST(isodow(d) - 1 AS INTEGER) AS day_of_week,
        strftime(d, '%A') AS day_name, CAST(isodow(d) - 1 >= 5 AS INTEGER) AS is_weekend,
-       year(d) AS fiscal_year, quarter(d) AS fiscal_quarter
+       CAST(year(d) AS INTEGER) AS fiscal_year, CAST(quarter(d) AS INTEGER) AS fiscal_quarter
 FROM (SELECT CAST(unnest(generate_series(lo, CAST(mx + INTERVAL 12 MONTH AS DATE), INTERVAL 1 DAY)) AS DATE) AS d
       FROM (SELECT MIN(transaction_date) AS lo, MAX(transaction_date) AS mx FROM txns) b) t
 """,
@@ -1537,10 +1537,10 @@ for _g in ("orders", "events"):
         f"monthly_revenue_{_g}",
         build(
             f"""
-SELECT year(transaction_date) AS year, month(transaction_date) AS month,
+SELECT CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
        {ms('amount')} AS revenue, COUNT(transaction_id) AS transaction_count,
        COUNT(DISTINCT customer_id) AS unique_customers,
-       make_date(year(transaction_date), month(transaction_date), 1) AS date
+       make_date(CAST(year(transaction_date) AS INTEGER), CAST(month(transaction_date) AS INTEGER), 1) AS date
 FROM txns_{_g} WHERE transaction_status = 'Completed' GROUP BY 1, 2
 """,
             f"txns_{_g}",
