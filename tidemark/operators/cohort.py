@@ -133,7 +133,7 @@ def cohort_revenue(cohorted: DataFrame) -> DataFrame:
         share_pct(F.col("total_revenue"), F.col("_tot")).alias("revenue_contribution_pct"),
         F.sum("customers").over(w).alias("cumulative_customers"),
         safe_div(F.col("total_revenue"), F.col("customers")).alias("cohort_ltv"),
-    )
+    ).orderBy("cohort")
 
 
 def cohort_revenue_overall(cohort_rev: DataFrame) -> DataFrame:

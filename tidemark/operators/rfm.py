@@ -163,13 +163,17 @@ def rfm_metric_summary(rfm: DataFrame) -> DataFrame:
 
 def segment_summary(rfm: DataFrame, segment_col: str = "segment") -> DataFrame:
     """D10 (variant A): per-segment count, means and revenue."""
-    return rfm.groupBy(F.col(segment_col).alias("segment")).agg(
-        F.count("customer_id").alias("customer_count"),
-        F.avg("recency").alias("avg_recency"),
-        F.avg("frequency").alias("avg_frequency"),
-        money_sum("monetary").alias("total_revenue"),
-        safe_div(money_sum("monetary"), F.count("monetary")).alias("avg_revenue"),
-        F.avg("RFM_total").alias("avg_rfm_score"),
+    return (
+        rfm.groupBy(F.col(segment_col).alias("segment"))
+        .agg(
+            F.count("customer_id").alias("customer_count"),
+            F.avg("recency").alias("avg_recency"),
+            F.avg("frequency").alias("avg_frequency"),
+            money_sum("monetary").alias("total_revenue"),
+            safe_div(money_sum("monetary"), F.count("monetary")).alias("avg_revenue"),
+            F.avg("RFM_total").alias("avg_rfm_score"),
+        )
+        .orderBy(F.desc("avg_rfm_score"), "segment")
     )
 
 
@@ -194,7 +198,7 @@ def segment_summary_b(rfm: DataFrame) -> DataFrame:
         _text_lookup(F.col("segment"), {k: v[1] for k, v in SEGMENT_TEXT_B.items()}, "N/A").alias("recommended_action"),
         F.bround(safe_div(F.col("customer_count"), F.col("_nc")) * 100, 1).alias("customer_pct"),
         F.bround(safe_div(F.col("total_revenue"), F.col("_rv")) * 100, 1).alias("revenue_pct"),
-    )
+    ).orderBy(F.desc("avg_rfm_score"), "segment")
 
 
 def segment_kpis(summary_b: DataFrame) -> DataFrame:

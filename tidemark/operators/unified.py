@@ -151,7 +151,7 @@ def monthly_business_summary(transactions: DataFrame, customers: DataFrame, mast
         F.sum(F.col("revenue").cast("decimal(38,4)")).over(wc).cast("double").alias("cumulative_revenue"),
         F.sum(F.coalesce(F.col("new_customers"), F.lit(0))).over(wc).alias("cumulative_customers"),
     )
-    return m.na.fill(0).na.fill(0.0)
+    return m.na.fill(0).na.fill(0.0).orderBy("month")
 
 
 def fact_customer_metrics(master: DataFrame) -> DataFrame:
