@@ -30,11 +30,23 @@ class Tables:
     survives executor loss (the files are on shared storage).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "lineitem", materialize: bool = True):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str | None = None,
+        grain: str = "lineitem",
+        materialize: bool = True,
+        raw: tuple[DataFrame, DataFrame] | None = None,
+    ):
+        """Inputs are either the driver tables under ``sf_dir`` (through an adapter
+        ``grain``) or canonical ``raw = (customers, transactions)`` frames."""
+        if sf_dir is None and raw is None:
+            raise ValueError("give sf_dir or raw=(customers, transactions)")
         self.spark = spark
-        self.sf_dir = sf_dir.rstrip("/")
+        self.sf_dir = sf_dir.rstrip("/") if sf_dir else None
         self.grain = grain
         self.materialize = materialize
+        self._given = raw
         self._run = uuid.uuid4().hex[:12]
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
@@ -42,7 +54,7 @@ class Tables:
 
     @cached_property
     def _raw(self) -> tuple[DataFrame, DataFrame]:
-        return load_canonical(self.spark, self.sf_dir, self.grain)
+        return self._given if self._given is not None else load_canonical(self.spark, self.sf_dir, self.grain)
 
     @property
     def raw_customers(self) -> DataFrame:

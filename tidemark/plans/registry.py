@@ -26,9 +26,14 @@ def tables_for(spark: SparkSession, sf_dir: str, grain: str = "lineitem") -> Tab
     return _RUNS[key]
 
 
+# key -> function of a Tables run (lineitem-grain keys; usable with any inputs)
+TABLE_FUNCTIONS: dict[str, Callable[[Tables], DataFrame]] = {}
+
+
 def query(name: str):
     def deco(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         QUERIES[name] = lambda spark, sf_dir, _fn=fn: _fn(tables_for(spark, sf_dir))
+        TABLE_FUNCTIONS[name] = fn
         return fn
 
     return deco
