@@ -36,3 +36,13 @@ def test_csv_inputs_through_runner(spark):
     feats = {r.customer_id: r for r in spark.read.parquet(os.path.join(out, "customer_features")).collect()}
     assert feats[2].monthly_fee == 175.0  # median of 50 and 300
     assert feats[2].total_revenue == 180.5
+
+
+def test_cleanup_removes_staged_tables(spark):
+    from tidemark.session import _STAGED, cleanup_staged, stage_parquet
+
+    df = stage_parquet(spark.range(5), "cleanup-test")
+    assert df.count() == 5
+    paths = [p for p in _STAGED[spark.sparkContext.applicationId] if "tidemark-cleanup-test" in p]
+    assert cleanup_staged(spark, "cleanup-test") == len(paths) == 1
+    assert not any(os.path.exists(p.replace("file:", "")) for p in paths)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.plans.context import Tables
 from tidemark.plans.registry import TABLE_FUNCTIONS
 from tidemark.sources.io import read_table, write_table
+from tidemark.session import cleanup_staged
 from tidemark.sources.schema import CUSTOMER_SCHEMA, TRANSACTION_SCHEMA
 
 ML_KEYS = {
@@ -72,6 +73,7 @@ def main(argv: list[str] | None = None) -> None:
         ap.error("give --sf-dir or --customers and --transactions")
     for k, sec in run_all(tables, a.out, a.format, a.keys or None, include_ml=not a.skip_ml).items():
         print(f"{k}\t{sec}")
+    cleanup_staged(spark)  # every result is written: the staged intermediates can go
 
 
 if __name__ == "__main__":

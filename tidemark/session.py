@@ -71,4 +71,26 @@ def stage_parquet(df, tag: str = "stage"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tidemark-{tag}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
+
+
+_STAGED: dict[str, list[str]] = {}
+
+
+def cleanup_staged(spark: SparkSession, tag: str | None = None) -> int:
+    """Delete the tables this application staged (all, or those whose tag contains ``tag``).
+
+    Uses the Hadoop FileSystem API, so it works on any shared storage.  Call
+    when the results that read them have been written; returns the number of
+    folders removed.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    mine = _STAGED.get(spark.sparkContext.applicationId, [])
+    paths = [p for p in mine if tag is None or f"tidemark-{tag}" in p]
+    _STAGED[spark.sparkContext.applicationId] = [p for p in mine if p not in paths]
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)
