@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.plans import registry  # noqa: E402
-from tidemark.session import local_session  # noqa: E402
+from tidemark.session import cleanup_staged, local_session  # noqa: E402
 
 HEADLINE = [
     "customer_features",
@@ -62,6 +62,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "pipeline_total_sec", "value": total, "unit": "sec", "queries": times, "sf": sf}))
+    cleanup_staged(spark)
     spark.stop()
 
 
