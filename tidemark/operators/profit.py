@@ -111,6 +111,11 @@ def profitability(customer_features: DataFrame, transactions: DataFrame) -> Data
     return customer_profit(customer_costs(verified_revenue(customer_features, transactions)))
 
 
+def profit_tiers(profit: DataFrame) -> DataFrame:
+    """Per-customer tier assignment with its rank."""
+    return profit.select("customer_id", "gross_profit", "profit_margin", "profitability_tier", "tier_rank")
+
+
 def cost_breakdown(profit: DataFrame) -> DataFrame:
     """Total per cost type and its share of all costs."""
     sums = profit.agg(*[fsum(c).alias(c) for c in COST_COLUMNS], fsum("total_cost").alias("_all"))

@@ -1596,3 +1596,8 @@ register(
     "SELECT * FROM (PIVOT cohort_counts ON cohort_index USING first(customers) GROUP BY cohort)",
     "cohort_counts",
 )
+register(
+    "profit_tiers",
+    "SELECT customer_id, gross_profit, profit_margin, profitability_tier, tier_rank FROM profit",
+    "profit",
+)

@@ -590,6 +590,12 @@ def _q_cohort_counts_matrix(t: Tables) -> DataFrame:
     return cohort.to_matrix(t.cohort_counts, "customers")
 
 
+
+@query("profit_tiers")
+def _q_profit_tiers(t: Tables) -> DataFrame:
+    return profit.profit_tiers(t.profit)
+
+
 def _grain_query(name: str, grain: str, fn):
     QUERIES[name] = lambda spark, sf_dir: fn(tables_for(spark, sf_dir, grain))
 
