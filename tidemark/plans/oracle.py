@@ -881,18 +881,25 @@ LEFT JOIN (SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS date, {
 )
 
 
-def _positions_sql(src: str) -> str:
+def _positions_sql(src: str, keys: tuple[str, ...] = ()) -> str:
+    kc = "".join(f"{k}, " for k in keys)
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
     return f"""
 SELECT *, CAST(CASE WHEN n >= 24 THEN 12 ELSE LEAST(12, FLOOR(n / 2)) END AS INTEGER) AS period, n >= 24 AS mult
-FROM (SELECT date, value, CAST(ROW_NUMBER() OVER (ORDER BY date) - 1 AS INTEGER) AS pos, COUNT(*) OVER () AS n
+FROM (SELECT {kc}date, value, CAST(ROW_NUMBER() OVER ({part}ORDER BY date) - 1 AS INTEGER) AS pos,
+             COUNT(*) OVER ({part.strip()}) AS n
       FROM {src}) t
 """
 
 
-def _decompose_sql(src: str, name: str) -> None:
+def _decompose_sql(src: str, name: str, keys: tuple[str, ...] = ()) -> None:
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    kc = "".join(f"{k}, " for k in keys)
+    kjoin = "".join(f" AND t.{k} = c.{k}" for k in keys)
+    kjoin2 = " AND ".join(f"c.{k} = m.{k}" for k in keys)
     terms = []
     for k in range(-6, 7):
-        y = "value" if k == 0 else (f"LAG(value, {-k}) OVER (ORDER BY date)" if k < 0 else f"LEAD(value, {k}) OVER (ORDER BY date)")
+        y = "value" if k == 0 else (f"LAG(value, {-k}) OVER ({part}ORDER BY date)" if k < 0 else f"LEAD(value, {k}) OVER ({part}ORDER BY date)")
         wk = (f"(CASE WHEN {abs(k)} > FLOOR(period / 2) THEN 0.0 WHEN period % 2 = 0 AND {abs(k)} = FLOOR(period / 2) "
               f"THEN 0.5 ELSE 1.0 END)")
         terms.append(f"COALESCE({y}, 0.0) * {wk}")
@@ -904,27 +911,30 @@ SELECT *, CASE WHEN mult THEN value / NULLIF(trend, 0) ELSE value - trend END AS
        pos % GREATEST(period, 1) AS cls
 FROM (SELECT *, CASE WHEN period >= 2 AND pos >= FLOOR(period / 2) AND pos <= n - 1 - FLOOR(period / 2)
                      THEN ({total}) / period END AS trend
-      FROM ({_positions_sql(src)}) p) q
+      FROM ({_positions_sql(src, keys)}) p) q
 """,
         [src],
     )
+    cm_sql = f"SELECT {kc}cls, {omean_sql('det')} AS cm FROM {name}_t GROUP BY {kc}cls"
+    if keys:
+        cmm = f"SELECT {kc}{omean_sql('cm')} AS cmm FROM ({cm_sql}) GROUP BY {', '.join(keys)}"
+        cjoin = f"JOIN ({cmm}) m ON {kjoin2}"
+    else:
+        cjoin = f"CROSS JOIN (SELECT {omean_sql('cm')} AS cmm FROM ({cm_sql})) m"
     cte(
         f"{name}_c",
-        f"""
-SELECT c.cls, c.cm, m.cmm FROM (SELECT cls, {omean_sql('det')} AS cm FROM {name}_t GROUP BY cls) c
-CROSS JOIN (SELECT {omean_sql('cm')} AS cmm FROM (SELECT cls, {omean_sql('det')} AS cm FROM {name}_t GROUP BY cls)) m
-""",
+        f"SELECT {''.join(f'c.{k}, ' for k in keys)}c.cls, c.cm, m.cmm FROM ({cm_sql}) c {cjoin}",
         [f"{name}_t"],
     )
     cte(
         name,
         f"""
-SELECT date, value AS observed, trend, seasonal,
+SELECT {''.join(f'{k}, ' for k in keys)}date, value AS observed, trend, seasonal,
        CASE WHEN mult THEN (value / NULLIF(seasonal, 0)) / NULLIF(trend, 0) ELSE det - seasonal END AS residual,
        period, CASE WHEN mult THEN 'multiplicative' ELSE 'additive' END AS model
 FROM (SELECT t.*, CASE WHEN period >= 2 THEN CASE WHEN mult THEN c.cm / NULLIF(c.cmm, 0) ELSE c.cm - c.cmm END END
                   AS seasonal
-      FROM {name}_t t LEFT JOIN {name}_c c ON t.cls = c.cls) s
+      FROM {name}_t t LEFT JOIN {name}_c c ON t.cls = c.cls{kjoin}) s
 """,
         [f"{name}_t", f"{name}_c"],
     )
@@ -1601,3 +1611,29 @@ register(
     "SELECT customer_id, gross_profit, profit_margin, profitability_tier, tier_rank FROM profit",
     "profit",
 )
+
+cte(
+    "mseries_industry",
+    f"""
+SELECT s.industry, s.date, COALESCE(v.value, 0.0) AS value
+FROM (SELECT industry, CAST(unnest(generate_series(MIN(date), MAX(date), INTERVAL 1 MONTH)) AS DATE) AS date
+      FROM iv GROUP BY industry) s
+LEFT JOIN iv v ON v.industry = s.industry AND v.date = s.date
+""",
+    ["iv"],
+)
+cte(
+    "iv",
+    """
+SELECT c.industry, m.date, CAST(SUM(m.v) AS DOUBLE) AS value
+FROM (SELECT customer_id, CAST(date_trunc('month', transaction_date) AS DATE) AS date,
+             SUM(CAST(amount AS DECIMAL(18,4))) AS v
+      FROM completed GROUP BY 1, 2) m
+JOIN customers c ON c.customer_id = m.customer_id
+GROUP BY 1, 2
+""",
+    ["completed", "customers"],
+)
+_decompose_sql("mseries_industry", "decomp_industry", ("industry",))
+register("monthly_series_by_industry", "SELECT * FROM mseries_industry", "mseries_industry")
+register("decomposition_by_industry", "SELECT * FROM decomp_industry", "decomp_industry")

@@ -596,6 +596,17 @@ def _q_profit_tiers(t: Tables) -> DataFrame:
     return profit.profit_tiers(t.profit)
 
 
+
+@query("monthly_series_by_industry")
+def _q_monthly_series_by_industry(t: Tables) -> DataFrame:
+    return series.monthly_series_by(t.transactions, t.customers, "industry")
+
+
+@query("decomposition_by_industry")
+def _q_decomposition_by_industry(t: Tables) -> DataFrame:
+    return series.decompose(series.monthly_series_by(t.transactions, t.customers, "industry"), ["industry"])
+
+
 def _grain_query(name: str, grain: str, fn):
     QUERIES[name] = lambda spark, sf_dir: fn(tables_for(spark, sf_dir, grain))
 
