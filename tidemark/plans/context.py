@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import stage_parquet
+from tidemark.session import stage_bucketed, stage_parquet
 
 from tidemark.operators import churn, cluster, cohort, features, profit, retention, rfm, series, unified
 from tidemark.sources.adapters import load_canonical
@@ -52,6 +52,21 @@ class Tables:
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         return stage_parquet(df, f"{self._run}-{name}") if self.materialize else df
 
+    @cached_property
+    def buckets(self) -> int:
+        """One bucket count for every customer-level table of the run (so they join
+        without shuffles): ~one bucket per 64 MB of the customer input, capped by
+        ``spark.sql.shuffle.partitions``."""
+        from tidemark.functions.ranking import _range_partitions
+
+        return _range_partitions(self.raw_customers, None)
+
+    def _stage_customers(self, df: DataFrame, name: str) -> DataFrame:
+        """Stage a customer-level table bucketed by customer_id."""
+        if not self.materialize:
+            return df
+        return stage_bucketed(df, f"{self._run}_{name}", "customer_id", self.buckets)
+
     @cached_property
     def _raw(self) -> tuple[DataFrame, DataFrame]:
         return self._given if self._given is not None else load_canonical(self.spark, self.sf_dir, self.grain)
@@ -67,7 +82,7 @@ class Tables:
     @cached_property
     def customers(self) -> DataFrame:
         first = self._stage(features.dedup_customers(self.raw_customers), "customers_dedup")
-        return self._stage(features.impute_monthly_fee(first), "customers")
+        return self._stage_customers(features.impute_monthly_fee(first), "customers")
 
     @cached_property
     def transactions(self) -> DataFrame:
@@ -75,7 +90,7 @@ class Tables:
 
     @cached_property
     def customer_features(self) -> DataFrame:
-        return self._stage(features.customer_features(self.customers, self.transactions), "customer_features")
+        return self._stage_customers(features.customer_features(self.customers, self.transactions), "customer_features")
 
     @cached_property
     def transaction_features(self) -> DataFrame:
@@ -83,11 +98,11 @@ class Tables:
 
     @cached_property
     def rfm_a(self) -> DataFrame:
-        return self._stage(rfm.rfm_table(self.transactions, self.customer_features, "A"), "rfm_a")
+        return self._stage_customers(rfm.rfm_table(self.transactions, self.customer_features, "A"), "rfm_a")
 
     @cached_property
     def rfm_b(self) -> DataFrame:
-        return self._stage(rfm.rfm_table(self.transactions, self.customer_features, "B"), "rfm_b")
+        return self._stage_customers(rfm.rfm_table(self.transactions, self.customer_features, "B"), "rfm_b")
 
     @cached_property
     def segment_summary_b(self) -> DataFrame:
@@ -119,7 +134,7 @@ class Tables:
 
     @cached_property
     def profit(self) -> DataFrame:
-        return self._stage(profit.profitability(self.customer_features, self.transactions), "profit")
+        return self._stage_customers(profit.profitability(self.customer_features, self.transactions), "profit")
 
     @cached_property
     def churn_scores(self) -> DataFrame:
@@ -136,7 +151,7 @@ class Tables:
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        return self._stage(retention.recommendations(self.value_scores), "recommendations")
+        return self._stage_customers(retention.recommendations(self.value_scores), "recommendations")
 
     @cached_property
     def monthly_series(self) -> DataFrame:
@@ -164,7 +179,7 @@ class Tables:
 
     @cached_property
     def master(self) -> DataFrame:
-        return self._stage(
+        return self._stage_customers(
             unified.master_customers(
                 self.customer_features, self.transactions, self.churn_predictions, self.recommendations, self.profit,
                 self.rfm_b,
@@ -190,7 +205,7 @@ class Tables:
     @cached_property
     def clusters(self) -> tuple[DataFrame, DataFrame]:
         c, sil = cluster.kmeans_clusters(self.rfm_b)
-        return self._stage(c, "clusters"), sil
+        return self._stage_customers(c, "clusters"), sil
 
     @cached_property
     def cluster_profile(self) -> DataFrame:

@@ -76,6 +76,34 @@ def stage_parquet(df, tag: str = "stage"):
 
 
 _STAGED: dict[str, list[str]] = {}
+_TABLES: dict[str, list[str]] = {}
+
+
+def stage_bucketed(df, tag: str, key: str, buckets: int):
+    """Stage ``df`` as an external table bucketed and sorted by ``key``.
+
+    Tables staged with the same key and bucket count join and aggregate on
+    that key without a shuffle (bucketed scans), so a chain of left joins on
+    customer_id reuses one partitioning.  Files sit under the checkpoint
+    folder like every staged table.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    name = f"tidemark_{uuid.uuid4().hex[:12]}_{tag}".replace("-", "_")
+    path = f"{root}/{name}"
+    (
+        df.write.option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .mode("overwrite")
+        .saveAsTable(name)
+    )
+    app = spark.sparkContext.applicationId
+    _STAGED.setdefault(app, []).append(path)
+    _TABLES.setdefault(app, []).append(name)
+    return spark.table(name)
 
 
 def cleanup_staged(spark: SparkSession, tag: str | None = None) -> int:
@@ -87,9 +115,13 @@ def cleanup_staged(spark: SparkSession, tag: str | None = None) -> int:
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    mine = _STAGED.get(spark.sparkContext.applicationId, [])
-    paths = [p for p in mine if tag is None or f"tidemark-{tag}" in p]
-    _STAGED[spark.sparkContext.applicationId] = [p for p in mine if p not in paths]
+    app = spark.sparkContext.applicationId
+    mine = _STAGED.get(app, [])
+    paths = [p for p in mine if tag is None or f"tidemark-{tag}" in p or f"_{tag}" in p.rsplit("/", 1)[-1]]
+    _STAGED[app] = [p for p in mine if p not in paths]
+    for t in [t for t in _TABLES.get(app, []) if any(p.endswith("/" + t) for p in paths)]:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+        _TABLES[app].remove(t)
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(conf).delete(hp, True)
