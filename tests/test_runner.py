@@ -46,3 +46,16 @@ def test_cleanup_removes_staged_tables(spark):
     paths = [p for p in _STAGED[spark.sparkContext.applicationId] if "tidemark-cleanup-test" in p]
     assert cleanup_staged(spark, "cleanup-test") == len(paths) == 1
     assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
+
+
+def test_bucketed_staging_falls_back_to_parquet(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from tidemark.session import stage_bucketed
+
+    def boom(self, *a, **k):
+        raise RuntimeError("no catalog")
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", boom)
+    df = stage_bucketed(spark.range(7).withColumnRenamed("id", "customer_id"), "fallback-test", "customer_id", 2)
+    assert sorted(r.customer_id for r in df.collect()) == list(range(7))

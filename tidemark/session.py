@@ -93,13 +93,16 @@ def stage_bucketed(df, tag: str, key: str, buckets: int):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     name = f"tidemark_{uuid.uuid4().hex[:12]}_{tag}".replace("-", "_")
     path = f"{root}/{name}"
-    (
-        df.write.option("path", path)
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .mode("overwrite")
-        .saveAsTable(name)
-    )
+    try:
+        (
+            df.write.option("path", path)
+            .bucketBy(buckets, key)
+            .sortBy(key)
+            .mode("overwrite")
+            .saveAsTable(name)
+        )
+    except Exception:  # noqa: BLE001  no usable catalog (e.g. unwritable warehouse dir): plain staging
+        return stage_parquet(df, tag)
     app = spark.sparkContext.applicationId
     _STAGED.setdefault(app, []).append(path)
     _TABLES.setdefault(app, []).append(name)
