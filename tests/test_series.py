@@ -89,3 +89,26 @@ def test_short_series_is_additive_with_half_period(spark):
     assert d[2].trend == pytest.approx(sum(vals[0:5]) / 5)
     for r in d[2:-2]:
         assert r.observed == pytest.approx(r.trend + r.seasonal + r.residual)
+
+
+def test_month_over_month_and_cumulative_match_published(spark):
+    # published monthly business summary, first four months (revenue, active customers -> MoM %, cumulative)
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.core import pct_change
+
+    rows = [("2020-12", 2857.5899999999997, 3), ("2021-01", 8781.07, 16), ("2021-02", 9951.8, 23), ("2021-03", 19801.25, 48)]
+    df = spark.createDataFrame(rows, "month string, revenue double, active_customers long")
+    w = Window.orderBy("month")
+    out = df.select(
+        "month",
+        pct_change("revenue", w).alias("revenue_mom"),
+        pct_change("active_customers", w).alias("customer_mom"),
+        F.sum(F.col("revenue").cast("decimal(38,4)")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("double").alias("cum"),
+    ).orderBy("month").collect()
+    assert out[0].revenue_mom is None  # the reference fills it with 0 afterwards
+    assert out[1].revenue_mom == 207.28935921528281 and out[1].customer_mom == 433.3333333333333
+    assert out[2].revenue_mom == 13.332429874719143 and out[2].customer_mom == 43.75
+    assert out[3].revenue_mom == 98.9715428364718 and out[3].customer_mom == 108.69565217391303
+    assert [r.cum for r in out] == pytest.approx([2857.59, 11638.66, 21590.46, 41391.71], abs=1e-9)

@@ -8,6 +8,7 @@ from tidemark.functions.core import (  # noqa: F401
     money_avg,
     money_sum,
     nan_to_zero,
+    pct_change,
     ratio,
     safe_div,
     scalar_join,

@@ -90,3 +90,10 @@ def favg(x: Column | str) -> Column:
 def share_pct(part: Column, total: Column) -> Column:
     """part / total * 100, NULL when the total is 0."""
     return safe_div(part, total) * 100
+
+
+def pct_change(x: Column | str, window) -> Column:
+    """``pandas.pct_change() * 100`` = (x / previous x - 1) * 100 over an ordered window;
+    NULL for the first row and when the previous value is 0."""
+    c = _c(x)
+    return (safe_div(c, F.lag(c).over(window)) - 1) * 100

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import month_label
-from tidemark.functions.core import favg, fsum, money_sum, safe_div, scalar_join, share_pct
+from tidemark.functions.core import favg, fsum, money_sum, pct_change, safe_div, scalar_join, share_pct
 from tidemark.functions.ranking import global_rank, qcut_rank
 
 # Customer value tiers (rank quartiles of revenue, low to high).
@@ -116,8 +116,9 @@ def monthly_business_summary(transactions: DataFrame, customers: DataFrame, mast
         F.countDistinct("customer_id").alias("active_customers"),
     )
     w = Window.orderBy("month")  # bounded: one row per month
-    pct = lambda c: (safe_div(F.col(c), F.lag(c).over(w)) - 1) * 100  # noqa: E731  pandas pct_change
-    monthly = monthly.withColumn("revenue_mom", pct("revenue")).withColumn("customer_mom", pct("active_customers"))
+    monthly = monthly.withColumn("revenue_mom", pct_change("revenue", w)).withColumn(
+        "customer_mom", pct_change("active_customers", w)
+    )
     acq = customers.groupBy(month_label(F.col("signup_date")).alias("month")).agg(
         F.count(F.lit(1)).alias("new_customers")
     )
