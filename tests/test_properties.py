@@ -55,3 +55,12 @@ def test_segments_and_stages_are_total(spark):
     assert all(r.rfm_segment for r in rfm)
     stages = q(spark, "lifecycle_stages")
     assert all(r.lifecycle_stage for r in stages) and len(stages) == len(q(spark, "customer_features"))
+
+
+def test_events_grain_customers_without_activity(spark):
+    # T5: a customer with no transaction keeps zeros, recency 0 and is_churned 0
+    rows = q(spark, "customer_features_events")
+    idle = [r for r in rows if r.total_transactions == 0]
+    assert idle and len(idle) < len(rows)
+    assert all(r.days_since_last_transaction == 0 and r.is_churned == 0 and r.total_revenue == 0.0 for r in idle)
+    assert all(r.first_transaction is None for r in idle)
