@@ -119,3 +119,16 @@ def test_bounded_quantiles_equal_sorted_quantiles(spark, values):
     a = exact_quantiles(df, "v", probs).collect()[0]
     b = exact_quantiles_bounded(df, "v", probs).collect()[0]
     assert tuple(a) == tuple(b)
+
+
+def test_descending_rank_and_cumsum_match_windows(spark):
+    df = spark.createDataFrame([(i, float((i * 7) % 11)) for i in range(120)], "id long, v double")
+    order = [F.col("v").desc(), F.col("id").desc()]
+    got = {r.id: r.rank for r in global_rank(df, order, partitions=5).collect()}
+    w = Window.orderBy(*order)
+    want = {r.id: r.rn for r in df.select("id", F.row_number().over(w).alias("rn")).collect()}
+    assert got == want
+    cum = {r.id: r.v_cum for r in global_cumsum(df, order, ["v"], partitions=5).collect()}
+    wc = w.rowsBetween(Window.unboundedPreceding, 0)
+    want_c = {r.id: r.c for r in df.select("id", F.sum("v").over(wc).alias("c")).collect()}
+    assert cum == want_c
