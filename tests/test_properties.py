@@ -64,3 +64,10 @@ def test_events_grain_customers_without_activity(spark):
     assert idle and len(idle) < len(rows)
     assert all(r.days_since_last_transaction == 0 and r.is_churned == 0 and r.total_revenue == 0.0 for r in idle)
     assert all(r.first_transaction is None for r in idle)
+
+
+def test_raw_monthly_aggregate_counts_duplicates(spark):
+    # D6 reads the raw transactions (duplicate ids kept), D5 the cleaned ones
+    raw = sum(r.transaction_count for r in q(spark, "monthly_revenue_agg"))
+    clean = sum(r.transaction_count for r in q(spark, "monthly_revenue"))
+    assert raw >= clean > 0
