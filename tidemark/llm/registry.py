@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, pii, quality
+from tidemark.llm import decontaminate, pii, quality, simhash, substrings
 from tidemark.llm.common import read
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.simhash_components(read(spark, sf_dir, "documents")))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect_pii(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -26,10 +30,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.quality_rules(read(spark, sf_dir, "documents"), with_text=False))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
     "op5_decontaminate": op5_decontaminate,
     "op8_quality_rules": op8_quality_rules,
+    "op10_substrings": op10_substrings,
 }
 
 ORACLE: dict[str, str] = {}
