@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, pii, quality, simhash, substrings
+from tidemark.llm import decontaminate, leaks, mixing, pii, quality, simhash, substrings, urls
 from tidemark.llm.common import read
 
 
@@ -22,14 +22,27 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect_pii(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mix(read(spark, sf_dir, "documents")))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(urls.RULES), "host string, path string, verdict string")
+    return urls.judge_urls(read(spark, sf_dir, "pages"), rules)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.quality_rules(read(spark, sf_dir, "documents"), with_text=False))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.digest(leaks.scan_secrets(read(spark, sf_dir, "documents")))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(read(spark, sf_dir, "documents")))
 
@@ -37,9 +50,12 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
+    "op3_mixing": op3_mixing,
     "op5_decontaminate": op5_decontaminate,
+    "op6_url_rules": op6_url_rules,
     "op8_quality_rules": op8_quality_rules,
+    "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_url_rules": urls.ORACLE}
