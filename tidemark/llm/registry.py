@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, leaks, mixing, pii, quality, simhash, substrings, urls
+from tidemark.llm import decontaminate, leaks, mixing, pages, pii, quality, simhash, substrings, toxicity, urls
 from tidemark.llm.common import read
 
 
@@ -26,6 +26,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(read(spark, sf_dir, "documents")))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_text(read(spark, sf_dir, "pages"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
@@ -35,6 +39,10 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.quality_rules(read(spark, sf_dir, "documents"), with_text=False))
 
@@ -51,8 +59,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
     "op3_mixing": op3_mixing,
+    "op4_html_text": op4_html_text,
     "op5_decontaminate": op5_decontaminate,
     "op6_url_rules": op6_url_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
