@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word enters as two vectors: one for the word itself, one for its characters (the
-sum of its hashed character trigrams, edges marked).  A GRU reads a window of words
+sum over its hashed character trigrams, edges marked, and its first 4 to 8 bytes).  A GRU reads a window of words
 forwards, another backwards; attention pools their states; a logistic unit gives the
 window's score.  A document's score is the highest of its overlapping windows, and
 the windows cover the whole text.
@@ -9,9 +9,9 @@ the windows cover the whole text.
 Training runs in numpy on the driver, on a bounded sample of labelled rows: at most
 ``per_class`` documents a class, of at most ``max_chars`` characters (both are
 parameters).  Rows with crc32(id) mod 5 = 0 are never learned from.  A label marks a
-document, not a window, so each round learns the toxic documents' highest window
-(at first the one with the highest log odds of its words) and, for the others, the
-highest one and one more.
+document, not a window, so a step learns the highest window of toxic documents (at
+first the one with the highest log odds of its words), and of the others the highest
+windows and random ones.  The highest windows are found anew four times.
 
 Scoring runs inside the tasks that read the texts, without a shuffle.  The parts of
 the gates that depend on a word alone are computed once for each word of a task and
@@ -41,7 +41,10 @@ BUCKETS = 1 << 14
 DIMS = 8  # of the word vector and of the character vector
 PER_CLASS = 1500
 MAX_CHARS = 20_000
-ROUNDS = 14
+STEPS = 480
+BATCH = 256  # windows in a step, half of them of toxic documents
+RATE = 0.01  # at the first step, falling to zero
+HEADS = range(4, 9)  # lengths of word beginnings
 CACHE = 150_000  # words a task keeps
 _EDGE = re.compile(rb"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$")
 
@@ -49,11 +52,12 @@ _HASH = np.array([pow(0x9E3779B1, 3, 1 << 32), 0x85EBCA77, 0xC2B2AE3D], np.uint6
 
 
 def tokens(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split()
+    return text.lower().encode("utf-8", "surrogatepass").split()
 
 
-def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each word, buckets of all their trigrams, and where each word's trigrams begin."""
+def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of each word, buckets of all their trigrams, where each word's trigrams begin, and
+    buckets of its beginnings of 4 to 8 bytes (the edge mark is one; 0 where the word is shorter)."""
     bare = [b"^" + _EDGE.sub(b"", w) + b"$ " for w in words]
     raw = np.frombuffer(b"".join(bare) + b"  ", np.uint8).astype(np.uint64)
     sizes = np.array([len(w) for w in bare])
@@ -69,7 +73,14 @@ def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     mixed = (raw[: len(keep)] + np.uint64(1)) * (np.uint64(0x9E3779B97F4A7C15) ** (place % 61 + 1).astype(np.uint64))
     whole = np.add.reduceat(mixed, first)
     whole = ((whole ^ (whole >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(11)) % np.uint64(BUCKETS)
-    return whole.astype(np.int64), grams[: len(keep)][keep].astype(np.int64), starts
+    heads = np.zeros((len(words), len(HEADS)), np.int64)
+    code = np.zeros(len(words), np.uint64)
+    for k in range(HEADS[-1]):
+        code = (code ^ raw[np.minimum(first + k, len(raw) - 1)]) * np.uint64(0x100000001B3)
+        if k + 1 in HEADS:
+            at = ((code ^ (code >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(13)) % np.uint64(2 * BUCKETS - 1) + np.uint64(1)
+            heads[:, k + 1 - HEADS[0]] = np.where(sizes - 2 >= k + 1, at, 0)
+    return whole.astype(np.int64), grams[: len(keep)][keep].astype(np.int64), starts, heads
 
 
 def window_starts(n: int) -> range | list[int]:
@@ -88,16 +99,18 @@ def initial(rng: np.random.Generator) -> dict[str, np.ndarray]:
     d, h = 2 * DIMS, HIDDEN
     f = lambda *s, scale: (rng.standard_normal(s) * scale).astype(np.float32)
     return {
-        "word": f(BUCKETS, DIMS, scale=0.1), "char": f(BUCKETS, DIMS, scale=0.1),
+        "word": f(BUCKETS, DIMS, scale=0.1), "char": f(BUCKETS, DIMS, scale=0.1), "head": np.zeros((2 * BUCKETS, DIMS), np.float32),
         "wx": f(2, d, 3 * h, scale=d**-0.5), "bx": np.zeros((2, 3 * h), np.float32), "u": f(2, h, 3 * h, scale=h**-0.5),
         "att": f(2 * h, scale=0.3), "out": f(2 * h, scale=0.3), "bias": np.zeros(1, np.float32),
     }
 
 
 def embed(p: dict, words: list[bytes]) -> tuple[np.ndarray, tuple]:
-    whole, grams, starts = word_features(words)
-    chars = np.add.reduceat(p["char"][grams], starts, axis=0) if len(grams) else np.zeros((0, DIMS), np.float32)
-    return np.concatenate((p["word"][whole], chars), axis=1), (whole, grams, starts)
+    if not words:
+        return np.zeros((0, 2 * DIMS), np.float32), ()
+    features = whole, grams, starts, heads = word_features(words)
+    chars = np.add.reduceat(p["char"][grams], starts, axis=0) + p["head"][heads].sum(axis=1)
+    return np.concatenate((p["word"][whole], chars), axis=1), features
 
 
 def gates(p: dict, x: np.ndarray) -> np.ndarray:
@@ -195,7 +208,7 @@ def score_windows(p: dict, g: np.ndarray, windows: np.ndarray, block: int = 4096
     return np.concatenate([forward(p, g, windows[k : k + block]) for k in range(0, len(windows), block)]) if len(windows) else np.zeros(0, np.float32)
 
 
-def train(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> dict[str, np.ndarray]:
+def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int = 7) -> dict[str, np.ndarray]:
     """Fit the network on labelled texts (both classes needed)."""
     rng = np.random.default_rng(seed)
     p = initial(rng)
@@ -211,45 +224,68 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int
     for d, ids in enumerate(docs):
         seen[int(labels[d]), np.unique(ids)] += 1
     total = np.array([max(1, (labels == 0).sum()), max(1, (labels == 1).sum())])
-    odds = np.log((seen[1] + 0.1) / total[1]) - np.log((seen[0] + 0.1) / total[0])
-    odds[(seen.sum(axis=0) < 3)] = 0
-    odds[0] = 0
-    value = np.maximum(odds, 0)[windows].max(axis=1) + 1e-3 * rng.random(len(windows))
-    adam = _Adam(0.01)
+    bucket, _, _, heads = word_features(vocabulary)
+    seen_heads = np.zeros((2, 2 * BUCKETS))
+    for d, ids in enumerate(docs):
+        if len(ids):
+            seen_heads[int(labels[d]), np.unique(heads[ids - 1])] += 1
+
+    def log_odds(count: np.ndarray, least: int) -> np.ndarray:
+        out = np.log((count[1] + 0.1) / total[1]) - np.log((count[0] + 0.1) / total[0])
+        out[count.sum(axis=0) < least] = 0
+        out[0] = 0
+        return out
+
+    odds, head_odds = log_odds(seen, 3), log_odds(seen_heads, 5)
+    best = odds.copy()
+    best[1:] = np.maximum(odds[1:], head_odds[heads].max(axis=1))
+    value = np.maximum(best, 0)[windows].max(axis=1) + 1e-3 * rng.random(len(windows))
+    # vectors start with the log odds; a word of fewer than three documents has no vector, so its
+    # characters must do
+    common = seen.sum(axis=0)[1:] >= 3
+    p["word"][:] = 0
+    p["word"][bucket[common]] = rng.standard_normal((int(common.sum()), DIMS)) * 0.1
+    p["word"][bucket[common], 0] = np.clip(odds[1:][common], -4, 4) / 2
+    p["head"][:, 0] = np.clip(head_odds, -4, 4) / 4
+    learn = np.zeros((BUCKETS, 1), np.float32)
+    learn[bucket[common]] = 1
+    learn_heads = (seen_heads.sum(axis=0) >= 5)[:, None].astype(np.float32)
+    learn_heads[0] = 0
+    adam = _Adam(RATE)
     by_doc = np.argsort(owner, kind="stable")
-    for turn in range(rounds):
-        if turn >= 3:
-            x, _ = embed(p, vocabulary)
-            value = score_windows(p, gates(p, x), windows)
-        order = by_doc[np.lexsort((-value[by_doc], owner[by_doc]))]
-        head = order[np.concatenate(([True], owner[order][1:] != owner[order][:-1]))]
-        other = np.flatnonzero(labels[owner] == 0)
-        other = rng.choice(other, min(len(other), 2 * len(docs)), replace=False) if len(other) else other
-        chosen = rng.permutation(np.concatenate((head, other)))
-        for k in range(0, len(chosen), 256):
-            use = chosen[k : k + 256]
-            local, ids = np.unique(windows[use], return_inverse=True)
-            ids = ids.reshape(len(use), LENGTH)
-            shift = 0 if local[0] == 0 else 1
-            words = [vocabulary[i - 1] for i in local[1 - shift :]]
-            if not words:
-                continue
-            x, (whole, grams, starts) = embed(p, words)
-            g = gates(p, x)
-            ids = ids + shift
-            logit, kept = forward(p, g, ids, keep=True)
-            y = labels[owner[use]].astype(np.float32)
-            grad, dg = backward(p, g, ids, kept, (sigmoid(logit) - y) / len(use))
-            dg = dg[1:]
-            grad["wx"] = np.einsum("nd,nkg->kdg", x, dg)
-            grad["bx"] = dg.sum(axis=0)
-            dx = np.einsum("nkg,kdg->nd", dg, p["wx"])
-            grad["word"] = np.zeros_like(p["word"])
-            np.add.at(grad["word"], whole, dx[:, :DIMS])
-            grad["char"] = np.zeros_like(p["char"])
-            counts = np.diff(np.append(starts, len(grams)))
-            np.add.at(grad["char"], grams, np.repeat(dx[:, DIMS:], counts, axis=0))
-            adam.step(p, grad)
+    toxic_docs, clean = np.flatnonzero(labels == 1), np.flatnonzero(labels[owner] == 0)
+    for step in range(steps):
+        if step % (steps // 4) == 0:
+            if step:
+                value = score_windows(p, gates(p, embed(p, vocabulary)[0]), windows)
+            order = by_doc[np.lexsort((-value[by_doc], owner[by_doc]))]
+            head = order[np.concatenate(([True], owner[order][1:] != owner[order][:-1]))]  # by document
+            clean_head = head[labels == 0]
+        use = np.concatenate((head[rng.choice(toxic_docs, BATCH // 2)], rng.choice(clean_head, BATCH // 4), rng.choice(clean, BATCH // 4)))
+        local, ids = np.unique(windows[use], return_inverse=True)
+        shift = 0 if local[0] == 0 else 1
+        words = [vocabulary[i - 1] for i in local[1 - shift :]]
+        if not words:
+            continue
+        x, (whole, grams, starts, heads) = embed(p, words)
+        g = gates(p, x)
+        ids = ids.reshape(len(use), LENGTH) + shift
+        logit, kept = forward(p, g, ids, keep=True)
+        grad, dg = backward(p, g, ids, kept, (sigmoid(logit) - labels[owner[use]].astype(np.float32)) / len(use))
+        dg = dg[1:]
+        grad["wx"] = np.einsum("nd,nkg->kdg", x, dg)
+        grad["bx"] = dg.sum(axis=0)
+        dx = np.einsum("nkg,kdg->nd", dg, p["wx"])
+        grad["word"] = np.zeros_like(p["word"])
+        np.add.at(grad["word"], whole, dx[:, :DIMS])
+        grad["char"] = np.zeros_like(p["char"])
+        np.add.at(grad["char"], grams, np.repeat(dx[:, DIMS:], np.diff(np.append(starts, len(grams))), axis=0))
+        grad["word"] *= learn
+        grad["head"] = np.zeros_like(p["head"])
+        np.add.at(grad["head"], heads, dx[:, None, DIMS:])
+        grad["head"] *= learn_heads
+        adam.rate = RATE * (1 - step / steps)
+        adam.step(p, grad)
     # the cut between the classes' document scores is moved to 0.5
     x, _ = embed(p, vocabulary)
     top = np.full(len(docs), -np.inf)
@@ -259,12 +295,12 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int
 
 
 def best_cut(score: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the fewest errors, a clean document counted twice; in the middle of the widest such gap."""
+    """The cut with the fewest errors, a clean document counted five times; in the middle of the widest such gap."""
     order = np.argsort(score)
     s, y = score[order], labels[order]
     missed = np.concatenate(([0], np.cumsum(y == 1)))  # toxic below the cut
     wrong = np.concatenate(([0], np.cumsum(y == 0)))
-    errors = missed + 2 * (wrong[-1] - wrong)
+    errors = missed + 5 * (wrong[-1] - wrong)
     edges = np.concatenate(([s[0] - 2], s, [s[-1] + 2]))
     gaps = edges[1:] - edges[:-1]
     k = max(np.flatnonzero(errors == errors.min()), key=lambda i: gaps[i])
@@ -338,12 +374,12 @@ def score_documents(docs: DataFrame, model: dict | float, carry: tuple[str, ...]
     return map_texts(rows, make, [("score", pa.float64()), ("n_windows", pa.int64())], "scored_text")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, rounds: int = ROUNDS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, steps: int = STEPS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Train on the bounded sample, then score every window of every document."""
     texts, y = labelled_sample(docs, labels, per_class, max_chars)
     model: dict | float = float(y.mean()) if len(y) else 0.0
     if 0 < y.sum() < len(y):
-        model = train(texts, y, rounds)
+        model = train(texts, y, steps)
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(True))
     scored = score_documents(docs, model, carry)
     return scored.withColumn("held_out", held_out).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
