@@ -138,13 +138,13 @@ def redact(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example
         scanned.select("repo", "owner", "text_key", F.transform(F.filter("secrets", lambda s: s["live"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
         .where(F.size("spans") > 0)
         .distinct()
-        .select(F.col("repo").alias("r_"), F.col("owner").alias("o_"), F.col("text_key").alias("k_"), F.col("spans").alias("spans_"))
+        .select(F.col("repo").alias("secret_r_"), F.col("owner").alias("secret_o_"), F.col("text_key").alias("secret_k_"), F.col("spans").alias("secret_spans_"))
     )
-    same = F.col(repo).eqNullSafe(F.col("r_")) & F.col(owner).eqNullSafe(F.col("o_")) & (F.xxhash64(text_or_empty()) == F.col("k_"))
+    same = F.col(repo).eqNullSafe(F.col("secret_r_")) & F.col(owner).eqNullSafe(F.col("secret_o_")) & (F.xxhash64(text_or_empty()) == F.col("secret_k_"))
     joined = docs.join(spans, same, "left")
     # the text's pieces between spans, each span as one mark; a span inside an earlier one adds nothing
     pieces = F.aggregate(
-        "spans_",
+        "secret_spans_",
         F.struct(F.expr("cast(array() as array<string>)").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda a, s: F.when(
             s["start"] >= a["at"],
@@ -155,8 +155,8 @@ def redact(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example
         ).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at"))),
         lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2147483647))),
     )
-    text = F.when(F.col("spans_").isNull(), F.col("text")).otherwise(pieces)
+    text = F.when(F.col("secret_spans_").isNull(), F.col("text")).otherwise(pieces)
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans_").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col("secret_spans_").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -294,17 +294,37 @@ def connected_components(links: DataFrame, tag: str = "components") -> DataFrame
 
 
 def simhash_components(
-    docs: DataFrame, width: int = 3, max_bits: int = 3, parts: int = 2, carry: tuple[str, ...] = ("doc_id",), chunk: int = CHUNK
+    docs: DataFrame, width: int = 3, max_bits: int = 3, parts: int = 2, carry: tuple[str, ...] = ("doc_id",), chunk: int = CHUNK, group_key: bool = False
 ) -> DataFrame:
     """``carry`` columns of every document (``doc_id`` among them), ``fp`` and ``component_id``:
-    the smallest id among the documents reachable over links of at most ``max_bits`` bits."""
+    the smallest id among the documents reachable over links of at most ``max_bits`` bits.
+
+    With ``group_key`` also ``root``, which tells components without any id apart."""
     seen = stage(fingerprints(docs.select(*carry, F.col("text").cast("string").alias("text_")), width, "text_"), "fingerprints")
     nodes = stage(seen.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     roots = stage(connected_components(near_links(nodes, max_bits, parts, chunk)), "roots")
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = rooted.join(smallest, "root").select("fp", "component_id")
-    return seen.join(by_fp, "fp").select(*carry, "fp", "component_id")
+    by_fp = rooted.join(smallest, "root").select("fp", "root", "component_id")
+    return seen.join(by_fp, "fp").select(*carry, "fp", *["root"] * group_key, "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 3, parts: int = 2) -> DataFrame:
+    """``docs`` with one document of each component: the smallest id (null last), of equal ids the smallest
+    hash of the text, and of equal rows one."""
+    text_key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    keyed = docs.select("doc_id", "text", text_key.alias("text_key"))
+    found = stage(simhash_components(keyed, width, max_bits, parts, carry=("doc_id", "text_key"), group_key=True), "found")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    picks = found.groupBy("root").agg(F.min(order).alias("pick")).select("pick.doc_id", "pick.text_key")
+    picks = stage(picks.select(F.col("doc_id").alias("pick_id"), F.col("text_key").alias("pick_key")), "picks")
+    again = stage(found.groupBy("doc_id", "text_key").count().where("count > 1").select(F.col("doc_id").alias("pick_id"), F.col("text_key").alias("pick_key")), "again")
+    same = docs["doc_id"].eqNullSafe(F.col("pick_id")) & (text_key == F.col("pick_key"))
+    kept = docs.join(picks, same, "left_semi")
+    same = kept["doc_id"].eqNullSafe(F.col("pick_id")) & (text_key == F.col("pick_key"))
+    # rows that stand more than once are few, and only they are compared
+    doubled = kept.join(again, same, "left_semi").withColumn("simhash_text_key", text_key)
+    return kept.join(again, same, "left_anti").unionByName(doubled.dropDuplicates(["doc_id", "simhash_text_key"]).drop("simhash_text_key"))
 
 
 def digest(found: DataFrame) -> DataFrame:
