@@ -174,7 +174,7 @@ class _Anchor:
                     break
                 for i in split:
                     labels = np.unique(self.label[close[i]])
-                    for x in labels[1:]:
+                    for x in labels:
                         home = self.homes[np.flatnonzero(close[i] & (self.label == x))[0]]
                         if block[i] != home:
                             yield int(block[i]), int(home)
