@@ -83,7 +83,8 @@ def candidates(docs: DataFrame, repo: str, owner: str) -> DataFrame:
 
 def _named(kind: str, rank: int):
     return lambda m: F.struct(
-        m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"), F.sha2(m["value"].cast("binary"), 256).alias("hash"),
+        m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"), 
+        F.sha2(F.rtrim(m["value"], F.lit(".")).cast("binary"), 256).alias("hash"),  # a full stop may end the sentence
         F.size(F.array_distinct(F.split(m["value"], ""))).alias("letters"),
     )
 

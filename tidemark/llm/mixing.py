@@ -80,7 +80,7 @@ def solve_tilt(classes: DataFrame, targets: DataFrame, cap: int = CAP, steps: in
     A target at the cap, at zero or without words has no finite tilt and gets none.
     """
     sums = classes.groupBy("source_key").agg(
-        (F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("unit")
+        F.try_divide(F.sum(F.col("n") * F.col("size") * F.col("size")), F.sum(F.col("n") * F.col("size"))).alias("unit")
     )
     open_ = targets.where((F.col("source_size") > 0) & (F.col("target") < cap * F.col("source_size") * (1 - 1e-9)) & (F.col("target") > 0))
     state = stage(
