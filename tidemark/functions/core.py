@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Money is summed as a decimal so that totals do not depend on partition order
-# (double addition is not associative).  Four decimals cover every input here.
-MONEY_TYPE = "decimal(18,4)"
+# (double addition is not associative).  Sums are exact for values of up to 12
+# decimals and totals under 1e26; a larger total raises an error.
+MONEY_TYPE = "decimal(38,12)"
 
 
 def _c(x: Column | str) -> Column:

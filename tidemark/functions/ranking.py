@@ -20,20 +20,29 @@ from tidemark.session import stage_parquet
 _PID_SHIFT = 33  # monotonically_increasing_id = (partition index << 33) + row index
 
 
-def _range_partitions(df: DataFrame, partitions: int | None) -> int:
-    """Range partition count: explicit, else ~one partition per advisory size of the
-    optimizer's size estimate, capped by ``spark.sql.shuffle.partitions``."""
+def files_size(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads (0 for data made in memory)."""
+    by_dir: dict[str, set[str]] = {}
+    for f in df.inputFiles():
+        folder, _, name = f.rpartition("/")
+        by_dir.setdefault(folder, set()).add(name)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    total = 0
+    for folder, names in by_dir.items():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        for status in path.getFileSystem(conf).listStatus(path):
+            if status.getPath().toUri().getRawPath().rpartition("/")[2] in names:
+                total += status.getLen()
+    return total
+
+
+def range_partitions(df: DataFrame, partitions: int | None = None) -> int:
+    """Partition count: explicit, else one for each advisory size of the files read."""
     if partitions:
         return partitions
-    conf = df.sparkSession.conf
-    cap = max(1, int(conf.get("spark.sql.shuffle.partitions")))
-    try:
-        advisory = conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-        target = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001  (no JVM access, e.g. Spark Connect): use the configured count
-        return cap
-    return max(1, min(cap, -(-size // max(target, 1))))
+    advisory = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    target = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
+    return max(1, -(-files_size(df) // max(target, 1)))
 
 
 def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
@@ -56,7 +65,7 @@ def global_rank(
     the P-row offset table.
     """
     cols = _sort_cols(order)
-    p = _range_partitions(df, partitions)
+    p = range_partitions(df, partitions)
     # The numbered frame is written once to the shared checkpoint folder: the
     # positions become stored data (an executor loss cannot renumber them) and
     # the lineage is cut, so chained ranks do not multiply the plan.
@@ -87,56 +96,101 @@ def global_dense_rank(
     group: str | None = None,
     descending: bool = True,
     out: str = "dense_rank",
+    partitions: int | None = None,
 ) -> DataFrame:
     """``dense_rank()`` of ``value`` (optionally within ``group``) without a hot window.
 
-    Distinct (group, value) pairs are found with a partial aggregate (a hot
-    value collapses map-side), ranked with ``global_rank`` and joined back;
-    the per-group start offsets come from a table with one row per group.
+    Rows are range-partitioned on (group, value) and the row itself, so neither a
+    hot group nor a hot value is kept together; each row that differs from the
+    one before it counts one, and prefix sums over the partitions carry the
+    count on.  Nothing is joined back on the group or the value: the only joins
+    are broadcasts of one row a partition and one row a group.
     """
-    keys = [group] if group else []
-    distinct = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
-    v = F.col(value).desc() if descending else F.col(value).asc()
-    ranked = global_rank(distinct, [*keys, v], out="_dr_pos")
+    keys = [F.col(group)] if group else []
+    v = F.col(value)
+    rest = [F.col(f"`{c}`") for c, t in df.dtypes if c not in (group, value) and not t.startswith(("map", "variant"))]
+    order = [*keys, v.desc_nulls_last() if descending else v.asc_nulls_last(), *rest]
+    ranged = stage_parquet(
+        df.repartitionByRange(range_partitions(df, partitions), *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_dr_mid", F.monotonically_increasing_id())
+        .withColumn("_dr_pid", F.shiftright(F.col("_dr_mid"), _PID_SHIFT)),
+        "dense",
+    )
+    cell = F.struct(*keys, v)
+    w = Window.partitionBy("_dr_pid").orderBy("_dr_mid")
+    before = F.lag(cell).over(w)
+    local = ranged.withColumn("_dr_new", F.when(before.isNotNull() & before.eqNullSafe(cell), 0).otherwise(1)).withColumn(
+        "_dr_local", F.sum("_dr_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    ends = local.groupBy("_dr_pid").agg(
+        F.sum("_dr_new").alias("_n"), F.min_by(cell, "_dr_mid").alias("_first"), F.max_by(cell, "_dr_mid").alias("_last")
+    )
+    wp = Window.orderBy("_dr_pid")  # P rows
+    goes_on = F.lag("_last").over(wp).eqNullSafe(F.col("_first")) & F.lag("_last").over(wp).isNotNull()
+    offsets = ends.withColumn("_go", goes_on.cast("int")).select(
+        "_dr_pid",
+        (F.coalesce(F.sum("_n").over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.sum("_go").over(wp.rowsBetween(Window.unboundedPreceding, 0))).alias("_off"),
+    )
+    ranked = local.join(F.broadcast(offsets), "_dr_pid").withColumn(out, F.col("_dr_local") + F.col("_off"))
     if group:
-        starts = ranked.groupBy(group).agg(F.min("_dr_pos").alias("_dr_start"))
-        ranked = ranked.join(starts, group).withColumn(out, F.col("_dr_pos") - F.col("_dr_start") + 1)
-        ranked = ranked.drop("_dr_pos", "_dr_start")
-    else:
-        ranked = ranked.withColumnRenamed("_dr_pos", out)
-    return df.join(ranked, [*keys, value], "left")
+        starts = ranked.groupBy(F.col(group).alias("_dr_group")).agg(F.min(out).alias("_dr_start"))  # one row a group
+        ranked = ranked.join(F.broadcast(starts), F.col(group).eqNullSafe(F.col("_dr_group"))).withColumn(out, F.col(out) - F.col("_dr_start") + 1)
+    return ranked.select(*df.columns, F.when(v.isNotNull(), F.col(out)).alias(out))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
-    """One-row frame of exact linear-interpolated quantiles (``pandas.quantile``).
+def exact_quantiles_many(df: DataFrame, wanted: dict[str, Sequence[float]]) -> DataFrame:
+    """Exact linear-interpolated quantiles (``pandas.quantile``) of several columns, long form.
 
-    Columns ``{prefix}0 .. {prefix}{k-1}``.  Position h = (n-1)*p; result =
-    v[floor h] + (v[ceil h] - v[floor h]) * (h - floor h).  Values are found by
-    a distributed rank, so no single task holds the column.
+    Rows (column, k, p, value).  Nothing is sorted or written whole: one pass
+    takes counts and approximate percentiles a little to both sides of each
+    probability, a second counts the values below each such bracket and the
+    distinct values inside it (map-side combined, so a hot value is one row),
+    and a running count over a bracket's distinct values finds the exact ranks.
+    A bracket holds at most about one in 1,250 of the rows.
     """
-    base = df.select(F.col(col).cast("double").alias("_q_v")).where(F.col("_q_v").isNotNull() & ~F.isnan("_q_v"))
-    base = base.withColumn("_q_tb", F.monotonically_increasing_id())
-    ranked = global_rank(base, ["_q_v", "_q_tb"], out="_q_r")
-    n = base.agg(F.count(F.lit(1)).alias("_q_n"))
-    ranked = ranked.crossJoin(F.broadcast(n)).withColumn("_q_pos", F.col("_q_r") - 1)
-    wanted = F.lit(False)
+    eps, accuracy = 2e-4, 10_000
+    num = {c: F.col(f"`{c}`").cast("double") for c in wanted}
+    good = {c: F.when(x.isNotNull() & ~F.isnan(x), x) for c, x in num.items()}
+    spots = [(c, k, float(p)) for c, ps in wanted.items() for k, p in enumerate(ps)]
     aggs = []
-    for i, p in enumerate(probs):
-        h = (F.col("_q_n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        wanted = wanted | (F.col("_q_pos") == lo) | (F.col("_q_pos") == hi)
+    for i, (c, _, p) in enumerate(spots):
+        lo, hi = max(0.0, p - eps), min(1.0, p + eps)
         aggs += [
-            F.max(F.when(F.col("_q_pos") == lo, F.col("_q_v"))).alias(f"_lo{i}"),
-            F.max(F.when(F.col("_q_pos") == hi, F.col("_q_v"))).alias(f"_hi{i}"),
-            F.max(h - lo).alias(f"_fr{i}"),
-        ]
-    picked = ranked.where(wanted).agg(*aggs)
-    return picked.select(
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(f"{prefix}{i}")
-            for i in range(len(probs))
+            (F.percentile_approx(good[c], lo, accuracy) if lo > 0 else F.min(good[c])).alias(f"_a{i}"),
+            (F.percentile_approx(good[c], hi, accuracy) if hi < 1 else F.max(good[c])).alias(f"_b{i}"),
+            F.count(good[c]).alias(f"_n{i}"),
         ]
+    brackets = df.agg(*aggs)  # one row
+    cells = [
+        F.struct(
+            F.lit(i).alias("i"), good[c].alias("v"), F.col(f"_a{i}").alias("a"), F.col(f"_b{i}").alias("b"),
+        )
+        for i, (c, _, _) in enumerate(spots)
+    ]
+    x = df.select(*[F.col(f"`{c}`") for c in wanted]).crossJoin(F.broadcast(brackets)).select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+    x = x.where(F.col("v") <= F.col("b"))
+    hist = x.groupBy("i", F.when(F.col("v") >= F.col("a"), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    # values below the bracket are one row with a NULL value, which sorts first
+    w = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first())
+    hist = hist.withColumn("end", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("start", F.col("end") - F.col("c"))
+    meta = brackets.select(
+        F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.lit(k).alias("k"), F.lit(p).alias("p"), F.col(f"_n{i}").alias("n")) for i, (c, k, p) in enumerate(spots)])).alias("m")
+    ).select("m.*")
+    h = (F.col("n") - 1).cast("double") * F.col("p")
+    at = lambda pos: (F.col("start") <= pos) & (pos < F.col("end"))
+    found = (
+        hist.join(F.broadcast(meta), "i")
+        .groupBy("i")
+        .agg(F.max(F.when(at(F.floor(h)), F.col("v"))).alias("lo"), F.max(F.when(at(F.ceil(h)), F.col("v"))).alias("hi"), F.max(h - F.floor(h)).alias("fr"))
     )
+    return meta.join(found, "i", "left").select("column", "k", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("fr")).alias("value"))
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
+    """One-row frame of one column's exact quantiles: columns ``{prefix}0 .. {prefix}{k-1}``."""
+    long = exact_quantiles_many(df, {col: probs})
+    return long.agg(*[F.max(F.when(F.col("k") == i, F.col("value"))).alias(f"{prefix}{i}") for i in range(len(probs))])
 
 
 def qcut_rank(rank: Column, n: Column, q: int) -> Column:
@@ -192,7 +246,7 @@ def global_cumsum(
     on tables that are not bounded.
     """
     cols = _sort_cols(order)
-    p = _range_partitions(df, partitions)
+    p = range_partitions(df, partitions)
     ranged = stage_parquet(
         df.repartitionByRange(p, *cols)
         .sortWithinPartitions(*cols)

@@ -17,6 +17,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,9 @@ CATEGORICAL_FEATURES = ["country", "industry", "subscription_type"]
 LABEL = "is_churned"
 SEED = 42
 LR_C_GRID = [0.01, 0.1, 1.0, 10.0]
+# The forest's default grid, and the full one (72 points).
+RF_GRID = {"numTrees": [50, 100], "maxDepth": [5, 10], "minInstancesPerNode": [1]}
+RF_GRID_FULL = {"numTrees": [100, 200], "maxDepth": [5, 10, 15, 20], "minInstancesPerNode": [1, 2, 4], "minInfoGain": [0.0, 0.001, 0.01]}
 
 
 @dataclass
@@ -83,6 +87,11 @@ def stratified_split(df: DataFrame, test_fraction: float = 0.2, folds: int = 5,
     )
 
 
+def split_counts(split: DataFrame) -> DataFrame:
+    """M3: rows per class, part and fold of a stratified split."""
+    return split.groupBy(F.col("label").cast("int").alias("label"), "is_test", "fold").agg(F.count(F.lit(1)).alias("customers"))
+
+
 def _prep_stages(nums: list[str]) -> tuple[list, list[str]]:
     idx = [
         StringIndexer(inputCol=c, outputCol=f"{c}_encoded", stringOrderType="alphabetAsc", handleInvalid="keep")
@@ -101,9 +110,10 @@ def train_churn_models(
     parallelism: int = 8,
 ) -> ChurnModels:
     """M4-M6: scaler fitted on train only; logistic regression (C grid, 5-fold CV on ROC AUC) and
-    random forest (small grid by default; pass ``rf_grid`` for the reference's 72-point grid)."""
+    random forest.  ``rf_grid`` is ``RF_GRID`` (four points) unless given; ``RF_GRID_FULL`` has all 72
+    points.  A grid of one point is fitted without folds, as there is nothing to choose."""
     base = feature_table(customer_features, exclude_leaky)
-    split = stratified_split(base).cache()
+    split = stratified_split(base).persist(StorageLevel.MEMORY_AND_DISK)
     train = split.where(~F.col("is_test"))
     test = split.where(F.col("is_test"))
     nums = [c for c in base.columns if c in NUMERIC_FEATURES]
@@ -113,18 +123,23 @@ def train_churn_models(
     n_train = train_x.count()
     ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
 
-    lr = LogisticRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False, maxIter=100)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False, maxIter=1000)
     lr_grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n_train) for c in LR_C_GRID]).build()
     lr_cv = CrossValidator(estimator=lr, estimatorParamMaps=lr_grid, evaluator=ev, foldCol="fold", numFolds=5, parallelism=parallelism, seed=SEED)
     lr_best = lr_cv.fit(train_x).bestModel
 
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", seed=SEED)
-    grid = rf_grid or {"numTrees": [50], "maxDepth": [8], "minInstancesPerNode": [1]}
+    grid = rf_grid or RF_GRID
     gb = ParamGridBuilder()
     for k, vals in grid.items():
         gb = gb.addGrid(getattr(rf, k), vals)
-    rf_cv = CrossValidator(estimator=rf, estimatorParamMaps=gb.build(), evaluator=ev, foldCol="fold", numFolds=5, parallelism=parallelism, seed=SEED)
-    rf_best = rf_cv.fit(train_x).bestModel
+    points = gb.build()
+    if len(points) > 1:
+        rf_best = CrossValidator(
+            estimator=rf, estimatorParamMaps=points, evaluator=ev, foldCol="fold", numFolds=5, parallelism=parallelism, seed=SEED
+        ).fit(train_x).bestModel
+    else:
+        rf_best = rf.fit(train_x, points[0])
     split.unpersist()
     return ChurnModels(
         lr=PipelineModel(stages=[*prep.stages, lr_best]),
@@ -198,17 +213,19 @@ def confusion_matrix(scored: DataFrame, label: str = "label", score: str = "chur
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "churn_probability") -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score, descending thresholds."""
+    """(threshold, fpr, tpr) at every distinct score, descending thresholds, from (0, 0) at infinity."""
     g = _score_groups(scored, label, score)
     tot = g.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     # one row per distinct score: running sums with the distributed prefix-sum
     g = global_cumsum(g, [F.col("s").desc()], ["pos", "neg"])
     g = g.withColumnRenamed("pos_cum", "_tp").withColumnRenamed("neg_cum", "_fp")
-    return scalar_join(g, tot).select(
+    points = scalar_join(g, tot).select(
         F.col("s").alias("threshold"),
         safe_div(F.col("_fp"), F.col("_N")).alias("fpr"),
         safe_div(F.col("_tp"), F.col("_P")).alias("tpr"),
     )
+    start = tot.select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(points)
 
 
 def feature_importance(models: ChurnModels) -> DataFrame:
@@ -223,9 +240,14 @@ def feature_importance(models: ChurnModels) -> DataFrame:
 
 def model_comparison(models: ChurnModels) -> DataFrame:
     """M9: test-set metrics for both models; best by ROC AUC, a tie goes to logistic regression."""
+    return compare_scores({n: probability(m.transform(models.test)) for n, m in (("logistic_regression", models.lr), ("random_forest", models.rf))})
+
+
+def compare_scores(scored: dict[str, DataFrame]) -> DataFrame:
+    """M9 on scored frames (label, churn_probability) by model name."""
     out = None
-    for name, model in [("logistic_regression", models.lr), ("random_forest", models.rf)]:
-        m = classification_metrics(probability(model.transform(models.test))).withColumn("model", F.lit(name))
+    for name, frame in scored.items():
+        m = classification_metrics(frame).withColumn("model", F.lit(name))
         out = m if out is None else out.unionByName(m)
     best = out.agg(
         F.min_by("model", F.struct(-F.col("roc_auc"), F.when(F.col("model") == "logistic_regression", 0).otherwise(1))).alias("best_model")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import favg, money_sum, nan_to_zero
+from tidemark.session import stage_parquet
 
 # Cluster labels in order of descending mean RFM_total.
 BEHAVIOURAL_LABELS = ["VIP Elite", "Engaged Regulars", "Growth Potential", "Casual Buyers", "Dormant", "At-Risk", "Lost"]
@@ -20,13 +22,14 @@ SEED = 42
 
 
 def kmeans_clusters(
-    rfm: DataFrame, k: int | None = None, k_range=range(3, 8), parallelism: int = 5
+    rfm: DataFrame, k: int | None = None, k_range=range(3, 8), parallelism: int = 5, starts: int = 10
 ) -> tuple[DataFrame, DataFrame]:
     """Standardised (recency, frequency, monetary, RFM_total) -> k-means.
 
     ``k=None`` picks k in ``k_range`` by silhouette (Spark's squared-Euclidean
     silhouette; the reference uses Euclidean, so the chosen k can differ).
-    Returns (customer_id, cluster) and the (k, silhouette) table.
+    Each k is fitted from ``starts`` seeds and the fit of lowest cost is kept.
+    Returns (customer_id, cluster), staged, and the (k, silhouette) table.
     """
     x = rfm.select("customer_id", *[nan_to_zero(c).alias(c) for c in CLUSTER_FEATURES])
     prep = Pipeline(
@@ -35,16 +38,21 @@ def kmeans_clusters(
             StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
         ]
     ).fit(x)
-    feats = prep.transform(x).select("customer_id", "features").cache()
+    feats = prep.transform(x).select("customer_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     scores = []
     models = {}
     best_k = k
+
+    def lowest(kk: int):
+        fits = [KMeans(k=kk, seed=SEED + s, featuresCol="features").fit(feats) for s in range(starts)]
+        return min(fits, key=lambda m: m.summary.trainingCost)
+
     if k is None:
         # Candidate k values are independent Spark jobs: submit them from a few
         # driver threads (as CrossValidator's ``parallelism`` does).
         def fit(kk: int):
-            m = KMeans(k=kk, seed=SEED, featuresCol="features").fit(feats)
+            m = lowest(kk)
             return kk, m, float(ev.evaluate(m.transform(feats)))
 
         with ThreadPoolExecutor(max_workers=min(parallelism, len(k_range))) as pool:
@@ -52,8 +60,9 @@ def kmeans_clusters(
                 models[kk] = m
                 scores.append((kk, sc))
         best_k = max(scores, key=lambda t: (t[1], -t[0]))[0]
-    model = models.get(best_k) or KMeans(k=best_k, seed=SEED, featuresCol="features").fit(feats)
-    clusters = model.transform(feats).select("customer_id", F.col("prediction").alias("cluster"))
+    model = models.get(best_k) or lowest(best_k)
+    clusters = stage_parquet(model.transform(feats).select("customer_id", F.col("prediction").alias("cluster")), "clusters")
+    feats.unpersist()
     # bounded: one row per tried k
     sil = rfm.sparkSession.createDataFrame(scores or [(best_k, None)], "k int, silhouette double")
     return clusters, sil
@@ -78,6 +87,12 @@ def cluster_profile(rfm: DataFrame, clusters: DataFrame) -> DataFrame:
     return prof.withColumn("behavioral_segment", F.element_at(labels, F.row_number().over(w).cast("int")))
 
 
+def rule_clusters(rfm: DataFrame) -> DataFrame:
+    """(customer_id, cluster): a fixed grouping by RFM_total, where labels must not depend on a fitted model."""
+    t = F.col("RFM_total")
+    return rfm.select("customer_id", F.when(t >= 12, 0).when(t >= 9, 1).when(t >= 6, 2).otherwise(3).alias("cluster"))
+
+
 def behavioural_segments(clusters: DataFrame, profile: DataFrame) -> DataFrame:
     """Per-customer behavioural label."""
     return clusters.join(F.broadcast(profile.select("cluster", "behavioral_segment")), "cluster", "left")

@@ -7,11 +7,14 @@ calendar, not by the data, so the spine and its windows stay small.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import month_diff, month_label, month_start
-from tidemark.functions.core import favg, money, money_sum, safe_div, scalar_join, share_pct
+from tidemark.functions.core import favg, money_sum, safe_div, scalar_join, share_pct
+from tidemark.operators.features import customer_months
 
 
 def with_cohort(transactions: DataFrame, customers: DataFrame) -> DataFrame:
@@ -23,11 +26,7 @@ def with_cohort(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     third of all rows is already collapsed map-side.  Rows whose customer has
     no signup month are dropped, as pandas drops NaN group keys.
     """
-    per_month = (
-        transactions.where(F.col("transaction_status") == "Completed")
-        .groupBy("customer_id", month_start(F.col("transaction_date")).alias("_txn_m"))
-        .agg(F.sum(money(F.col("amount"))).alias("revenue"), F.count("transaction_id").alias("transactions"))
-    )
+    per_month = customer_months(transactions).select("customer_id", F.col("month").alias("_txn_m"), "revenue", "transactions")
     coh = customers.select("customer_id", month_start(F.col("signup_date")).alias("_cohort_m"))
     return (
         per_month.join(coh, "customer_id", "inner")
@@ -99,10 +98,14 @@ def average_retention(retention: DataFrame) -> DataFrame:
     )
 
 
-def to_matrix(long: DataFrame, value: str, max_index: int | None = None) -> DataFrame:
-    """Pivot long (cohort, cohort_index, value) to a cohort x offset matrix for export."""
+def to_matrix(long: DataFrame, value: str, max_index: int | None = None, values: Sequence[int] | None = None) -> DataFrame:
+    """Pivot long (cohort, cohort_index, value) to a cohort x offset matrix for export.
+
+    ``values`` fixes the columns; otherwise they are the offsets that occur.
+    """
     df = long if max_index is None else long.where(F.col("cohort_index") <= max_index)
-    values = sorted(r[0] for r in df.select("cohort_index").distinct().collect())  # bounded: month offsets
+    if values is None:
+        values = sorted(r[0] for r in df.select("cohort_index").distinct().collect())  # bounded: month offsets
     return df.groupBy("cohort").pivot("cohort_index", values).agg(F.first(value)).orderBy("cohort")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import favg
-from tidemark.functions.ranking import exact_quantiles
+from tidemark.functions.ranking import exact_quantiles_many
 
 STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
@@ -16,24 +16,18 @@ STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, stat, value) rows as pandas ``describe`` gives them, with exact quartiles.
 
-    Spark's ``DataFrame.summary`` uses approximate percentiles; here quartiles
-    come from the distributed exact rank, so they equal the linear-interpolated
-    pandas values.  Std is the sample std rounded to 1e-6.
+    Spark's ``DataFrame.summary`` uses approximate percentiles; here the quartiles
+    of all columns come from ``exact_quantiles_many`` and equal the
+    linear-interpolated pandas values.
     """
-    out = None
-    for c in cols:
-        base = df.agg(
-            F.count(c).cast("double").alias("count"),
-            favg(c).alias("mean"),
-            F.round(F.stddev_samp(c), 6).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        )
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75], prefix="_p")
-        one = base.crossJoin(q)  # two 1-row frames
-        body = ", ".join(
-            f"'{s}', `{n}`" for s, n in zip(STATS, ["count", "mean", "std", "min", "_p0", "_p1", "_p2", "max"])
-        )
-        rows = one.select(F.lit(c).alias("column"), F.expr(f"stack({len(STATS)}, {body}) AS (stat, value)"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [
+            F.count(c).cast("double").alias(f"count{i}"), favg(c).alias(f"mean{i}"), F.stddev_samp(c).alias(f"std{i}"),
+            F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}"),
+        ]
+    body = ", ".join(f"'{c}', '{s}', {s}{i}" for i, c in enumerate(cols) for s in ("count", "mean", "std", "min", "max"))
+    base = df.agg(*aggs).select(F.expr(f"stack({5 * len(cols)}, {body}) AS (column, stat, value)"))
+    quartiles = exact_quantiles_many(df, {c: [0.25, 0.5, 0.75] for c in cols})
+    names = F.element_at(F.array(F.lit("25%"), F.lit("50%"), F.lit("75%")), F.col("k") + 1)
+    return base.unionByName(quartiles.select("column", names.alias("stat"), "value"))

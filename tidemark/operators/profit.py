@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.core import favg, fsum, money_sum, safe_div, scalar_join, share_pct
 from tidemark.functions.ranking import exact_quantiles
+from tidemark.operators.features import customer_months
 
 # The reference cost model.
 ACQUISITION_COST = {"Basic": 50.0, "Professional": 100.0, "Enterprise": 200.0, "Premium": 300.0}
@@ -40,11 +41,7 @@ def _lookup(col: Column, mapping: dict) -> Column:
 
 def verified_revenue(customer_features: DataFrame, transactions: DataFrame) -> DataFrame:
     """Completed revenue per customer (0 if none) replaces total_revenue."""
-    rev = (
-        transactions.where(F.col("transaction_status") == "Completed")
-        .groupBy("customer_id")
-        .agg(money_sum("amount").alias("verified_revenue"))
-    )
+    rev = customer_months(transactions).groupBy("customer_id").agg(F.sum("revenue").cast("double").alias("verified_revenue"))
     df = customer_features.join(rev, "customer_id", "left").withColumn(
         "verified_revenue", F.coalesce(F.col("verified_revenue"), F.lit(0.0))
     )

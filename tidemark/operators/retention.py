@@ -224,7 +224,7 @@ def _template(i: int, discount: Column) -> Column:
 
 
 def recommendations(scored: DataFrame) -> DataFrame:
-    """21-column recommendation table, ordered by risk then value score."""
+    """21-column recommendation table (``published_order`` sorts it for publication)."""
     dmin = _by_risk({k: v[4] for k, v in STRATEGIES.items()})
     dmax = _by_risk({k: v[5] for k, v in STRATEGIES.items()})
     discount = (dmin + (dmax - dmin) * (F.col("value_score") / 100)).cast("int")
@@ -239,7 +239,7 @@ def recommendations(scored: DataFrame) -> DataFrame:
         .when(F.col("transaction_frequency") < 0.5, F.lit(DEMO_TEXT))
         .otherwise(actions[0])
     )
-    out = df.select(
+    return df.select(
         "customer_id",
         "country",
         "industry",
@@ -259,7 +259,11 @@ def recommendations(scored: DataFrame) -> DataFrame:
         "recommended_discount_pct",
         *[a.alias(f"action_{i + 1}") for i, a in enumerate(actions)],
     )
-    return out.orderBy(_by_risk(RISK_ORDER), F.desc("value_score"), "customer_id")
+
+
+def published_order(recs: DataFrame) -> DataFrame:
+    """Recommendations (or a risk list) by risk level, then value score, highest first."""
+    return recs.orderBy(_by_risk(RISK_ORDER), F.desc("value_score"), "customer_id")
 
 
 def action_summary(recs: DataFrame) -> DataFrame:

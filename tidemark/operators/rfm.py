@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.core import money_sum, safe_div, scalar_join
 from tidemark.functions.ranking import exact_quantiles_bounded, global_rank, qcut_rank, qcut_value
+from tidemark.operators.features import customer_months, reference_date
 
 # Rule set A, first match wins; thresholds on (r, f, m) scores.
 RULES_A = [
@@ -87,23 +88,18 @@ def segment_expr(rules, default: str, r: str = "R_score", f: str = "F_score", m:
     return F.expr(f"CASE {parts} ELSE {_quote(default)} END")
 
 
-def rfm_metrics(transactions: DataFrame, plus_days: int = 0) -> DataFrame:
+def rfm_metrics(transactions: DataFrame, plus_days: int = 0, reference: DataFrame | None = None) -> DataFrame:
     """Per-customer recency / frequency / monetary over Completed transactions.
 
-    Reference date = latest transaction date over *all* statuses (+ plus_days).
-    Customers without a Completed transaction are absent.
+    Reference date = latest transaction date over *all* statuses (+ plus_days);
+    ``reference`` gives it as a one-row frame when ``transactions`` is the
+    customer-month table.  Customers without a Completed transaction are absent.
     """
-    ref = transactions.agg(F.date_add(F.max("transaction_date"), plus_days).alias("_ref"))
-    per = (
-        transactions.where(F.col("transaction_status") == "Completed")
-        .groupBy("customer_id")
-        .agg(
-            F.max("transaction_date").alias("_last"),
-            F.count("transaction_id").alias("frequency"),
-            money_sum("amount").alias("_m"),
-        )
+    ref = reference if reference is not None else reference_date(transactions)
+    per = customer_months(transactions).groupBy("customer_id").agg(
+        F.max("last_date").alias("_last"), F.sum("transactions").alias("frequency"), F.sum("revenue").cast("double").alias("_m")
     )
-    return scalar_join(per, ref).select(
+    return scalar_join(per, ref.select(F.date_add("reference_date", plus_days).alias("_ref"))).select(
         "customer_id",
         F.datediff(F.col("_ref"), F.col("_last")).alias("recency"),
         "frequency",
@@ -137,13 +133,21 @@ def rfm_scores(metrics: DataFrame, q: int = 5) -> DataFrame:
     ).withColumn("RFM_total", F.col("R_score") + F.col("F_score") + F.col("M_score"))
 
 
-def rfm_table(transactions: DataFrame, customers: DataFrame, variant: str = "B") -> DataFrame:
-    """D8 + D9: scored RFM table with segment label and customer attributes."""
+def rfm_label(scored: DataFrame, customers: DataFrame, variant: str = "B") -> DataFrame:
+    """Segment label and customer attributes on variant-A scores.
+
+    Variant B counts recency from one day later; a shift moves all quantile edges
+    alike, so the scores are the same and only recency changes.
+    """
     v = VARIANTS[variant]
-    scored = rfm_scores(rfm_metrics(transactions, v["plus_days"]))
-    scored = scored.withColumn(v["col"], segment_expr(v["rules"], v["default"]))
+    out = scored.withColumn("recency", F.col("recency") + F.lit(v["plus_days"])).withColumn(v["col"], segment_expr(v["rules"], v["default"]))
     attrs = customers.select("customer_id", "country", "industry", "subscription_type", *v["extra"])
-    return scored.join(attrs, "customer_id", "left")
+    return out.join(attrs, "customer_id", "left")
+
+
+def rfm_table(transactions: DataFrame, customers: DataFrame, variant: str = "B") -> DataFrame:
+    """D8 + D9: scored RFM table with segment label and customer attributes."""
+    return rfm_label(rfm_scores(rfm_metrics(transactions)), customers, variant)
 
 
 def rfm_metric_summary(rfm: DataFrame) -> DataFrame:

@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import month_start
-from tidemark.functions.core import money_sum, safe_div
+from tidemark.functions.core import money, money_sum, safe_div
+from tidemark.operators.features import customer_months
+from tidemark.session import stage_parquet
 
 # Month names, the 95 % normal quantile, and the MacKinnon (2010)
 # 5 % Dickey-Fuller response-surface coefficients for a regression with constant.
@@ -119,19 +121,24 @@ def decompose(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def seasonal_indices(decomposition: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """mean seasonal factor per calendar month (1.0 where a month is absent)."""
+    """mean seasonal component per calendar month.
+
+    Factors for a multiplicative decomposition, offsets for an additive one; a
+    month without one gets the neutral value (1.0 or 0.0).
+    """
     keys = list(keys)
     per = decomposition.groupBy(*keys, F.month("date").alias("month")).agg(omean(F.col("seasonal")).alias("_si"))
     months = decomposition.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("month"))
     names = F.create_map(*[x for i, n in enumerate(MONTH_NAMES, 1) for x in (F.lit(i), F.lit(n))])
-    base = decomposition.select(*keys).distinct().crossJoin(F.broadcast(months)) if keys else months
+    neutral = F.when(F.max("model") == "additive", F.lit(0.0)).otherwise(F.lit(1.0)).alias("_neutral")
+    base = (decomposition.groupBy(*keys).agg(neutral) if keys else decomposition.agg(neutral)).crossJoin(F.broadcast(months))
     return base.join(per, [*keys, "month"], "left").select(
-        *keys, "month", names[F.col("month")].alias("month_name"), F.coalesce(F.col("_si"), F.lit(1.0)).alias("seasonal_index")
+        *keys, "month", names[F.col("month")].alias("month_name"), F.coalesce("_si", "_neutral").alias("seasonal_index")
     )
 
 
 def trend_growth(decomposition: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """growth of the trend from its first to its last defined value, in %."""
+    """growth of the trend from its first to its last defined value, in % (NULL from a zero start)."""
     keys = list(keys)
     t = decomposition.where(F.col("trend").isNotNull())
     aggs = [
@@ -141,12 +148,14 @@ def trend_growth(decomposition: DataFrame, keys: Sequence[str] = ()) -> DataFram
     ]
     g = t.groupBy(*keys).agg(*aggs) if keys else t.agg(*aggs)
     return g.where(F.col("_nt") > 1).select(
-        *keys, "trend_start", "trend_end", ((F.col("trend_end") / F.col("trend_start") - 1) * 100).alias("trend_growth_pct")
+        *keys, "trend_start", "trend_end", ((safe_div(F.col("trend_end"), F.col("trend_start")) - 1) * 100).alias("trend_growth_pct")
     )
 
 
 def _ols(y: Column, x: Column) -> list[Column]:
-    """Per-group sums for least squares of y on x (sorted-order sums)."""
+    """Per-group sums for least squares of y on x (sorted-order sums) over the rows that have both."""
+    both = y.isNotNull() & x.isNotNull()
+    y, x = F.when(both, y), F.when(both, x)
     return [
         F.count(y).alias("_n"),
         osum(x).alias("_sx"),
@@ -158,14 +167,14 @@ def _ols(y: Column, x: Column) -> list[Column]:
 
 
 def _ols_fit(df: DataFrame) -> DataFrame:
+    """Least squares from the sums; without spread in x the slope is 0 and the fit is the mean."""
     n, sx, sy, sxx, sxy, syy = (F.col(c) for c in ["_n", "_sx", "_sy", "_sxx", "_sxy", "_syy"])
-    cxx = sxx - sx * sx / n
-    cxy = sxy - sx * sy / n
-    cyy = syy - sy * sy / n
-    slope = safe_div(cxy, cxx)
+    cxx = sxx - safe_div(sx * sx, n)
+    cxy = sxy - safe_div(sx * sy, n)
+    cyy = syy - safe_div(sy * sy, n)
     return (
-        df.withColumn("slope", slope)
-        .withColumn("intercept", (sy - F.col("slope") * sx) / n)
+        df.withColumn("slope", F.coalesce(safe_div(cxy, cxx), F.lit(0.0)))
+        .withColumn("intercept", safe_div(sy - F.col("slope") * sx, n))
         .withColumn("sse", F.greatest(cyy - F.col("slope") * cxy, F.lit(0.0)))
         .withColumn("cxx", cxx)
     )
@@ -179,23 +188,24 @@ def stationarity(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Dickey-Fuller test (constant, no augmentation) -> differencing order d.
 
     t = slope / se of the regression of dy_t on y_{t-1}; compared with the 5 %
-    MacKinnon critical value for n observations; d = 0 if t < critical.
+    MacKinnon critical value for n observations; d = 0 if t < critical.  A series
+    too short or too flat for the test has no statistic and d = 1.
     """
     keys = list(keys)
     w = _w(keys)
-    df = series.withColumn("_lag", F.lag("value").over(w)).where(F.col("_lag").isNotNull())
-    df = df.withColumn("_dy", F.col("value") - F.col("_lag"))
+    df = series.withColumn("_lag", F.lag("value").over(w)).withColumn("_dy", F.col("value") - F.col("_lag"))
     fit = _ols_fit(_grouped(df, keys, _ols(F.col("_dy"), F.col("_lag"))))
     n = F.col("_n").cast("double")
-    se = F.sqrt(safe_div(F.col("sse") / (n - 2), F.col("cxx")))
+    se = F.when(n > 2, F.sqrt(safe_div(safe_div(F.col("sse"), n - 2), F.col("cxx"))))
     a0, a1, a2, a3 = DF_CRIT_5PCT
-    crit = F.lit(a0) + F.lit(a1) / n + F.lit(a2) / (n * n) + F.lit(a3) / (n * n * n)
+    crit = F.lit(a0) + safe_div(F.lit(a1), n) + safe_div(F.lit(a2), n * n) + safe_div(F.lit(a3), n * n * n)
+    t = safe_div(F.col("slope"), se)
     return fit.select(
         *keys,
         F.col("_n").alias("n_obs"),
-        F.round(safe_div(F.col("slope"), se), 6).alias("adf_statistic"),
-        F.round(crit, 6).alias("critical_value_5pct"),
-        F.when(safe_div(F.col("slope"), se) < crit, 0).otherwise(1).alias("d"),
+        t.alias("adf_statistic"),
+        crit.alias("critical_value_5pct"),
+        F.when(t < crit, 0).otherwise(1).alias("d"),
     )
 
 
@@ -207,6 +217,8 @@ def forecast_ar(series: DataFrame, keys: Sequence[str] = (), horizon: int = 12,
     d = 1: y(T+h) = y_T + h mu + (z_T - mu) phi (1 - phi^h) / (1 - phi).
     Variance sigma^2 * sum_{k<h} psi_k^2 with psi_k = phi^k (d = 0) or
     (1 - phi^(k+1)) / (1 - phi) (d = 1).  ``d`` defaults to the F6 test.
+    A series without a regression (under four points) is carried on at its last
+    value; with two residuals or fewer it has no band.
     """
     keys = list(keys)
     w = _w(keys)
@@ -215,8 +227,7 @@ def forecast_ar(series: DataFrame, keys: Sequence[str] = (), horizon: int = 12,
     base = base.withColumn("_dy", F.col("value") - F.lag("value").over(w))
     base = base.withColumn("z", F.when(F.col("d") == 1, F.col("_dy")).otherwise(F.col("value")))
     base = base.withColumn("_zl", F.lag("z").over(w))
-    fitrows = base.where(F.col("z").isNotNull() & F.col("_zl").isNotNull())
-    fit = _ols_fit(_grouped(fitrows, keys, _ols(F.col("z"), F.col("_zl"))))
+    fit = _ols_fit(_grouped(base, keys, _ols(F.col("z"), F.col("_zl"))))
     last = _grouped(
         base,
         keys,
@@ -228,8 +239,9 @@ def forecast_ar(series: DataFrame, keys: Sequence[str] = (), horizon: int = 12,
         ],
     )
     m = fit.join(last, keys) if keys else fit.crossJoin(last)
-    phi, c = F.col("slope"), F.col("intercept")
-    m = m.withColumn("_mu", safe_div(c, 1 - phi)).withColumn("_s2", safe_div(F.col("sse"), F.col("_n") - 2))
+    phi, c = F.col("slope"), F.coalesce(F.col("intercept"), F.lit(0.0))
+    m = m.withColumn("_zT", F.coalesce("_zT", F.lit(0.0)))
+    m = m.withColumn("_mu", safe_div(c, 1 - phi)).withColumn("_s2", F.when(F.col("_n") > 2, safe_div(F.col("sse"), F.col("_n") - 2)))
     steps = m.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     hh = F.col("step").cast("double")
     ph = F.pow(phi, hh)
@@ -246,74 +258,83 @@ def forecast_ar(series: DataFrame, keys: Sequence[str] = (), horizon: int = 12,
         *keys,
         F.add_months(F.col("_T"), F.col("step")).alias("date"),
         "step",
-        F.round(fc, 2).alias("forecast"),
-        F.round(fc - half, 2).alias("lower"),
-        F.round(fc + half, 2).alias("upper"),
+        fc.alias("forecast"),
+        F.when(var.isNotNull(), fc - half).alias("lower"),
+        F.when(var.isNotNull(), fc + half).alias("upper"),
     )
 
 
 def forecast_seasonal_trend(
-    series: DataFrame, keys: Sequence[str] = (), horizon: int = 12, seasonal: DataFrame | None = None
+    series: DataFrame, keys: Sequence[str] = (), horizon: int = 12, decomposition: DataFrame | None = None
 ) -> DataFrame:
-    """F8: linear trend on the deseasonalised series x seasonal index, history + horizon.
+    """F8: linear trend on the deseasonalised series with the seasonal component, history + horizon.
 
-    The seasonal index per calendar month comes from F3/F4 (pass
-    ``seasonal`` to reuse a computed one); the band is
-    +-1.96 x the in-sample residual standard deviation.
+    The component of a position class comes from F3 (pass ``decomposition`` to
+    reuse one): factors divide and multiply in a multiplicative model, offsets
+    are taken off and put back in an additive one; without one (under four
+    points) the trend stands alone.  The band is +-1.96 x the in-sample residual
+    standard deviation (none for a single point).
     """
     keys = list(keys)
-    si = seasonal if seasonal is not None else seasonal_indices(decompose(series, keys), keys)
-    si = si.select(*keys, "month", "seasonal_index")
-    df = _with_positions(series, keys).withColumn("month", F.month("date"))
-    df = df.join(si, [*keys, "month"], "left").withColumn("_ds", F.col("value") / F.col("seasonal_index"))
-    fit = _ols_fit(_grouped(df, keys, _ols(F.col("_ds"), F.col("pos").cast("double"))))
-    fitted = (df.join(fit, keys) if keys else df.crossJoin(fit)).withColumn(
-        "fitted", (F.col("intercept") + F.col("slope") * F.col("pos")) * F.col("seasonal_index")
-    )
-    sd = _grouped(fitted, keys, [F.sqrt(safe_div(osum((F.col("value") - F.col("fitted")) ** 2), F.count("value") - 1)).alias("_sd"), F.max("date").alias("_T"), F.max("n").alias("_nn")])
-    future = (fit.join(sd, keys) if keys else fit.crossJoin(sd)).withColumn(
+    parts = decomposition if decomposition is not None else decompose(series, keys)
+    w = _w(keys)
+    df = parts.withColumn("pos", (F.row_number().over(w) - 1).cast("int")).withColumn("_mult", F.col("model") == "multiplicative")
+    neutral = F.when(F.col("_mult"), F.lit(1.0)).otherwise(F.lit(0.0))
+    df = df.withColumn("_cls", F.col("pos") % F.greatest(F.col("period"), F.lit(1))).withColumn("_s", F.coalesce("seasonal", neutral))
+    ds = F.when(F.col("_mult"), safe_div(F.col("observed"), F.col("_s"))).otherwise(F.col("observed") - F.col("_s"))
+    fit = _ols_fit(_grouped(df, keys, [
+        *_ols(ds, F.col("pos").cast("double")),
+        F.max("date").alias("_T"), F.count(F.lit(1)).alias("_nn"), F.max("period").alias("_p"), F.max("_mult").alias("_mult"),
+        # one component a class: at most twelve
+        F.map_from_entries(F.array_distinct(F.collect_list(F.struct("_cls", "_s")))).alias("_by_cls"),
+    ]))
+    line = lambda x: F.col("intercept") + F.col("slope") * x
+    with_season = lambda x, sea: F.when(F.col("_mult"), line(x) * sea).otherwise(line(x) + sea)
+    model = fit.select(*keys, "slope", "intercept", "_T", "_nn", "_p", "_by_cls", F.col("_mult").alias("_m"))
+    fitted = (df.join(model, keys) if keys else df.crossJoin(F.broadcast(model))).withColumn("fitted", with_season(F.col("pos"), F.col("_s")))
+    sd = _grouped(fitted, keys, [F.sqrt(safe_div(osum((F.col("observed") - F.col("fitted")) ** 2), F.count("observed") - 1)).alias("_sd")])
+    future = (model.join(sd, keys) if keys else model.crossJoin(F.broadcast(sd))).withColumn("_mult", F.col("_m")).withColumn(
         "step", F.explode(F.sequence(F.lit(1), F.lit(horizon)))
     )
-    future = future.withColumn("date", F.add_months(F.col("_T"), F.col("step"))).withColumn("month", F.month("date"))
-    future = future.join(si, [*keys, "month"], "left").withColumn(
-        "fitted", (F.col("intercept") + F.col("slope") * (F.col("_nn") - 1 + F.col("step"))) * F.col("seasonal_index")
+    at = (F.col("_nn") - 1 + F.col("step")).cast("int")
+    future = future.withColumn("date", F.add_months(F.col("_T"), F.col("step"))).withColumn(
+        "fitted", with_season(at, F.try_element_at("_by_cls", at % F.greatest(F.col("_p"), F.lit(1))))
     )
-    hist = fitted.join(sd.select(*keys, "_sd"), keys) if keys else fitted.crossJoin(sd.select("_sd"))
+    hist = fitted.join(sd, keys) if keys else fitted.crossJoin(F.broadcast(sd))
     cols = lambda flag: [
         *keys,
         "date",
-        F.round(F.col("fitted"), 2).alias("forecast"),
-        F.round(F.col("fitted") - Z95 * F.col("_sd"), 2).alias("lower"),
-        F.round(F.col("fitted") + Z95 * F.col("_sd"), 2).alias("upper"),
+        F.col("fitted").alias("forecast"),
+        (F.col("fitted") - Z95 * F.col("_sd")).alias("lower"),
+        (F.col("fitted") + Z95 * F.col("_sd")).alias("upper"),
         F.lit(flag).alias("is_forecast"),
     ]
     return hist.select(*cols(False)).unionByName(future.select(*cols(True)))
 
 
 def holdout_metrics(series: DataFrame, keys: Sequence[str] = (), holdout: int = 3) -> DataFrame:
-    """fit both models without the last ``holdout`` points; MAE, RMSE, MAPE (%) on them."""
+    """fit both models without the last ``holdout`` points; MAE, RMSE, MAPE (%) on them.
+
+    The training series and its decomposition are staged, so the models read
+    small tables instead of repeating the plan under them.  A series of
+    ``holdout`` points or fewer has no training part: its row has NULL errors.
+    """
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(F.desc("date")) if keys else Window.orderBy(F.desc("date"))
-    r = series.withColumn("_rk", F.row_number().over(w))
+    r = stage_parquet(series.withColumn("_rk", F.row_number().over(w)), "holdout")
     train = r.where(F.col("_rk") > holdout).drop("_rk")
     test = r.where(F.col("_rk") <= holdout).select(*keys, "date", F.col("value").alias("actual"))
-    st = forecast_seasonal_trend(train, keys, holdout).where("is_forecast").select(*keys, "date", "forecast")
-    ar = forecast_ar(train, keys, holdout).select(*keys, "date", "forecast")
-    out = None
-    for name, fc in [("seasonal_trend", st), ("ar", ar)]:
-        j = test.join(fc, [*keys, "date"], "inner")
-        err = F.col("forecast") - F.col("actual")
-        g = _grouped(
-            j,
-            keys,
-            [
-                F.round(omean(F.abs(err)), 6).alias("mae"),
-                F.round(F.sqrt(omean(err * err)), 6).alias("rmse"),
-                F.round(omean(F.abs(err) / F.greatest(F.abs(F.col("actual")), F.lit(2.220446049250313e-16))) * 100, 6).alias("mape"),
-            ],
-        ).withColumn("model", F.lit(name))
-        out = g if out is None else out.unionByName(g)
-    return out
+    parts = stage_parquet(decompose(train, keys), "holdout-parts")
+    st = forecast_seasonal_trend(train, keys, holdout, parts).where("is_forecast").select(*keys, "date", "forecast", F.lit("seasonal_trend").alias("model"))
+    ar = forecast_ar(train, keys, holdout).select(*keys, "date", "forecast", F.lit("ar").alias("model"))
+    models = F.explode(F.array(F.lit("seasonal_trend"), F.lit("ar"))).alias("model")
+    j = test.select(*keys, "date", "actual", models).join(st.unionByName(ar), [*keys, "date", "model"], "left")
+    err = F.col("forecast") - F.col("actual")
+    return j.groupBy(*keys, "model").agg(
+        omean(F.abs(err)).alias("mae"),
+        F.sqrt(omean(err * err)).alias("rmse"),
+        (omean(safe_div(F.abs(err), F.greatest(F.abs(F.col("actual")), F.lit(2.220446049250313e-16)))) * 100).alias("mape"),
+    )
 
 
 def model_comparison(metrics: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -345,7 +366,7 @@ def combined_forecast(seasonal_fc: DataFrame, ar_fc: DataFrame, keys: Sequence[s
         F.month("date").alias("month"),
         F.date_format("date", "MMMM").alias("month_name"),
         F.quarter("date").alias("quarter"),
-    ).withColumn("cumulative_forecast", F.sum(F.col("forecast_ensemble").cast("decimal(38,4)")).over(w).cast("double"))
+    ).withColumn("cumulative_forecast", F.sum(money("forecast_ensemble")).over(w).cast("double"))
 
 
 def forecast_totals(combined: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -365,114 +386,94 @@ def forecast_totals(combined: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 ARMA_ORDERS = [(p, q) for p in range(4) for q in range(4)]
 
 
-def _arma_fit_forecast(pdf, horizon: int, key_cols: list[str]):
-    """Hannan-Rissanen ARMA(p, q) on one (series, p, q) group; forecasts on the original scale.
-
-    Runs inside a grouped-map task: the group is one monthly series (bounded
-    by the calendar), never a raw-data group.
-    """
-    import numpy as np
-    import pandas as pd
-
-    pdf = pdf.sort_values("date")
-    p, q, d = int(pdf["p"].iloc[0]), int(pdf["q"].iloc[0]), int(pdf["d"].iloc[0])
-    y = pdf["value"].to_numpy(dtype=float)
-    z = np.diff(y) if d == 1 else y.copy()
-    n = len(z)
-    keys = {k: pdf[k].iloc[0] for k in key_cols}
-    out_cols = [*key_cols, "p", "q", "aic", "step", "forecast", "lower", "upper"]
-    m = min(max(p, q) + 4, max(n // 4, 1))
-    if n < max(p, q) + m + 8:
-        return pd.DataFrame(columns=out_cols)
-    # stage 1: long AR(m) residuals
-    e = np.zeros(n)
-    if q > 0:
-        X = np.column_stack([np.ones(n - m)] + [z[m - i : n - i] for i in range(1, m + 1)])
-        b, *_ = np.linalg.lstsq(X, z[m:], rcond=None)
-        e[m:] = z[m:] - X @ b
-    # stage 2: z_t on 1, z lags, residual lags
-    s = max(p, q + (m if q > 0 else 0))
-    cols = [np.ones(n - s)] + [z[s - i : n - i] for i in range(1, p + 1)] + [e[s - j : n - j] for j in range(1, q + 1)]
-    X = np.column_stack(cols)
-    beta, *_ = np.linalg.lstsq(X, z[s:], rcond=None)
-    resid = z[s:] - X @ beta
-    n_eff = len(resid)
-    sigma2 = float(resid @ resid) / n_eff
-    if not np.isfinite(sigma2) or sigma2 <= 0:
-        return pd.DataFrame(columns=out_cols)
-    aic = n_eff * np.log(sigma2) + 2 * (p + q + 1)
-    c, phi, theta = beta[0], beta[1 : 1 + p], beta[1 + p :]
-    zh, eh = list(z), list(e)
-    eh[s:] = list(resid)
-    fz = []
-    for _ in range(horizon):
-        v = c + sum(phi[i] * zh[-1 - i] for i in range(p)) + sum(theta[j] * eh[-1 - j] for j in range(q))
-        zh.append(v)
-        eh.append(0.0)
-        fz.append(v)
-    # psi weights of the ARMA, integrated once when d = 1
-    psi = [1.0]
-    for k in range(1, horizon):
-        v = (theta[k - 1] if k - 1 < q else 0.0) + sum(phi[i] * psi[k - 1 - i] for i in range(min(p, k)))
-        psi.append(v)
-    psi = np.cumsum(psi) if d == 1 else np.array(psi)
-    var = sigma2 * np.cumsum(np.square(psi))
-    fc = y[-1] + np.cumsum(fz) if d == 1 else np.array(fz)
-    half = 1.96 * np.sqrt(var)
-    rows = pd.DataFrame(
-        {
-            "p": p,
-            "q": q,
-            "aic": float(aic),
-            "step": np.arange(1, horizon + 1),
-            "forecast": fc,
-            "lower": fc - half,
-            "upper": fc + half,
-        }
-    )
-    for k, v in keys.items():
-        rows[k] = v
-    return rows[out_cols]
-
-
 def forecast_arma_grid(
     series: DataFrame, keys: Sequence[str] = (), horizon: int = 12, d: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """F7 grid: ARMA(p, q), p, q in 0..3, per series on the F6 difference order; best by AIC.
 
-    The 16 orders are replicated with ``explode`` (no join); each (series, p, q)
-    group is fitted in an ``applyInPandas`` task; the best order per series is
-    the minimum AIC (ties -> fewer parameters).  Returns (forecast of the best
-    order with dates, AIC table of all orders).
+    Hannan-Rissanen least squares in one ``applyInPandas`` task a series (one
+    row a month, so the group is bounded by the calendar).  All orders of a
+    series are estimated on the same rows, its last n - s, so their AICs compare;
+    ties go to fewer parameters.  Every series is reported: ``status`` is ``ok``,
+    ``short`` (too few points for the grid: the mean model on all of them) or
+    ``constant`` (no variance: AIC is NULL and the mean model is taken).
+
+    Returns (forecast of the best order with dates, AIC table of all orders).
     """
     keys = list(keys)
     dd = d if d is not None else stationarity(series, keys).select(*keys, "d")
-    base = series.join(dd, keys) if keys else series.crossJoin(F.broadcast(dd))
-    orders = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in ARMA_ORDERS])
-    grid = base.withColumn("_o", F.explode(orders)).select(*keys, "date", "value", "d", "_o.p", "_o.q")
-    key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema.fields if f.name in keys)
-    schema = (key_types + ", " if key_types else "") + (
-        "p int, q int, aic double, step int, forecast double, lower double, upper double"
+    base = series.join(dd, keys) if keys else series.crossJoin(F.broadcast(dd)).withColumn("_all", F.lit(0))
+    by = keys or ["_all"]
+    types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
+    schema = "".join(f"`{k}` {types[k]}, " for k in by) + (
+        "p int, q int, status string, aic double, step int, forecast double, lower double, upper double"
     )
-    fitted = grid.groupBy(*keys, "p", "q").applyInPandas(
-        lambda pdf: _arma_fit_forecast(pdf, horizon, keys), schema=schema
+    orders = list(ARMA_ORDERS)
+
+    def fit(pdf):
+        # self-contained: the workers need numpy and pandas, not this package
+        import numpy as np
+        import pandas as pd
+
+        pdf = pdf.sort_values("date")
+        y = pdf["value"].to_numpy(dtype=float)
+        diff = int(pdf["d"].iloc[0]) == 1
+        z = np.diff(y) if diff else y
+        n = len(z)
+        m = max(1, min(7, n // 4))  # order of the long autoregression
+        s = m + 3
+        short = n - s < 8
+        todo = [(0, 0)] if short else orders
+        start = 0 if short else s
+        e = np.zeros(n)
+        if not short:
+            x = np.column_stack([np.ones(n - m)] + [z[m - i : n - i] for i in range(1, m + 1)])
+            e[m:] = z[m:] - x @ np.linalg.lstsq(x, z[m:], rcond=None)[0]
+        out = []
+        for p, q in todo:
+            cols = [np.ones(n - start)] + [z[start - i : n - i] for i in range(1, p + 1)] + [e[start - j : n - j] for j in range(1, q + 1)]
+            x = np.column_stack(cols)
+            if n:
+                beta = np.linalg.lstsq(x, z[start:], rcond=None)[0]
+                resid = z[start:] - x @ beta
+            else:
+                beta, resid = np.zeros(1), np.zeros(0)
+            sigma2 = float(resid @ resid) / max(1, len(resid))
+            flat = sigma2 <= 1e-24 * max(1.0, float(np.max(np.abs(z), initial=0.0)) ** 2)
+            aic = None if flat else len(resid) * np.log(sigma2) + 2 * (p + q + 1)
+            c, phi, theta = beta[0], beta[1 : 1 + p], beta[1 + p :]
+            past, shocks = list(z), [0.0] * start + list(resid)
+            ahead = []
+            for _ in range(horizon):
+                v = c + sum(phi[i] * past[-1 - i] for i in range(p)) + sum(theta[j] * shocks[-1 - j] for j in range(q))
+                past.append(v)
+                shocks.append(0.0)
+                ahead.append(v)
+            # psi weights of the ARMA, integrated once for a differenced series
+            psi = [1.0]
+            for k in range(1, horizon):
+                psi.append((theta[k - 1] if k - 1 < q else 0.0) + sum(phi[i] * psi[k - 1 - i] for i in range(min(p, k))))
+            psi = np.cumsum(psi) if diff else np.array(psi)
+            half = 1.96 * np.sqrt(sigma2 * np.cumsum(np.square(psi)))
+            fc = y[-1] + np.cumsum(ahead) if diff else np.array(ahead)
+            status = "constant" if flat else "short" if short else "ok"
+            out.append(pd.DataFrame({"p": p, "q": q, "status": status, "aic": aic, "step": np.arange(1, horizon + 1), "forecast": fc, "lower": fc - half, "upper": fc + half}))
+        rows = pd.concat(out, ignore_index=True).astype({"aic": float})
+        for k in by:
+            rows[k] = pdf[k].iloc[0]
+        return rows[[*by, "p", "q", "status", "aic", "step", "forecast", "lower", "upper"]]
+
+    fitted = stage_parquet(base.groupBy(*by).applyInPandas(fit, schema=schema), "arma")
+    aic = fitted.where("step = 1").select(*by, "p", "q", "status", F.nanvl("aic", F.lit(None).cast("double")).alias("aic"))
+    # without an AIC (no variance) the fewest parameters win
+    best = aic.groupBy(*by).agg(
+        F.min_by(F.struct("p", "q"), F.struct(F.coalesce("aic", F.lit(float("-inf"))), F.col("p") + F.col("q"), "p")).alias("_b")
     )
-    aic = fitted.select(*keys, "p", "q", "aic").distinct()
-    best = _grouped(aic, keys, [F.min_by(F.struct("p", "q"), F.struct("aic", F.col("p") + F.col("q"), "p")).alias("_b")])
-    best = best.select(*keys, F.col("_b.p").alias("p"), F.col("_b.q").alias("q"))
-    last = _grouped(series, keys, [F.max("date").alias("_T")])
-    fc = fitted.join(best, [*keys, "p", "q"]).join(last, keys) if keys else fitted.join(best, ["p", "q"]).crossJoin(last)
-    fc = fc.select(
-        *keys,
-        F.add_months(F.col("_T"), F.col("step")).alias("date"),
-        "step",
-        "p",
-        "q",
-        F.round("forecast", 2).alias("forecast"),
-        F.round("lower", 2).alias("lower"),
-        F.round("upper", 2).alias("upper"),
-    )
-    return fc, aic
+    best = best.select(*by, F.col("_b.p").alias("p"), F.col("_b.q").alias("q"))
+    last = base.groupBy(*by).agg(F.max("date").alias("_T"))
+    fc = fitted.join(best, [*by, "p", "q"]).join(last, by)
+    fc = fc.select(*keys, F.add_months(F.col("_T"), F.col("step")).alias("date"), "step", "p", "q", "status", "forecast", "lower", "upper")
+    return fc, aic.select(*keys, "p", "q", "status", "aic")
 
 
 def monthly_series_by(transactions: DataFrame, customers: DataFrame, dim: str) -> DataFrame:
@@ -483,12 +484,10 @@ def monthly_series_by(transactions: DataFrame, customers: DataFrame, dim: str) -
     customer alone.
     """
     per = (
-        transactions.where(F.col("transaction_status") == "Completed")
-        .groupBy("customer_id", month_start(F.col("transaction_date")).alias("date"))
-        .agg(F.sum(F.col("amount").cast("decimal(18,4)")).alias("_v"))
+        customer_months(transactions)
         .join(customers.select("customer_id", dim), "customer_id")
-        .groupBy(dim, "date")
-        .agg(F.sum("_v").cast("double").alias("value"))
+        .groupBy(dim, F.col("month").alias("date"))
+        .agg(F.sum("revenue").cast("double").alias("value"))
     )
     bounds = per.groupBy(dim).agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
     spine = bounds.select(dim, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 month"))).alias("date"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import month_label
-from tidemark.functions.core import favg, fsum, money_sum, pct_change, safe_div, scalar_join, share_pct
+from tidemark.functions.core import favg, fsum, money, money_sum, pct_change, safe_div, scalar_join, share_pct
 from tidemark.functions.ranking import global_rank, qcut_rank
 
 # Customer value tiers (rank quartiles of revenue, low to high).
@@ -83,7 +83,7 @@ def master_customers(
     if clusters is not None:
         m = m.join(clusters.select("customer_id", "behavioral_segment"), "customer_id", "left")
     else:
-        m = m.withColumn("behavioral_segment", F.lit(None).cast("string"))
+        m = m.withColumn("behavioral_segment", F.lit("Unknown" if rfm_b is None else None).cast("string"))
     ref = transactions.agg(F.max("transaction_date").alias("_ref"))
     m = scalar_join(m, ref)
     m = (
@@ -93,8 +93,10 @@ def master_customers(
         .withColumn("lifetime_months", F.bround(F.datediff(F.col("_ref"), F.col("signup_date")) / 30, 1))
         .drop("_ref")
     )
-    n = m.agg(F.count(F.lit(1)).alias("_n"))
-    m = scalar_join(global_rank(m, ["total_revenue", "customer_id"], out="_vr"), n)
+    # only the key and the revenue are sorted; the rank comes back on the bucketed key
+    ranks = global_rank(customer_features.select("customer_id", "total_revenue"), ["total_revenue", "customer_id"], out="_vr")
+    n = customer_features.agg(F.count(F.lit(1)).alias("_n"))
+    m = scalar_join(m.join(ranks.select("customer_id", "_vr"), "customer_id", "left"), n)
     tiers = F.array(*[F.lit(t) for t in VALUE_TIERS])
     m = m.withColumn("customer_value_tier", F.element_at(tiers, qcut_rank(F.col("_vr"), F.col("_n"), 4))).drop("_vr", "_n")
     return m.na.fill({"churn_probability": 0.0}).na.fill(
@@ -149,7 +151,7 @@ def monthly_business_summary(transactions: DataFrame, customers: DataFrame, mast
         (F.col("_am") * 100).alias("profit_margin_pct"),
         "total_high_risk_customers",
         "revenue_at_risk",
-        F.sum(F.col("revenue").cast("decimal(38,4)")).over(wc).cast("double").alias("cumulative_revenue"),
+        F.sum(money("revenue")).over(wc).cast("double").alias("cumulative_revenue"),
         F.sum(F.coalesce(F.col("new_customers"), F.lit(0))).over(wc).alias("cumulative_customers"),
     )
     return m.na.fill(0).na.fill(0.0).orderBy("month")
@@ -300,8 +302,13 @@ def segment_summary(master: DataFrame) -> DataFrame:
     )
 
 
-def executive_kpis(customer_features: DataFrame, transactions: DataFrame, profit: DataFrame, churn_summary: DataFrame) -> DataFrame:
-    """The executive KPI rows (metric, value), incl. one row per subscription type."""
+def executive_kpis(
+    customer_features: DataFrame, transactions: DataFrame, profit: DataFrame | None = None, churn_summary: DataFrame | None = None
+) -> DataFrame:
+    """The executive KPI rows (metric, value), incl. one row per subscription type.
+
+    Without a profit or a churn table their rows are left out, as the reference does.
+    """
     c = customer_features.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.count_if(F.col("is_churned") == 0).alias("active_customers"),
@@ -323,23 +330,27 @@ def executive_kpis(customer_features: DataFrame, transactions: DataFrame, profit
     per_m = done.groupBy(month_label(F.col("transaction_date"))).agg(money_sum("amount").alias("_r")).agg(
         favg("_r").alias("avg_monthly_revenue")
     )
-    p = profit.agg(
-        fsum("gross_profit").alias("total_profit"),
-        favg("profit_margin").alias("avg_profit_margin"),
-        (F.avg((F.col("profit_margin") > 0).cast("int")) * 100).alias("profitable_customers_pct"),
-    )
-    one = c.crossJoin(t).crossJoin(d).crossJoin(per_c).crossJoin(per_m).crossJoin(p)
+    one = c.crossJoin(t).crossJoin(d).crossJoin(per_c).crossJoin(per_m)
     one = one.withColumn("transaction_success_rate", safe_div(F.col("successful_transactions"), F.col("total_transactions")) * 100)
     names = [
         "total_customers", "active_customers", "churned_customers", "churn_rate", "total_revenue",
         "avg_revenue_per_customer", "avg_transaction_value", "total_transactions", "successful_transactions",
         "transaction_success_rate", "avg_monthly_revenue", "avg_customer_tenure_days", "avg_customer_ltv",
-        "total_profit", "avg_profit_margin", "profitable_customers_pct",
     ]
+    if profit is not None:
+        p = profit.agg(
+            fsum("gross_profit").alias("total_profit"),
+            favg("profit_margin").alias("avg_profit_margin"),
+            (F.avg((F.col("profit_margin") > 0).cast("int")) * 100).alias("profitable_customers_pct"),
+        )
+        one = one.crossJoin(p)
+        names += ["total_profit", "avg_profit_margin", "profitable_customers_pct"]
     rows = _stack(one, names)
     subs = customer_features.groupBy("subscription_type").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
         F.concat(F.lit("customers_"), F.lower("subscription_type")).alias("metric"), "value"
     )
+    if churn_summary is None:
+        return rows.unionByName(subs)
     high = churn_summary.where(F.col("risk_level") == "High")
     risk = high.select(F.lit("high_risk_customers").alias("metric"), F.col("customer_count").cast("double").alias("value")).unionByName(
         high.select(F.lit("revenue_at_risk").alias("metric"), F.col("revenue_at_risk").alias("value"))
@@ -376,15 +387,16 @@ def monthly_summary(transactions: DataFrame) -> DataFrame:
     )
 
 
-def customer_metrics(customer_features: DataFrame, churn: DataFrame, rfm_a: DataFrame) -> DataFrame:
-    """Customer metrics joined with churn score and RFM (variant A) scores."""
-    return (
-        customer_features.select(
-            "customer_id", "total_revenue", "total_transactions", "customer_tenure_days", "is_churned", "customer_ltv"
-        )
-        .join(churn.select("customer_id", "churn_probability", "churn_risk_level"), "customer_id", "left")
-        .join(rfm_a.select("customer_id", "R_score", "F_score", "M_score", "segment"), "customer_id", "left")
+def customer_metrics(customer_features: DataFrame, churn: DataFrame | None = None, rfm_a: DataFrame | None = None) -> DataFrame:
+    """Customer metrics with the churn score and RFM (variant A) scores that there are."""
+    out = customer_features.select(
+        "customer_id", "total_revenue", "total_transactions", "customer_tenure_days", "is_churned", "customer_ltv"
     )
+    if churn is not None:
+        out = out.join(churn.select("customer_id", "churn_probability", "churn_risk_level"), "customer_id", "left")
+    if rfm_a is not None:
+        out = out.join(rfm_a.select("customer_id", "R_score", "F_score", "M_score", "segment"), "customer_id", "left")
+    return out
 
 
 def margin_by_subscription(profit: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Lazily composed intermediate tables for one input directory.
+"""Intermediate tables for one input directory, composed on first use.
 
-Every attribute is a lazy DataFrame; nothing runs until an action.  Shared
-sub-plans (cleaned transactions, customer features, RFM) are defined once so
-Catalyst sees one plan and can reuse exchanges.
+An attribute is built when it is first read.  The tables that several modules
+read are staged then: a job runs and writes them, and so do the distributed
+ranks under some of them.  All other attributes are lazy DataFrames.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.ranking import range_partitions
 from tidemark.session import stage_bucketed, stage_parquet
 
 from tidemark.operators import churn, cluster, cohort, features, profit, retention, rfm, series, unified
@@ -37,9 +38,14 @@ class Tables:
         grain: str = "lineitem",
         materialize: bool = True,
         raw: tuple[DataFrame, DataFrame] | None = None,
+        fitted_clusters: bool = False,
     ):
         """Inputs are either the driver tables under ``sf_dir`` (through an adapter
-        ``grain``) or canonical ``raw = (customers, transactions)`` frames."""
+        ``grain``) or canonical ``raw = (customers, transactions)`` frames.
+
+        The master table's behavioural label comes from the fixed rules unless
+        ``fitted_clusters`` asks for the k-means clusters."""
+        self.fitted_clusters = fitted_clusters
         if sf_dir is None and raw is None:
             raise ValueError("give sf_dir or raw=(customers, transactions)")
         self.spark = spark
@@ -55,11 +61,8 @@ class Tables:
     @cached_property
     def buckets(self) -> int:
         """One bucket count for every customer-level table of the run (so they join
-        without shuffles): ~one bucket per 64 MB of the customer input, capped by
-        ``spark.sql.shuffle.partitions``."""
-        from tidemark.functions.ranking import _range_partitions
-
-        return _range_partitions(self.raw_customers, None)
+        without shuffles): one for each advisory size of the customer input's files."""
+        return range_partitions(self.raw_customers)
 
     def _stage_customers(self, df: DataFrame, name: str) -> DataFrame:
         """Stage a customer-level table bucketed by customer_id."""
@@ -96,13 +99,29 @@ class Tables:
     def transaction_features(self) -> DataFrame:
         return features.transaction_features(self.transactions)
 
+    @cached_property
+    def reference(self) -> DataFrame:
+        """One row: the latest transaction date over all statuses."""
+        return self._stage(features.reference_date(self.transactions), "reference")
+
+    @cached_property
+    def customer_months(self) -> DataFrame:
+        """Completed activity by customer and month: the fact's one shuffle by customer, shared by RFM,
+        cohorts, verified revenue and the keyed series."""
+        return self._stage_customers(features.customer_months(self.transactions), "customer_months")
+
+    @cached_property
+    def rfm_scored(self) -> DataFrame:
+        """Scores are the same for both variants, so they are ranked once."""
+        return self._stage_customers(rfm.rfm_scores(rfm.rfm_metrics(self.customer_months, reference=self.reference)), "rfm_scored")
+
     @cached_property
     def rfm_a(self) -> DataFrame:
-        return self._stage_customers(rfm.rfm_table(self.transactions, self.customer_features, "A"), "rfm_a")
+        return rfm.rfm_label(self.rfm_scored, self.customer_features, "A")
 
     @cached_property
     def rfm_b(self) -> DataFrame:
-        return self._stage_customers(rfm.rfm_table(self.transactions, self.customer_features, "B"), "rfm_b")
+        return rfm.rfm_label(self.rfm_scored, self.customer_features, "B")
 
     @cached_property
     def segment_summary_b(self) -> DataFrame:
@@ -110,7 +129,7 @@ class Tables:
 
     @cached_property
     def cohorted(self) -> DataFrame:
-        return cohort.with_cohort(self.transactions, self.customers)
+        return self._stage_customers(cohort.with_cohort(self.customer_months, self.customers), "cohorted")
 
     @cached_property
     def cohort_counts(self) -> DataFrame:
@@ -134,7 +153,7 @@ class Tables:
 
     @cached_property
     def profit(self) -> DataFrame:
-        return self._stage_customers(profit.profitability(self.customer_features, self.transactions), "profit")
+        return self._stage_customers(profit.profitability(self.customer_features, self.customer_months), "profit")
 
     @cached_property
     def churn_scores(self) -> DataFrame:
@@ -163,7 +182,7 @@ class Tables:
 
     @cached_property
     def forecast_seasonal(self) -> DataFrame:
-        return series.forecast_seasonal_trend(self.monthly_series, seasonal=self.seasonal_indices)
+        return series.forecast_seasonal_trend(self.monthly_series, decomposition=self.decomposition)
 
     @cached_property
     def forecast_ar(self) -> DataFrame:
@@ -182,7 +201,7 @@ class Tables:
         return self._stage_customers(
             unified.master_customers(
                 self.customer_features, self.transactions, self.churn_predictions, self.recommendations, self.profit,
-                self.rfm_b,
+                self.rfm_b, self.behavioural,
             ),
             "master",
         )
@@ -211,6 +230,25 @@ class Tables:
     def cluster_profile(self) -> DataFrame:
         return cluster.cluster_profile(self.rfm_b, self.clusters[0])
 
+    @cached_property
+    def rule_clusters(self) -> DataFrame:
+        return cluster.rule_clusters(self.rfm_b)
+
+    @cached_property
+    def rule_profile(self) -> DataFrame:
+        return cluster.cluster_profile(self.rfm_b, self.rule_clusters)
+
+    @cached_property
+    def behavioural(self) -> DataFrame:
+        """(customer_id, cluster, behavioral_segment) for the master table."""
+        if self.fitted_clusters:
+            return cluster.behavioural_segments(self.clusters[0], self.cluster_profile)
+        return cluster.behavioural_segments(self.rule_clusters, self.rule_profile)
+
+    @cached_property
+    def industry_series(self) -> DataFrame:
+        return self._stage(series.monthly_series_by(self.customer_months, self.customers, "industry"), "industry_series")
+
     @cached_property
     def seasonal_indices(self) -> DataFrame:
         return series.seasonal_indices(self.decomposition)

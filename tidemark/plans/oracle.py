@@ -11,10 +11,11 @@ CTES: dict[str, tuple[str, list[str]]] = {}
 
 
 def cte(name: str, sql: str, deps: list[str] | None = None) -> None:
-    CTES[name] = (sql.strip(), deps or [])
+    CTES[name] = (sql.strip().replace("@MS@", MS.format(x="amount")), deps or [])
 
 
 def build(body: str, *names: str) -> str:
+    body = body.replace("@MS@", MS.format(x="amount"))
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -32,6 +33,9 @@ def build(body: str, *names: str) -> str:
     return f"WITH {parts}\n{body.strip()}"
 
 
+MS = "CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12))) AS VARCHAR) AS DOUBLE)"  # exact money sum
+
+
 # ---------------------------------------------------------------- inputs
 cte(
     "customers_raw",
@@ -140,8 +144,8 @@ FROM customers c
 LEFT JOIN (
   SELECT customer_id,
          COUNT(transaction_id) AS total_transactions,
-         CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-         CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(COUNT(amount), 0) AS avg_transaction,
+         @MS@ AS total_revenue,
+         @MS@ / NULLIF(COUNT(amount), 0) AS avg_transaction,
          ROUND(STDDEV_SAMP(amount), 6) AS std_transaction,
          MIN(transaction_date) AS first_transaction,
          MAX(transaction_date) AS last_transaction,
@@ -183,7 +187,7 @@ FROM txns
 register(
     "daily_revenue",
     """
-SELECT transaction_date AS date, CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
+SELECT transaction_date AS date, @MS@ AS revenue,
        COUNT(transaction_id) AS transaction_count
 FROM completed GROUP BY transaction_date
 """,
@@ -193,7 +197,7 @@ register(
     "monthly_revenue",
     """
 SELECT CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
-       CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
+       @MS@ AS revenue,
        COUNT(transaction_id) AS transaction_count,
        COUNT(DISTINCT customer_id) AS unique_customers,
        make_date(CAST(year(transaction_date) AS INTEGER), CAST(month(transaction_date) AS INTEGER), 1) AS date
@@ -205,9 +209,9 @@ register(
     "monthly_revenue_agg",
     """
 SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS month,
-       CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
+       @MS@ AS total_revenue,
        COUNT(amount) AS transaction_count,
-       CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(COUNT(amount), 0) AS avg_transaction,
+       @MS@ / NULLIF(COUNT(amount), 0) AS avg_transaction,
        COUNT(DISTINCT customer_id) AS unique_customers
 FROM txn_raw WHERE transaction_status = 'Completed' GROUP BY 1
 """,
@@ -223,7 +227,6 @@ FROM customers GROUP BY 1
 )
 
 # ---------------------------------------------------------------- RFM
-MS = "CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"  # exact money sum
 FS = "CAST(SUM(CAST({x} AS DECIMAL(38,9))) AS DOUBLE)"  # exact derived-double sum
 
 
@@ -349,7 +352,11 @@ CROSS JOIN (SELECT COUNT(*) AS nc, {ms('monetary')} AS rv FROM rfm_B) t
     ["rfm_B"],
 )
 
-register("rfm_scores", "SELECT * FROM rfm_B", "rfm_B")
+register(
+    "rfm_scores",
+    "SELECT customer_id, recency, frequency, monetary, R_score, F_score, M_score, RFM_score, RFM_total FROM rfm_A",
+    "rfm_A",
+)
 register("rfm_segments_a", "SELECT * FROM rfm_A", "rfm_A")
 register("rfm_segments_b", "SELECT * FROM rfm_B", "rfm_B")
 register(
@@ -610,7 +617,12 @@ register(
 ORACLE["revenue_percentiles"] = ORACLE["revenue_percentiles"].replace(
     "SELECT * FROM (VALUES", "SELECT percentile, value FROM (VALUES", 1
 )
-register("customer_costs", f"SELECT {PROFIT_COLS} FROM profit", "profit")
+register(
+    "customer_costs",
+    "SELECT customer_id, subscription_type, total_revenue, acquisition_cost, servicing_cost, transaction_cost, support_cost, "
+    "infrastructure_cost, payment_processing_cost, total_cost FROM profit",
+    "profit",
+)
 register("customer_profit", f"SELECT {PROFIT_COLS} FROM profit", "profit")
 register(
     "cost_breakdown",
@@ -944,8 +956,9 @@ FROM (SELECT t.*, CASE WHEN period >= 2 THEN CASE WHEN mult THEN c.cm / NULLIF(c
 SELECT m.month, CASE m.month WHEN 1 THEN 'Jan' WHEN 2 THEN 'Feb' WHEN 3 THEN 'Mar' WHEN 4 THEN 'Apr'
          WHEN 5 THEN 'May' WHEN 6 THEN 'Jun' WHEN 7 THEN 'Jul' WHEN 8 THEN 'Aug' WHEN 9 THEN 'Sep'
          WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' WHEN 12 THEN 'Dec' END AS month_name,
-       COALESCE(s.si, 1.0) AS seasonal_index
+       COALESCE(s.si, n.neutral) AS seasonal_index
 FROM (SELECT CAST(unnest(generate_series(1, 12)) AS INTEGER) AS month) m
+CROSS JOIN (SELECT CASE WHEN MAX(model) = 'additive' THEN 0.0 ELSE 1.0 END AS neutral FROM {name}) n
 LEFT JOIN (SELECT CAST(month(date) AS INTEGER) AS month, {omean_sql('seasonal')} AS si FROM {name} GROUP BY 1) s
   ON s.month = m.month
 """,
@@ -953,110 +966,159 @@ LEFT JOIN (SELECT CAST(month(date) AS INTEGER) AS month, {omean_sql('seasonal')}
     )
 
 
+def _kc(keys: tuple[str, ...], t: str = "") -> str:
+    return "".join(f"{t}{k}, " for k in keys)
+
+
+def _by(keys: tuple[str, ...]) -> str:
+    return f" GROUP BY {', '.join(keys)}" if keys else ""
+
+
+def _on(keys: tuple[str, ...], a: str, b: str, more: str = "") -> str:
+    """JOIN condition on the series keys; one series joins its one row."""
+    return " AND ".join([f"{a}.{k} = {b}.{k}" for k in keys] + ([more] if more else [])) or "true"
+
+
+def _over(keys: tuple[str, ...]) -> str:
+    return (f"PARTITION BY {', '.join(keys)} " if keys else "") + "ORDER BY date"
+
+
 def _ols_sql(y: str, x: str) -> str:
+    both = f"({y}) IS NOT NULL AND ({x}) IS NOT NULL"
+    y, x = f"(CASE WHEN {both} THEN {y} END)", f"(CASE WHEN {both} THEN {x} END)"
     return (f"COUNT({y}) AS _n, {osum_sql(x)} AS _sx, {osum_sql(y)} AS _sy, {osum_sql(f'{x} * {x}')} AS _sxx, "
             f"{osum_sql(f'{x} * {y}')} AS _sxy, {osum_sql(f'{y} * {y}')} AS _syy")
 
 
 def _ols_fit_sql(inner: str) -> str:
     return f"""
-SELECT *, (_sy - slope * _sx) / _n AS intercept, GREATEST(cyy - slope * cxy, 0.0) AS sse
-FROM (SELECT *, cxy / NULLIF(cxx, 0) AS slope
-      FROM (SELECT *, _sxx - _sx * _sx / _n AS cxx, _sxy - _sx * _sy / _n AS cxy, _syy - _sy * _sy / _n AS cyy
+SELECT *, (_sy - slope * _sx) / NULLIF(_n, 0) AS intercept, GREATEST(cyy - slope * cxy, 0.0) AS sse
+FROM (SELECT *, COALESCE(cxy / NULLIF(cxx, 0), 0.0) AS slope
+      FROM (SELECT *, _sxx - _sx * _sx / NULLIF(_n, 0) AS cxx, _sxy - _sx * _sy / NULLIF(_n, 0) AS cxy,
+                   _syy - _sy * _sy / NULLIF(_n, 0) AS cyy
             FROM ({inner}) a) b) c
 """
 
 
-def _stationarity_sql(src: str, name: str) -> None:
-    inner = (f"SELECT {_ols_sql('dy', 'lg')} FROM (SELECT value - lg AS dy, lg FROM "
-             f"(SELECT value, LAG(value) OVER (ORDER BY date) AS lg FROM {src}) x WHERE lg IS NOT NULL) y")
+def _stationarity_sql(src: str, name: str, keys: tuple[str, ...] = ()) -> None:
+    inner = (f"SELECT {_kc(keys)}{_ols_sql('dy', 'lg')} FROM (SELECT *, value - lg AS dy FROM "
+             f"(SELECT *, LAG(value) OVER ({_over(keys)}) AS lg FROM {src}) x) y{_by(keys)}")
+    n = "CAST(NULLIF(_n, 0) AS DOUBLE)"
     cte(
         name,
         f"""
-SELECT _n AS n_obs, ROUND(tstat, 6) AS adf_statistic, ROUND(crit, 6) AS critical_value_5pct,
+SELECT {_kc(keys)}_n AS n_obs, tstat AS adf_statistic, crit AS critical_value_5pct,
        CASE WHEN tstat < crit THEN 0 ELSE 1 END AS d
-FROM (SELECT *, slope / NULLIF(sqrt((sse / (CAST(_n AS DOUBLE) - 2)) / NULLIF(cxx, 0)), 0) AS tstat,
-             -2.86154 + -2.8903 / CAST(_n AS DOUBLE) + -4.234 / (CAST(_n AS DOUBLE) * CAST(_n AS DOUBLE))
-             + -40.04 / (CAST(_n AS DOUBLE) * CAST(_n AS DOUBLE) * CAST(_n AS DOUBLE)) AS crit
+FROM (SELECT *, CASE WHEN _n > 2 THEN slope / NULLIF(sqrt((sse / NULLIF({n} - 2, 0)) / NULLIF(cxx, 0)), 0) END AS tstat,
+             -2.86154 + -2.8903 / {n} + -4.234 / ({n} * {n}) + -40.04 / ({n} * {n} * {n}) AS crit
       FROM ({_ols_fit_sql(inner)}) f) g
 """,
         [src],
     )
 
 
-def _forecast_ar_sql(src: str, name: str, horizon: int) -> None:
-    _stationarity_sql(src, f"{name}_st")
+def _forecast_ar_sql(src: str, name: str, horizon: int, keys: tuple[str, ...] = ()) -> None:
+    _stationarity_sql(src, f"{name}_st", keys)
     cte(
         f"{name}_z",
         f"""
-SELECT *, LAG(z) OVER (ORDER BY date) AS zl
-FROM (SELECT s.date, s.value, st.d,
-             CASE WHEN st.d = 1 THEN s.value - LAG(s.value) OVER (ORDER BY s.date) ELSE s.value END AS z
-      FROM {src} s CROSS JOIN {name}_st st) a
+SELECT *, LAG(z) OVER ({_over(keys)}) AS zl
+FROM (SELECT {_kc(keys, 's.')}s.date, s.value, st.d,
+             CASE WHEN st.d = 1 THEN s.value - LAG(s.value) OVER ({_over(tuple('s.' + k for k in keys)).replace('BY date', 'BY s.date')}) ELSE s.value END AS z
+      FROM {src} s JOIN {name}_st st ON {_on(keys, 's', 'st')}) a
 """,
         [src, f"{name}_st"],
     )
-    fit = _ols_fit_sql(f"SELECT {_ols_sql('z', 'zl')} FROM {name}_z WHERE z IS NOT NULL AND zl IS NOT NULL")
+    fit = _ols_fit_sql(f"SELECT {_kc(keys)}{_ols_sql('z', 'zl')} FROM {name}_z{_by(keys)}")
     cte(
         name,
         f"""
-SELECT CAST(T + to_months(step) AS DATE) AS date, step, ROUND(fc, 2) AS forecast, ROUND(fc - half, 2) AS lower,
-       ROUND(fc + half, 2) AS upper
+SELECT {_kc(keys)}CAST(T + to_months(step) AS DATE) AS date, step, fc AS forecast,
+       CASE WHEN half IS NOT NULL THEN fc - half END AS lower, CASE WHEN half IS NOT NULL THEN fc + half END AS upper
 FROM (SELECT *, CASE WHEN d = 1 THEN yT + hh * mu + (zT - mu) * slope * ((1 - ph) / NULLIF(1 - slope, 0))
                      ELSE mu + ph * (yT - mu) END AS fc,
-             1.96 * sqrt(GREATEST(s2 * CASE WHEN d = 1 THEN
+             CASE WHEN s2 IS NOT NULL THEN 1.96 * sqrt(GREATEST(s2 * CASE WHEN d = 1 THEN
                  (hh - 2 * slope * ((1 - ph) / NULLIF(1 - slope, 0)) + (slope * slope) * s0)
                    / NULLIF((1 - slope) * (1 - slope), 0)
-               ELSE s0 END, 0.0)) AS half
+               ELSE s0 END, 0.0)) END AS half
       FROM (SELECT *, CAST(step AS DOUBLE) AS hh, pow(slope, CAST(step AS DOUBLE)) AS ph,
                    (1 - pow(slope * slope, CAST(step AS DOUBLE))) / NULLIF(1 - slope * slope, 0) AS s0
-            FROM (SELECT f.*, intercept / NULLIF(1 - slope, 0) AS mu, sse / NULLIF(_n - 2, 0) AS s2,
-                         l.T, l.yT, l.zT, l.d, CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS step
+            FROM (SELECT f.*, COALESCE(intercept, 0.0) / NULLIF(1 - slope, 0) AS mu,
+                         CASE WHEN _n > 2 THEN sse / (_n - 2) END AS s2,
+                         l.T, l.yT, COALESCE(l.zT, 0.0) AS zT, l.d, CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS step
                   FROM ({fit}) f
-                  CROSS JOIN (SELECT MAX(date) AS T, arg_max(value, date) AS yT, arg_max(z, date) AS zT,
-                                     FIRST(d) AS d FROM {name}_z) l) a) b) c
+                  JOIN (SELECT {_kc(keys)}MAX(date) AS T, arg_max(value, date) AS yT, arg_max(z, date) AS zT,
+                               FIRST(d) AS d FROM {name}_z{_by(keys)}) l ON {_on(keys, 'f', 'l')}) a) b) c
 """,
         [f"{name}_z"],
     )
 
 
-def _forecast_st_sql(src: str, name: str, horizon: int) -> None:
-    _decompose_sql(src, f"{name}_dec")
+def _forecast_st_sql(src: str, name: str, horizon: int, keys: tuple[str, ...] = ()) -> None:
+    """Trend on the deseasonalised series; the component of a position class goes with it."""
+    _decompose_sql(src, f"{name}_dec", keys)
     cte(
         f"{name}_h",
         f"""
-SELECT p.*, CAST(month(p.date) AS INTEGER) AS month, si.seasonal_index, p.value / si.seasonal_index AS ds
-FROM ({_positions_sql(src)}) p LEFT JOIN {name}_dec_si si ON si.month = CAST(month(p.date) AS INTEGER)
+SELECT *, CASE WHEN mult THEN observed / NULLIF(s, 0) ELSE observed - s END AS ds
+FROM (SELECT *, pos % GREATEST(period, 1) AS cls, COALESCE(seasonal, CASE WHEN mult THEN 1.0 ELSE 0.0 END) AS s
+      FROM (SELECT *, CAST(ROW_NUMBER() OVER ({_over(keys)}) - 1 AS INTEGER) AS pos, model = 'multiplicative' AS mult
+            FROM {name}_dec) p) q
 """,
-        [src, f"{name}_dec_si"],
+        [f"{name}_dec"],
     )
-    cte(f"{name}_f", _ols_fit_sql(f"SELECT {_ols_sql('ds', 'CAST(pos AS DOUBLE)')} FROM {name}_h"), [f"{name}_h"])
+    cte(f"{name}_f", _ols_fit_sql(f"SELECT {_kc(keys)}{_ols_sql('ds', 'CAST(pos AS DOUBLE)')} FROM {name}_h{_by(keys)}"), [f"{name}_h"])
+    line = "(f.intercept + f.slope * {x})"
     cte(
         f"{name}_fit",
-        f"SELECT h.*, (f.intercept + f.slope * h.pos) * h.seasonal_index AS fitted FROM {name}_h h CROSS JOIN {name}_f f",
+        f"SELECT h.*, CASE WHEN h.mult THEN {line.format(x='h.pos')} * h.s ELSE {line.format(x='h.pos')} + h.s END AS fitted "
+        f"FROM {name}_h h JOIN {name}_f f ON {_on(keys, 'h', 'f')}",
         [f"{name}_h", f"{name}_f"],
     )
     cte(
         f"{name}_sd",
-        f"SELECT sqrt(({osum_sql('(value - fitted) * (value - fitted)')}) / NULLIF(COUNT(value) - 1, 0)) AS sd, "
-        f"MAX(date) AS T, MAX(n) AS nn FROM {name}_fit",
+        f"SELECT {_kc(keys)}sqrt(({osum_sql('(observed - fitted) * (observed - fitted)')}) / NULLIF(COUNT(observed) - 1, 0)) AS sd, "
+        f"MAX(date) AS T, COUNT(*) AS nn, MAX(period) AS period FROM {name}_fit{_by(keys)}",
         [f"{name}_fit"],
     )
     cte(
         name,
         f"""
-SELECT date, ROUND(fitted, 2) AS forecast, ROUND(fitted - 1.96 * sd, 2) AS lower, ROUND(fitted + 1.96 * sd, 2) AS upper,
-       false AS is_forecast
-FROM {name}_fit CROSS JOIN {name}_sd
+SELECT {_kc(keys, 'a.')}a.date, a.fitted AS forecast, a.fitted - 1.96 * b.sd AS lower, a.fitted + 1.96 * b.sd AS upper, false AS is_forecast
+FROM {name}_fit a JOIN {name}_sd b ON {_on(keys, 'a', 'b')}
 UNION ALL
-SELECT date, ROUND(fitted, 2), ROUND(fitted - 1.96 * sd, 2), ROUND(fitted + 1.96 * sd, 2), true
-FROM (SELECT x.date, x.sd, (f.intercept + f.slope * (x.nn - 1 + x.step)) * si.seasonal_index AS fitted
-      FROM (SELECT CAST(T + to_months(step) AS DATE) AS date, step, sd, nn
-            FROM (SELECT *, CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS step FROM {name}_sd) q) x
-      CROSS JOIN {name}_f f
-      LEFT JOIN {name}_dec_si si ON si.month = CAST(month(x.date) AS INTEGER)) y
-""",
-        [f"{name}_fit", f"{name}_sd", f"{name}_f", f"{name}_dec_si"],
+SELECT {_kc(keys)}date, fitted, fitted - 1.96 * sd, fitted + 1.96 * sd, true
+FROM (SELECT {_kc(keys, 'x.')}x.date, x.sd, CASE WHEN c.mult THEN {line.format(x='(x.nn - 1 + x.step)')} * c.s
+                          ELSE {line.format(x='(x.nn - 1 + x.step)')} + c.s END AS fitted
+      FROM (SELECT *, CAST(T + to_months(step) AS DATE) AS date FROM
+             (SELECT *, CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS step FROM {name}_sd) q) x
+      JOIN {name}_f f ON {_on(keys, 'x', 'f')}
+      JOIN (SELECT DISTINCT {_kc(keys)}cls, s, mult FROM {name}_h) c
+        ON {_on(keys, 'x', 'c', 'c.cls = (x.nn - 1 + x.step) % GREATEST(x.period, 1)')}) y
+""",
+        [f"{name}_fit", f"{name}_sd", f"{name}_f", f"{name}_h"],
+    )
+
+
+def _holdout_sql(src: str, name: str, keys: tuple[str, ...] = ()) -> None:
+    over = _over(keys).replace("ORDER BY date", "ORDER BY date DESC")
+    cte(f"{name}_rk", f"SELECT *, ROW_NUMBER() OVER ({over}) AS rk FROM {src}", [src])
+    cte(f"{name}_train", f"SELECT {_kc(keys)}date, value FROM {name}_rk WHERE rk > 3", [f"{name}_rk"])
+    cte(f"{name}_test", f"SELECT {_kc(keys)}date, value AS actual FROM {name}_rk WHERE rk <= 3", [f"{name}_rk"])
+    _forecast_ar_sql(f"{name}_train", f"{name}_ar", 3, keys)
+    _forecast_st_sql(f"{name}_train", f"{name}_stf", 3, keys)
+    err = "(f.forecast - t.actual)"
+    one = lambda fc, model: (
+        f"SELECT {_kc(keys, 't.')}{omean_sql(f'abs({err})')} AS mae, sqrt({omean_sql(f'{err} * {err}')}) AS rmse, "
+        f"({omean_sql(f'abs({err}) / GREATEST(abs(t.actual), 2.220446049250313e-16)')}) * 100 AS mape, '{model}' AS model "
+        f"FROM {name}_test t LEFT JOIN {fc} f ON {_on(keys, 't', 'f', 'f.date = t.date')}"
+        + (f" GROUP BY {', '.join('t.' + k for k in keys)}" if keys else "")
+    )
+    cte(
+        name,
+        f"SELECT * FROM ({one(f'(SELECT * FROM {name}_stf WHERE is_forecast)', 'seasonal_trend')}) "
+        f"UNION ALL SELECT * FROM ({one(f'{name}_ar', 'ar')})",
+        [f"{name}_test", f"{name}_stf", f"{name}_ar"],
     )
 
 
@@ -1064,30 +1126,13 @@ _decompose_sql("mseries", "decomp")
 _stationarity_sql("mseries", "stationarity")
 _forecast_ar_sql("mseries", "fc_ar", 12)
 _forecast_st_sql("mseries", "fc_st", 12)
-cte("mseries_train", "SELECT * FROM mseries WHERE date < (SELECT MAX(date) FROM mseries) - INTERVAL 2 MONTH", ["mseries"])
-cte("mseries_test", "SELECT date, value AS actual FROM mseries WHERE date >= (SELECT MAX(date) FROM mseries) - INTERVAL 2 MONTH", ["mseries"])
-_forecast_ar_sql("mseries_train", "ho_ar", 3)
-_forecast_st_sql("mseries_train", "ho_st", 3)
-
-
-def _metrics_sql(fc: str, model: str) -> str:
-    err = "(f.forecast - t.actual)"
-    return (f"SELECT ROUND({omean_sql(f'abs({err})')}, 6) AS mae, ROUND(sqrt({omean_sql(f'{err} * {err}')}), 6) AS rmse, "
-            f"ROUND(({omean_sql(f'abs({err}) / GREATEST(abs(t.actual), 2.220446049250313e-16)')}) * 100, 6) AS mape, "
-            f"'{model}' AS model FROM mseries_test t JOIN {fc} f ON f.date = t.date")
-
+_holdout_sql("mseries", "fc_metrics")
 
-cte(
-    "fc_metrics",
-    f"SELECT * FROM ({_metrics_sql('(SELECT * FROM ho_st WHERE is_forecast)', 'seasonal_trend')}) "
-    f"UNION ALL SELECT * FROM ({_metrics_sql('ho_ar', 'ar')})",
-    ["mseries_test", "ho_st", "ho_ar"],
-)
 cte(
     "combined",
     """
-SELECT *, CAST(SUM(CAST(forecast_ensemble AS DECIMAL(38,4))) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING
-                                                                     AND CURRENT ROW) AS DOUBLE) AS cumulative_forecast
+SELECT *, CAST(CAST(SUM(CAST(CAST(forecast_ensemble AS VARCHAR) AS DECIMAL(38,12))) OVER (ORDER BY date ROWS BETWEEN
+                        UNBOUNDED PRECEDING AND CURRENT ROW) AS VARCHAR) AS DOUBLE) AS cumulative_forecast
 FROM (SELECT s.date, s.forecast AS forecast_seasonal, a.forecast AS forecast_ar,
              (s.forecast + a.forecast) / 2 AS forecast_ensemble, CAST(year(s.date) AS INTEGER) AS year, CAST(month(s.date) AS INTEGER) AS month,
              strftime(s.date, '%B') AS month_name, CAST(quarter(s.date) AS INTEGER) AS quarter
@@ -1096,24 +1141,30 @@ FROM (SELECT s.date, s.forecast AS forecast_seasonal, a.forecast AS forecast_ar,
     ["fc_st", "fc_ar"],
 )
 
+_R2 = "ROUND({0}, 2) AS {0}"
+BAND = ", ".join(_R2.format(c) for c in ("forecast", "lower", "upper"))
+TEST = "ROUND(adf_statistic, 6) AS adf_statistic, ROUND(critical_value_5pct, 6) AS critical_value_5pct"
+ERRORS = ", ".join(f"ROUND({c}, 4) AS {c}" for c in ("mae", "rmse", "mape"))
+ENSEMBLE = ", ".join(_R2.format(c) for c in ("forecast_seasonal", "forecast_ar", "forecast_ensemble", "cumulative_forecast"))
+
 register("monthly_series", "SELECT * FROM mseries", "mseries")
 register("decomposition", "SELECT * FROM decomp", "decomp")
 register("seasonal_indices", "SELECT * FROM decomp_si", "decomp_si")
 register(
     "trend_growth",
-    "SELECT trend_start, trend_end, (trend_end / trend_start - 1) * 100 AS trend_growth_pct FROM "
+    "SELECT trend_start, trend_end, (trend_end / NULLIF(trend_start, 0) - 1) * 100 AS trend_growth_pct FROM "
     "(SELECT arg_min(trend, date) AS trend_start, arg_max(trend, date) AS trend_end, COUNT(*) AS nt "
     "FROM decomp WHERE trend IS NOT NULL) t WHERE nt > 1",
     "decomp",
 )
-register("stationarity", "SELECT * FROM stationarity", "stationarity")
-register("forecast_ar", "SELECT * FROM fc_ar", "fc_ar")
-register("forecast_seasonal_trend", "SELECT * FROM fc_st", "fc_st")
-register("forecast_metrics", "SELECT * FROM fc_metrics", "fc_metrics")
+register("stationarity", f"SELECT * REPLACE ({TEST}) FROM stationarity", "stationarity")
+register("forecast_ar", f"SELECT * REPLACE ({BAND}) FROM fc_ar", "fc_ar")
+register("forecast_seasonal_trend", f"SELECT * REPLACE ({BAND}) FROM fc_st", "fc_st")
+register("forecast_metrics", f"SELECT * REPLACE ({ERRORS}) FROM fc_metrics", "fc_metrics")
 register(
     "model_comparison",
     """
-SELECT m.metric, m.seasonal_trend, m.ar, b.best_model FROM (
+SELECT m.metric, ROUND(m.seasonal_trend, 4) AS seasonal_trend, ROUND(m.ar, 4) AS ar, b.best_model FROM (
   SELECT metric, MAX(CASE WHEN model = 'seasonal_trend' THEN value END) AS seasonal_trend,
          MAX(CASE WHEN model = 'ar' THEN value END) AS ar
   FROM (SELECT model, 'MAE' AS metric, mae AS value FROM fc_metrics UNION ALL
@@ -1123,14 +1174,49 @@ CROSS JOIN (SELECT arg_min(model, (mape, CASE WHEN model = 'ar' THEN 0 ELSE 1 EN
 """,
     "fc_metrics",
 )
-register("combined_forecast", "SELECT * FROM combined", "combined")
+register("combined_forecast", f"SELECT * REPLACE ({ENSEMBLE}) FROM combined", "combined")
 register(
     "forecast_totals",
-    f"SELECT {ms('forecast_ensemble')} AS forecasted_revenue_total, "
-    f"{ms('forecast_ensemble')} / NULLIF(COUNT(forecast_ensemble), 0) AS avg_monthly_forecast FROM combined",
+    f"SELECT ROUND({ms('forecast_ensemble')}, 2) AS forecasted_revenue_total, "
+    f"ROUND({ms('forecast_ensemble')} / NULLIF(COUNT(forecast_ensemble), 0), 2) AS avg_monthly_forecast FROM combined",
     "combined",
 )
 
+# ---------------------------------------------------------------- rule clusters (labels as in M12)
+cte(
+    "rule_clusters",
+    "SELECT *, CASE WHEN RFM_total >= 12 THEN 0 WHEN RFM_total >= 9 THEN 1 WHEN RFM_total >= 6 THEN 2 ELSE 3 END AS cluster FROM rfm_B",
+    ["rfm_B"],
+)
+cte(
+    "rule_profile",
+    f"""
+SELECT *, (['VIP Elite', 'Engaged Regulars', 'Growth Potential', 'Casual Buyers', 'Dormant', 'At-Risk', 'Lost'])[
+          ROW_NUMBER() OVER (ORDER BY avg_rfm_score DESC, cluster)] AS behavioral_segment
+FROM (SELECT cluster, COUNT(customer_id) AS customer_count, AVG(recency) AS avg_recency, AVG(frequency) AS avg_frequency,
+             {ms('monetary')} AS total_revenue, {fs('monetary')} / NULLIF(COUNT(monetary), 0) AS avg_revenue,
+             AVG(RFM_total) AS avg_rfm_score
+      FROM rule_clusters GROUP BY cluster) g
+""",
+    ["rule_clusters"],
+)
+cte(
+    "rule_labels",
+    "SELECT c.customer_id, p.behavioral_segment FROM rule_clusters c JOIN rule_profile p ON p.cluster = c.cluster",
+    ["rule_clusters", "rule_profile"],
+)
+register("rule_cluster_profile", "SELECT * FROM rule_profile", "rule_profile")
+register(
+    "rule_segmentation_dashboard",
+    """
+SELECT b.customer_id, recency, frequency, monetary, R_score, F_score, M_score, RFM_score, RFM_total, rfm_segment,
+       l.behavioral_segment, country, industry, subscription_type, '$' || format('{:,.2f}', monetary) AS revenue_formatted
+FROM rfm_B b LEFT JOIN rule_labels l ON l.customer_id = b.customer_id
+""",
+    "rfm_B",
+    "rule_labels",
+)
+
 # ---------------------------------------------------------------- unified / executive exports
 cte(
     "master",
@@ -1146,7 +1232,7 @@ FROM (
          r.specific_recommendation,
          p.gross_profit, p.profit_margin, COALESCE(p.profitability_tier, 'Unknown') AS profitability_tier, p.total_cost,
          COALESCE(b.rfm_segment, 'Unknown') AS customer_segment, b.R_score, b.F_score, b.M_score, b.RFM_total,
-         CAST(NULL AS VARCHAR) AS behavioral_segment,
+         cl.behavioral_segment,
          strftime(f.signup_date, '%Y-%m') AS signup_cohort, CAST(year(f.signup_date) AS INTEGER) AS signup_year,
          CAST(quarter(f.signup_date) AS INTEGER) AS signup_quarter,
          round_even(CAST(m.ref - f.signup_date AS INTEGER) / 30, 1) AS lifetime_months,
@@ -1156,9 +1242,10 @@ FROM (
   LEFT JOIN recs r ON r.customer_id = f.customer_id
   LEFT JOIN profit p ON p.customer_id = f.customer_id
   LEFT JOIN rfm_B b ON b.customer_id = f.customer_id
+  LEFT JOIN rule_labels cl ON cl.customer_id = f.customer_id
   CROSS JOIN (SELECT MAX(transaction_date) AS ref FROM txns) m) t
 """,
-    ["customer_features", "churn_pred", "recs", "profit", "rfm_B", "txns"],
+    ["customer_features", "churn_pred", "recs", "profit", "rfm_B", "rule_labels", "txns"],
 )
 MASTER_COLS = (
     "customer_id, signup_date, country, industry, subscription_type, monthly_fee, total_revenue, customer_tenure_days, "
@@ -1179,8 +1266,8 @@ SELECT month, revenue, transactions, active_customers,
        COALESCE(ch.avg_churn_prob, 0.0) AS avg_churn_prob,
        COALESCE(revenue * mg.am, 0.0) AS estimated_profit, COALESCE(mg.am * 100, 0.0) AS profit_margin_pct,
        hr.total_high_risk_customers, COALESCE(hr.revenue_at_risk, 0.0) AS revenue_at_risk,
-       CAST(SUM(CAST(revenue AS DECIMAL(38,4))) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-            AS DOUBLE) AS cumulative_revenue,
+       CAST(CAST(SUM(CAST(CAST(revenue AS VARCHAR) AS DECIMAL(38,12))) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS VARCHAR) AS DOUBLE) AS cumulative_revenue,
        CAST(SUM(COALESCE(a.new_customers, 0)) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
             AS BIGINT) AS cumulative_customers
 FROM (SELECT strftime(transaction_date, '%Y-%m') AS month, {ms('amount')} AS revenue,
@@ -1221,7 +1308,7 @@ register(
 register("fact_monthly_summary", "SELECT * FROM mbs", "mbs")
 register(
     "fact_revenue_forecast",
-    "SELECT *, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, 'Ensemble' AS forecast_type FROM combined",
+    f"SELECT * REPLACE ({ENSEMBLE}), CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, 'Ensemble' AS forecast_type FROM combined",
     "combined",
 )
 register(
@@ -1420,6 +1507,8 @@ register(
 register(
     "roc_curve",
     """
+SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL
 SELECT s AS threshold, CAST(fp AS DOUBLE) / NULLIF(nn, 0) AS fpr, CAST(tp AS DOUBLE) / NULLIF(pp, 0) AS tpr
 FROM (SELECT s, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp, SUM(pos) OVER () AS pp, SUM(neg) OVER () AS nn
       FROM (SELECT churn_probability AS s, COUNT(*) FILTER (WHERE label = 1) AS pos,
@@ -1566,7 +1655,7 @@ def _describe_sql(col: str) -> str:
     return f"""
 SELECT '{col}' AS "column", stat, value FROM (
   SELECT CAST(COUNT({col}) AS DOUBLE) AS "count", {fs(col)} / NULLIF(COUNT({col}), 0) AS mean,
-         ROUND(STDDEV_SAMP({col}), 6) AS std, CAST(MIN({col}) AS DOUBLE) AS "min",
+         STDDEV_SAMP({col}) AS std, CAST(MIN({col}) AS DOUBLE) AS "min",
          CAST(MAX({col}) AS DOUBLE) AS "max", q.p0 AS "25%", q.p1 AS "50%", q.p2 AS "75%"
   FROM customer_features CROSS JOIN ({q}) q GROUP BY q.p0, q.p1, q.p2) a
 UNPIVOT (value FOR stat IN ("count", mean, std, "min", "25%", "50%", "75%", "max"))
@@ -1603,7 +1692,8 @@ register(
 )
 register(
     "cohort_counts_matrix",
-    "SELECT * FROM (PIVOT cohort_counts ON cohort_index USING first(customers) GROUP BY cohort)",
+    "SELECT cohort, " + ", ".join(f'MAX(CASE WHEN cohort_index = {i} THEN customers END) AS "{i}"' for i in range(-12, 85))
+    + " FROM cohort_counts GROUP BY cohort",
     "cohort_counts",
 )
 register(
@@ -1625,9 +1715,9 @@ LEFT JOIN iv v ON v.industry = s.industry AND v.date = s.date
 cte(
     "iv",
     """
-SELECT c.industry, m.date, CAST(SUM(m.v) AS DOUBLE) AS value
+SELECT c.industry, m.date, CAST(CAST(SUM(m.v) AS VARCHAR) AS DOUBLE) AS value
 FROM (SELECT customer_id, CAST(date_trunc('month', transaction_date) AS DATE) AS date,
-             SUM(CAST(amount AS DECIMAL(18,4))) AS v
+             SUM(CAST(CAST(amount AS VARCHAR) AS DECIMAL(38,12))) AS v
       FROM completed GROUP BY 1, 2) m
 JOIN customers c ON c.customer_id = m.customer_id
 GROUP BY 1, 2
@@ -1637,3 +1727,30 @@ GROUP BY 1, 2
 _decompose_sql("mseries_industry", "decomp_industry", ("industry",))
 register("monthly_series_by_industry", "SELECT * FROM mseries_industry", "mseries_industry")
 register("decomposition_by_industry", "SELECT * FROM decomp_industry", "decomp_industry")
+_K = ("industry",)
+_stationarity_sql("mseries_industry", "stationarity_industry", _K)
+_forecast_ar_sql("mseries_industry", "fc_ar_industry", 12, _K)
+_forecast_st_sql("mseries_industry", "fc_st_industry", 12, _K)
+_holdout_sql("mseries_industry", "fc_metrics_industry", _K)
+register("stationarity_by_industry", f"SELECT * REPLACE ({TEST}) FROM stationarity_industry", "stationarity_industry")
+register("forecast_ar_by_industry", f"SELECT * REPLACE ({BAND}) FROM fc_ar_industry", "fc_ar_industry")
+register("forecast_seasonal_trend_by_industry", f"SELECT * REPLACE ({BAND}) FROM fc_st_industry", "fc_st_industry")
+register("forecast_metrics_by_industry", f"SELECT * REPLACE ({ERRORS}) FROM fc_metrics_industry", "fc_metrics_industry")
+
+# ---------------------------------------------------------------- M3 counts of the split, M9 on tied scores
+register(
+    "churn_split_counts",
+    """
+SELECT label, p < round(nc * 0.2) AS is_test, CAST(p % 5 AS INTEGER) AS fold, COUNT(*) AS customers
+FROM (SELECT label, unnest(generate_series(0, nc - 1)) AS p, nc
+      FROM (SELECT is_churned AS label, COUNT(*) AS nc FROM customer_features GROUP BY 1) a) b
+GROUP BY 1, 2, 3
+""",
+    "customer_features",
+)
+_one = ORACLE["classification_metrics"]
+register(
+    "churn_score_comparison",
+    f"SELECT m.*, x.model, 'logistic_regression' AS best_model FROM ({_one}) m "
+    "CROSS JOIN (SELECT unnest(['logistic_regression', 'random_forest']) AS model) x",
+)

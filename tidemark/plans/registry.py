@@ -9,23 +9,64 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import charts, churn, cluster, cohort, describe, features, lifecycle, profit, retention, rfm, series, unified
 from tidemark.plans.context import Tables
+from tidemark.session import on_cleanup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-_RUNS: dict[tuple[str, str, str], Tables] = {}
+_RUNS: dict[tuple, Tables] = {}
+
+
+_INPUTS = ("customer", "nation", "orders", "lineitem", "events")
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Length and time of each input, so that changed files are a run of their own."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in _INPUTS:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            status = fs.getFileStatus(path)
+            out.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(out)
 
 
 def tables_for(spark: SparkSession, sf_dir: str, grain: str = "lineitem") -> Tables:
-    """One pipeline run per (application, input directory, grain): shared tables are staged once."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), grain)
+    """One pipeline run per (application, inputs, grain): shared tables are staged once."""
+    sf_dir = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, sf_dir, grain, _input_state(spark, sf_dir))
     if key not in _RUNS:
         _RUNS[key] = Tables(spark, sf_dir, grain)
     return _RUNS[key]
 
 
+@on_cleanup
+def _forget(paths: list[str]) -> None:
+    """A run whose staged tables are deleted is not used again."""
+    for key, run in list(_RUNS.items()):
+        if any(run._run in p for p in paths):
+            del _RUNS[key]
+
+
+def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Published precision: rounds at the edge, never inside an operator."""
+    return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
+
+
+#: Month offsets of the published cohort matrix.
+MATRIX_INDEXES = list(range(-12, 85))
+BAND = {"forecast": 2, "lower": 2, "upper": 2}
+STD = {"std_transaction": 6}
+TEST = {"adf_statistic": 6, "critical_value_5pct": 6}
+ERRORS = {"mae": 4, "rmse": 4, "mape": 4}
+ENSEMBLE = {"forecast_seasonal": 2, "forecast_ar": 2, "forecast_ensemble": 2, "cumulative_forecast": 2}
+
+
 # key -> function of a Tables run (lineitem-grain keys; usable with any inputs)
 TABLE_FUNCTIONS: dict[str, Callable[[Tables], DataFrame]] = {}
 
@@ -51,7 +92,7 @@ def _q_clean_transactions(t: Tables) -> DataFrame:
 
 @query("customer_features")
 def _q_customer_features(t: Tables) -> DataFrame:
-    return t.customer_features
+    return rounded(t.customer_features, STD)
 
 
 @query("transaction_features")
@@ -82,7 +123,7 @@ def _q_monthly_acquisitions(t: Tables) -> DataFrame:
 
 @query("rfm_scores")
 def _q_rfm_scores(t: Tables) -> DataFrame:
-    return t.rfm_b
+    return t.rfm_scored
 
 
 @query("rfm_segments_a")
@@ -185,12 +226,12 @@ def _q_revenue_percentiles(t: Tables) -> DataFrame:
 
 @query("customer_costs")
 def _q_customer_costs(t: Tables) -> DataFrame:
-    return t.profit
+    return t.profit.select("customer_id", "subscription_type", "total_revenue", *profit.COST_COLUMNS, "total_cost")
 
 
 @query("customer_profit")
 def _q_customer_profit(t: Tables) -> DataFrame:
-    return t.profit
+    return rounded(t.profit, STD)
 
 
 @query("cost_breakdown")
@@ -271,7 +312,7 @@ def _q_value_scores(t: Tables) -> DataFrame:
 
 @query("retention_recommendations")
 def _q_retention_recommendations(t: Tables) -> DataFrame:
-    return t.recommendations
+    return retention.published_order(t.recommendations)
 
 
 @query("retention_action_summary")
@@ -296,17 +337,17 @@ def _q_retention_top_at_risk(t: Tables) -> DataFrame:
 
 @query("retention_list_high")
 def _q_retention_list_high(t: Tables) -> DataFrame:
-    return retention.risk_list(t.recommendations, "High")
+    return retention.published_order(retention.risk_list(t.recommendations, "High"))
 
 
 @query("retention_list_medium")
 def _q_retention_list_medium(t: Tables) -> DataFrame:
-    return retention.risk_list(t.recommendations, "Medium")
+    return retention.published_order(retention.risk_list(t.recommendations, "Medium"))
 
 
 @query("retention_list_low")
 def _q_retention_list_low(t: Tables) -> DataFrame:
-    return retention.risk_list(t.recommendations, "Low")
+    return retention.published_order(retention.risk_list(t.recommendations, "Low"))
 
 
 @query("monthly_series")
@@ -331,37 +372,37 @@ def _q_trend_growth(t: Tables) -> DataFrame:
 
 @query("stationarity")
 def _q_stationarity(t: Tables) -> DataFrame:
-    return series.stationarity(t.monthly_series)
+    return rounded(series.stationarity(t.monthly_series), TEST)
 
 
 @query("forecast_ar")
 def _q_forecast_ar(t: Tables) -> DataFrame:
-    return t.forecast_ar
+    return rounded(t.forecast_ar, BAND)
 
 
 @query("forecast_seasonal_trend")
 def _q_forecast_seasonal_trend(t: Tables) -> DataFrame:
-    return t.forecast_seasonal
+    return rounded(t.forecast_seasonal, BAND)
 
 
 @query("forecast_metrics")
 def _q_forecast_metrics(t: Tables) -> DataFrame:
-    return t.forecast_metrics
+    return rounded(t.forecast_metrics, ERRORS)
 
 
 @query("model_comparison")
 def _q_model_comparison(t: Tables) -> DataFrame:
-    return series.model_comparison(t.forecast_metrics)
+    return rounded(series.model_comparison(t.forecast_metrics), {"seasonal_trend": 4, "ar": 4})
 
 
 @query("combined_forecast")
 def _q_combined_forecast(t: Tables) -> DataFrame:
-    return t.combined_forecast
+    return rounded(t.combined_forecast, ENSEMBLE)
 
 
 @query("forecast_totals")
 def _q_forecast_totals(t: Tables) -> DataFrame:
-    return series.forecast_totals(t.combined_forecast)
+    return rounded(series.forecast_totals(t.combined_forecast), {"forecasted_revenue_total": 2, "avg_monthly_forecast": 2})
 
 
 @query("master_customers")
@@ -396,7 +437,7 @@ def _q_fact_monthly_summary(t: Tables) -> DataFrame:
 
 @query("fact_revenue_forecast")
 def _q_fact_revenue_forecast(t: Tables) -> DataFrame:
-    return unified.fact_revenue_forecast(t.combined_forecast)
+    return rounded(unified.fact_revenue_forecast(t.combined_forecast), ENSEMBLE)
 
 
 @query("dim_date")
@@ -558,7 +599,7 @@ def _q_segmentation_dashboard(t: Tables) -> DataFrame:
 
 @query("forecast_arma")
 def _q_forecast_arma(t: Tables) -> DataFrame:
-    return series.forecast_arma_grid(t.monthly_series)[0]
+    return rounded(series.forecast_arma_grid(t.monthly_series)[0], BAND)
 
 
 @query("arma_order_aic")
@@ -587,7 +628,7 @@ def _q_cohort_retention_size(t: Tables) -> DataFrame:
 
 @query("cohort_counts_matrix")
 def _q_cohort_counts_matrix(t: Tables) -> DataFrame:
-    return cohort.to_matrix(t.cohort_counts, "customers")
+    return cohort.to_matrix(t.cohort_counts, "customers", values=MATRIX_INDEXES)
 
 
 
@@ -599,12 +640,58 @@ def _q_profit_tiers(t: Tables) -> DataFrame:
 
 @query("monthly_series_by_industry")
 def _q_monthly_series_by_industry(t: Tables) -> DataFrame:
-    return series.monthly_series_by(t.transactions, t.customers, "industry")
+    return t.industry_series
 
 
 @query("decomposition_by_industry")
 def _q_decomposition_by_industry(t: Tables) -> DataFrame:
-    return series.decompose(series.monthly_series_by(t.transactions, t.customers, "industry"), ["industry"])
+    return series.decompose(t.industry_series, ["industry"])
+
+
+@query("stationarity_by_industry")
+def _q_stationarity_by_industry(t: Tables) -> DataFrame:
+    return rounded(series.stationarity(t.industry_series, ["industry"]), TEST)
+
+
+@query("forecast_ar_by_industry")
+def _q_forecast_ar_by_industry(t: Tables) -> DataFrame:
+    return rounded(series.forecast_ar(t.industry_series, ["industry"]), BAND)
+
+
+@query("forecast_seasonal_trend_by_industry")
+def _q_forecast_seasonal_trend_by_industry(t: Tables) -> DataFrame:
+    return rounded(series.forecast_seasonal_trend(t.industry_series, ["industry"]), BAND)
+
+
+@query("forecast_metrics_by_industry")
+def _q_forecast_metrics_by_industry(t: Tables) -> DataFrame:
+    return rounded(series.holdout_metrics(t.industry_series, ["industry"]), ERRORS)
+
+
+@query("forecast_arma_by_industry")
+def _q_forecast_arma_by_industry(t: Tables) -> DataFrame:
+    return rounded(series.forecast_arma_grid(t.industry_series, ["industry"])[0], BAND)
+
+
+@query("rule_cluster_profile")
+def _q_rule_cluster_profile(t: Tables) -> DataFrame:
+    return t.rule_profile
+
+
+@query("rule_segmentation_dashboard")
+def _q_rule_segmentation_dashboard(t: Tables) -> DataFrame:
+    return rfm.segmentation_dashboard(t.rfm_b, cluster.behavioural_segments(t.rule_clusters, t.rule_profile))
+
+
+@query("churn_split_counts")
+def _q_churn_split_counts(t: Tables) -> DataFrame:
+    return churn.split_counts(churn.stratified_split(churn.feature_table(t.customer_features)))
+
+
+@query("churn_score_comparison")
+def _q_churn_score_comparison(t: Tables) -> DataFrame:
+    """M9 on two fixed scores that tie."""
+    return churn.compare_scores({"logistic_regression": t.det_scored, "random_forest": t.det_scored})
 
 
 def _grain_query(name: str, grain: str, fn):
@@ -612,7 +699,7 @@ def _grain_query(name: str, grain: str, fn):
 
 
 for _g in ("orders", "events"):
-    _grain_query(f"customer_features_{_g}", _g, lambda t: t.customer_features)
+    _grain_query(f"customer_features_{_g}", _g, lambda t: rounded(t.customer_features, STD))
     _grain_query(f"monthly_revenue_{_g}", _g, lambda t: features.monthly_revenue(t.transactions))
 
 

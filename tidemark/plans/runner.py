@@ -66,9 +66,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("tidemark-runner").getOrCreate()
     if a.customers and a.transactions:
         raw = (read_table(spark, a.customers, CUSTOMER_SCHEMA), read_table(spark, a.transactions, TRANSACTION_SCHEMA))
-        tables = Tables(spark, raw=raw)
+        tables = Tables(spark, raw=raw, fitted_clusters=not a.skip_ml)
     elif a.sf_dir:
-        tables = Tables(spark, a.sf_dir, a.grain)
+        tables = Tables(spark, a.sf_dir, a.grain, fitted_clusters=not a.skip_ml)
     else:
         ap.error("give --sf-dir or --customers and --transactions")
     for k, sec in run_all(tables, a.out, a.format, a.keys or None, include_ml=not a.skip_ml).items():

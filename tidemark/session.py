@@ -6,9 +6,13 @@ settings that are unset, so cluster-wide values always win.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 LOCAL_DEFAULTS = {
@@ -44,6 +48,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
+        mounted = spark.conf.get("spark.tidemark.sharedFileSystem", "false") == "true"
+        if current.startswith("file:") and not sc.master.startswith("local") and not mounted:
+            raise RuntimeError(
+                f"spark.checkpoint.dir is {current}, a folder of one machine; if every machine mounts it, "
+                "set spark.tidemark.sharedFileSystem=true"
+            )
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
@@ -65,18 +75,47 @@ def stage_parquet(df, tag: str = "stage"):
     cluster's shared checkpoint storage, so an executor loss cannot change
     them.
     """
-    import uuid
-
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tidemark-{tag}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    track_staged(spark, path)
     return spark.read.parquet(path)
 
 
 _STAGED: dict[str, list[str]] = {}
 _TABLES: dict[str, list[str]] = {}
+_ON_CLEANUP: list = []
+
+
+def track_staged(spark: SparkSession, path: str) -> None:
+    """Remember a staged folder: ``cleanup_staged`` deletes it, at the latest when Python ends."""
+    if not _STAGED:
+        atexit.register(_cleanup_at_exit)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
+def on_cleanup(forget) -> None:
+    """Call ``forget(paths)`` whenever staged folders are deleted."""
+    _ON_CLEANUP.append(forget)
+
+
+def _cleanup_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            cleanup_staged(spark)
+
+
+def _has_catalog(spark: SparkSession, root: str) -> bool:
+    """Can external tables be made here?  Tried on an empty table, so no data job runs for the answer."""
+    name = f"tidemark_probe_{uuid.uuid4().hex[:12]}"
+    try:
+        spark.sql(f"CREATE TABLE {name} (x INT) USING parquet LOCATION '{root}/{name}'")
+        spark.sql(f"DROP TABLE {name}")
+    except AnalysisException:
+        return False
+    return True
 
 
 def stage_bucketed(df, tag: str, key: str, buckets: int):
@@ -84,28 +123,20 @@ def stage_bucketed(df, tag: str, key: str, buckets: int):
 
     Tables staged with the same key and bucket count join and aggregate on
     that key without a shuffle (bucketed scans), so a chain of left joins on
-    customer_id reuses one partitioning.  Files sit under the checkpoint
-    folder like every staged table.
+    customer_id reuses one partitioning.  Rows are dealt by the key first, so
+    there is one file a bucket.  Files sit under the checkpoint folder like every
+    staged table.  Without a catalog the table is plain parquet; an error of the
+    job itself is raised.
     """
-    import uuid
-
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     name = f"tidemark_{uuid.uuid4().hex[:12]}_{tag}".replace("-", "_")
     path = f"{root}/{name}"
-    try:
-        (
-            df.write.option("path", path)
-            .bucketBy(buckets, key)
-            .sortBy(key)
-            .mode("overwrite")
-            .saveAsTable(name)
-        )
-    except Exception:  # noqa: BLE001  no usable catalog (e.g. unwritable warehouse dir): plain staging
+    if not _has_catalog(spark, root):
         return stage_parquet(df, tag)
-    app = spark.sparkContext.applicationId
-    _STAGED.setdefault(app, []).append(path)
-    _TABLES.setdefault(app, []).append(name)
+    track_staged(spark, path)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    df.repartition(buckets, key).write.option("path", path).bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)
     return spark.table(name)
 
 
@@ -125,6 +156,8 @@ def cleanup_staged(spark: SparkSession, tag: str | None = None) -> int:
     for t in [t for t in _TABLES.get(app, []) if any(p.endswith("/" + t) for p in paths)]:
         spark.sql(f"DROP TABLE IF EXISTS {t}")
         _TABLES[app].remove(t)
+    for forget in _ON_CLEANUP:
+        forget(paths)
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(conf).delete(hp, True)

@@ -1,4 +1,4 @@
-"""Canonical input schemas (customers, transactions)."""
+"""Canonical input schemas (customers, transactions); ids are text."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 CUSTOMER_SCHEMA = T.StructType(
     [
-        T.StructField("customer_id", T.LongType(), False),
+        T.StructField("customer_id", T.StringType(), False),
         T.StructField("signup_date", T.DateType(), True),
         T.StructField("country", T.StringType(), True),
         T.StructField("industry", T.StringType(), True),
@@ -19,8 +19,8 @@ CUSTOMER_SCHEMA = T.StructType(
 # amount is read as text by the raw loader and coerced by ``clean_transactions``.
 TRANSACTION_SCHEMA = T.StructType(
     [
-        T.StructField("transaction_id", T.LongType(), True),
-        T.StructField("customer_id", T.LongType(), True),
+        T.StructField("transaction_id", T.StringType(), True),
+        T.StructField("customer_id", T.StringType(), True),
         T.StructField("transaction_date", T.DateType(), True),
         T.StructField("amount", T.StringType(), True),
         T.StructField("payment_method", T.StringType(), True),
