@@ -31,7 +31,8 @@ def test_master_join_chain_reuses_bucketing(spark, tables):
             .join(tables.rfm_b.select("customer_id", "rfm_segment"), "customer_id", "left")
         )
         plan = _plan(j)
-        assert plan.count("SortMergeJoin") == 3
+        # rfm_b is the staged scores with the attributes of the staged features: one join more
+        assert plan.count("SortMergeJoin") == 4
         assert "Exchange hashpartitioning(customer_id" not in plan
         assert "Bucketed: true" in plan or "bucketed" in plan.lower()
     finally:
@@ -39,13 +40,39 @@ def test_master_join_chain_reuses_bucketing(spark, tables):
 
 
 def test_cohorts_aggregate_before_joining(tables):
-    plan = _plan(cohort.cohort_counts(tables.cohorted))
+    plan = _plan(cohort.cohort_counts(cohort.with_cohort(tables.transactions, tables.customers)))
     join_at = min(i for i in (plan.find("SortMergeJoin"), plan.find("BroadcastHashJoin")) if i >= 0)
     partial_at = plan.find("partial_sum(") if "partial_sum(" in plan else plan.find("HashAggregate(keys=[customer_id")
     # the plan string lists parents first: the (customer, month) aggregate sits below the join
     assert partial_at > join_at
 
 
+def test_one_fact_scan_feeds_the_customer_level(tables):
+    _ = tables.customer_months
+    for df in (tables.rfm_scored, tables.cohorted, tables.profit, tables.industry_series):
+        assert "Scan parquet" in _plan(df)
+    from tidemark.operators import profit, rfm, series
+
+    for df in (
+        rfm.rfm_metrics(tables.customer_months, reference=tables.reference),
+        cohort.with_cohort(tables.customer_months, tables.customers),
+        profit.verified_revenue(tables.customer_features, tables.customer_months),
+        series.monthly_series_by(tables.customer_months, tables.customers, "industry"),
+    ):
+        assert "transaction_status" not in _plan(df)  # the fact itself isn't read again
+
+
+def test_value_scores_deal_no_rows_by_risk(spark, tables):
+    from tidemark.operators import retention
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(retention.value_scores(retention.with_behaviour(tables.churn_predictions, tables.customer_features)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(churn_risk_level" not in plan and "hashpartitioning(value_score" not in plan
+
+
 def test_no_single_partition_exchange_over_customers(tables):
     # value tiers use the distributed rank: no window over the whole customer table
     plan = _plan(unified.master_customers(tables.customer_features, tables.transactions, None, None, None, None))

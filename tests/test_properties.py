@@ -37,9 +37,10 @@ def test_running_sums_end_at_totals(spark):
     months = sorted(q(spark, "monthly_business_summary"), key=lambda r: r.month)
     assert months[-1].cumulative_revenue == pytest.approx(sum(r.revenue for r in months), rel=1e-12)
     fc = sorted(q(spark, "combined_forecast"), key=lambda r: r.date)
-    assert fc[-1].cumulative_forecast == pytest.approx(sum(r.forecast_ensemble for r in fc), rel=1e-9)
+    # published to two digits, computed without rounding
+    assert fc[-1].cumulative_forecast == pytest.approx(sum(r.forecast_ensemble for r in fc), abs=0.1)
     for r in fc:
-        assert r.forecast_ensemble == pytest.approx((r.forecast_seasonal + r.forecast_ar) / 2)
+        assert r.forecast_ensemble == pytest.approx((r.forecast_seasonal + r.forecast_ar) / 2, abs=0.011)
 
 
 def test_risk_lists_partition_recommendations(spark):

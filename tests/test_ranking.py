@@ -132,3 +132,53 @@ def test_descending_rank_and_cumsum_match_windows(spark):
     wc = w.rowsBetween(Window.unboundedPreceding, 0)
     want_c = {r.id: r.c for r in df.select("id", F.sum("v").over(wc).alias("c")).collect()}
     assert cum == want_c
+
+
+def test_global_dense_rank_matches_window_on_hot_values(spark):
+    rows = [(i, "abc"[i % 3], None if i % 11 == 0 else float(i % 7)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, g string, v double").repartition(5)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
+    want = {r.id: r.d for r in df.where("v is not null").select("id", F.dense_rank().over(w).alias("d")).collect()}
+    want |= {i: None for i, _, v in rows if v is None}
+    for p in (1, 4, 13):
+        got = {r.id: r.dense_rank for r in global_dense_rank(df, "v", group="g", partitions=p).collect()}
+        assert got == want
+    flat = {r.id: r.dense_rank for r in global_dense_rank(df, "v", descending=False, partitions=4).collect()}
+    assert {flat[i] for i in flat if rows[i][2] == 0.0} == {1} and {flat[i] for i in flat if rows[i][2] == 6.0} == {7}
+
+
+def test_dense_rank_deals_no_rows_by_group_or_value(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(i, "ab"[i % 2], float(i % 5)) for i in range(50)], "id long, risk string, v double")
+        plan = global_dense_rank(df, "v", group="risk")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for line in plan.splitlines():
+        assert "SortMergeJoin" not in line and "hashpartitioning(v" not in line and "hashpartitioning(risk" not in line
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.floats(-100, 100), st.just(3.5), st.none()), min_size=1, max_size=80))
+def test_quantiles_of_many_columns_match_numpy(spark, values):
+    from tidemark.functions.ranking import exact_quantiles_many
+
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "a double, b int")
+    got = {(r.column, r.p): r.value for r in exact_quantiles_many(df, {"a": [0.0, 0.1, 0.5, 1.0], "b": [0.25]}).collect()}
+    known = [v for v in values if v is not None]
+    for p in (0.0, 0.1, 0.5, 1.0):
+        if known:
+            assert got["a", p] == pytest.approx(np.quantile(known, p), rel=1e-12, abs=1e-12)
+        else:
+            assert got["a", p] is None
+    assert got["b", 0.25] == pytest.approx(np.quantile(range(len(values)), 0.25))
+
+
+def test_quantiles_do_not_sort_the_table(spark):
+    from tidemark.functions.ranking import exact_quantiles_many
+
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).cast("double").alias("x"))
+    q = exact_quantiles_many(df, {"x": [0.5]})
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    assert q.first().value == np.quantile([(i * 7919) % 100_003 for i in range(100_000)], 0.5)

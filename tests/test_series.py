@@ -112,3 +112,119 @@ def test_month_over_month_and_cumulative_match_published(spark):
     assert out[2].revenue_mom == 13.332429874719143 and out[2].customer_mom == 43.75
     assert out[3].revenue_mom == 98.9715428364718 and out[3].customer_mom == 108.69565217391303
     assert [r.cum for r in out] == pytest.approx([2857.59, 11638.66, 21590.46, 41391.71], abs=1e-9)
+
+
+def _series(spark, values, start=dt.date(2020, 1, 1)):
+    return spark.createDataFrame(list(zip(_dates(len(values), start), map(float, values))), "date date, value double")
+
+
+def _many(spark, by_key):
+    rows = [(k, d, float(v)) for k, values in by_key.items() for d, v in zip(_dates(len(values), dt.date(2020, 1, 1)), values)]
+    return spark.createDataFrame(rows, "k string, date date, value double")
+
+
+WAVE = [100, 110, 95, 105, 90, 115, 100, 108, 97, 103, 92, 113]
+AWKWARD = {
+    "one": [5.0],
+    "three": [1.0, 2.0, 4.0],
+    "nine": [3, 5, 4, 6, 5, 7, 6, 8, 7],
+    "eighteen": (WAVE * 2)[:18],
+    "twentyfive": (WAVE * 3)[:25],
+    "long": [v * (1 + 0.01 * i) for i, v in enumerate(WAVE * 3)],
+    "constant": [7.0] * 30,
+    "zero month": [0 if i % 12 == 3 else v for i, v in enumerate(WAVE * 3)],
+    "zero start": [0.0] * 14 + [50.0 + i for i in range(22)],
+}
+
+
+def test_every_series_gets_a_forecast(spark):
+    df = _many(spark, AWKWARD)
+    for fc in (series.forecast_ar(df, ["k"], 6), series.forecast_seasonal_trend(df, ["k"], 6).where("is_forecast")):
+        rows = fc.collect()
+        got = {k: [r.forecast for r in sorted(rows, key=lambda r: r.date) if r.k == k] for k in AWKWARD}
+        for k, values in got.items():
+            assert len(values) == 6 and all(v is not None for v in values), k
+        # forecasts stay near the level of the series
+        assert all(85 < v < 120 for v in got["eighteen"] + got["twentyfive"])
+        assert got["constant"] == pytest.approx([7.0] * 6)
+        assert all(v == pytest.approx(5.0) for v in got["one"])
+    st = series.stationarity(df, ["k"]).collect()
+    assert {r.k: r.n_obs for r in st} == {k: len(v) - 1 for k, v in AWKWARD.items()}
+    assert {r.k for r in st if r.adf_statistic is None} >= {"one", "three", "constant"}
+
+
+def test_a_series_alone_and_among_others_is_the_same(spark):
+    df = _many(spark, AWKWARD)
+    rows = lambda d: {r.date: (r.forecast, r.lower, r.upper) for r in d.collect()}
+    for k in ("eighteen", "long"):
+        one = _series(spark, AWKWARD[k])
+        for f in (series.forecast_ar, series.forecast_seasonal_trend):
+            assert rows(f(one)) == rows(f(df, ["k"]).where(f"k = '{k}'").drop("k"))
+
+
+def test_additive_offsets_are_added(spark):
+    values = (WAVE * 2)[:18]
+    df = _series(spark, values)
+    fit = {r.date: r.forecast for r in series.forecast_seasonal_trend(df, horizon=3).collect()}
+    d = {r.date: r for r in series.decompose(df).collect()}
+    assert {r.model for r in d.values()} == {"additive"} and {r.period for r in d.values()} == {9}
+    dates = sorted(d)
+    level = [fit[x] - d[x].seasonal for x in dates]
+    steps = [b - a for a, b in zip(level, level[1:])]
+    assert steps == pytest.approx([steps[0]] * len(steps))  # what is left is a line
+    ahead = sorted(x for x in fit if x > dates[-1])
+    assert fit[ahead[0]] == pytest.approx(level[-1] + steps[0] + d[dates[18 - 9]].seasonal)
+    si = {r.month: r.seasonal_index for r in series.seasonal_indices(series.decompose(_series(spark, [1, 2, 3]))).collect()}
+    assert set(si.values()) == {0.0}
+
+
+def test_zero_first_trend_is_null(spark):
+    g = series.trend_growth(series.decompose(_series(spark, AWKWARD["zero start"]))).first()
+    assert g.trend_start == 0.0 and g.trend_growth_pct is None
+
+
+def test_holdout_reports_short_series(spark):
+    m = {(r.k, r.model): r for r in series.holdout_metrics(_many(spark, AWKWARD), ["k"]).collect()}
+    assert len(m) == 2 * len(AWKWARD)
+    assert m["three", "ar"].mae is None and m["long", "seasonal_trend"].mape < 10
+    assert m["constant", "ar"].mae == pytest.approx(0.0, abs=1e-9)
+
+
+def test_arma_grid_reports_every_series(spark):
+    fc, aic = series.forecast_arma_grid(_many(spark, AWKWARD), ["k"], 4)
+    rows = fc.collect()
+    assert {k: sum(r.k == k for r in rows) for k in AWKWARD} == {k: 4 for k in AWKWARD}
+    status = {r.k: r.status for r in rows}
+    assert status["constant"] == "constant" and status["nine"] == "short" and status["long"] == "ok"
+    assert all(r.forecast is not None for r in rows)
+    assert {r.k for r in aic.where("aic is null").collect()} <= {"constant", "one", "three"}
+
+
+def test_white_noise_mostly_picks_the_mean_model(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    by_key = {f"s{i}": rng.normal(1000, 100, 80).tolist() for i in range(20)}
+    df = _many(spark, by_key)
+    zero = df.select("k").distinct().selectExpr("k", "0 as d")
+    picked = [(r.p, r.q) for r in series.forecast_arma_grid(df, ["k"], 1, zero)[0].collect()]
+    assert picked.count((0, 0)) >= 10 and sum(q == 3 for _, q in picked) <= 4
+
+
+def test_arma_grid_needs_no_package_on_the_workers(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import os, sys
+sys.path.insert(0, {here!r})
+from tidemark.session import local_session
+from tidemark.operators import series
+spark = local_session(2)
+df = spark.sql("select add_months(date'2020-01-01', cast(id as int)) date, 100 + 10 * sin(id) + rand(3) value from range(40)")
+assert series.forecast_arma_grid(df)[0].count() == 12
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300)

@@ -104,7 +104,7 @@ def global_dense_rank(
     hot group nor a hot value is kept together; each row that differs from the
     one before it counts one, and prefix sums over the partitions carry the
     count on.  Nothing is joined back on the group or the value: the only joins
-    are broadcasts of one row a partition and one row a group.
+    are broadcasts of one row a partition and of the groups' first ranks.
     """
     keys = [F.col(group)] if group else []
     v = F.col(value)
@@ -134,8 +134,13 @@ def global_dense_rank(
     )
     ranked = local.join(F.broadcast(offsets), "_dr_pid").withColumn(out, F.col("_dr_local") + F.col("_off"))
     if group:
-        starts = ranked.groupBy(F.col(group).alias("_dr_group")).agg(F.min(out).alias("_dr_start"))  # one row a group
-        ranked = ranked.join(F.broadcast(starts), F.col(group).eqNullSafe(F.col("_dr_group"))).withColumn(out, F.col(out) - F.col("_dr_start") + 1)
+        # the first row of each group, and of each partition, in one array; then one entry a group
+        head = F.lag(F.struct(group)).over(w).isNull() | ~F.lag(F.col(group)).over(w).eqNullSafe(F.col(group))
+        heads = ranked.withColumn("_dr_head", head).where("_dr_head").agg(F.array_sort(F.collect_list(F.struct(F.col(out).alias("at"), F.col(group).alias("g")))).alias("_dr_all"))
+        first = lambda x, i: (i == 0) | ~F.get(F.col("_dr_all"), i - 1)["g"].eqNullSafe(x["g"])
+        ranked = ranked.crossJoin(F.broadcast(heads.select(F.filter("_dr_all", first).alias("_dr_heads"))))
+        start = F.get(F.filter("_dr_heads", lambda h: h["g"].eqNullSafe(F.col(group))), F.lit(0))["at"]
+        ranked = ranked.withColumn(out, F.col(out) - start + 1)
     return ranked.select(*df.columns, F.when(v.isNotNull(), F.col(out)).alias(out))
 
 
@@ -147,9 +152,10 @@ def exact_quantiles_many(df: DataFrame, wanted: dict[str, Sequence[float]]) -> D
     probability, a second counts the values below each such bracket and the
     distinct values inside it (map-side combined, so a hot value is one row),
     and a running count over a bracket's distinct values finds the exact ranks.
-    A bracket holds at most about one in 1,250 of the rows.
+    A bracket holds at most about one in 1,250 of the rows; up to 50,000 rows it
+    holds them all, since there the neighbouring ranks may lie outside.
     """
-    eps, accuracy = 2e-4, 10_000
+    eps, accuracy, few = 2e-4, 10_000, 50_000
     num = {c: F.col(f"`{c}`").cast("double") for c in wanted}
     good = {c: F.when(x.isNotNull() & ~F.isnan(x), x) for c, x in num.items()}
     spots = [(c, k, float(p)) for c, ps in wanted.items() for k, p in enumerate(ps)]
@@ -157,8 +163,8 @@ def exact_quantiles_many(df: DataFrame, wanted: dict[str, Sequence[float]]) -> D
     for i, (c, _, p) in enumerate(spots):
         lo, hi = max(0.0, p - eps), min(1.0, p + eps)
         aggs += [
-            (F.percentile_approx(good[c], lo, accuracy) if lo > 0 else F.min(good[c])).alias(f"_a{i}"),
-            (F.percentile_approx(good[c], hi, accuracy) if hi < 1 else F.max(good[c])).alias(f"_b{i}"),
+            F.when((F.count(good[c]) <= few) | F.lit(lo == 0), F.min(good[c])).otherwise(F.percentile_approx(good[c], lo, accuracy)).alias(f"_a{i}"),
+            F.when((F.count(good[c]) <= few) | F.lit(hi == 1), F.max(good[c])).otherwise(F.percentile_approx(good[c], hi, accuracy)).alias(f"_b{i}"),
             F.count(good[c]).alias(f"_n{i}"),
         ]
     brackets = df.agg(*aggs)  # one row
