@@ -5,6 +5,7 @@ import sys
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from helpers import awkward_docs, frame
 from test_decontaminate import brute as contamination
 from test_leaks import LIVE, SHARED
@@ -88,6 +89,8 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
 
 def test_stages_keep_the_columns(spark, tmp_path):
     docs = frame(spark, corpus())
+    for name in ("row", "kept", "hits", "items", "spans", "text_key", "fp", "root", "n_words", "odd name-1"):
+        docs = docs.withColumn(name, F.lit("clash"))
     frame(spark, [(1, ITEM)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for name, function in corpus_pipeline.STAGES[:-1]:
         out = function(spark, docs, str(tmp_path))

@@ -48,7 +48,7 @@ def test_lines_go_first_then_documents():
     bad = "a### b*** c%%% d### e$$$"
     kept = quality.judge(f"{good}\n{bad}\nAnother line ends it.", 0.5)
     assert kept["kept"] and kept["clean_text"] == f"{good}\nAnother line ends it." and kept["lost_words"] == 5
-    gone = quality.judge(f"{bad}\n{bad} x\n{good}", 0.4)
+    gone = quality.judge(f"{bad}\nf### g*** h%%% i### j$$$ k%%%\n{good}", 0.4)
     assert not gone["base_failed"] and not gone["kept"]
     assert quality.judge("w" * 100_000 + " x" * 9, 0.5)["n_words"] == 10
 

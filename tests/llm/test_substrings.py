@@ -31,7 +31,7 @@ def test_awkward_rows_match_brute_force(spark):
     assert rows_of(sub.digest(sub.remove_repeats(docs))) == want(rows)
 
 
-@pytest.mark.parametrize("group_windows", [30, 8_000_000])
+@pytest.mark.parametrize("group_windows", [30, 4_000_000])
 def test_over_full_groups_and_rounds(spark, monkeypatch, group_windows):
     monkeypatch.setattr(sub, "CHUNK_WORDS", 300)
     monkeypatch.setattr(sub, "FLUSH", 100)

@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, track_staged
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+`` as a Java character class.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -28,6 +29,7 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    track_staged(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -70,5 +72,5 @@ def map_texts(
             return "struct<" + ",".join(f"{f.name}:{spark_type(f.type)}" for f in t) + ">"
         return ddl[t]
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [f"`{n}` {spark_type(t)}" for n, t in fields])
-    return df.mapInArrow(run, schema)
+    added = StructType.fromDDL(", ".join(f"`{n}` {spark_type(t)}" for n, t in fields))
+    return df.mapInArrow(run, StructType([StructField(f.name, f.dataType) for f in keep] + added.fields))

@@ -160,4 +160,4 @@ def redact(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("secret_spans_").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -187,7 +187,8 @@ def mix(docs: DataFrame, cap: int = CAP, source: str = "source", steps: int = ST
         .select("source_key", "size", "salt", "source_size", "target", "rate", "each", "more")
     )
     nth = F.row_number().over(Window.partitionBy("source_key", "size", "salt").orderBy("order_key", *carry))
-    out = sized.withColumn("nth", nth).join(dealt, ["source_key", "size", "salt"])
+    # the ranks are dealt by these keys already, so a merge join moves only the class table; no broadcast
+    out = sized.withColumn("nth", nth).join(dealt.hint("merge"), ["source_key", "size", "salt"])
     copies = (F.col("each") + F.when(F.col("nth") <= F.col("more"), 1).otherwise(0)).cast("int")
     out = out.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(1)))
     return out.select(*carry, "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))

@@ -317,11 +317,11 @@ def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 3, parts: int = 2)
     found = stage(simhash_components(keyed, width, max_bits, parts, carry=("doc_id", "text_key"), group_key=True), "found")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     picks = found.groupBy("root").agg(F.min(order).alias("pick")).select("pick.doc_id", "pick.text_key")
-    picks = stage(picks.select(F.col("doc_id").alias("pick_id"), F.col("text_key").alias("pick_key")), "picks")
-    again = stage(found.groupBy("doc_id", "text_key").count().where("count > 1").select(F.col("doc_id").alias("pick_id"), F.col("text_key").alias("pick_key")), "again")
-    same = docs["doc_id"].eqNullSafe(F.col("pick_id")) & (text_key == F.col("pick_key"))
+    picks = stage(picks.select(F.col("doc_id").alias("simhash_id"), F.col("text_key").alias("simhash_key")), "picks")
+    again = stage(found.groupBy("doc_id", "text_key").count().where("count > 1").select(F.col("doc_id").alias("simhash_id"), F.col("text_key").alias("simhash_key")), "again")
+    same = docs["doc_id"].eqNullSafe(F.col("simhash_id")) & (text_key == F.col("simhash_key"))
     kept = docs.join(picks, same, "left_semi")
-    same = kept["doc_id"].eqNullSafe(F.col("pick_id")) & (text_key == F.col("pick_key"))
+    same = kept["doc_id"].eqNullSafe(F.col("simhash_id")) & (text_key == F.col("simhash_key"))
     # rows that stand more than once are few, and only they are compared
     doubled = kept.join(again, same, "left_semi").withColumn("simhash_text_key", text_key)
     return kept.join(again, same, "left_anti").unionByName(doubled.dropDuplicates(["doc_id", "simhash_text_key"]).drop("simhash_text_key"))

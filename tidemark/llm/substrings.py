@@ -44,7 +44,7 @@ from tidemark.llm.common import map_texts, stage, text_or_empty
 
 WIDTH = 50
 SHORT = 8
-GROUP_WINDOWS = 8_000_000
+GROUP_WINDOWS = 4_000_000
 PIECE = 2_000_000  # bytes hashed at once
 CHUNK_WORDS = 600_000  # words whose windows are compared before the shuffle
 FLUSH = 1_000_000  # windows ordered at once after it
