@@ -27,6 +27,9 @@ def test_odd_markup():
     assert text_of("<article><p>cut &lt;b&gt;<p title='a>b'>x</p><p cl") == ["cut <b>", "x"]
     assert text_of("<article>" + "<div>" * 3000 + "deep") == ["deep"]
     assert text_of("<main><p>one</p></main><p>out</p>") == ["one"]
+    assert text_of("<p>out</p><div class='post-content'><p>one</p><div class='advertorial'>ad</div></div>") == ["one"]
+    assert text_of("<div id=content><p>lead</p><main><p>in main</p><article><p>in it</p></article></main></div>") == ["in it"]
+    assert text_of("<article><p>a</p><ins class='adsbygoogle'>buy</ins><p>b <span class='share-box'>tweet</span>c</p></article>") == ["a", "b c"]
     assert text_of("<div class='sidebar-wrap'><article>kept</article></div><!-- open") == ["kept"]
     assert text_of("<script>never closed <article>no</article>") == []
     long = "word " * 200_000

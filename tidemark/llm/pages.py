@@ -20,8 +20,9 @@ with their path and whole text blocks with their path.
 4. Extraction.  Each block lies in the slot of the deepest template element around
    it.  Slots of menus, headers, footers, sidebars, notices, adverts, forms,
    scripts, styles and comments are left out.  Of the others, those of a marked
-   article (``article``, ``main``) are the text; nothing is dropped there for being
-   frequent, so copies of an article lose nothing.  Without one, template text is
+   article (``article``, else ``main``, else an element whose class, id or role says
+   so) are the text; nothing is dropped there for being frequent, so copies of an
+   article lose nothing.  Without one, template text is
    dropped and the deepest template element that holds most of the rest is taken.
 
 A block is the text between block-level tags; a ``br`` counts as white space.
@@ -62,7 +63,11 @@ OUTSIDE_WORDS = frozenset(
     " newsletter subscribe signup sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar toolbar share sharing social"
     " related recommended recommendations login search widget pagination pager contentinfo complementary".split()
 )
+OUTSIDE_STARTS = ("advert", "adsby", "cookie", "sidebar", "newsletter", "breadcrumb")
 COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+#: Marks of an article, from the weakest: words of class, id or role, then the two elements.
+MARK_WORDS = frozenset("article post entry story content".split())
+MARKS = {"main": 2, "article": 3}
 #: Elements that a new sibling closes, and where that stops.
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt", {"dl"}), "dd": ("dd", {"dl"}), "tr": ("tr", {"table"}), "td": ("td", {"tr", "table"}), "th": ("th", {"tr", "table"}), "option": ("option", {"form"})}
 KEEP, OUT, HARD = 0, 1, 2
@@ -71,8 +76,8 @@ KEEP, OUT, HARD = 0, 1, 2
 class Page:
     """Blocks and template tokens of one page.
 
-    Elements are numbered as they start: name, parent, path hash, state, whether the
-    element is (in) an article or main.  Blocks are (element, text).  Tokens are
+    Elements are numbered as they start: name, parent, path hash, state, the strongest
+    mark of an article on or around the element.  Blocks are (element, text).  Tokens are
     (hash, is_tag, number of the element or block) in page order.
     """
 
@@ -81,16 +86,17 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         self.tokens: list[tuple[int, bool, int]] = []
         self._open, self._pieces = [0], []
+        self._muted: set[int] = set()  # inline elements that are left out of the block around them
         at = 0
         source = _CUT_TAG.sub("", source)
         end = len(source)
         while at < end:
             m = _TOKEN.search(source, at)
             if not m:
-                self._pieces.append(source[at:])
+                self._text(source[at:])
                 break
             if m.start() > at:
-                self._pieces.append(source[at : m.start()])
+                self._text(source[at : m.start()])
             at = m.end()
             name = m.group(2)
             if not name:
@@ -106,13 +112,17 @@ class Page:
                 self._start(name, m.group(3))
         self._flush()
 
+    def _text(self, text: str) -> None:
+        if self._open[-1] not in self._muted:
+            self._pieces.append(text)
+
     def _flush(self) -> None:
         if not self._pieces:
             return
         text = " ".join(html_lib.unescape("".join(self._pieces)).split())
         self._pieces = []
         if text:
-            e = self._open[-1]
+            e = next(x for x in reversed(self._open) if x not in self._muted)
             self.tokens.append((xxhash.xxh64_intdigest(text, self.path[e]), False, len(self.blocks)))
             self.blocks.append((e, text))
 
@@ -129,37 +139,38 @@ class Page:
         words: set[str] = set()
         if attrs and "=" in attrs:
             words = {w.lower() for _, a, b, c in _ATTR.findall(attrs) for w in _NAME.findall(a or b or c)}
+        outside = bool(words & OUTSIDE_WORDS) or any(w.startswith(OUTSIDE_STARTS) for w in words)
         block = name in BLOCK
         if name == "br":
-            self._pieces.append(" ")
+            self._text(" ")
             return
         if block:
             self._flush()
             self._pop_to("p", BLOCK - {"p"})
             if name in CLOSES:
                 self._pop_to(*CLOSES[name])
-        elif name in VOID or not words & (OUTSIDE_WORDS | COMMENT_WORDS):
+        elif name in VOID or not (outside or words & COMMENT_WORDS):
             return  # other inline elements don't part the text
         if name in VOID:
             return
-        if not block:
-            self._flush()
         up = self._open[-1]
         state, inside = self.state[up], self.inside[up]
         if name in ("article", "main"):
-            if words & COMMENT_WORDS or (inside and words & OUTSIDE_WORDS):
+            if words & COMMENT_WORDS or (inside == 3 and outside):
                 state = HARD
             elif state == OUT:
                 state = KEEP  # a wrapper that is only named like a frame part
-            inside = inside or (2 if name == "article" else 1)
+            inside = max(inside, MARKS[name])
         elif words & COMMENT_WORDS:
             state = HARD if name not in ("html", "body") else state
         elif name in OUTSIDE:
             state = max(state, OUT if name == "header" else HARD)
         elif name in HEADINGS and inside and state == OUT and self._in_header(up):
             state = KEEP  # an article's own headline
-        elif words & OUTSIDE_WORDS and name not in ("html", "body"):
+        elif outside and name not in ("html", "body"):
             state = max(state, OUT)
+        elif words & MARK_WORDS and block and name not in ("html", "body"):
+            inside = max(inside, 1)
         key = xxhash.xxh64_intdigest(name + " " + " ".join(sorted(words)), self.path[up])
         self.names.append(name)
         self.parent.append(up)
@@ -167,6 +178,8 @@ class Page:
         self.state.append(state)
         self.inside.append(inside)
         self._open.append(len(self.names) - 1)
+        if not block:
+            self._muted.add(len(self.names) - 1)
         self.tokens.append((key, True, len(self.names) - 1))
 
     def _in_header(self, e: int) -> bool:
@@ -181,7 +194,8 @@ class Page:
             self._flush()
         for k in range(len(self._open) - 1, 0, -1):
             if self.names[self._open[k]] == name:
-                self._flush()
+                if self._open[k] not in self._muted:
+                    self._flush()
                 del self._open[k:]
                 return
 
@@ -225,7 +239,8 @@ def main_blocks(page: Page, template: list[tuple[int, int, float, int]]) -> list
     """
     written = placed_classes(page, template)
     frame = {page.tokens[i][2] for i in written if page.tokens[i][1]}
-    frame.update(e for e, n in enumerate(page.names) if n in ("article", "main"))
+    # a marked article bounds a slot even where the template misses it
+    frame.update(e for e in range(1, len(page.names)) if page.inside[e] > page.inside[page.parent[e]])
     text_of_template = {page.tokens[i][2] for i in written if not page.tokens[i][1]}
     # parents come before their children, so one pass finds every element's frame element
     slot = [0] * len(page.names)
