@@ -39,6 +39,7 @@ def test_line_rules():
     assert fault("We use cookies to make this site better") == "boilerplate"
     assert fault("la la la la la la la la") == "repetition"
     assert fault("A plain sentence, with 50% of one word marked and more of them that are not.") is None
+    assert fault("#include <stdio.h>") is None
     assert fault("") is None and fault(" \t") is None
     assert fault("C# and C++ are languages that people use for many things") is None
 

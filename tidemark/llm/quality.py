@@ -7,7 +7,7 @@ top.  All work stays inside the task that reads the document: no shuffle.
 
 Line rules (a line without a word is neither judged nor counted):
 
-* ``symbols``: at least 0.3 of the words hold one of ``#*$%&|<>``;
+* ``symbols``: of five words or more, at least 0.3 hold one of ``#*$%&|<>``;
 * ``shouting``: of five words or more, at least 0.6 end in ``!!``;
 * ``navigation``: two or more separators (``|``, ``>``, a middle dot, a guillemet)
   standing alone, at least one for each four words;
@@ -51,7 +51,7 @@ def line_fault(line: bytes) -> str | None:
         alone = sum(w in SEPARATORS for w in words)
         if alone >= 2 and 4 * alone >= n:
             return "navigation"
-        if 10 * sum(len(w.translate(None, SYMBOLS)) != len(w) for w in words) >= 3 * n:
+        if n >= 5 and 10 * sum(len(w.translate(None, SYMBOLS)) != len(w) for w in words) >= 3 * n:
             return "symbols"
     elif n > 3 and (b"\xc2" in line or b"\xe2" in line):
         alone = sum(w in SEPARATORS for w in words)
