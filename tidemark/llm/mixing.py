@@ -74,6 +74,11 @@ def source_targets(sizes: DataFrame, cap: int = CAP) -> DataFrame:
     return t.select("source", "source_size", "weight", target.cast("double").alias("target"))
 
 
+def exact(x: Column) -> Column:
+    """Sum that doesn't depend on the order of the rows, so that reruns agree to the last bit."""
+    return F.sum(x.cast("decimal(38,9)")).cast("double")
+
+
 def solve_tilt(classes: DataFrame, targets: DataFrame, cap: int = CAP, steps: int = STEPS, tolerance: float = TOLERANCE) -> DataFrame:
     """(source_key, tilt) by Newton's method on the dual; the tilt is for sizes in units of ``unit``.
 
@@ -98,8 +103,8 @@ def solve_tilt(classes: DataFrame, targets: DataFrame, cap: int = CAP, steps: in
             rows.join(state.where(~F.col("done")).select("source_key", "tilt", "unit"), "source_key")
             .groupBy("source_key")
             .agg(
-                F.sum(F.col("n") * F.col("size") * rate).alias("words"),
-                F.sum(F.when(cut, 0.0).otherwise(F.col("n") * F.col("size") * F.col("size") / F.col("unit") * rate)).alias("slope"),
+                exact(F.col("n") * F.col("size") * rate).alias("words"),
+                exact(F.when(cut, 0.0).otherwise(F.col("n") * F.col("size") * F.col("size") / F.col("unit") * rate)).alias("slope"),
             )
         )
         off = F.col("words") - F.col("target")
