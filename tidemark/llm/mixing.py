@@ -186,7 +186,7 @@ def mix(docs: DataFrame, cap: int = CAP, source: str = "source", steps: int = ST
     by_salt = Window.partitionBy("source_key", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     dealt = (
         salted.select("source_key", "size", "salt", F.col("n").alias("mine"))
-        .join(rounded, ["source_key", "size"])
+        .join(rounded.hint("merge"), ["source_key", "size"])  # both sides are dealt by the source and size anyway
         .withColumn("each", F.floor(F.col("copies") / F.col("n")))
         .withColumn("more", F.col("copies") - F.col("each") * F.col("n") - F.coalesce(F.sum("mine").over(by_salt), F.lit(0)))
         .select("source_key", "size", "salt", "source_size", "target", "rate", "each", "more")
