@@ -612,7 +612,8 @@ def _q_arma_order_aic(t: Tables) -> DataFrame:
 def _q_customer_describe(t: Tables) -> DataFrame:
     from tidemark.plans.oracle import DESCRIBE_COLS
 
-    return describe.describe_exact(t.customer_features, DESCRIBE_COLS)
+    out = describe.describe_exact(t.customer_features, DESCRIBE_COLS)
+    return out.withColumn("value", F.when(F.col("stat") == "std", F.round("value", 6)).otherwise(F.col("value")))
 
 
 
