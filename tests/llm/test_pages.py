@@ -65,6 +65,18 @@ def test_copies_of_an_article_are_kept(spark):
     assert {r.text for r in extract_text(frame(spark, rows, SCHEMA)).collect()} == {page[1][0]}
 
 
+def test_copies_do_not_vote_a_text_into_the_template(spark):
+    two, want_two = site("d.org", 1, 4, False)
+    half, want_half = site("e.org", 9, 5, False)
+    copies = [(f"http://e.org/copy{k}", half[0][1].replace("<body>", f"<body><script>track({k})</script>")) for k in range(9)]
+    rows = [(k, u, h) for k, (u, h) in enumerate(two * 2 + half + copies)]
+    got = [r.text for r in sorted(extract_text(frame(spark, rows, SCHEMA).repartition(3)).collect())]
+    assert all(want_two[0] in t for t in got[:2]) and got[0] == got[1]
+    assert got[2:] == want_half + [want_half[0]] * 9
+    sizes = {(r.host, r.pages, r.vector != 0) for r in pages.occurrences(frame(spark, rows, SCHEMA)).where("token = 0").collect()}
+    assert sizes == {("d.org", 1, True), ("e.org", 9, True), (None, 10, True)}
+
+
 def test_awkward_rows(spark):
     rows = [(1, None, None), (2, "http://h/", None), (2, "http://h/", ""), (None, "x", "<p>t</p>"), (3, "://", "<article>é\U0001f600</article>"), (3, "://", "<article>é\U0001f600</article>")]
     got = rows_of(extract_text(frame(spark, rows, SCHEMA)))

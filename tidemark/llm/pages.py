@@ -4,7 +4,8 @@ Pages of one host come from the same template, so the tokens that the template
 writes occur equally often on the same pages.  Tokens here are block-level tags
 with their path and whole text blocks with their path.
 
-1. Occurrence vectors.  A token's vector is its count on every page of the host.
+1. Occurrence vectors.  A token's vector is its count on every distinct page of the
+   host; copies are one page and vote once.
    It is never built: each page adds a hash of (page, count), combined by xor, and
    the number of pages and occurrences are summed.  That aggregates map-side and
    through the shuffle, so a host with a third of all pages is no hot group.
@@ -12,7 +13,7 @@ with their path and whole text blocks with their path.
    are those on at least half of the host's pages (two or more) that have two or
    more tokens.  A token on half the pages is one of at most twice the tokens of a
    mean page, which bounds a host's template.  Tags are counted over the whole
-   corpus too, for hosts with a single page.
+   corpus too, for hosts with a single distinct page.
 3. Nesting.  On each page the classes are placed by support: all tokens present,
    in the order of their mean positions, and the span neither crossing that of a
    class placed before.  The placed classes are the page's template, and what
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+import struct
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -71,6 +73,7 @@ MARKS = {"main": 2, "article": 3}
 #: Elements that a new sibling closes, and where that stops.
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt", {"dl"}), "dd": ("dd", {"dl"}), "tr": ("tr", {"table"}), "td": ("td", {"tr", "table"}), "th": ("th", {"tr", "table"}), "option": ("option", {"form"})}
 KEEP, OUT, HARD = 0, 1, 2
+_PACKED = "<Q?qq"
 
 
 class Page:
@@ -278,36 +281,56 @@ def _host(url: str | None) -> str:
     return re.split(r"[/?#]", rest, maxsplit=1)[0].lower()
 
 
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """(host, page, tokens): the tokens of each host's distinct pages, packed as (hash, is_tag, count, sum of places).
+
+    Pages are the same if their tokens are, so copies that differ in scripts or
+    comments only are one page.  A page's copies are merged before the shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                hosts, keys, packed = [], [], []
+                for url, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    tokens = Page(source or "").tokens
+                    sums: dict[int, list[int]] = {}
+                    for i, (h, tag, _) in enumerate(tokens):
+                        s = sums.setdefault(h, [h, tag, 0, 0])
+                        s[2] += 1
+                        s[3] += i
+                    hosts.append(_host(url))
+                    keys.append(xxhash.xxh3_128_digest(struct.pack(f"<{len(tokens)}Q", *(t[0] for t in tokens))))
+                    packed.append(b"".join(struct.pack(_PACKED, *s) for s in sums.values()))
+                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], names=["host", "page", "tokens"])
+
+    return pages.select("url", "html").mapInArrow(run, "host string, page binary, tokens binary").dropDuplicates(["host", "page"])
+
+
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, vector, pages, total, place): each host's tokens, and tags over the whole corpus (host null)."""
+    """(host, token, vector, pages, total, place): each host's tokens, and tags over the whole corpus (host null).
+
+    Each distinct page votes once for its host and once for the corpus, so copies
+    neither carry a text into a template nor cancel in the xor.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
                 sums: dict[tuple[str | None, int], list] = {}
-                for url, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    host, source = _host(url), source or ""
-                    page = Page(source)
-                    counts: Counter = Counter()
-                    places: dict[int, float] = defaultdict(float)
-                    tags = set()
-                    for i, (h, tag, _) in enumerate(page.tokens):
-                        counts[h] += 1
-                        places[h] += i
-                        if tag:
-                            tags.add(h)
-                    key = xxhash.xxh64_intdigest(source)
-                    counts[0] = 1  # the page itself
-                    tags.add(0)
-                    for h, n in counts.items():
-                        vote = xxhash.xxh64_intdigest(n.to_bytes(8, "little"), key)
-                        for at in (host, None) if h in tags else (host,):
-                            s = sums.setdefault((at, h), [0, 0, 0, 0.0])
-                            s[0] ^= vote
-                            s[1] += 1
-                            s[2] += n
-                            s[3] += places[h]
+                for host, key, packed in zip(*(part.column(c).to_pylist() for c in range(3))):
+                    key = int.from_bytes(key[:8], "little")
+                    # token 0 is the page itself
+                    for h, tag, n, place in [(0, True, 1, 0), *struct.iter_unpack(_PACKED, packed)]:
+                        if host is None and not tag:
+                            continue
+                        s = sums.setdefault((host, h), [0, 0, 0, 0])
+                        s[0] ^= xxhash.xxh64_intdigest(n.to_bytes(8, "little"), key)
+                        s[1] += 1
+                        s[2] += n
+                        s[3] += place
                 signed = lambda v: v - (1 << 64) if v >> 63 else v
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -316,14 +339,16 @@ def occurrences(pages: DataFrame) -> DataFrame:
                         pa.array([signed(v[0]) for v in sums.values()], pa.int64()),
                         pa.array([v[1] for v in sums.values()], pa.int64()),
                         pa.array([v[2] for v in sums.values()], pa.int64()),
-                        pa.array([v[3] for v in sums.values()], pa.float64()),
+                        pa.array([float(v[3]) for v in sums.values()], pa.float64()),
                     ],
                     names=["host", "token", "vector", "pages", "total", "place"],
                 )
 
     schema = "host string, token bigint, vector bigint, pages bigint, total bigint, place double"
+    own = stage(distinct_pages(pages), "pages")
+    everywhere = own.dropDuplicates(["page"]).select(F.lit(None).cast("string").alias("host"), "page", "tokens")
     return (
-        pages.select("url", "html")
+        own.unionByName(everywhere)
         .mapInArrow(run, schema)
         .groupBy("host", "token")
         .agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("place").alias("place"))
@@ -333,7 +358,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
 def deduce_templates(pages: DataFrame) -> DataFrame:
     """(host, template): each host's equivalence classes as an array of (token, class, place, support).
 
-    Hosts with a single page are left out; the row with a null host is the corpus-wide template.
+    Hosts with a single distinct page are left out; the row with a null host is the corpus-wide template.
     """
     seen = stage(occurrences(pages), "tokens")
     sizes = seen.where("token = 0").select(F.col("host").alias("h"), F.col("pages").alias("host_pages"))
