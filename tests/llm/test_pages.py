@@ -77,6 +77,31 @@ def test_copies_do_not_vote_a_text_into_the_template(spark):
     assert sizes == {("d.org", 1, True), ("e.org", 9, True), (None, 10, True)}
 
 
+def test_the_template_decides_inside_marked_articles(spark):
+    rng = random.Random(7)
+    bodies = [[prose(rng, 9), prose(rng, 8)] for _ in range(10)]
+    shared = prose(rng, 10)  # a real paragraph on half of the pages
+
+    def page(k, start, end):
+        own = "".join(f"<p>{p}</p>" for p in bodies[k]) + (f"<p>{shared}</p>" if k % 2 else "")
+        return f'<body>{start}<h1>T{k}</h1>{own}<div class="zz9"><p>Tell your friends</p></div><p>Thanks for reading</p>{end}</body>'
+
+    want = ["\n".join([f"T{k}", *bodies[k]] + [shared] * (k % 2)) for k in range(10)]
+    ways = {"m.org": ("<article>", "</article>"), "u.org": ('<div class="x9">', "</div>"), "f.org": ("<form id=aspnet><article>", "</article></form>"), "w.org": ('<div class="page-banner">', "</div>")}
+    rows = [(100 * n + k, f"http://{host}/{k}", page(k, *way)) for n, (host, way) in enumerate(ways.items()) for k in range(10)]
+    got = [r.text for r in sorted(extract_text(frame(spark, rows, SCHEMA).repartition(3)).collect())]
+    assert got == want * 4
+
+
+def test_nothing_is_lost_where_nothing_varies(spark):
+    same = "<article><h1>One title</h1><p>one text</p></article>"
+    bare = '<div class="x9"><h2>Two title</h2><p>two text</p></div>'
+    near = '<div class="x9"><h2>Title</h2><p>shared text</p><p>only {}</p></div>'
+    rows = [(k, f"http://{h}/{k}", f"<nav>menu {k}</nav>" + b.format(k)) for k, (h, b) in enumerate([("g.org", same)] * 2 + [("h.org", bare)] * 2 + [("i.org", near)] * 2)]
+    got = [r.text for r in sorted(extract_text(frame(spark, rows, SCHEMA)).collect())]
+    assert got == ["One title\none text"] * 2 + ["Two title\ntwo text"] * 2 + ["Title\nshared text\nonly 4", "Title\nshared text\nonly 5"]
+
+
 def test_awkward_rows(spark):
     rows = [(1, None, None), (2, "http://h/", None), (2, "http://h/", ""), (None, "x", "<p>t</p>"), (3, "://", "<article>é\U0001f600</article>"), (3, "://", "<article>é\U0001f600</article>")]
     got = rows_of(extract_text(frame(spark, rows, SCHEMA)))

@@ -11,20 +11,26 @@ with their path and whole text blocks with their path.
    through the shuffle, so a host with a third of all pages is no hot group.
 2. Classes.  Tokens of a host with equal vectors are one equivalence class.  Kept
    are those on at least half of the host's pages (two or more) that have two or
-   more tokens.  A token on half the pages is one of at most twice the tokens of a
+   more tokens; tokens without a class are kept for their page counts.  A token on half the pages is one of at most twice the tokens of a
    mean page, which bounds a host's template.  Tags are counted over the whole
    corpus too, for hosts with a single distinct page.
 3. Nesting.  On each page the classes are placed by support: all tokens present,
    in the order of their mean positions, and the span neither crossing that of a
    class placed before.  The placed classes are the page's template, and what
    lies between their tokens are its slots.
-4. Extraction.  Each block lies in the slot of the deepest template element around
-   it.  Slots of menus, headers, footers, sidebars, notices, adverts, forms,
-   scripts, styles and comments are left out.  Of the others, those of a marked
-   article (``article``, else ``main``, else an element whose class, id or role says
-   so) are the text; nothing is dropped there for being frequent, so copies of an
-   article lose nothing.  Without one, template text is
-   dropped and the deepest template element that holds most of the rest is taken.
+4. Fixed and varying.  A passage (the texts of one element, with the headings,
+   paragraphs and list items in it) that is the same on nine tenths of the distinct
+   pages that have its place is frame; so is a single text on nine tenths of them, eight
+   pages or more.  A text that only half of the pages share, in a place that varies, is
+   no frame.  What stands on fewer than half of a host's pages can't be judged.
+5. Extraction.  Each block lies in the slot of the deepest template element around
+   it.  Words in tags, classes, ids and roles are evidence: menus, headers, footers,
+   sidebars, notices, adverts, forms, scripts, styles and comments are left out, and a
+   marked article (``article``, else ``main``, else an element whose class, id or role
+   says so) is the text, without its fixed blocks unless nothing in it varies.  Without
+   a marked article, an element left out for its name that holds most of the varying
+   text is not left out (menus, sidebars, footers and comments are), fixed blocks are dropped
+   and the deepest template element that holds most of the rest is taken.
 
 A block is the text between block-level tags; a ``br`` counts as white space.
 
@@ -35,10 +41,11 @@ of its own; repeated rows get equal results; cut-off tags at the end are ignored
 from __future__ import annotations
 
 import html as html_lib
+import math
 import re
 import struct
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -58,6 +65,14 @@ BLOCK = frozenset(
     " legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that belong to the passage around them, unless a class, id or role sets them apart.
+TEXT_LEVEL = HEADINGS | frozenset("p li pre blockquote dd dt td th tr tbody thead tfoot figcaption summary".split())
+#: A text on this share of the pages that have its place is fixed.  A single text in a place
+#: that varies must stand on more pages for that, as a few near copies share texts too.
+FIXED_SHARE = 0.9
+FIXED_PAGES, FIXED_TEXT_PAGES = 2, 8
+#: Elements that stay out of the text even where they hold most of it.
+NEVER = frozenset("nav aside footer dialog menu head".split())
 #: Elements that never hold article text, and words of class, id or role that say the same of any element.
 OUTSIDE = frozenset("nav aside footer form dialog menu head header".split())
 OUTSIDE_WORDS = frozenset(
@@ -73,7 +88,8 @@ MARKS = {"main": 2, "article": 3}
 #: Elements that a new sibling closes, and where that stops.
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt", {"dl"}), "dd": ("dd", {"dl"}), "tr": ("tr", {"table"}), "td": ("td", {"tr", "table"}), "th": ("th", {"tr", "table"}), "option": ("option", {"form"})}
 KEEP, OUT, HARD = 0, 1, 2
-_PACKED = "<Q?qq"
+TEXT, TAG, PASSAGE = 0, 1, 2
+_PACKED = "<Qbqq"
 
 
 class Page:
@@ -81,15 +97,19 @@ class Page:
 
     Elements are numbered as they start: name, parent, path hash, state, the strongest
     mark of an article on or around the element.  Blocks are (element, text).  Tokens are
-    (hash, is_tag, number of the element or block) in page order.
+    (hash, is_tag, number of the element or block) in page order.  Places are the
+    elements that hold a passage; each has the hash of its own texts.  Elements in
+    ``trusted`` are not left out, whatever they are named.
     """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, trusted: Collection[int] = ()):
+        self.source, self.trusted, self.place = source, trusted, [0]
         self.names, self.parent, self.path, self.state, self.inside = ["#"], [-1], [0], [KEEP], [0]
         self.blocks: list[tuple[int, str]] = []
         self.tokens: list[tuple[int, bool, int]] = []
         self._open, self._pieces = [0], []
         self._muted: set[int] = set()  # inline elements that are left out of the block around them
+        self.never = {0}
         at = 0
         source = _CUT_TAG.sub("", source)
         end = len(source)
@@ -158,7 +178,11 @@ class Page:
             return
         up = self._open[-1]
         state, inside = self.state[up], self.inside[up]
-        if name in ("article", "main"):
+        if words & COMMENT_WORDS or name in NEVER or name in ("article", "main"):
+            self.never.add(len(self.names))
+        if len(self.names) in self.trusted:
+            pass
+        elif name in ("article", "main"):
             if words & COMMENT_WORDS or (inside == 3 and outside):
                 state = HARD
             elif state == OUT:
@@ -175,6 +199,7 @@ class Page:
         elif words & MARK_WORDS and block and name not in ("html", "body"):
             inside = max(inside, 1)
         key = xxhash.xxh64_intdigest(name + " " + " ".join(sorted(words)), self.path[up])
+        self.place.append(self.place[up] if name in TEXT_LEVEL and not words else len(self.names))
         self.names.append(name)
         self.parent.append(up)
         self.path.append(key)
@@ -185,6 +210,13 @@ class Page:
             self._muted.add(len(self.names) - 1)
         self.tokens.append((key, True, len(self.names) - 1))
 
+    def passages(self) -> dict[int, int]:
+        """Hash of the texts that stand in each place itself, by place."""
+        texts = defaultdict(list)
+        for e, text in self.blocks:
+            texts[self.place[e]].append(text)
+        return {e: xxhash.xxh64_intdigest("\0".join(t), self.path[e] ^ 1) for e, t in texts.items()}
+
     def _in_header(self, e: int) -> bool:
         while e > 0 and self.state[e] == OUT:
             if self.names[e] == "header":
@@ -206,14 +238,15 @@ class Page:
 def placed_classes(page: Page, template: list[tuple[int, int, float, int]]) -> set[int]:
     """Indexes of the page's tokens that its template writes: classes by support, in order and nested.
 
-    ``template``: (token, class, mean position, support) of the host.
+    ``template``: (token, class, mean position, support) of the host; tokens without a class are not placed.
     """
     where = defaultdict(list)
     for i, (h, _, _) in enumerate(page.tokens):
         where[h].append(i)
     classes = defaultdict(list)
     for token, cls, mean, support in template:
-        classes[cls].append((mean, token, support))
+        if cls is not None:
+            classes[cls].append((mean, token, support))
     spans: list[tuple[int, int]] = []
     out: set[int] = set()
     for cls in sorted(classes, key=lambda c: (-classes[c][0][2], c)):
@@ -234,17 +267,51 @@ def placed_classes(page: Page, template: list[tuple[int, int, float, int]]) -> s
     return out
 
 
-def main_blocks(page: Page, template: list[tuple[int, int, float, int]]) -> list[str]:
+def fixed_blocks(page: Page, support: dict[int, int]) -> set[int]:
+    """Blocks that the template writes: texts that don't vary where they stand, on the pages of the host that have the place."""
+
+    def fixed(token: int, path: int, least: int) -> bool:
+        n = support.get(token, 0)
+        return n >= least and n >= FIXED_SHARE * support.get(path, math.inf)
+
+    places = {e for e, h in page.passages().items() if fixed(h, page.path[e], FIXED_PAGES)}
+    texts = {i: h for h, tag, i in page.tokens if not tag}
+    return {i for i, (e, _) in enumerate(page.blocks) if page.place[e] in places or fixed(texts[i], page.path[e], FIXED_TEXT_PAGES)}
+
+
+def _wrapper(page: Page, fixed: set[int], support: dict[int, int]) -> int:
+    """The element that is left out though it holds most of the text that varies, or 0."""
+    held: Counter = Counter()
+    for i, (e, text) in enumerate(page.blocks):
+        if i not in fixed:
+            held[e] += len(text)
+    for e in range(len(page.names) - 1, 0, -1):
+        if held[e]:
+            held[page.parent[e]] += held[e]
+    outer = (e for e in range(1, len(page.names)) if page.state[e] != KEEP and page.state[page.parent[e]] == KEEP)
+    return next((e for e in outer if 2 * held[e] > held[0] and e not in page.never and page.path[e] in support), 0)
+
+
+def main_blocks(page: Page, template: list[tuple[int, int | None, float, int]], own: bool = True) -> list[str]:
     """Texts of the slots that hold the article.
 
     The frame is made of the elements that the template writes and of marked
     articles; each block lies in the slot of the deepest frame element around it.
+    Fixed blocks are frame, inside a marked article too, unless nothing varies.
+    A template that isn't the host's ``own`` doesn't tell what varies.
     """
+    support = {t: n for t, _, _, n in template} if own else {}
+    fixed = fixed_blocks(page, support)
+    # an article that is marked and not left out says where the text is, else what varies does
+    if support and not any(m and st == KEEP for m, st in zip(page.inside, page.state)):
+        found = _wrapper(page, fixed, support)
+        while found:
+            page = Page(page.source, {*page.trusted, found})
+            found = _wrapper(page, fixed, support)
     written = placed_classes(page, template)
     frame = {page.tokens[i][2] for i in written if page.tokens[i][1]}
     # a marked article bounds a slot even where the template misses it
     frame.update(e for e in range(1, len(page.names)) if page.inside[e] > page.inside[page.parent[e]])
-    text_of_template = {page.tokens[i][2] for i in written if not page.tokens[i][1]}
     # parents come before their children, so one pass finds every element's frame element
     slot = [0] * len(page.names)
     for e in range(1, len(page.names)):
@@ -256,24 +323,33 @@ def main_blocks(page: Page, template: list[tuple[int, int, float, int]]) -> list
     marked = max((page.inside[s] for s in slots), default=0)
     if marked:
         main = {s for s in slots if page.inside[s] == marked}
-    else:
-        slots = {s: left for s, ids in slots.items() if (left := [i for i in ids if i not in text_of_template])}
-        # the deepest frame element that holds most of the text; without a template, the deepest element
-        around = slot if len(frame) > 1 else range(len(page.names))
-        held: Counter = Counter()
-        for ids in slots.values():
-            for i in ids:
-                held[around[page.blocks[i][0]]] += len(page.blocks[i][1])
-        for e in range(len(page.names) - 1, 0, -1):
-            if held[e]:
-                held[page.parent[e]] += held[e]
-        top = max((e for e in held if 2 * held[e] > held[0] and page.names[e] not in HEADINGS | {"p", "li", "pre"}), default=0)
-        within = {top}
-        for e in range(top + 1, len(page.names)):
-            if page.parent[e] in within:
-                within.add(e)
-        return [page.blocks[i][1] for i in sorted(i for ids in slots.values() for i in ids) if page.blocks[i][0] in within]
-    return [page.blocks[i][1] for i in sorted(i for s in main for i in slots[s])]
+        ids = sorted(i for s in main for i in slots[s])
+        return [page.blocks[i][1] for i in [i for i in ids if i not in fixed] or ids]
+    varying = {s: left for s, ids in slots.items() if (left := [i for i in ids if i not in fixed])}
+    if not varying and _has_empty_slot(page, frame):
+        return []
+    slots = varying or slots
+    # the deepest frame element that holds most of the text; without a template, the deepest element
+    around = slot if len(frame) > 1 else range(len(page.names))
+    held: Counter = Counter()
+    for ids in slots.values():
+        for i in ids:
+            held[around[page.blocks[i][0]]] += len(page.blocks[i][1])
+    for e in range(len(page.names) - 1, 0, -1):
+        if held[e]:
+            held[page.parent[e]] += held[e]
+    top = max((e for e in held if 2 * held[e] > held[0] and page.names[e] not in HEADINGS | {"p", "li", "pre"}), default=0)
+    within = {top}
+    for e in range(top + 1, len(page.names)):
+        if page.parent[e] in within:
+            within.add(e)
+    return [page.blocks[i][1] for i in sorted(i for ids in slots.values() for i in ids) if page.blocks[i][0] in within]
+
+
+def _has_empty_slot(page: Page, frame: set[int]) -> bool:
+    """Does the template write an element that holds nothing on this page?"""
+    full = {e for e, _ in page.blocks} | set(page.parent)
+    return any(page.state[e] == KEEP and e not in full for e in frame)
 
 
 def _host(url: str | None) -> str:
@@ -282,7 +358,7 @@ def _host(url: str | None) -> str:
 
 
 def distinct_pages(pages: DataFrame) -> DataFrame:
-    """(host, page, tokens): the tokens of each host's distinct pages, packed as (hash, is_tag, count, sum of places).
+    """(host, page, tokens): the tokens of each host's distinct pages, packed as (hash, kind, count, sum of places).
 
     Pages are the same if their tokens are, so copies that differ in scripts or
     comments only are one page.  A page's copies are merged before the shuffle.
@@ -294,10 +370,11 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
                 part = batch.slice(lo, 1024)
                 hosts, keys, packed = [], [], []
                 for url, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    tokens = Page(source or "").tokens
-                    sums: dict[int, list[int]] = {}
-                    for i, (h, tag, _) in enumerate(tokens):
-                        s = sums.setdefault(h, [h, tag, 0, 0])
+                    page = Page(source or "")
+                    tokens, sums = page.tokens, {}
+                    counted = [(h, TAG if tag else TEXT, i) for i, (h, tag, _) in enumerate(tokens)]
+                    for h, kind, i in counted + [(h, PASSAGE, 0) for h in page.passages().values()]:
+                        s = sums.setdefault(h, [h, kind, 0, 0])
                         s[2] += 1
                         s[3] += i
                     hosts.append(_host(url))
@@ -309,7 +386,7 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, vector, pages, total, place): each host's tokens, and tags over the whole corpus (host null).
+    """(host, token, kind, vector, pages, total, place): each host's tokens, and tags over the whole corpus (host null).
 
     Each distinct page votes once for its host and once for the corpus, so copies
     neither carry a text into a template nor cancel in the xor.
@@ -323,10 +400,10 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 for host, key, packed in zip(*(part.column(c).to_pylist() for c in range(3))):
                     key = int.from_bytes(key[:8], "little")
                     # token 0 is the page itself
-                    for h, tag, n, place in [(0, True, 1, 0), *struct.iter_unpack(_PACKED, packed)]:
-                        if host is None and not tag:
+                    for h, kind, n, place in [(0, TAG, 1, 0), *struct.iter_unpack(_PACKED, packed)]:
+                        if host is None and kind != TAG:
                             continue
-                        s = sums.setdefault((host, h), [0, 0, 0, 0])
+                        s = sums.setdefault((host, h, kind), [0, 0, 0, 0])
                         s[0] ^= xxhash.xxh64_intdigest(n.to_bytes(8, "little"), key)
                         s[1] += 1
                         s[2] += n
@@ -336,27 +413,30 @@ def occurrences(pages: DataFrame) -> DataFrame:
                     [
                         pa.array([k[0] for k in sums], pa.string()),
                         pa.array([signed(k[1]) for k in sums], pa.int64()),
+                        pa.array([k[2] for k in sums], pa.int32()),
                         pa.array([signed(v[0]) for v in sums.values()], pa.int64()),
                         pa.array([v[1] for v in sums.values()], pa.int64()),
                         pa.array([v[2] for v in sums.values()], pa.int64()),
                         pa.array([float(v[3]) for v in sums.values()], pa.float64()),
                     ],
-                    names=["host", "token", "vector", "pages", "total", "place"],
+                    names=["host", "token", "kind", "vector", "pages", "total", "place"],
                 )
 
-    schema = "host string, token bigint, vector bigint, pages bigint, total bigint, place double"
+    schema = "host string, token bigint, kind int, vector bigint, pages bigint, total bigint, place double"
     own = stage(distinct_pages(pages), "pages")
     everywhere = own.dropDuplicates(["page"]).select(F.lit(None).cast("string").alias("host"), "page", "tokens")
     return (
         own.unionByName(everywhere)
         .mapInArrow(run, schema)
-        .groupBy("host", "token")
+        .groupBy("host", "token", "kind")
         .agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("place").alias("place"))
     )
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, template): each host's equivalence classes as an array of (token, class, place, support).
+    """(host, template): each host's frequent tokens as an array of (token, class, place, support).
+
+    The class is null for passages and for tokens that are alone in theirs.
 
     Hosts with a single distinct page are left out; the row with a null host is the corpus-wide template.
     """
@@ -366,10 +446,12 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
         seen.where("token != 0 and pages >= 2")
         .join(sizes, F.col("host").eqNullSafe(F.col("h")))
         .where("2 * pages >= host_pages")
-        .withColumn("class", F.xxhash64("vector", "pages", "total"))
+        .withColumn("class", F.when(F.col("kind") != PASSAGE, F.xxhash64("vector", "pages", "total")))
         .select("host", "token", "class", (F.col("place") / F.col("total")).alias("place"), F.col("pages").alias("support"))
     )
-    members = frequent.groupBy("host", "class").agg(F.collect_list(F.struct("token", "class", "place", "support")).alias("members")).where(F.size("members") >= 2)
+    alone = F.size("members") < 2
+    members = frequent.groupBy("host", "class").agg(F.collect_list(F.struct("token", "class", "place", "support")).alias("members"))
+    members = members.withColumn("members", F.when(alone, F.transform("members", lambda m: m.withField("class", F.lit(None).cast("bigint")))).otherwise(F.col("members")))
     return stage(members.groupBy("host").agg(F.array_sort(F.flatten(F.collect_list("members"))).alias("template")), "templates")
 
 
@@ -393,8 +475,9 @@ def extract_text(pages: DataFrame, carry: tuple[str, ...] = ("page_id", "url"))
                     own = hosts[i]
                     if own not in memo:
                         found = known[i].as_py()
-                        memo[own] = [(t["token"] % (1 << 64), t["class"], t["place"], t["support"]) for t in found] if found else common_template
-                    texts.append("\n".join(main_blocks(Page(source or ""), memo[own])))
+                        template = [(t["token"] % (1 << 64), t["class"], t["place"], t["support"]) for t in found] if found else common_template
+                        memo[own] = template, bool(found)
+                    texts.append("\n".join(main_blocks(Page(source or ""), *memo[own])))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in range(k)] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     names=[*carry, "text", "n_chars"],
