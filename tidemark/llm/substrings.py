@@ -1,4 +1,4 @@
-"""Repeated passages: suffixes dealt by variable-length prefixes into memory-sized trees.
+"""Repeated passages: hashed windows dealt by their minimiser, in place of suffix trees.
 
 A word is removed if it lies in a window of ``width`` (50) words that also starts
 in a document with a smaller id.  Every window of every document is a suffix cut
@@ -6,19 +6,19 @@ at 50 words; two suffixes share a tree node of depth 50 exactly if their windows
 are equal, so the deep nodes of the suffix trees give all repeats, and adjacent
 positions under repeated nodes join into maximal ones.
 
-Suffixes are dealt into groups by a prefix key that depends on the window's
+Suffixes are dealt into groups by a key that depends on the window's
 words alone, so equal windows meet:
 
 * The short key is the hash of the window's least 8-word run.  Neighbouring
   windows mostly share it, so they travel as one record: position, count and an
   array of window hashes, about 8 bytes a word of text.
-* A group over ``group_windows`` is dealt anew by the longer prefix, all 50 words.
+* A group over ``group_windows`` is dealt anew by a hash of all 50 words.
   These over-full keys are counted first; there are at most one for each
   ``group_windows`` windows of the corpus, which bounds what is broadcast.
 
-Within a group the suffixes are ordered by their 50-word labels, which is the
-leaf order of a tree cut at that depth; each run of equal labels is a node, and
-its first document is the smallest one.  Labels are 64-bit hashes compared within
+Within a group the suffixes are ordered by the values of their 50-word labels, which
+is not the order of their words; each run of equal labels stands for a tree's node of
+depth 50, and its first document is the smallest one.  Labels are 64-bit hashes compared within
 one chunk of one task only.  Before the shuffle each task does the same for the
 documents of a chunk: a window already owned by a smaller document of the chunk
 is settled there, so a passage in a third of all documents leaves each chunk once.
