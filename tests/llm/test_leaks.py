@@ -62,6 +62,17 @@ def test_shared_values_are_examples(spark):
     assert spans[1] == "github:0:44"
 
 
+def test_widely_copied_values_of_few_owners_are_examples(spark):
+    hot = [(k, f"{SHARED} end", "en", "hot", 1) for k in range(60)]
+    rest = [(100 + k, "none", "en", f"owner{k}", 1) for k in range(5)] + [(200 + k, LIVE, "en", "hot", 1) for k in range(49)]
+    live = {r.repo: [s.live for s in r.secrets] for r in leaks.scan_secrets(frame(spark, hot + rest)).collect()}
+    assert live[0] == [False] and live[100] == [] and live[200] == [True]
+    # a table with two sources: what both hold, and as many documents as it takes owners elsewhere
+    two = [(k, SHARED, "en", "ab"[k % 2], 1) for k in range(4)] + [(10 + k, LIVE, "en", "ab"[k % 2], 1) for k in range(3)] + [(20 + k, "token = Zx8Yw7Vu6Ts5Rq", "en", "a", 1) for k in range(9)]
+    live = {r.repo: [s.live for s in r.secrets] for r in leaks.scan_secrets(frame(spark, two)).collect()}
+    assert live[0] == [False] and live[10] == [True] and live[20] == [True]
+
+
 def test_only_live_values_are_redacted(spark):
     data = owned() + [(20, None, None, None, None), (21, "password: aaaaaaaaaaaa", "en", "z", 5), (22, "secret=ab12cd34ef56ab12cd34ef56ab12cd34ef tail", "en", "z", 5)]
     docs = clashing(frame(spark, data), "spans", "secrets", "repo")

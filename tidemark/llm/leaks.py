@@ -2,8 +2,10 @@
 
 Patterns propose candidate values in every whole text.  A candidate's value is
 hashed, and for each hash the corpus is asked how many distinct repositories and
-distinct owners hold it.  A value that many owners share is a widely copied
-example; one that stays with one owner and looks random is a live credential.
+distinct owners hold it.  A value that many owners share, or very many
+repositories of few owners, is a widely copied example; one that stays with few and
+looks random is a live credential.  Where a table has fewer owners than "many", it
+takes all of them (two or more) and as many repositories.
 
 Spark has no function that gives the places of regular-expression matches, so
 they are rebuilt exactly: ``split`` gives the text between the matches, and the
@@ -39,8 +41,9 @@ PATTERNS = {
     "jwt": (r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 34),
     "private_key": (r"-----BEGIN (?:[A-Z]+ ){0,2}PRIVATE KEY-----", 0, 27),
 }
-#: A value that this many owners hold, or one whose characters hardly vary, is an example.
+#: A value that this many owners or repositories hold, or one whose characters hardly vary, is an example.
 EXAMPLE_OWNERS = 4
+EXAMPLE_REPOS = 50
 MIN_DISTINCT_CHARS = 5
 MARK = "[SECRET]"
 
@@ -89,7 +92,7 @@ def _named(kind: str, rank: int):
     )
 
 
-def scan_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def scan_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """For every document: ``repo``, ``owner``, ``text_key`` and ``secrets``, an array by start of
     (start, rank, end, kind, hash, letters, repos, owners, live).  Private-key headers are live always."""
     rows = stage(candidates(docs, repo, owner), "candidates")
@@ -100,11 +103,15 @@ def scan_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", e
         F.countDistinct(F.coalesce(F.col("repo").cast("string"), F.lit(""))).alias("repos"),
         F.countDistinct(F.coalesce(F.col("owner").cast("string"), F.lit(""))).alias("owners"),
     )
-    live = ((F.col("owners") < example_owners) & (F.col("m.letters") >= MIN_DISTINCT_CHARS)) | (F.col("m.kind") == "private_key")
+    # one row: the owners of the whole table, with and without candidates
+    every = rows.agg(F.countDistinct(F.coalesce(F.col("owner").cast("string"), F.lit(""))).alias("all_owners"))
+    by_all = (F.col("owners") >= 2) & (F.col("owners") == F.col("all_owners")) & (F.col("repos") >= example_owners)
+    example = (F.col("owners") >= example_owners) | (F.col("repos") >= example_repos) | by_all
+    live = (~example & (F.col("m.letters") >= MIN_DISTINCT_CHARS)) | (F.col("m.kind") == "private_key")
     judged = (
         each.distinct()
         .withColumn("hash", F.col("m.hash"))
-        .join(by_hash, "hash")
+        .join(by_hash.crossJoin(F.broadcast(every)), "hash")
         .groupBy("repo", "owner", "text_key")
         .agg(F.sort_array(F.collect_list(F.struct("m.start", "m.rank", "m.end", "m.kind", "m.hash", "m.letters", "repos", "owners", live.alias("live")))).alias("secrets"))
     )
@@ -128,13 +135,13 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def redact(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """``docs`` with each live credential replaced by a mark; overlapping spans are replaced as one.
 
     Only documents with a live credential are changed; ``n_chars`` follows the
     text where the column is there.
     """
-    scanned = scan_secrets(docs, repo, owner, example_owners)
+    scanned = scan_secrets(docs, repo, owner, example_owners, example_repos)
     spans = (
         scanned.select("repo", "owner", "text_key", F.transform(F.filter("secrets", lambda s: s["live"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
         .where(F.size("spans") > 0)
