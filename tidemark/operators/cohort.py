@@ -101,11 +101,16 @@ def average_retention(retention: DataFrame) -> DataFrame:
 def to_matrix(long: DataFrame, value: str, max_index: int | None = None, values: Sequence[int] | None = None) -> DataFrame:
     """Pivot long (cohort, cohort_index, value) to a cohort x offset matrix for export.
 
-    ``values`` fixes the columns; otherwise they are the offsets that occur.
+    ``values`` fixes the columns, and an offset outside of them fails the query rather
+    than vanish; otherwise the columns are the offsets that occur.
     """
     df = long if max_index is None else long.where(F.col("cohort_index") <= max_index)
     if values is None:
         values = sorted(r[0] for r in df.select("cohort_index").distinct().collect())  # bounded: month offsets
+    else:
+        stray = ~F.col("cohort_index").isin(*values)
+        lost = F.raise_error(F.concat(F.lit("month offset without a column: "), F.col("cohort_index").cast("string")))
+        df = df.withColumn("cohort_index", F.when(stray, lost.cast(df.schema["cohort_index"].dataType)).otherwise(F.col("cohort_index")))
     return df.groupBy("cohort").pivot("cohort_index", values).agg(F.first(value)).orderBy("cohort")
 
 
