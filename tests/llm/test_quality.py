@@ -44,6 +44,23 @@ def test_line_rules():
     assert fault("C# and C++ are languages that people use for many things") is None
 
 
+def test_short_symbol_lines_menus_and_long_notices():
+    fault = lambda s: quality.line_fault(s.encode())
+    assert fault("$$$ ### %%%") == "punctuation" and fault(". . . . . . .") == "punctuation" and fault("…… ———") == "punctuation"
+    assert fault("one... two,, three;; four--- five six") == "punctuation"
+    assert fault("});") is None and fault("Yes, we can (really).") is None and fault("नमस्ते दुनिया") is None
+    notice = "We use cookies as our cookie policy and our privacy policy and the terms of service say and all rights reserved "
+    assert fault(notice + "so " * 40) == "boilerplate"
+    assert fault("word other " * 100 + "click here") is None
+    menu = "Home\nAbout us\n\nNews\nContact\nOur shop\nHelp"
+    text = "A sentence of plain words that stays here, and some more of them to be safe."
+    got = quality.judge(f"{menu}\n{text}", 0.5)
+    assert got["kept"] and got["clean_text"].strip() == text and got["faults"] == "navigation:6"
+    assert not quality.judge(menu + "\nSearch box here\nSitemap", 0.5)["kept"]
+    assert quality.judge(f"{text}\n\nHome\nAbout us\nNews\nContact\nShop", 0.5)["lost_words"] == 0
+    assert not quality.judge("$$$ ### %%%\n" + "\n".join(f"*** {c}{c} ### &&&" for c in "#%&$") + "\n.....", 0.5)["kept"]
+
+
 def test_lines_go_first_then_documents():
     good = "This is a line of plain words that stays in the text."
     bad = "a### b*** c%%% d### e$$$"

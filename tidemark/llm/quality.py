@@ -8,10 +8,15 @@ top.  All work stays inside the task that reads the document: no shuffle.
 Line rules (a line without a word is neither judged nor counted):
 
 * ``symbols``: of five words or more, at least 0.3 hold one of ``#*$%&|<>``;
+* ``punctuation``: five or more characters that are no letter, digit or white space,
+  and at least 0.7 of the line's characters are (white space aside), whatever its
+  words; or, of five words or more, at least 0.6 end in a run of two such marks;
 * ``shouting``: of five words or more, at least 0.6 end in ``!!``;
 * ``navigation``: two or more separators (``|``, ``>``, a middle dot, a guillemet)
-  standing alone, at least one for each four words;
-* ``boilerplate``: a known notice phrase in a line of at most 40 words;
+  standing alone, at least one for each four words; or a run of six or more lines
+  (blank ones aside) of at most three words that begin with a capital and end in a
+  letter or digit;
+* ``boilerplate``: known notice phrases that make up a twentieth of the line's words;
 * ``repetition``: of eight words or more, at least half equal the word before them.
 
 Defined results: a null or empty text has no words, fails the base rule and is
@@ -20,6 +25,7 @@ not kept; nulls elsewhere pass through; repeated rows are judged alike.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -35,6 +41,11 @@ NOTICES = (
     b"all rights reserved", b"cookie policy", b"use cookies", b"privacy policy", b"terms of service", b"terms of use",
     b"click here", b"subscribe to our newsletter", b"enable javascript", b"skip to content",
 )
+ALNUM = bytes(c for c in range(128) if chr(c).isalnum())
+_MARKS = re.compile(r"[^\w\s]|_")
+_RUN_END = re.compile(rb"[?.,;:~_=-]{2}(?=[\x20\x09-\x0D]|\Z)")
+#: A menu without separators: so many short lines in a row.
+MENU_LINES, MENU_WORDS = 6, 3
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 MAX_LOSS = 0.5
@@ -59,15 +70,45 @@ def line_fault(line: bytes) -> str | None:
             return "navigation"
     if n >= 5 and b"!!" in line and 10 * sum(w.endswith(b"!!") for w in words) >= 6 * n:
         return "shouting"
-    if n <= 40:
-        low = line.lower()
-        if any(p in low for p in NOTICES):
-            return "boilerplate"
+    if n >= 5 and 10 * len(_RUN_END.findall(line)) >= 6 * n:
+        return "punctuation"
+    full = sum(map(len, words))
+    if full >= 5 and 10 * (len(line) - len(line.translate(None, ALNUM))) <= 3 * full:
+        text = line.decode("utf-8", "surrogatepass")
+        marks = len(_MARKS.findall(text))
+        if marks >= 5 and 10 * marks >= 7 * sum(map(len, text.split())):
+            return "punctuation"
+    low = line.lower()
+    # a notice counts with its words, each time it stands there
+    if 20 * sum(low.count(p) * (p.count(b" ") + 1) for p in NOTICES if p in low) >= n:
+        return "boilerplate"
     if n >= 8 and 2 * sum(map(bytes.__eq__, words, words[1:])) >= n:
         return "repetition"
     return None
 
 
+def is_item(line: bytes) -> bool:
+    """Could the line be an item of a menu: few words, a capital first, no sentence end?"""
+    if len(line) > 200 or not 0 < len(line.split()) <= MENU_WORDS:
+        return False
+    text = line.decode("utf-8", "surrogatepass").strip()
+    return text[:1].isupper() and text[-1:].isalnum()
+
+
+def mark_menus(lines: list[bytes], faults: list[str | None]) -> None:
+    """Lines of menus without separators become ``navigation``."""
+    run: list[int] = []
+    for i, line in enumerate([*lines, b"."]):
+        if i < len(lines) and (not line.strip() or (faults[i] is None and is_item(line))):
+            if line.strip():
+                run.append(i)
+            continue
+        if len(run) >= MENU_LINES:
+            for k in run:
+                faults[k] = "navigation"
+        run = []
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words inside a five-word window that occurs twice or more (the first included)."""
     n = len(words)
@@ -98,13 +139,15 @@ def judge(text: str, max_loss: float) -> dict:
     lines = raw.split(b"\n")
     seen: set[bytes] = set()
     dup, kept, lost, faults = 0, [], 0, Counter()
-    for line in lines:
+    found = [line_fault(line) if line.strip() else None for line in lines]
+    if len(lines) >= MENU_LINES:
+        mark_menus(lines, found)
+    for line, fault in zip(lines, found):
         full = not not line.strip()
         if full:
             if line in seen:
                 dup += 1
             seen.add(line)
-        fault = line_fault(line) if full else None
         if fault:
             lost += len(line.split())
             faults[fault] += 1
