@@ -219,14 +219,3 @@ def test_cohort_retention_golden_variant_a(spark):
     for c, vs in want.items():
         for i, v in enumerate(vs):
             assert got[(c, i - 1)] == pytest.approx(v, rel=1e-15)
-
-
-def test_matrix_reports_offsets_without_a_column(spark):
-    rows = [(dt.date(1992, 1, 1), 0, 5), (dt.date(1992, 1, 1), 84, 2)]
-    schema = "cohort date, cohort_index int, customers bigint"
-    fits = cohort.to_matrix(spark.createDataFrame(rows, schema), "customers", values=range(-12, 85))
-    assert [(r["0"], r["84"], r["1"]) for r in fits.collect()] == [(5, 2, None)] and len(fits.columns) == 98
-    for stray in (85, -13):
-        late = spark.createDataFrame([*rows, (dt.date(1992, 1, 1), stray, 1)], schema)
-        with pytest.raises(Exception, match=f"month offset without a column: {stray}"):
-            cohort.to_matrix(late, "customers", values=range(-12, 85)).collect()
