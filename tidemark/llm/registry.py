@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, leaks, mixing, pages, pii, quality, simhash, substrings, toxicity, urls
+from tidemark.llm import decontaminate, leaks, mixing, pages, pii, quality, simhash, substrings, toxicity, urls, warc
 from tidemark.llm.common import read
 
 
@@ -55,6 +55,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(read(spark, sf_dir, "documents")))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.through_archives(read(spark, sf_dir, "pages")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
+    "op11_warc": op11_warc,
 }
 
-ORACLE: dict[str, str] = {"op6_url_rules": urls.ORACLE}
+ORACLE: dict[str, str] = {"op6_url_rules": urls.ORACLE, "op11_warc": warc.ORACLE}
