@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, leaks, mixing, pages, pii, quality, simhash, substrings, toxicity, urls, warc
+from tidemark.llm import conversations, decontaminate, leaks, mixing, pages, pii, quality, simhash, substrings, toxicity, urls, warc
 from tidemark.llm.common import read
 
 
@@ -59,6 +59,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.through_archives(read(spark, sf_dir, "pages")))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(conversations.damage(read(spark, sf_dir, "conversations")), "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
     "op11_warc": op11_warc,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {"op6_url_rules": urls.ORACLE, "op11_warc": warc.ORACLE}
