@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and their registered queries.
+"""Training-data operators: thirteen corpus operators and their registered queries.
 
 Nothing else in the library imports this subpackage.  Functions that run in
 Spark's Python workers are pickled by value, so the workers need numpy,

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import conversations, decontaminate, leaks, mixing, pages, pii, quality, simhash, substrings, toxicity, urls, warc
+from tidemark.llm import conversations, decontaminate, leaks, mixing, pages, phrases, pii, quality, simhash, substrings, toxicity, urls, warc
 from tidemark.llm.common import read
 
 
@@ -63,6 +63,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(conversations.damage(read(spark, sf_dir, "conversations")), "copies")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substrings": op10_substrings,
     "op11_warc": op11_warc,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLE: dict[str, str] = {"op6_url_rules": urls.ORACLE, "op11_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {"op6_url_rules": urls.ORACLE, "op11_warc": warc.ORACLE, "op13_collocations": phrases.ORACLE}
