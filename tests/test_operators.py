@@ -219,3 +219,13 @@ def test_cohort_retention_golden_variant_a(spark):
     for c, vs in want.items():
         for i, v in enumerate(vs):
             assert got[(c, i - 1)] == pytest.approx(v, rel=1e-15)
+
+
+def test_cohort_matrix_keeps_every_offset(spark):
+    """Offsets far outside on both sides have a cell in the folded and in the wide matrix."""
+    rows = [("2020-01", i, 100 + i) for i in (-500, -13, -12, -1, 0, 1, 11, 12, 84, 85, 700)] + [("2020-02", 3, 7)]
+    long = spark.createDataFrame(rows, "cohort string, cohort_index int, customers long")
+    got = {(r.cohort, r.first_index + k, r[f"m{k}"]) for r in cohort.to_blocks(long, "customers").collect() for k in range(12) if r[f"m{k}"] is not None}
+    assert got == set(rows)
+    wide = cohort.to_matrix(long, "customers")
+    assert {(r.cohort, int(c), r[c]) for r in wide.collect() for c in wide.columns[1:] if r[c] is not None} == set(rows)

@@ -109,6 +109,18 @@ def to_matrix(long: DataFrame, value: str, max_index: int | None = None, values:
     return df.groupBy("cohort").pivot("cohort_index", values).agg(F.first(value)).orderBy("cohort")
 
 
+def to_blocks(long: DataFrame, value: str, width: int = 12) -> DataFrame:
+    """The cohort matrix folded to ``width`` columns: a row for each cohort and block of offsets that occurs.
+
+    A row holds the offsets ``first_index`` .. ``first_index + width - 1`` in the columns
+    ``m0`` .. ; an offset without a value is NULL.  The columns don't depend on the data and
+    every offset has a cell, whatever the range of the offsets.
+    """
+    first = F.expr(f"cohort_index - pmod(cohort_index, {width})")
+    cells = [F.max(F.when(F.expr(f"pmod(cohort_index, {width})") == k, F.col(value))).alias(f"m{k}") for k in range(width)]
+    return long.groupBy("cohort", first.alias("first_index")).agg(*cells)
+
+
 def retention_dashboard(retention: DataFrame, columns: int = 12) -> DataFrame:
     """The first ``columns`` offset columns of the matrix, in long form."""
     firsts = retention.select("cohort_index").distinct()

@@ -1517,20 +1517,23 @@ FROM (SELECT s, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp, SUM(pos) OVER () A
 """,
     "det_scored",
 )
-register(
-    "histogram_margin",
-    """
-SELECT b.bin, lo + (b.bin - 1) * ((hi - lo) / 30) AS bin_start, lo + b.bin * ((hi - lo) / 30) AS bin_end,
+def _histogram_sql(table: str, col: str, bins: int) -> str:
+    ends = f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table})"
+    return f"""
+SELECT b.bin, lo + (b.bin - 1) * ((hi - lo) / {bins}) AS bin_start, lo + b.bin * ((hi - lo) / {bins}) AS bin_end,
        COALESCE(c.count, 0) AS count
-FROM (SELECT CAST(unnest(generate_series(1, 30)) AS BIGINT) AS bin) b
-CROSS JOIN (SELECT MIN(profit_margin) AS lo, MAX(profit_margin) AS hi FROM profit) m
-LEFT JOIN (SELECT CASE WHEN hi = lo THEN 1 ELSE LEAST(CAST(FLOOR((profit_margin - lo) / ((hi - lo) / 30)) AS BIGINT) + 1, 30) END
+FROM (SELECT CAST(unnest(generate_series(1, {bins})) AS BIGINT) AS bin) b
+CROSS JOIN {ends} m
+LEFT JOIN (SELECT CASE WHEN hi = lo THEN 1 ELSE LEAST(CAST(FLOOR(CAST({bins} AS DOUBLE) * ({col} - lo) / (hi - lo)) AS BIGINT) + 1, {bins}) END
                   AS bin, COUNT(*) AS count
-           FROM profit CROSS JOIN (SELECT MIN(profit_margin) AS lo, MAX(profit_margin) AS hi FROM profit) mm
-           WHERE profit_margin IS NOT NULL GROUP BY 1) c ON c.bin = b.bin
-""",
-    "profit",
-)
+           FROM {table} CROSS JOIN {ends} mm
+           WHERE {col} IS NOT NULL GROUP BY 1) c ON c.bin = b.bin
+"""
+
+
+register("histogram_margin", _histogram_sql("profit", "profit_margin", 40), "profit")
+register("histogram_rfm_total", _histogram_sql("rfm_B", "RFM_total", 13), "rfm_B")
+register("histogram_churn_probability", _histogram_sql("churn_pred", "churn_probability", 30), "churn_pred")
 register(
     "rf_matrix",
     """
@@ -1692,8 +1695,9 @@ register(
 )
 register(
     "cohort_counts_matrix",
-    "SELECT cohort, " + ", ".join(f'MAX(CASE WHEN cohort_index = {i} THEN customers END) AS "{i}"' for i in range(-12, 85))
-    + " FROM cohort_counts GROUP BY cohort",
+    "SELECT cohort, CAST(12 * FLOOR(cohort_index / 12.0) AS INTEGER) AS first_index, "
+    + ", ".join(f"MAX(CASE WHEN cohort_index - 12 * FLOOR(cohort_index / 12.0) = {k} THEN customers END) AS m{k}" for k in range(12))
+    + " FROM cohort_counts GROUP BY 1, 2",
     "cohort_counts",
 )
 register(

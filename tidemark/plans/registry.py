@@ -58,8 +58,6 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
 
 
-#: Month offsets of the published cohort matrix.
-MATRIX_INDEXES = list(range(-12, 85))
 BAND = {"forecast": 2, "lower": 2, "upper": 2}
 STD = {"std_transaction": 6}
 TEST = {"adf_statistic": 6, "critical_value_5pct": 6}
@@ -512,7 +510,17 @@ def _q_roc_curve(t: Tables) -> DataFrame:
 
 @query("histogram_margin")
 def _q_histogram_margin(t: Tables) -> DataFrame:
-    return charts.histogram(t.profit, 'profit_margin', 30)
+    return charts.histogram(t.profit, "profit_margin", 40)
+
+
+@query("histogram_rfm_total")
+def _q_histogram_rfm_total(t: Tables) -> DataFrame:
+    return charts.histogram(t.rfm_b, "RFM_total", 13)
+
+
+@query("histogram_churn_probability")
+def _q_histogram_churn_probability(t: Tables) -> DataFrame:
+    return charts.histogram(t.churn_predictions, "churn_probability", 30)
 
 
 @query("rf_matrix")
@@ -629,8 +637,12 @@ def _q_cohort_retention_size(t: Tables) -> DataFrame:
 
 @query("cohort_counts_matrix")
 def _q_cohort_counts_matrix(t: Tables) -> DataFrame:
-    return cohort.to_matrix(t.cohort_counts, "customers", values=MATRIX_INDEXES)
+    return cohort.to_blocks(t.cohort_counts, "customers")
+
 
+@query("cohort_counts_wide")
+def _q_cohort_counts_wide(t: Tables) -> DataFrame:
+    return cohort.to_matrix(t.cohort_counts, "customers")
 
 
 @query("profit_tiers")
