@@ -11,18 +11,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import nan_to_zero, safe_div, scalar_join
 from tidemark.functions.ranking import global_cumsum, global_rank
+from tidemark.operators.logistic import cross_validate
+from tidemark.session import stage_parquet
 
 # The reference feature list (11 numeric + 3 encoded categoricals).
 NUMERIC_FEATURES = [
@@ -109,8 +114,8 @@ def train_churn_models(
     rf_grid: dict | None = None,
     parallelism: int = 8,
 ) -> ChurnModels:
-    """M4-M6: scaler fitted on train only; logistic regression (C grid, 5-fold CV on ROC AUC) and
-    random forest.  ``rf_grid`` is ``RF_GRID`` (four points) unless given; ``RF_GRID_FULL`` has all 72
+    """M4-M6: scaler fitted on train only; logistic regression (C grid, 5-fold CV on ROC AUC; all fits
+    together, see ``operators.logistic``) and random forest.  ``rf_grid`` is ``RF_GRID`` (four points) unless given; ``RF_GRID_FULL`` has all 72
     points.  A grid of one point is fitted without folds, as there is nothing to choose."""
     base = feature_table(customer_features, exclude_leaky)
     split = stratified_split(base).persist(StorageLevel.MEMORY_AND_DISK)
@@ -119,14 +124,12 @@ def train_churn_models(
     nums = [c for c in base.columns if c in NUMERIC_FEATURES]
     stages, names = _prep_stages(nums)
     prep = Pipeline(stages=stages).fit(train)
-    train_x = prep.transform(train)
-    n_train = train_x.count()
+    # encoded and scaled once; every fit reads this table
+    train_x = stage_parquet(prep.transform(train).select("customer_id", "label", "fold", "features"), "churn-train")
     ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
 
-    lr = LogisticRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False, maxIter=1000)
-    lr_grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n_train) for c in LR_C_GRID]).build()
-    lr_cv = CrossValidator(estimator=lr, estimatorParamMaps=lr_grid, evaluator=ev, foldCol="fold", numFolds=5, parallelism=parallelism, seed=SEED)
-    lr_best = lr_cv.fit(train_x).bestModel
+    best, _ = cross_validate(train_x, LR_C_GRID, folds=5)
+    lr_best = _logistic_model(train_x.sparkSession, best.weights)
 
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", seed=SEED)
     grid = rf_grid or RF_GRID
@@ -149,6 +152,13 @@ def train_churn_models(
     )
 
 
+def _logistic_model(spark: SparkSession, weights: np.ndarray) -> LogisticRegressionModel:
+    """A Spark ML model with the given weights (the intercept first), so that it scores, saves and loads like any other."""
+    sc = spark.sparkContext
+    made = sc._jvm.org.apache.spark.ml.classification.LogisticRegressionModel("tidemark_ridge", _py2java(sc, DenseVector(weights[1:])), float(weights[0]))
+    return LogisticRegressionModel(made).setFeaturesCol("features")
+
+
 def probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("churn_probability", vector_to_array(F.col("probability"))[1])
 
