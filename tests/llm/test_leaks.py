@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from helpers import awkward_docs, clashing, frame, rows_of
 
@@ -62,11 +63,22 @@ def test_shared_values_are_examples(spark):
     assert spans[1] == "github:0:44"
 
 
+def test_one_owners_key_stays_live_however_often_it_is_copied(spark):
+    rest = [(5000 + k, "none", "en", f"owner{k % 7}", 1) for k in range(50)]
+    for copies in (3, 60, 1000):
+        docs = frame(spark, [(k, f"{LIVE} {k}", "en", "hot", 1) for k in range(copies)] + rest)
+        assert {s.live for r in leaks.scan_secrets(docs).collect() for s in r.secrets} == {True}
+        assert leaks.redact(docs).where("text like '%9fK2%'").count() == 0
+
+
 def test_widely_copied_values_of_few_owners_are_examples(spark):
-    hot = [(k, f"{SHARED} end", "en", "hot", 1) for k in range(60)]
-    rest = [(100 + k, "none", "en", f"owner{k}", 1) for k in range(5)] + [(200 + k, LIVE, "en", "hot", 1) for k in range(49)]
-    live = {r.repo: [s.live for s in r.secrets] for r in leaks.scan_secrets(frame(spark, hot + rest)).collect()}
-    assert live[0] == [False] and live[100] == [] and live[200] == [True]
+    # two of many owners have it in most of their documents, at any size of the corpus
+    for times in (1, 20):
+        shared = [(k, f"{SHARED} end", "en", "ab"[k % 2], 1) for k in range(4 * times)]
+        rest = [(1000 + k, "none", "en", "ab"[k % 2], 1) for k in range(2 * times)] + [(2000 + k, LIVE, "en", "ab"[k % 2], 1) for k in range(times + 1)]
+        other = [(3000 + k, "none", "en", f"owner{k}", 1) for k in range(9)]
+        live = {r.repo: [s.live for s in r.secrets] for r in leaks.scan_secrets(frame(spark, shared + rest + other)).collect()}
+        assert live[0] == [False] and live[2000] == [True] and live[3000] == []
     # a table with two sources: what both hold, and as many documents as it takes owners elsewhere
     two = [(k, SHARED, "en", "ab"[k % 2], 1) for k in range(4)] + [(10 + k, LIVE, "en", "ab"[k % 2], 1) for k in range(3)] + [(20 + k, "token = Zx8Yw7Vu6Ts5Rq", "en", "a", 1) for k in range(9)]
     live = {r.repo: [s.live for s in r.secrets] for r in leaks.scan_secrets(frame(spark, two)).collect()}
@@ -89,6 +101,17 @@ def test_only_live_values_are_redacted(spark):
     assert text[22][0][0] == f"{leaks.MARK} tail"  # the hex value lies inside the assignment
 
 
+def test_very_many_matches_in_one_text(spark):
+    text = " ".join(f"{k:032x}" for k in range(100_000, 200_000))
+    start = time.time()
+    (r,) = leaks.digest(leaks.scan_secrets(frame(spark, [(1, text, "en", "a", 1)]))).collect()
+    assert r.n_hex == 100_000 and r.spans.endswith(f"hex:{33 * 99_999}:{33 * 100_000 - 1}")
+    assert time.time() - start < 60
+    short = text[: 33 * 2000 - 1]
+    (t,) = leaks.redact(frame(spark, [(1, short, "en", "a", 1)])).collect()
+    assert t.text == " ".join(leaks.MARK if len(set(w)) >= leaks.MIN_DISTINCT_CHARS else w for w in short.split())
+
+
 def test_no_python_in_the_plan(spark):
     plan = leaks.digest(leaks.scan_secrets(frame(spark, owned())))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))

@@ -2,14 +2,16 @@
 
 Patterns propose candidate values in every whole text.  A candidate's value is
 hashed, and for each hash the corpus is asked how many distinct repositories and
-distinct owners hold it.  A value that many owners share, or very many
-repositories of few owners, is a widely copied example; one that stays with few and
-looks random is a live credential.  Where a table has fewer owners than "many", it
-takes all of them (two or more) and as many repositories.
+distinct owners hold it.  A widely copied example is a value that many owners share, or
+that two or more have in at least half of all their repositories.  Where a table has two
+or three owners, "many" is all of them and as many repositories.  One that stays with a
+single owner and looks random is a live credential, however often that owner copies it:
+both rules count owners, or compare with the owners' own repositories, so they don't
+change with the size of the corpus.
 
 Spark has no function that gives the places of regular-expression matches, so
-they are rebuilt exactly: ``split`` gives the text between the matches, and the
-running sum of lengths (in code points) gives each start.
+they are rebuilt exactly: ``split`` gives the text between the matches, and a running
+sum of lengths (in code points), a window over each text's matches, gives each start.
 
 Scale: texts are scanned once, inside the tasks that read them, and only the
 candidates are staged and shuffled.  Distinct counts use Spark's two-level
@@ -23,7 +25,7 @@ owners count as one unnamed each; repeated rows get equal results.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage, text_or_empty
@@ -41,85 +43,81 @@ PATTERNS = {
     "jwt": (r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 34),
     "private_key": (r"-----BEGIN (?:[A-Z]+ ){0,2}PRIVATE KEY-----", 0, 27),
 }
-#: A value that this many owners or repositories hold, or one whose characters hardly vary, is an example.
+#: A value that so many owners hold, or that two or more hold in this share of all their repositories,
+#: or one whose characters hardly vary, is an example.
 EXAMPLE_OWNERS = 4
-EXAMPLE_REPOS = 50
+EXAMPLE_SHARE = 0.5
 MIN_DISTINCT_CHARS = 5
 MARK = "[SECRET]"
 
 
-def matches(text: Column, pattern: str, group: int, least: int) -> Column:
-    """Array of (start, end, value) of the pattern's matches; ``value`` is the group, of ``least`` characters or more.
-
-    The three arrays are zipped before they are folded, so that each is computed once.
-    """
+def gaps_and_matches(text: Column, pattern: str, group: int) -> Column:
+    """Array of (gap, size, value) of the pattern's matches in their order: the code points since the match before, its own, and the group."""
     p = F.lit(pattern)
     whole = F.regexp_extract_all(text, p, F.lit(0))
     value = F.regexp_extract_all(text, p, F.lit(group)) if group else whole
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("before"), whole.alias("whole"), value.alias("value"))
-    none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,value:string>>)")
-    found = F.aggregate(parts, F.struct(none.alias("out"), F.lit(0).cast("long").alias("at")), _step, lambda acc: acc["out"])
-    return F.when(F.size(whole) > 0, F.filter(found, lambda m: F.length(m["value"]) >= least)).otherwise(none)
-
-
-def _step(acc: Column, part: Column) -> Column:
-    """A match starts after all earlier matches and all text between; the last part has text only."""
-    start = acc["at"] + F.length(part["before"])
-    end = start + F.coalesce(F.length(part["whole"]), F.lit(0))
-    one = F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), part["value"].alias("value"))
-    return F.struct(F.when(part["whole"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(one))).alias("out"), end.cast("long").alias("at"))
+    # the last part has text only
+    found = F.transform(
+        F.filter(parts, lambda x: x["whole"].isNotNull()),
+        lambda x: F.struct(F.length(x["before"]).cast("long").alias("gap"), F.length(x["whole"]).cast("long").alias("size"), x["value"].alias("value")),
+    )
+    return F.when(F.size(whole) > 0, found)
 
 
 def candidates(docs: DataFrame, repo: str, owner: str) -> DataFrame:
-    """One thin row for each document: ids, the text's hash and its candidates by kind and start."""
+    """One thin row for each document: ids, the text's hash and its matches by kind (null: none)."""
     base = docs.select(F.col(repo).alias("repo"), F.col(owner).alias("owner"), text_or_empty().alias("text"))
-    base = base.withColumn("text_key", F.xxhash64("text"))
-    kinds = [
-        F.transform(
-            matches(F.col("text"), *spec),
-            _named(kind, rank),
-        ).alias(kind)
-        for rank, (kind, spec) in enumerate(PATTERNS.items())
-    ]
-    return base.select("repo", "owner", "text_key", F.flatten(F.array(*kinds)).alias("found"))
-
-
-def _named(kind: str, rank: int):
-    return lambda m: F.struct(
-        m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"), 
-        F.sha2(F.rtrim(m["value"], F.lit(".")).cast("binary"), 256).alias("hash"),  # a full stop may end the sentence
-        F.size(F.array_distinct(F.split(m["value"], ""))).alias("letters"),
+    base = base.withColumn("text_key", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    kinds = [gaps_and_matches(F.col("text"), pattern, group).alias(kind) for kind, (pattern, group, _) in PATTERNS.items()]
+    return base.select("row", "repo", "owner", "text_key", *kinds)
+
+
+def spans(hits: DataFrame) -> DataFrame:
+    """A row for each candidate value: its place by a running sum over the gaps and sizes of the text's matches of its kind."""
+    specs = [(rank, kind, least) for rank, (kind, (_, _, least)) in enumerate(PATTERNS.items())]
+    kinds = F.array(*[F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), F.lit(least).alias("least"), F.col(kind).alias("parts")) for rank, kind, least in specs])
+    by_kind = hits.select("row", "repo", "owner", F.explode(kinds).alias("k")).where(F.col("k.parts").isNotNull())
+    each = by_kind.select("row", "repo", "owner", "k.rank", "k.kind", "k.least", F.posexplode("k.parts").alias("at", "part"))
+    so_far = Window.partitionBy("row", "rank").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("part.gap") + F.col("part.size")).over(so_far)
+    placed = each.withColumn("end", end).where(F.length("part.value") >= F.col("least"))
+    return placed.select(
+        "row", "repo", "owner", (F.col("end") - F.col("part.size")).alias("start"), "rank", "end", "kind",
+        F.sha2(F.rtrim(F.col("part.value"), F.lit(".")).cast("binary"), 256).alias("hash"),  # a full stop may end the sentence
+        F.size(F.array_distinct(F.split("part.value", ""))).alias("letters"),
     )
 
 
-def scan_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+def scan_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS, example_share: float = EXAMPLE_SHARE) -> DataFrame:
     """For every document: ``repo``, ``owner``, ``text_key`` and ``secrets``, an array by start of
     (start, rank, end, kind, hash, letters, repos, owners, live).  Private-key headers are live always."""
     rows = stage(candidates(docs, repo, owner), "candidates")
-    hits = rows.where(F.size("found") > 0)
-    each = hits.select("repo", "owner", "text_key", F.explode("found").alias("m"))
-    # repeated rows are one document: they share ids and text, and get one answer below
-    by_hash = each.groupBy(F.col("m.hash").alias("hash")).agg(
-        F.countDistinct(F.coalesce(F.col("repo").cast("string"), F.lit(""))).alias("repos"),
-        F.countDistinct(F.coalesce(F.col("owner").cast("string"), F.lit(""))).alias("owners"),
+    some = F.coalesce(*[F.col(k) for k in PATTERNS]).isNotNull()
+    each = spans(rows.where(some)).withColumn("repo", F.coalesce(F.col("repo").cast("string"), F.lit(""))).withColumn("owner", F.coalesce(F.col("owner").cast("string"), F.lit("")))
+    # the documents of every owner, with and without candidates, and one row for the whole table
+    owned = rows.groupBy(F.coalesce(F.col("owner").cast("string"), F.lit("")).alias("owner")).agg(F.countDistinct(F.coalesce(F.col("repo").cast("string"), F.lit(""))).alias("owner_repos"))
+    every = owned.agg(F.count("*").alias("all_owners"))
+    by_owner = each.groupBy("hash", "owner").agg(F.countDistinct("repo").alias("held")).join(owned, "owner")
+    by_hash = (
+        by_owner.groupBy("hash")
+        .agg(F.count("*").alias("owners"), F.sum("held").alias("held"), F.sum("owner_repos").alias("owner_repos"))
+        .join(each.groupBy("hash").agg(F.countDistinct("repo").alias("repos")), "hash")
     )
-    # one row: the owners of the whole table, with and without candidates
-    every = rows.agg(F.countDistinct(F.coalesce(F.col("owner").cast("string"), F.lit(""))).alias("all_owners"))
-    by_all = (F.col("owners") >= 2) & (F.col("owners") == F.col("all_owners")) & (F.col("repos") >= example_owners)
-    example = (F.col("owners") >= example_owners) | (F.col("repos") >= example_repos) | by_all
-    live = (~example & (F.col("m.letters") >= MIN_DISTINCT_CHARS)) | (F.col("m.kind") == "private_key")
+    several = F.col("owners") >= 2
+    by_all = several & (F.col("owners") == F.col("all_owners")) & (F.col("repos") >= example_owners)
+    by_share = several & (F.col("held") >= example_share * F.col("owner_repos"))
+    example = (F.col("owners") >= example_owners) | by_all | by_share
+    live = (~example & (F.col("letters") >= MIN_DISTINCT_CHARS)) | (F.col("kind") == "private_key")
     judged = (
-        each.distinct()
-        .withColumn("hash", F.col("m.hash"))
-        .join(by_hash.crossJoin(F.broadcast(every)), "hash")
-        .groupBy("repo", "owner", "text_key")
-        .agg(F.sort_array(F.collect_list(F.struct("m.start", "m.rank", "m.end", "m.kind", "m.hash", "m.letters", "repos", "owners", live.alias("live")))).alias("secrets"))
+        each.join(by_hash.crossJoin(F.broadcast(every)), "hash")
+        .groupBy(F.col("row").alias("found_row"))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "rank", "end", "kind", "hash", "letters", "repos", "owners", live.alias("live")))).alias("secrets"))
     )
-    j = judged.select(F.col("repo").alias("r"), F.col("owner").alias("o"), F.col("text_key").alias("k"), "secrets")
-    same = F.col("repo").eqNullSafe(F.col("r")) & F.col("owner").eqNullSafe(F.col("o")) & (F.col("text_key") == F.col("k"))
-    with_hits = hits.select("repo", "owner", "text_key").join(j, same, "left").select("repo", "owner", "text_key", "secrets")
-    without = rows.where(F.size("found") == 0).select("repo", "owner", "text_key", F.lit(None).cast(judged.schema["secrets"].dataType).alias("secrets"))
-    return with_hits.unionByName(without).withColumn("secrets", F.coalesce("secrets", F.lit([]).cast(judged.schema["secrets"].dataType)))
+    none = F.lit([]).cast(judged.schema["secrets"].dataType)
+    with_hits = rows.where(some).select("row", "repo", "owner", "text_key").join(judged, F.col("row") == F.col("found_row"), "left")
+    without = rows.where(~some).select("repo", "owner", "text_key", none.alias("secrets"))
+    return with_hits.select("repo", "owner", "text_key", F.coalesce("secrets", none).alias("secrets")).unionByName(without)
 
 
 def digest(scanned: DataFrame) -> DataFrame:
@@ -135,36 +133,42 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+def redact(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS, example_share: float = EXAMPLE_SHARE) -> DataFrame:
     """``docs`` with each live credential replaced by a mark; overlapping spans are replaced as one.
 
     Only documents with a live credential are changed; ``n_chars`` follows the
     text where the column is there.
     """
-    scanned = scan_secrets(docs, repo, owner, example_owners, example_repos)
-    spans = (
-        scanned.select("repo", "owner", "text_key", F.transform(F.filter("secrets", lambda s: s["live"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
+    scanned = scan_secrets(docs, repo, owner, example_owners, example_share)
+    live = (
+        scanned.select("repo", "owner", "text_key", F.filter("secrets", lambda s: s["live"]).alias("spans"))
         .where(F.size("spans") > 0)
-        .distinct()
-        .select(F.col("repo").alias("secret_r_"), F.col("owner").alias("secret_o_"), F.col("text_key").alias("secret_k_"), F.col("spans").alias("secret_spans_"))
+        .dropDuplicates(["repo", "owner", "text_key"])
     )
+    # spans that begin inside earlier ones join them
+    each = live.select("repo", "owner", "text_key", F.posexplode("spans").alias("at", "s")).select("repo", "owner", "text_key", "at", "s.start", "s.end")
+    text_keys = ["repo", "owner", "text_key"]
+    before = Window.partitionBy(*text_keys).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*text_keys).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    new = F.coalesce(F.col("start") >= F.max("end").over(before), F.lit(True))
+    joined = each.withColumn("new", new.cast("int")).withColumn("part", F.sum("new").over(upto)).groupBy(*text_keys, "part").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    merged = stage(joined.groupBy(*text_keys).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")), "spans")
+    found = merged.select(F.col("repo").alias("secret_r_"), F.col("owner").alias("secret_o_"), F.col("text_key").alias("secret_k_"), F.col("spans").alias("secret_spans_"))
     same = F.col(repo).eqNullSafe(F.col("secret_r_")) & F.col(owner).eqNullSafe(F.col("secret_o_")) & (F.xxhash64(text_or_empty()) == F.col("secret_k_"))
-    joined = docs.join(spans, same, "left")
-    # the text's pieces between spans, each span as one mark; a span inside an earlier one adds nothing
-    pieces = F.aggregate(
-        "secret_spans_",
-        F.struct(F.expr("cast(array() as array<string>)").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda a, s: F.when(
-            s["start"] >= a["at"],
-            F.struct(
-                F.concat(a["out"], F.array(F.substring(F.col("text"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(MARK))).alias("out"),
-                s["end"].alias("at"),
-            ),
-        ).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at"))),
-        lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2147483647))),
-    )
-    text = F.when(F.col("secret_spans_").isNull(), F.col("text")).otherwise(pieces)
-    out = joined.withColumn("text", text)
+    out = docs.join(found, same, "left")
+    text = F.when(F.col("secret_spans_").isNull(), F.col("text")).otherwise(_cut(F.col("text"), F.col("secret_spans_")))
+    out = out.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("secret_spans_").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _cut(text: Column, gone: Column) -> Column:
+    """The text with a mark in place of each of the ordered, disjoint spans ``gone``.
+
+    A piece of a string is found by counting from its start, so the time is (spans + 1) x length of the text.
+    """
+    first = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(gone, i - 1)["end"])
+    pieces = F.transform(gone, lambda s, i: F.substring(text, (first(i) + 1).cast("int"), (s["start"] - first(i)).cast("int")))
+    rest = F.substring(text, (F.element_at(gone, -1)["end"] + 1).cast("int"), F.lit(2147483647))
+    return F.concat(F.array_join(pieces, MARK), F.lit(MARK), rest)
