@@ -1,4 +1,5 @@
 import random
+import time
 
 from helpers import clashing, frame, prose, rows_of
 
@@ -118,3 +119,60 @@ def test_classes_must_be_in_order_and_nest():
     crossing = [(h[0], 1, 0.0, 9), (h[3], 1, 3.0, 9), (h[1], 2, 1.0, 8), (h[4], 2, 4.0, 8)]
     assert pages.placed_classes(page, crossing) == {0, 3}
     assert pages.placed_classes(page, [(h[0], 1, 0.0, 9), (12345, 1, 1.0, 9)]) == set()
+
+
+def near_copies(n, marked, part, article):
+    """Pages of one host that differ in a date or a counter only; ``part`` gives body and date elements of their own."""
+    tag = "article" if marked else "div class='x9'"
+    end = tag.split()[0]
+    out = []
+    for k in range(n):
+        head = f"<p>{k + 1} May</p>" if part != "inline" else ""
+        body = "".join(f"<p>{t}{f' ({k} views)' if part == 'inline' and i == 0 else ''}</p>" for i, t in enumerate(article))
+        if part == "own":
+            head, body = f"<div class='d1'>{head}</div>", f"<div class='b1'>{body}</div>"
+        out.append((k, f"http://one.example/{n}/{k}", f"<html><body><nav><a>Home</a> <a>News</a></nav><{tag}>{head}{body}</{end}><footer>About us</footer></body></html>"))
+    return out
+
+
+def test_near_copies_keep_their_articles(spark):
+    rng = random.Random(6)
+    article = [prose(rng, 40), prose(rng, 30), prose(rng, 50)]
+    for n in (2, 10, 100):
+        for marked in (True, False):
+            for part in ("block", "own", "inline"):
+                rows = near_copies(n, marked, part, article)
+                got = {r.page_id: r.text for r in extract_text(frame(spark, rows, SCHEMA)).collect()}
+                for k, _, _ in rows:
+                    for t in article:
+                        assert t in got[k], (n, marked, part)
+
+
+def test_near_copies_beside_other_articles(spark):
+    rng = random.Random(7)
+    article = [prose(rng, 40), prose(rng, 30)]
+    for marked in (True, False):
+        rows = near_copies(10, marked, "block", article)
+        other = [prose(rng, 60), prose(rng, 20)]
+        rows += [(50, "http://one.example/50", near_copies(1, marked, "block", other)[0][2])]
+        got = {r.page_id: r.text for r in extract_text(frame(spark, rows, SCHEMA)).collect()}
+        assert all(t in got[k] for k in range(10) for t in article) and all(t in got[50] for t in other)
+
+
+def test_stray_quotes_and_attributes():
+    assert text_of("<article><p title=it's>One two three.</p><p>Four five.</p><p>They don't six.</p><p>Seven</p></article>") == ["One two three.", "Four five.", "They don't six.", "Seven"]
+    assert text_of("<article><p title=it's>One</p><p>Two</p></article>") == ["One", "Two"]
+    assert text_of("<article><p title = 'a > b' x=\"c > d\" y=1'>One</p><p '>Two</p></article>") == ["One", "Two"]
+    assert text_of("<article><p>kept</p><p x=\"never closed>in the tag</p>") == ["kept", "in the tag"]
+
+
+def test_tokeniser_is_linear():
+    for piece in ("<!", "<a ", "<a b=\"", "<a b='", "<?", "<!--", "<a b=\"x\" ", "<p>x<!", "=\"", "<a =>"):
+        for tail in ("", ">", "\">"):
+            took = []
+            for size in (250_000, 1_000_000):
+                source = piece * (size // len(piece)) + tail
+                start = time.time()
+                Page(source)
+                took.append(time.time() - start)
+            assert took[1] < 12 * max(took[0], 0.1), (piece, tail, took)

@@ -4,8 +4,8 @@ Pages of one host come from the same template, so the tokens that the template
 writes occur equally often on the same pages.  Tokens here are block-level tags
 with their path and whole text blocks with their path.
 
-1. Occurrence vectors.  A token's vector is its count on every distinct page of the
-   host; copies are one page and vote once.
+1. Occurrence vectors.  A token's vector is its count on every distinct article of the
+   host; copies, and near copies that agree in their three longest texts but for digits, vote once.
    It is never built: each page adds a hash of (page, count), combined by xor, and
    the number of pages and occurrences are summed.  That aggregates map-side and
    through the shuffle, so a host with a third of all pages is no hot group.
@@ -22,7 +22,8 @@ with their path and whole text blocks with their path.
    paragraphs and list items in it) that is the same on nine tenths of the distinct
    pages that have its place is frame; so is a single text on nine tenths of them, eight
    pages or more.  A text that only half of the pages share, in a place that varies, is
-   no frame.  What stands on fewer than half of a host's pages can't be judged.
+   no frame.  What stands on fewer than half of a host's pages can't be judged, and nothing
+   is fixed where less than half of the marked article, or of an unmarked page, would be left.
 5. Extraction.  Each block lies in the slot of the deepest template element around
    it.  Words in tags, classes, ids and roles are evidence: menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments are left out, and a
@@ -54,10 +55,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+#: A comment, a declaration or a tag.  A quoted value begins right after its equals sign; other quotes are letters.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)>", re.S)
 _CUT_TAG = re.compile(r"<[a-zA-Z/!][^<>]*\Z")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_DIGITS = re.compile(r"[0-9]+")
 RAW = {n: re.compile(rf"</{n}\s*(?:>|\Z)", re.I) for n in ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "select", "button")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -71,6 +74,10 @@ TEXT_LEVEL = HEADINGS | frozenset("p li pre blockquote dd dt td th tr tbody thea
 #: that varies must stand on more pages for that, as a few near copies share texts too.
 FIXED_SHARE = 0.9
 FIXED_PAGES, FIXED_TEXT_PAGES = 2, 8
+#: Nothing counts as fixed where less than this share of the text of the marked article, or of the page, would be left.
+LEAST_LEFT = 0.5
+#: Pages of a host that agree in so many of their longest texts, digits aside, are near copies.
+COPY_TEXTS = 3
 #: Elements that stay out of the text even where they hold most of it.
 NEVER = frozenset("nav aside footer dialog menu head".split())
 #: Elements that never hold article text, and words of class, id or role that say the same of any element.
@@ -112,8 +119,11 @@ class Page:
         self.never = {0}
         at = 0
         source = _CUT_TAG.sub("", source)
-        end = len(source)
+        end, last = len(source), source.rfind(">")
         while at < end:
+            if at > last:  # no tag ends any more; a comment that doesn't end hides the rest
+                self._text(source[at:].partition("<!--")[0])
+                break
             m = _TOKEN.search(source, at)
             if not m:
                 self._text(source[at:])
@@ -217,6 +227,13 @@ class Page:
             texts[self.place[e]].append(text)
         return {e: xxhash.xxh64_intdigest("\0".join(t), self.path[e] ^ 1) for e, t in texts.items()}
 
+    def copy_key(self) -> bytes:
+        """Equal for near copies: the longest texts without their digits, or all tokens of a page without text."""
+        longest = sorted({_DIGITS.sub("", t) for _, t in self.blocks}, key=lambda t: (-len(t), t))[:COPY_TEXTS]
+        if longest:
+            return xxhash.xxh3_128_digest("\0".join(longest).encode("utf-8", "surrogatepass"))
+        return xxhash.xxh3_128_digest(struct.pack(f"<{len(self.tokens)}Q", *(t[0] for t in self.tokens)))
+
     def _in_header(self, e: int) -> bool:
         while e > 0 and self.state[e] == OUT:
             if self.names[e] == "header":
@@ -324,8 +341,11 @@ def main_blocks(page: Page, template: list[tuple[int, int | None, float, int]],
     if marked:
         main = {s for s in slots if page.inside[s] == marked}
         ids = sorted(i for s in main for i in slots[s])
-        return [page.blocks[i][1] for i in [i for i in ids if i not in fixed] or ids]
+        left = [i for i in ids if i not in fixed]
+        return [page.blocks[i][1] for i in (left if _chars(page, left) >= LEAST_LEFT * _chars(page, ids) else ids)]
     varying = {s: left for s, ids in slots.items() if (left := [i for i in ids if i not in fixed])}
+    if varying and sum(_chars(page, ids) for ids in varying.values()) < LEAST_LEFT * sum(_chars(page, ids) for ids in slots.values()):
+        varying = slots
     if not varying and _has_empty_slot(page, frame):
         return []
     slots = varying or slots
@@ -346,6 +366,10 @@ def main_blocks(page: Page, template: list[tuple[int, int | None, float, int]],
     return [page.blocks[i][1] for i in sorted(i for ids in slots.values() for i in ids) if page.blocks[i][0] in within]
 
 
+def _chars(page: Page, ids: Collection[int]) -> int:
+    return sum(len(page.blocks[i][1]) for i in ids)
+
+
 def _has_empty_slot(page: Page, frame: set[int]) -> bool:
     """Does the template write an element that holds nothing on this page?"""
     full = {e for e, _ in page.blocks} | set(page.parent)
@@ -358,17 +382,18 @@ def _host(url: str | None) -> str:
 
 
 def distinct_pages(pages: DataFrame) -> DataFrame:
-    """(host, page, tokens): the tokens of each host's distinct pages, packed as (hash, kind, count, sum of places).
+    """(host, page, tokens): the tokens of each host's distinct articles, packed as (hash, kind, count, sum of places).
 
-    Pages are the same if their tokens are, so copies that differ in scripts or
-    comments only are one page.  A page's copies are merged before the shuffle.
+    Near copies are one article and vote once, by the page of least hash among them, so pages that
+    differ in a date or a counter don't vote their text into the template.  Copies are
+    merged before the shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
-                hosts, keys, packed = [], [], []
+                hosts, keys, marks, packed = [], [], [], []
                 for url, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     page = Page(source or "")
                     tokens, sums = page.tokens, {}
@@ -378,11 +403,13 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
                         s[2] += 1
                         s[3] += i
                     hosts.append(_host(url))
-                    keys.append(xxhash.xxh3_128_digest(struct.pack(f"<{len(tokens)}Q", *(t[0] for t in tokens))))
+                    keys.append(page.copy_key())
+                    marks.append(xxhash.xxh3_128_digest(struct.pack(f"<{len(tokens)}Q", *(t[0] for t in tokens))))
                     packed.append(b"".join(struct.pack(_PACKED, *s) for s in sums.values()))
-                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], names=["host", "page", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.binary()), pa.array(marks, pa.binary()), pa.array(packed, pa.binary())], names=["host", "page", "mark", "tokens"])
 
-    return pages.select("url", "html").mapInArrow(run, "host string, page binary, tokens binary").dropDuplicates(["host", "page"])
+    every = pages.select("url", "html").mapInArrow(run, "host string, page binary, mark binary, tokens binary")
+    return every.groupBy("host", "page").agg(F.min(F.struct("mark", "tokens")).alias("least")).select("host", "page", "least.mark", "least.tokens")
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
@@ -424,9 +451,10 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
     schema = "host string, token bigint, kind int, vector bigint, pages bigint, total bigint, place double"
     own = stage(distinct_pages(pages), "pages")
-    everywhere = own.dropDuplicates(["page"]).select(F.lit(None).cast("string").alias("host"), "page", "tokens")
+    everywhere = own.groupBy("page").agg(F.min(F.struct("mark", "tokens")).alias("least"))
+    everywhere = everywhere.select(F.lit(None).cast("string").alias("host"), "page", F.col("least.tokens").alias("tokens"))
     return (
-        own.unionByName(everywhere)
+        own.select("host", "page", "tokens").unionByName(everywhere)
         .mapInArrow(run, schema)
         .groupBy("host", "token", "kind")
         .agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("place").alias("place"))
