@@ -62,6 +62,12 @@ def test_coarse_sketch_costs_leaves_but_no_counts(spark):
     every = phrases.leaves(phrases.texts_of(df), bitmap, phrases.SLICE)
     pruned = phrases.leaves(phrases.texts_of(df), phrases.frequent_buckets(phrases.texts_of(df), 1 << 16, 5, 1000), 1 << 16)
     assert pruned.count() < every.count()
+    was, phrases.HELD_LEAVES = phrases.HELD_LEAVES, 50
+    try:  # many groups, and tasks that hold few leaves
+        some = phrases.leaves(phrases.texts_of(df), bitmap, phrases.SLICE, chunk_words=300, groups=7)
+        assert rows_of(some) == rows_of(every)
+    finally:
+        phrases.HELD_LEAVES = was
     assert every.agg({"total": "sum"}).first() == pruned.agg({"total": "sum"}).first()
     assert fine == rows_of(phrases.phrase_counts(df, least=5, sketch=phrases.SLICE, group_leaves=10)[0])
 

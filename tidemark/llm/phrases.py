@@ -5,7 +5,8 @@ and stay in its piece.  In the tree of all of them the leaf totals under a node
 occurrences of the node's phrase, overlaps included, and the root's are all words.
 
 1. Leaves.  Each task cuts its texts into chunks of ``chunk_words`` words and sorts a
-   chunk's suffixes; equal ones leave it as one leaf with its total.
+   chunk's suffixes; equal ones leave it as one leaf with its total.  Leaves travel packed,
+   by a hash of their words, to tasks that add the totals of equal ones.
 2. Vertical partitioning.  A leaf belongs to its first word; where a prefix has more than
    ``group_leaves`` leaves, its leaves belong to the prefix of one word more, until every
    prefix fits or is a whole leaf.  The prefixes are packed in their order into groups of
@@ -15,10 +16,10 @@ occurrences of the node's phrase, overlaps included, and the root's are all word
    a node's count is the sum of the leaf totals under it.  A node above a grown prefix is
    spread over groups and is summed once more.
 
-No phrase under ``least`` is wanted, so a suffix ends before its first pair of words that
-can't occur so often, and a word that can't is an empty leaf.  What can't comes from a
-sketch: words and pairs are counted in hash buckets, and a bucket under ``least`` holds
-none that occurs so often.  The sketch has a bucket for each ``SKETCH_BYTES`` bytes of text,
+No phrase under ``least`` is wanted, so a suffix ends before its first run of two or three
+words that can't occur so often, and a word that can't is an empty leaf.  What can't comes
+from a sketch: words and runs of two and three are counted in hash buckets, and a bucket
+under ``least`` holds none that occurs so often.  The sketch has a bucket for each ``SKETCH_BYTES`` bytes of text,
 ``SKETCH_MAX`` at most (a bitmap of 16 MB, the only thing of its kind that is broadcast);
 where it is too coarse more leaves travel, and the counts stay exact.
 
@@ -39,16 +40,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage
 
 DEPTH, LEAST, TOP = 5, 100, 2000
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 2_000_000
 GROUP_LEAVES = 2_000_000
 SKETCH_BYTES, SKETCH_MIN, SKETCH_MAX = 32, 1 << 16, 1 << 27
 SLICE = 1 << 15  # buckets that travel together
+#: Leaves of a packed row, leaves that a task holds while it adds totals, and the bytes of text for which there is a group of such tasks.
+PACK, HELD_LEAVES, GROUP_BYTES = 50_000, 400_000, 32_000_000
 #: A-Z lower-cased, all piece ends as line ends, tabs as spaces.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?" or 10 <= c <= 13 else 32 if c == 9 else c for c in range(256))
 #: Words of a leaf are parted by the least byte, so that leaves sort word by word; it and its mark are escaped in words.
@@ -83,8 +87,9 @@ class Chunk:
         self.lang_of: list[int] = []
         self.langs: dict[str, int] = {}
         self._by_lang: list[_Words] = []
-        self._ids: list[int] = []
+        self._ids: list[np.ndarray] = []
         self._sizes: list[int] = []
+        self._n = 0
 
     def add(self, text: bytes, lang: str) -> None:
         """Adds whole pieces; longer texts are fed in parts that end with a piece."""
@@ -92,31 +97,40 @@ class Chunk:
         if k == len(self._by_lang):
             self._by_lang.append(_Words(self, k))
         number = self._by_lang[k].__getitem__
+        ids: list[int] = []
         for piece in text.split(b"\n"):
             words = piece.split(b" ")
             if b"" in words:
                 words = [w for w in words if w]
             if words:
-                self._ids.extend(map(number, words))
+                ids += map(number, words)
                 self._sizes.append(len(words))
+        self._ids.append(np.array(ids, np.int32))
+        self._n += len(ids)
 
     def __len__(self) -> int:
-        return len(self._ids)
+        return self._n
 
     def freeze(self) -> None:
-        self.ids = np.array(self._ids, np.int64)
-        sizes = np.array(self._sizes, np.int64)
-        self.left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(self.ids))
+        self.ids = np.concatenate(self._ids)
+        self._ids.clear()
+        sizes = np.array(self._sizes, np.int32)
+        self.left = np.repeat(np.cumsum(sizes, dtype=np.int32), sizes) - np.arange(len(self.ids), dtype=np.int32)
         names = {k: xxhash.xxh64_intdigest(n.encode("utf-8", "surrogatepass")) for n, k in self.langs.items()}
         self.hash = np.array([xxhash.xxh64_intdigest(w, names[k]) for w, k in zip(self.words, self.lang_of)], np.uint64)
 
-    def buckets(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sketch buckets of the words, and of the pairs that begin at words with a next one in the piece (in their order)."""
+    def buckets(self, size: int) -> list[np.ndarray]:
+        """Sketch buckets of the distinct words, and of the runs of two and of three words in their order."""
         shift = np.uint64(64 - int(size).bit_length() + 1)
         h = self.hash[self.ids]
-        paired = np.flatnonzero(self.left > 1)
-        pair = _mix(h[paired] * _A + h[paired + 1])
-        return _mix(self.hash) >> shift, pair >> shift
+        out = [_mix(self.hash)]
+        for k in (1, 2):
+            at = np.flatnonzero(self.left > k)
+            run = h[at] * _A + h[at + 1]
+            if k == 2:
+                run = _mix(run) * _B + h[at + 2]
+            out.append(_mix(run))
+        return [(x >> shift).astype(np.uint32) for x in out]
 
 
 def chunks(batches: Iterator[pa.RecordBatch], chunk_words: int) -> Iterator[Chunk]:
@@ -147,21 +161,18 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def frequent_buckets(texts: DataFrame, size: int, least: int, chunk_words: int) -> np.ndarray:
-    """A bitmap of the ``size`` buckets that words or pairs fill ``least`` times or more."""
+    """A bitmap of the ``size`` buckets that words and runs of two and three fill ``least`` times or more."""
+    kind = np.uint16 if least < 1 << 16 else np.int64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches, chunk_words):
-            word, pair = c.buckets(size)
-            times = np.bincount(c.ids, minlength=len(c.words))
-            # words are counted already, pairs one by one
-            order = np.concatenate((word, np.unique(pair)))
-            many = np.concatenate((times, np.unique(pair, return_counts=True)[1]))
-            at, where = np.unique(order, return_inverse=True)
-            total = np.minimum(np.bincount(where, many).astype(np.int64), least).astype(np.int32)
-            part = (at // np.uint64(SLICE)).astype(np.int64)
+            word, pair, triple = c.buckets(size)
+            at, total = np.unique(np.concatenate((word[c.ids], pair, triple)), return_counts=True)
+            total = np.minimum(total, least).astype(kind)
+            part = (at // np.uint32(SLICE)).astype(np.int64)
             cut = np.flatnonzero(np.diff(part, prepend=-1))
             bounds = np.append(cut, len(part))
-            place = (at % np.uint64(SLICE)).astype(np.uint16)
+            place = (at % np.uint32(SLICE)).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(part[cut]),
@@ -183,7 +194,7 @@ def frequent_buckets(texts: DataFrame, size: int, least: int, chunk_words: int)
                     if cur is not None:
                         yield out()
                     cur, sums = s, np.zeros(SLICE, np.int64)
-                sums[np.frombuffer(place, np.uint16)] += np.frombuffer(times, np.int32)
+                sums[np.frombuffer(place, np.uint16)] += np.frombuffer(times, kind)
         if cur is not None:
             yield out()
 
@@ -197,33 +208,41 @@ def frequent_buckets(texts: DataFrame, size: int, least: int, chunk_words: int)
 
 
 def _bit(bitmap: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    return (bitmap[(bucket >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (bucket & np.uint64(7)).astype(np.uint8))) & 1 == 1
+    return (bitmap[bucket >> np.uint32(3)] >> (np.uint8(7) - (bucket & np.uint32(7)).astype(np.uint8))) & 1 == 1
 
 
 def chunk_leaves(c: Chunk, bitmap: np.ndarray, size: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First places, depths and totals of a chunk's distinct leaves."""
-    word, pair = c.buckets(size)
+    word, pair, triple = c.buckets(size)
     n = len(c.ids)
-    start = _bit(bitmap, word)[c.ids]
-    link = np.zeros(n, bool)
-    link[c.left > 1] = _bit(bitmap, pair)
-    deep = start.astype(np.int64)
-    alive = start.copy()
+    alive = _bit(bitmap, word)[c.ids]
+    two, three = np.zeros(n, bool), np.zeros(n, bool)
+    two[c.left > 1], three[c.left > 2] = _bit(bitmap, pair), _bit(bitmap, triple)
+    deep = alive.astype(np.int8)
+    # word k + 1 joins if the runs of two and three words that it ends are frequent
     for k in range(1, depth):
-        alive[: n - k] &= link[k - 1 : n - 1]
+        alive[: n - k] &= two[k - 1 : n - 1]
+        if k > 1:
+            alive[: n - k] &= three[k - 2 : n - 2]
         alive[max(0, n - k) :] = False
         deep += alive
     # leaves that are alike in k words get one number, by pairs of (number, next word); a language has one empty leaf
-    code = np.where(deep > 0, c.ids + 1, -1 - np.array(c.lang_of, np.int64)[c.ids])
-    _, code = np.unique(code, return_inverse=True)
+    many = len(c.words)
+    code = np.where(deep > 0, c.ids, many + np.array(c.lang_of, np.int64)[c.ids])
+    used = many + len(c.langs)
     for k in range(1, depth):
         some = np.flatnonzero(deep > k)
         if not len(some):
             break
-        _, number = np.unique(code[some] * (len(c.words) + 1) + c.ids[some + k], return_inverse=True)
-        code[some] = int(code.max()) + 1 + number
-    _, first, total = np.unique(code, return_index=True, return_counts=True)
-    return first, deep[first], total
+        new, number = np.unique(code[some] * many + c.ids[some + k], return_inverse=True)
+        code[some] = used + number
+        used += len(new)
+    total = np.bincount(code, minlength=used)
+    first = np.zeros(used, np.int64)
+    first[code[::-1]] = np.arange(n - 1, -1, -1)
+    there = np.flatnonzero(total)
+    first = first[there]
+    return first, deep[first], total[there]
 
 
 def _escape(word: bytes) -> str:
@@ -236,22 +255,68 @@ def _unescape(word: str) -> str:
     return word.replace("\1\2", "\0").replace("\1\3", "\1") if MARK in word else word
 
 
-def leaves(texts: DataFrame, bitmap: np.ndarray, size: int, depth: int = DEPTH, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """(lang, leaf, total): the distinct leaves; the empty leaf holds the suffixes that can't be wanted."""
+def leaf_groups(c: Chunk, first: np.ndarray, deep: np.ndarray, groups: int) -> np.ndarray:
+    """The group that a leaf's totals are added in: a hash of its words."""
+    h = c.hash[c.ids[first]].copy()
+    h[deep == 0] = np.array(c.lang_of, np.uint64)[c.ids[first[deep == 0]]]
+    for k in range(1, int(deep.max(initial=0))):
+        some = np.flatnonzero(deep > k)
+        h[some] = _mix(h[some] * _A + c.hash[c.ids[first[some] + k]])
+    return (_mix(h) % np.uint64(groups)).astype(np.int64)
+
+
+def leaves(texts: DataFrame, bitmap: np.ndarray, size: int, depth: int = DEPTH, chunk_words: int = CHUNK_WORDS, groups: int = 1) -> DataFrame:
+    """(lang, leaf, total): the distinct leaves; the empty leaf holds the suffixes that can't be wanted.
+
+    A chunk's leaves travel packed, a row for each language and group; the tasks of the groups add
+    the totals of equal leaves before they become rows.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
         for c in chunks(batches, chunk_words):
             first, deep, total = chunk_leaves(c, shared.value, size, depth)
             names = [_escape(w) for w in c.words]
             langs = list(c.langs)
-            for lo in range(0, len(first), 100_000):
-                at, d, t = first[lo : lo + 100_000], deep[lo : lo + 100_000], total[lo : lo + 100_000]
-                text = [JOIN.join([names[x] for x in c.ids[a : a + k]]) for a, k in zip(at.tolist(), d.tolist())]
-                lang = [langs[c.lang_of[x]] for x in c.ids[at]]
-                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(text, pa.string()), pa.array(t)], names=["lang", "leaf", "total"])
+            key = np.array(c.lang_of, np.int64)[c.ids[first]] * groups + leaf_groups(c, first, deep, groups)
+            order = np.argsort(key, kind="stable")
+            bounds = [*np.flatnonzero(np.diff(key[order], prepend=-1)), len(order)]
+            rows: list[tuple] = []
+            for lo, hi in zip(bounds, bounds[1:]):
+                for at in range(lo, hi, PACK):
+                    some = order[at : min(hi, at + PACK)]
+                    text = "\n".join(JOIN.join([names[x] for x in c.ids[a : a + k]]) for a, k in zip(first[some].tolist(), deep[some].tolist()))
+                    k = int(key[some[0]])
+                    rows.append((k % groups, langs[k // groups], press.compress(text.encode("utf-8", "surrogatepass")), total[some].astype(np.int64).tobytes()))
+            kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=["part", "lang", "leaves", "totals"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        sums: dict[tuple[str, str], int] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            keys, values = list(sums), list(sums.values())
+            sums.clear()
+            for lo in range(0, len(keys), PACK):
+                some = keys[lo : lo + PACK]
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in some], pa.string()), pa.array([k[1] for k in some], pa.string()), pa.array(values[lo : lo + PACK], pa.int64())], names=["lang", "leaf", "total"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lang = batch.column(1)[i].as_py()
+                text = unpack.decompress(batch.column(2)[i].as_py()).decode("utf-8", "surrogatepass")
+                for leaf, n in zip(text.split("\n"), np.frombuffer(batch.column(3)[i].as_py(), np.int64).tolist()):
+                    sums[lang, leaf] = sums.get((lang, leaf), 0) + n
+                if len(sums) >= HELD_LEAVES:
+                    yield from out()
+        yield from out()
 
-    return texts.mapInArrow(run, "lang string, leaf string, total bigint").groupBy("lang", "leaf").agg(F.sum("total").alias("total"))
+    packed = texts.mapInArrow(pack, "part bigint, lang string, leaves binary, totals binary")
+    added = packed.repartition(groups, "part").mapInArrow(add, "lang string, leaf string, total bigint")
+    # a task that holds too many leaves gives some of them twice
+    return added.groupBy("lang", "leaf").agg(F.sum("total").alias("total"))
 
 
 def prefixed(found: DataFrame, depth: int, group_leaves: int) -> DataFrame:
@@ -334,11 +399,11 @@ def subtree_counts(dealt: DataFrame, least: int) -> DataFrame:
 def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, chunk_words: int = CHUNK_WORDS, group_leaves: int = GROUP_LEAVES, sketch: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, n) of phrases of 1 to ``depth`` words that occur ``least`` times or more, and (lang, n) of all words."""
     texts = texts_of(docs)
+    size = int(texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
     if sketch is None:
-        size = int(texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
         sketch = min(SKETCH_MAX, max(SKETCH_MIN, 1 << (size // SKETCH_BYTES).bit_length()))
     bitmap = frequent_buckets(texts, sketch, least, chunk_words)
-    found = stage(leaves(texts, bitmap, sketch, depth, chunk_words), "leaves")
+    found = stage(leaves(texts, bitmap, sketch, depth, chunk_words, max(1, -(-size // GROUP_BYTES))), "leaves")
     words = found.groupBy("lang").agg(F.sum("total").alias("n"))
     kept = found.where("leaf != ''")
     groups = max(1, -(-kept.count() // group_leaves))
