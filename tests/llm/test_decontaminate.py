@@ -52,7 +52,19 @@ def test_matches_brute_force(spark, tables):
 def test_blocks_give_the_same(spark, tables):
     rows, items = tables
     docs, bench = frame(spark, rows), frame(spark, items, "item_id bigint, text string")
-    assert rows_of(dec.digest(dec.decontaminate(docs, bench, block_chars=2000))) == brute(rows, items)
+    whole, parts = dec.decontaminate(docs, bench), dec.decontaminate(docs, bench, block_chars=2000, round_chars=5000)
+    assert rows_of(dec.digest(parts)) == brute(rows, items)
+    columns = ["doc_id", "n_words", "n_hit", "hits", "items", "contaminated"]
+    assert rows_of(parts.select(columns)) == rows_of(whole.select(columns))
+    assert rows_of(dec.decontaminate(docs, bench, with_items=False).select("doc_id", "hits")) == rows_of(whole.select("doc_id", "hits"))
+
+
+def test_one_window_of_very_many_items(spark):
+    text = " ".join(f"w{k}" for k in range(13))
+    items = spark.range(100_000).selectExpr("id AS item_id", f"'{text}' AS text")
+    docs = frame(spark, [(k, f"{text} and {text}" if k % 2 else "clean", None, None, None) for k in range(6)])
+    got = {r.doc_id: r for r in dec.decontaminate(docs, items).collect()}
+    assert got[1]["items"] == sorted(map(str, range(100_000))) and got[0]["items"] == [] and got[1].n_hit == 26
 
 
 def test_offsets_point_into_the_original(spark):

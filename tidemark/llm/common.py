@@ -42,8 +42,9 @@ def map_texts(
     make: Callable[[], Callable[[list[str]], dict[str, list]]],
     fields: list[tuple[str, pa.DataType]],
     text: str = "text",
+    step: int = 1024,
 ) -> DataFrame:
-    """Run ``make()`` once per task, then its result on the texts of every batch.
+    """Run ``make()`` once per task, then its result on the texts of every batch, ``step`` at a time.
 
     The function gets the batch's texts (null becomes the empty string) and
     returns one list per field.  All columns of ``df`` but the text pass through.
@@ -55,7 +56,6 @@ def map_texts(
         fn = make()
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            step = 1024
             for lo in range(0, batch.num_rows, step):
                 part = batch.slice(lo, step)
                 got = fn([t or "" for t in part.column(at).to_pylist()])
