@@ -49,8 +49,9 @@ def test_short_symbol_lines_menus_and_long_notices():
     assert fault("$$$ ### %%%") == "punctuation" and fault(". . . . . . .") == "punctuation" and fault("…… ———") == "punctuation"
     assert fault("one... two,, three;; four--- five six") == "punctuation"
     assert fault("});") is None and fault("Yes, we can (really).") is None and fault("नमस्ते दुनिया") is None
-    notice = "We use cookies as our cookie policy and our privacy policy and the terms of service say and all rights reserved "
-    assert fault(notice + "so " * 40) == "boilerplate"
+    notice = "We use cookies as our cookie policy and our privacy policy and the terms of service say and all rights reserved."
+    assert fault(notice) == "boilerplate"
+    assert quality.without_notices((notice + " " + "So " * 40 + "it ends.").encode()).decode() == "So " * 40 + "it ends."
     assert fault("word other " * 100 + "click here") is None
     menu = "Home\nAbout us\n\nNews\nContact\nOur shop\nHelp"
     text = "A sentence of plain words that stays here, and some more of them to be safe."
@@ -76,3 +77,29 @@ def test_repeated_words_overlap():
     assert quality.repeated_words(w) == 13
     assert quality.repeated_words([b"x"] * 6) == 6
     assert quality.repeated_words([b"x"] * 5) == 0
+
+
+PROSE = [
+    "In the spring the committee met again and read, line by line, the privacy policy that the ministry had proposed two years before, and nobody in the room could say what it meant.",
+    "On the last page of the book, below a drawing of the harbour and the names of the people who had paid for it, stood the words all rights reserved, as if anybody in that town would have wished to copy it at all.",
+    "The minister defended the new privacy policy yesterday.",
+    "London\nParis\nBerlin\nMadrid\nRome\nVienna",
+    "Flour\nSugar\nButter\nFour eggs\nVanilla\nSalt\nBaking powder",
+    "Er las die Datenschutzerklärung zweimal und verstand sie trotzdem nicht ganz.",
+]
+
+
+def test_prose_that_names_a_notice_and_lists_stay():
+    for text in PROSE:
+        got = quality.judge(f"{text}\n{'Some plain words follow here to be long enough.'}", 0.5)
+        assert got["lost_words"] == 0 and got["kept"] and got["clean_text"].startswith(text), text
+
+
+def test_notices_in_four_languages():
+    for notice in ("Alle Rechte vorbehalten.", "Tous droits reserves", "Tous droits réservés.", "Diese Website verwendet Cookies.", "Todos los derechos reservados", "Ce site utilise des cookies.", "Este sitio utiliza cookies.", "© 2024 Acme. All rights reserved.", "Datenschutzerklärung", "Privacy Policy"):
+        keep = "A line of plain words that stays in the text, whatever stands below it."
+        got = quality.judge(f"{keep}\n{notice}", 0.5)
+        assert got["clean_text"].rstrip() in (keep, f"{keep}\n© 2024 Acme."), notice
+        assert got["faults"] == "boilerplate:1"
+    got = quality.judge("One two three four five six. We use cookies here. Seven eight nine ten eleven twelve.", 0.5)
+    assert got["clean_text"] == "One two three four five six. Seven eight nine ten eleven twelve." and got["lost_words"] == 4

@@ -15,8 +15,10 @@ Line rules (a line without a word is neither judged nor counted):
 * ``navigation``: two or more separators (``|``, ``>``, a middle dot, a guillemet)
   standing alone, at least one for each four words; or a run of six or more lines
   (blank ones aside) of at most three words that begin with a capital and end in a
-  letter or digit;
-* ``boilerplate``: known notice phrases that make up a twentieth of the line's words;
+  letter or digit, of which two or more, and a quarter, are known items of menus (a list
+  of cities or of ingredients is none);
+* ``boilerplate``: a sentence of which notice phrases make up a quarter (half for phrases that are
+  also written about), in four languages.  The sentence goes, the rest of the line stays;
 * ``repetition``: of eight words or more, at least half equal the word before them.
 
 Defined results: a null or empty text has no words, fails the base rule and is
@@ -37,10 +39,31 @@ from tidemark.llm.common import map_texts
 
 SYMBOLS = b"#*$%&|<>"
 SEPARATORS = frozenset((b"|", b">", b">>", "·".encode(), "»".encode(), "›".encode()))
-NOTICES = (
-    b"all rights reserved", b"cookie policy", b"use cookies", b"privacy policy", b"terms of service", b"terms of use",
-    b"click here", b"subscribe to our newsletter", b"enable javascript", b"skip to content",
+# Phrases of notices (lower case, UTF-8).  The first are hardly written but in a
+# notice, the second are also written about.
+NOTICES = tuple(
+    p.encode()
+    for p in (
+        "use cookies", "uses cookies", "all rights reserved", "click here", "subscribe to our newsletter", "enable javascript", "skip to content",
+        "verwendet cookies", "verwenden cookies", "alle rechte vorbehalten", "hier klicken", "klicken sie hier", "newsletter abonnieren", "javascript aktivieren", "zum inhalt springen",
+        "utilise des cookies", "utilisons des cookies", "tous droits réservés", "tous droits reserves", "cliquez ici", "abonnez-vous à notre newsletter", "activer javascript", "aller au contenu",
+        "usa cookies", "utiliza cookies", "usamos cookies", "utilizamos cookies", "todos los derechos reservados", "haga clic aquí", "suscríbase a nuestro boletín", "activar javascript", "saltar al contenido",
+    )
 )
+TOPICS = tuple(
+    p.encode()
+    for p in (
+        "cookie policy", "privacy policy", "terms of service", "terms of use", "datenschutzerklärung", "nutzungsbedingungen",
+        "politique de confidentialité", "conditions d'utilisation", "política de privacidad", "política de cookies", "términos de uso",
+    )
+)
+# Items that menus have (lower case).
+MENU_ITEMS = frozenset(
+    "home|about|about us|contact|contact us|news|login|log in|sign in|sign up|register|help|faq|search|search box here|sitemap|site map|shop|our shop|blog|imprint|"
+    "start|startseite|über uns|kontakt|impressum|datenschutz|hilfe|suche|anmelden|registrieren|produkte|accueil|à propos|contactez-nous|aide|recherche|connexion|"
+    "s'inscrire|plan du site|mentions légales|inicio|acerca de|quiénes somos|contacto|noticias|ayuda|buscar|iniciar sesión|mapa del sitio|tienda".split("|")
+)
+_SENTENCE = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+")
 ALNUM = bytes(c for c in range(128) if chr(c).isalnum())
 _MARKS = re.compile(r"[^\w\s]|_")
 _RUN_END = re.compile(rb"[?.,;:~_=-]{2}(?=[\x20\x09-\x0D]|\Z)")
@@ -78,15 +101,30 @@ def line_fault(line: bytes) -> str | None:
         marks = len(_MARKS.findall(text))
         if marks >= 5 and 10 * marks >= 7 * sum(map(len, text.split())):
             return "punctuation"
-    low = line.lower()
-    # a notice counts with its words, each time it stands there
-    if 20 * sum(low.count(p) * (p.count(b" ") + 1) for p in NOTICES if p in low) >= n:
+    if not without_notices(line).strip():
         return "boilerplate"
     if n >= 8 and 2 * sum(map(bytes.__eq__, words, words[1:])) >= n:
         return "repetition"
     return None
 
 
+def without_notices(line: bytes) -> bytes:
+    """The line without its sentences that are notices."""
+    low = line.lower()
+    if not any(p in low for p in NOTICES) and not any(p in low for p in TOPICS):
+        return line
+    kept, gone = [], False
+    for sentence in _SENTENCE.split(line):
+        low, n = sentence.lower(), len(sentence.split())
+        strong = sum(low.count(p) * (p.count(b" ") + 1) for p in NOTICES if p in low)
+        weak = sum(low.count(p) * (p.count(b" ") + 1) for p in TOPICS if p in low)
+        if 4 * strong + 2 * weak >= n > 0 and strong + weak:
+            gone = True
+        else:
+            kept.append(sentence)
+    return b" ".join(kept) if gone else line
+
+
 def is_item(line: bytes) -> bool:
     """Could the line be an item of a menu: few words, a capital first, no sentence end?"""
     if len(line) > 200 or not 0 < len(line.split()) <= MENU_WORDS:
@@ -104,8 +142,10 @@ def mark_menus(lines: list[bytes], faults: list[str | None]) -> None:
                 run.append(i)
             continue
         if len(run) >= MENU_LINES:
-            for k in run:
-                faults[k] = "navigation"
+            known = sum(" ".join(lines[k].decode("utf-8", "surrogatepass").lower().split()) in MENU_ITEMS for k in run)
+            if known >= 2 and 4 * known >= len(run):
+                for k in run:
+                    faults[k] = "navigation"
         run = []
 
 
@@ -142,17 +182,20 @@ def judge(text: str, max_loss: float) -> dict:
     found = [line_fault(line) if line.strip() else None for line in lines]
     if len(lines) >= MENU_LINES:
         mark_menus(lines, found)
+    low = raw.lower()
+    noticed = any(p in low for p in NOTICES) or any(p in low for p in TOPICS)
     for line, fault in zip(lines, found):
         full = not not line.strip()
         if full:
             if line in seen:
                 dup += 1
             seen.add(line)
-        if fault:
-            lost += len(line.split())
-            faults[fault] += 1
-        else:
-            kept.append(line)
+        rest = b"" if fault else without_notices(line) if noticed and full else line
+        if len(rest) != len(line):
+            lost += len(line.split()) - len(rest.split())
+            faults[fault or "boilerplate"] += 1
+        if not fault and (rest.strip() or not full):
+            kept.append(rest)
     n = len(words)
     repeat = repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PCT * n
