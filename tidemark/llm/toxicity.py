@@ -308,7 +308,7 @@ def best_cut(score: np.ndarray, labels: np.ndarray) -> float:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int) -> tuple[list[str], np.ndarray]:
-    """At most ``per_class`` labelled texts of each class, chosen by a hash of their id."""
+    """At most ``per_class`` labelled texts of each class, chosen by a hash of their id; of rows with one id the least text."""
     learn = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     picks = None
@@ -317,8 +317,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_char
         picks = some if picks is None else picks.unionByName(some)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # the picks are at most 2 * per_class rows, so they can be broadcast
-    rows = docs.select("doc_id", text.alias("text")).where(F.length("text") <= max_chars).join(F.broadcast(picks), "doc_id").orderBy("doc_id", "text").limit(4 * per_class)
-    got = rows.select("text", "toxic").collect()
+    rows = docs.select("doc_id", text.alias("text")).where(F.length("text") <= max_chars).join(F.broadcast(picks), "doc_id")
+    # bounded: one row for each pick
+    got = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).orderBy("doc_id").collect()
     return [r.text for r in got], np.array([r.toxic for r in got], np.int64)
 
 
