@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
-    found = decontaminate.decontaminate(_packed(docs), read(spark, sf_dir, "benchmark"), carry=("row",))
+    found = decontaminate.decontaminate(_packed(docs), read(spark, sf_dir, "benchmark"), carry=("row",), with_items=False)
     return found.where(~F.col("contaminated")).select("row.*")
 
 
