@@ -229,3 +229,18 @@ def test_cohort_matrix_keeps_every_offset(spark):
     assert got == set(rows)
     wide = cohort.to_matrix(long, "customers")
     assert {(r.cohort, int(c), r[c]) for r in wide.collect() for c in wide.columns[1:] if r[c] is not None} == set(rows)
+
+
+def test_action_totals_in_one_pass(spark):
+    """Every level of the grouping sets equals its own aggregate; missing levels and an empty table are kept apart from totals."""
+    rows = [(1, "High", "Basic", 10.5, 3.0, 10.0), (2, "High", "Basic", 1.25, 5.0, 20.0), (3, "High", None, 2.0, 1.0, 5.0), (4, None, "Basic", 7.0, 2.0, None), (5, "Low", "Premium", 0.0, None, 0.0)]
+    schema = "customer_id long, churn_risk_level string, subscription_type string, total_revenue double, value_score double, recommended_discount_pct double"
+    recs = spark.createDataFrame(rows, schema)
+    totals = retention.action_totals(recs)
+    got = {(r.risk_level, r.customer_count, r.total_revenue_at_risk) for r in retention.action_summary(totals).collect()}
+    assert got == {("High", 3, 13.75), (None, 1, 7.0), ("Low", 1, 0.0)}
+    by = {(r.risk_level, r.subscription_type, r.customer_count, r.revenue) for r in retention.by_risk_subscription(totals).collect()}
+    assert by == {("High", "Basic", 2, 11.75), ("High", None, 1, 2.0), (None, "Basic", 1, 7.0), ("Low", "Premium", 1, 0.0)}
+    assert tuple(retention.retention_impact(totals).first()) == (1, 6.875)
+    assert tuple(retention.retention_impact(retention.action_totals(recs.limit(0))).first()) == (0, 0.0)
+    assert totals.where("level = 3").first().total_revenue == 20.75

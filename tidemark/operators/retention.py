@@ -266,38 +266,55 @@ def published_order(recs: DataFrame) -> DataFrame:
     return recs.orderBy(_by_risk(RISK_ORDER), F.desc("value_score"), "customer_id")
 
 
-def action_summary(recs: DataFrame) -> DataFrame:
-    """Per risk level count, revenue at risk, mean value score and discount (risk order)."""
+#: Grouping ids of ``action_totals``: by risk and subscription, by risk, and over all.
+BY_RISK_SUBSCRIPTION, BY_RISK, OVERALL = 0, 1, 3
+
+
+def action_totals(recs: DataFrame) -> DataFrame:
+    """Counts, revenue and means by risk x subscription, by risk and over all customers, in one pass.
+
+    ``level`` is the grouping id; a missing risk level or subscription is a group of its own.
+    """
+    risk, sub = F.col("churn_risk_level"), F.col("subscription_type")
     return (
-        recs.groupBy(F.col("churn_risk_level").alias("risk_level"))
+        recs.groupingSets([[risk, sub], [risk], []], risk, sub)
         .agg(
+            F.grouping_id().cast("int").alias("level"),
             F.count("customer_id").alias("customer_count"),
-            money_sum("total_revenue").alias("total_revenue_at_risk"),
+            F.count(F.lit(1)).alias("rows"),
+            money_sum("total_revenue").alias("total_revenue"),
             favg("value_score").alias("avg_value_score"),
             F.avg("recommended_discount_pct").alias("avg_recommended_discount"),
         )
-        .orderBy(F.create_map(*[F.lit(x) for kv in RISK_ORDER.items() for x in kv])[F.col("risk_level")])
+        .withColumnRenamed("churn_risk_level", "risk_level")
     )
 
 
-def by_risk_subscription(recs: DataFrame) -> DataFrame:
-    """Counts and revenue per (risk level, subscription type)."""
-    return recs.groupBy(F.col("churn_risk_level").alias("risk_level"), "subscription_type").agg(
-        F.count("customer_id").alias("customer_count"), money_sum("total_revenue").alias("revenue")
+def action_summary(totals: DataFrame) -> DataFrame:
+    """Per risk level count, revenue at risk, mean value score and discount (risk order), from ``action_totals``."""
+    return (
+        totals.where(F.col("level") == BY_RISK)
+        .select("risk_level", "customer_count", F.col("total_revenue").alias("total_revenue_at_risk"), "avg_value_score", "avg_recommended_discount")
+        .orderBy(F.create_map(*[F.lit(x) for kv in RISK_ORDER.items() for x in kv])[F.col("risk_level")])
     )
 
 
+def by_risk_subscription(totals: DataFrame) -> DataFrame:
+    """Counts and revenue per (risk level, subscription type), from ``action_totals``."""
+    return totals.where(F.col("level") == BY_RISK_SUBSCRIPTION).select("risk_level", "subscription_type", "customer_count", F.col("total_revenue").alias("revenue"))
+
+
 def risk_list(recs: DataFrame, level: str) -> DataFrame:
     """The High / Medium / Low action lists."""
     return recs.where(F.col("churn_risk_level") == level)
 
 
-def retention_impact(recs: DataFrame) -> DataFrame:
-    """If half of high-risk customers are retained — customers saved, revenue protected."""
-    high = recs.where(F.col("churn_risk_level") == "High")
+def retention_impact(totals: DataFrame) -> DataFrame:
+    """If half of high-risk customers are retained — customers saved, revenue protected; from ``action_totals``."""
+    high = totals.where((F.col("level") == BY_RISK) & (F.col("risk_level") == "High"))  # one row, or none
     return high.agg(
-        F.floor(F.count(F.lit(1)) / 2).cast("long").alias("customers_saved"),
-        (F.coalesce(money_sum("total_revenue"), F.lit(0.0)) / 2).alias("revenue_protected"),
+        F.floor(F.coalesce(F.sum("rows"), F.lit(0)) / 2).cast("long").alias("customers_saved"),
+        (F.coalesce(F.sum("total_revenue"), F.lit(0.0)) / 2).alias("revenue_protected"),
     )
 
 

@@ -172,6 +172,11 @@ class Tables:
     def recommendations(self) -> DataFrame:
         return self._stage_customers(retention.recommendations(self.value_scores), "recommendations")
 
+    @cached_property
+    def action_totals(self) -> DataFrame:
+        """Every level of the action summaries, from one pass over the recommendations."""
+        return self._stage(retention.action_totals(self.recommendations), "action_totals")
+
     @cached_property
     def monthly_series(self) -> DataFrame:
         return self._stage(series.monthly_series(self.transactions), "monthly_series")

@@ -315,17 +315,17 @@ def _q_retention_recommendations(t: Tables) -> DataFrame:
 
 @query("retention_action_summary")
 def _q_retention_action_summary(t: Tables) -> DataFrame:
-    return retention.action_summary(t.recommendations)
+    return retention.action_summary(t.action_totals)
 
 
 @query("retention_by_risk_sub")
 def _q_retention_by_risk_sub(t: Tables) -> DataFrame:
-    return retention.by_risk_subscription(t.recommendations)
+    return retention.by_risk_subscription(t.action_totals)
 
 
 @query("retention_impact")
 def _q_retention_impact(t: Tables) -> DataFrame:
-    return retention.retention_impact(t.recommendations)
+    return retention.retention_impact(t.action_totals)
 
 
 @query("retention_top_at_risk")
