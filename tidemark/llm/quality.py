@@ -74,8 +74,8 @@ MAX_REPEAT_PCT = 20
 MAX_LOSS = 0.5
 
 
-def line_fault(line: bytes) -> str | None:
-    """The rule that a line (UTF-8) fails, or None."""
+def line_fault(line: bytes, notices: bool = True) -> str | None:
+    """The rule that a line (UTF-8) fails, or None; without ``notices`` the line is known to hold no notice."""
     words = line.split()
     n = len(words)
     if not n:
@@ -101,7 +101,7 @@ def line_fault(line: bytes) -> str | None:
         marks = len(_MARKS.findall(text))
         if marks >= 5 and 10 * marks >= 7 * sum(map(len, text.split())):
             return "punctuation"
-    if not without_notices(line).strip():
+    if notices and not without_notices(line).strip():
         return "boilerplate"
     if n >= 8 and 2 * sum(map(bytes.__eq__, words, words[1:])) >= n:
         return "repetition"
@@ -179,11 +179,11 @@ def judge(text: str, max_loss: float) -> dict:
     lines = raw.split(b"\n")
     seen: set[bytes] = set()
     dup, kept, lost, faults = 0, [], 0, Counter()
-    found = [line_fault(line) if line.strip() else None for line in lines]
-    if len(lines) >= MENU_LINES:
-        mark_menus(lines, found)
     low = raw.lower()
     noticed = any(p in low for p in NOTICES) or any(p in low for p in TOPICS)
+    found = [line_fault(line, noticed) if line.strip() else None for line in lines]
+    if len(lines) >= MENU_LINES:
+        mark_menus(lines, found)
     for line, fault in zip(lines, found):
         full = not not line.strip()
         if full:
