@@ -83,6 +83,13 @@ def stage_parquet(df, tag: str = "stage"):
     return spark.read.parquet(path)
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path under the checkpoint folder for what isn't a table; it goes with the staged tables."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-{tag}-{uuid.uuid4().hex[:12]}"
+    track_staged(spark, path)
+    return path
+
+
 _STAGED: dict[str, list[str]] = {}
 _TABLES: dict[str, list[str]] = {}
 _ON_CLEANUP: list = []
