@@ -109,8 +109,11 @@ def master_customers(
     )
 
 
-def monthly_business_summary(transactions: DataFrame, customers: DataFrame, master: DataFrame, profit: DataFrame) -> DataFrame:
-    """Monthly revenue, MoM change, acquisitions, churn by signup cohort, profit estimate, running totals."""
+def monthly_business_summary(transactions: DataFrame, customers: DataFrame, master: DataFrame, profit: DataFrame | None) -> DataFrame:
+    """Monthly revenue, MoM change, acquisitions, churn by signup cohort, profit estimate, running totals.
+
+    Without a profit table the two columns of the estimate are left out.
+    """
     done = transactions.where(F.col("transaction_status") == "Completed")
     monthly = done.groupBy(month_label(F.col("transaction_date")).alias("month")).agg(
         money_sum("amount").alias("revenue"),
@@ -129,12 +132,13 @@ def monthly_business_summary(transactions: DataFrame, customers: DataFrame, mast
         F.bround(safe_div(F.sum("is_churned"), F.count("is_churned")) * 100, 2).alias("churn_rate"),
         favg("churn_probability").alias("avg_churn_prob"),
     )
-    margin = profit.agg((favg("profit_margin") / 100).alias("_am"))
+    margin = profit.agg((favg("profit_margin") / 100).alias("_am")) if profit is not None else None
     risk = master.where(F.col("churn_risk_level") == "High").agg(
         F.count(F.lit(1)).alias("total_high_risk_customers"), money_sum("total_revenue").alias("revenue_at_risk")
     )
     m = monthly.join(acq, "month", "left").join(churn, "month", "left")
-    m = scalar_join(scalar_join(m, margin), risk)
+    m = scalar_join(m if margin is None else scalar_join(m, margin), risk)
+    estimate = [] if margin is None else [(F.col("revenue") * F.col("_am")).alias("estimated_profit"), (F.col("_am") * 100).alias("profit_margin_pct")]
     wc = w.rowsBetween(Window.unboundedPreceding, 0)
     m = m.select(
         "month",
@@ -147,8 +151,7 @@ def monthly_business_summary(transactions: DataFrame, customers: DataFrame, mast
         "churned_customers",
         "churn_rate",
         "avg_churn_prob",
-        (F.col("revenue") * F.col("_am")).alias("estimated_profit"),
-        (F.col("_am") * 100).alias("profit_margin_pct"),
+        *estimate,
         "total_high_risk_customers",
         "revenue_at_risk",
         F.sum(money("revenue")).over(wc).cast("double").alias("cumulative_revenue"),
