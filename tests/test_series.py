@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import series
 
@@ -149,7 +150,9 @@ def test_every_series_gets_a_forecast(spark):
         assert got["constant"] == pytest.approx([7.0] * 6)
         assert all(v == pytest.approx(5.0) for v in got["one"])
     st = series.stationarity(df, ["k"]).collect()
-    assert {r.k: r.n_obs for r in st} == {k: len(v) - 1 for k, v in AWKWARD.items()}
+    # the rows of the regression and the lags before them are all changes of the series
+    assert {r.k: r.n_obs + (r.lags or 0) for r in st if r.adf_statistic is not None} == {r.k: len(AWKWARD[r.k]) - 1 for r in st if r.adf_statistic is not None}
+    assert {r.k for r in st} == set(AWKWARD)
     assert {r.k for r in st if r.adf_statistic is None} >= {"one", "three", "constant"}
 
 
@@ -228,3 +231,72 @@ assert series.forecast_arma_grid(df)[0].count() == 12
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300)
+
+
+def _adf(y):
+    """The augmented test by numpy least squares: (statistic, lags, rows)."""
+    import numpy as np
+
+    y = np.asarray(y, float)
+    n, dy = len(y), np.diff(y)
+
+    def fit(lags, start):
+        t = np.arange(start, n)
+        x = np.column_stack([np.ones(len(t)), y[t - 1], *(dy[t - 1 - i] for i in range(1, lags + 1))])
+        beta, _, _, _ = np.linalg.lstsq(x, dy[t - 1], rcond=None)
+        sse = ((dy[t - 1] - x @ beta) ** 2).sum()
+        return beta[1], sse, x
+
+    most = min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2)
+    rows = n - 1 - most
+    aic = [rows * np.log(fit(p, most + 1)[1] / rows) + 2 * (p + 2) for p in range(most + 1)]
+    lags = int(np.argmin(aic))
+    slope, sse, x = fit(lags, lags + 1)
+    rows = len(x)
+    se = np.sqrt(sse / (rows - lags - 2) * np.linalg.inv(x.T @ x)[1, 1])
+    return slope / se, lags, rows
+
+
+def test_augmented_dickey_fuller_equals_plain_least_squares(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    noise = rng.normal(size=(4, 90))
+    ar3 = list(noise[0][:3])
+    for e in noise[0][3:]:
+        ar3.append(0.5 * ar3[-1] - 0.3 * ar3[-2] + 0.4 * ar3[-3] + e)
+    by_key = {
+        "walk": 1e6 + 1e4 * noise[1].cumsum(),
+        "still": 50 + noise[2],
+        "ar3": np.array(ar3),
+        "season": 100 + 20 * np.sin(np.arange(60) * np.pi / 6) + noise[3][:60],
+        "short": noise[3][:9],
+        "four": np.array([1.0, 5.0, 2.0, 3.0]),
+    }
+    got = {r.k: r for r in series.stationarity(_many(spark, {k: v.tolist() for k, v in by_key.items()}), ["k"]).collect()}
+    for k, y in by_key.items():
+        t, lags, rows = _adf(y)
+        assert (got[k].lags, got[k].n_obs) == (lags, rows), k
+        assert got[k].adf_statistic == pytest.approx(t, rel=1e-6), k
+        assert got[k].d == (0 if got[k].p_value < 0.05 else 1)
+    assert got["still"].d == 0 and got["walk"].d == 1 and got["season"].lags > 0
+
+
+def test_p_values_at_known_statistics(spark):
+    # the response surface crosses 1, 5 and 10 % near the tabled values of large samples
+    df = spark.createDataFrame([(-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10), (-20.0, 0.0), (3.0, 1.0), (None, None)], "t double, p double")
+    for r in df.withColumn("got", series.df_p_value(df["t"])).collect():
+        assert (r.got is None) if r.p is None else r.got == pytest.approx(r.p, abs=1.5e-3)
+    import math
+
+    from tidemark.functions.regression import normal_cdf
+
+    for r in spark.range(-80, 81).selectExpr("id / 10 AS x").select("x", normal_cdf(F.col("x")).alias("p")).collect():
+        assert r.p == pytest.approx(0.5 * math.erfc(-r.x / math.sqrt(2)), abs=1e-12)
+
+
+def test_an_empty_series_has_no_statistic(spark):
+    empty = spark.createDataFrame([], "date date, value double")
+    row = series.stationarity(empty).collect()[0]
+    assert (row.n_obs, row.lags, row.adf_statistic, row.p_value, row.d) == (0, None, None, None, 1)
+    assert series.stationarity(empty.selectExpr("'a' k", "*"), ["k"]).count() == 0

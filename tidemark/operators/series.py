@@ -19,14 +19,20 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import month_start
 from tidemark.functions.core import money, money_sum, safe_div
+from tidemark.functions.regression import gram, normal_cdf, swept
 from tidemark.operators.features import customer_months
 from tidemark.session import stage_parquet
 
-# Month names, the 95 % normal quantile, and the MacKinnon (2010)
-# 5 % Dickey-Fuller response-surface coefficients for a regression with constant.
+# Month names, the 95 % normal quantile, and for the Dickey-Fuller test with a
+# constant the MacKinnon (2010) response surface of the 5 % value and the MacKinnon (1994)
+# surface of the p-value: polynomials in the statistic up to -1.61 and above it, and the
+# statistics beyond which it is 0 or 1.
 MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 Z95 = 1.96
 DF_CRIT_5PCT = (-2.86154, -2.8903, -4.234, -40.04)
+DF_P_LOW = (2.1659, 1.4412, 0.038269)
+DF_P_HIGH = (1.7339, 0.93202, -0.12745, -0.010368)
+DF_P_SPLIT, DF_P_ZERO, DF_P_ONE = -1.61, -18.83, 2.74
 MAX_HALF_WINDOW = 6  # period 12 -> 2x12 centred moving average
 
 
@@ -184,29 +190,73 @@ def _grouped(df: DataFrame, keys: Sequence[str], aggs: list[Column]) -> DataFram
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def stationarity(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Dickey-Fuller test (constant, no augmentation) -> differencing order d.
+def _series_array(series: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a series: its values in the order of their dates, one a month, so bounded by the calendar."""
+    values = F.transform(F.array_sort(F.collect_list(F.struct("date", "value"))), lambda r: r["value"])
+    return _grouped(series, keys, [values.alias("_y")])
+
+
+def _polynomial(x: Column, coefficients: Sequence[float]) -> Column:
+    out = F.lit(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = F.lit(c) + x * out
+    return out
+
+
+def df_p_value(t: Column) -> Column:
+    """p-value of a Dickey-Fuller statistic with a constant."""
+    z = F.when(t <= DF_P_SPLIT, _polynomial(t, DF_P_LOW)).otherwise(_polynomial(t, DF_P_HIGH))
+    return F.when(t > DF_P_ONE, 1.0).when(t < DF_P_ZERO, 0.0).when(t.isNotNull(), normal_cdf(z))
 
-    t = slope / se of the regression of dy_t on y_{t-1}; compared with the 5 %
-    MacKinnon critical value for n observations; d = 0 if t < critical.  A series
-    too short or too flat for the test has no statistic and d = 1.
+
+def stationarity(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """augmented Dickey-Fuller test (constant) -> differencing order d.
+
+    dy_t on a constant, y_{t-1} and dy_{t-1} .. dy_{t-lags}.  ``lags`` has the least AIC
+    (a tie: the fewest) of 0 .. min(ceil(12 (n/100)^(1/4)), n/2 - 2), all compared on the rows
+    that the longest has; the test then takes all rows that its own lags leave (``n_obs``).
+    The statistic is the t value of y_{t-1}; ``critical_value_5pct`` and ``p_value`` are
+    MacKinnon's; d = 0 if p < 0.05.  A series too short (under four points) or too flat for
+    the test has no statistic, p-value or lags, and d = 1.  Every series is one row of
+    arrays and all its regressions are sweeps of two Gram matrices.
     """
     keys = list(keys)
-    w = _w(keys)
-    df = series.withColumn("_lag", F.lag("value").over(w)).withColumn("_dy", F.col("value") - F.col("_lag"))
-    fit = _ols_fit(_grouped(df, keys, _ols(F.col("_dy"), F.col("_lag"))))
-    n = F.col("_n").cast("double")
-    se = F.when(n > 2, F.sqrt(safe_div(safe_div(F.col("sse"), n - 2), F.col("cxx"))))
+    mean = F.aggregate("_y", F.lit(0.0), lambda a, v: a + v) / F.col("_n")
+    df = _series_array(series, keys).withColumn("_n", F.size("_y"))
+    # centred and scaled: the test doesn't depend on either, its arithmetic does
+    df = df.withColumn("_c", F.when(F.col("_n") > 0, F.transform("_y", lambda v: v - mean)))
+    df = df.withColumn("_top", F.aggregate("_c", F.lit(0.0), lambda a, v: F.greatest(a, F.abs(v))))
+    df = df.withColumn("_z", F.when(F.col("_top") > 0, F.transform("_c", lambda v: v / F.col("_top"))))
+    most = F.least(F.ceil(12 * F.pow(F.col("_n") / 100, F.lit(0.25))), F.floor(F.col("_n") / 2) - 2).cast("int")
+    df = df.withColumn("_max", F.when((most >= 0) & F.col("_z").isNotNull(), most))
+    z = F.col("_z")
+    steps = F.transform(F.sequence(F.lit(1), F.col("_n") - 1), lambda t: z[t] - z[t - 1])
+    df = df.withColumn("_dz", F.when(F.col("_max").isNotNull(), steps))
+    dz = F.col("_dz")
+
+    def observations(lags: Column) -> Column:
+        earlier = lambda t: F.reverse(F.slice(dz, t - lags, lags))
+        return F.transform(F.sequence(lags + 1, F.col("_n") - 1), lambda t: F.concat(F.array(F.lit(1.0), z[t - 1]), earlier(t), F.array(dz[t - 1])))
+
+    df = df.withColumn("_g", F.when(F.col("_max").isNotNull(), gram(observations(F.col("_max")), F.col("_max") + 3)))
+    last = F.col("_max") + 2
+    rows = F.col("_n") - 1 - F.col("_max")
+    sse = lambda p: F.greatest(swept(F.col("_g"), p + 2)[last][last], F.lit(1e-24))
+    aic = F.transform(F.sequence(F.lit(0), F.col("_max")), lambda p: F.struct((rows * F.log(sse(p) / rows) + 2 * (p + 2)).alias("aic"), p.alias("lags")))
+    df = df.withColumn("_lags", F.array_min(aic)["lags"])
+    lags = F.col("_lags")
+    df = df.withColumn("_h", F.when(lags.isNotNull(), gram(observations(lags), lags + 3)))
+    df = df.withColumn("_s", F.when(lags.isNotNull(), swept(F.col("_h"), lags + 2)))
+    n = (F.col("_n") - 1 - F.coalesce(lags, F.lit(0))).cast("bigint")
+    corner = F.col("_s")[lags + 2][lags + 2]
+    fits = (F.col("_s")[1][1] < 0) & (corner > 1e-12 * F.col("_h")[lags + 2][lags + 2])
+    t = F.when(fits, F.col("_s")[1][lags + 2] / F.sqrt(corner / (n - lags - 2) * -F.col("_s")[1][1]))
+    out = df.select(*keys, F.greatest(n, F.lit(0)).alias("n_obs"), F.when(t.isNotNull(), lags).alias("lags"), t.alias("adf_statistic"))
+    m = F.col("n_obs").cast("double")
     a0, a1, a2, a3 = DF_CRIT_5PCT
-    crit = F.lit(a0) + safe_div(F.lit(a1), n) + safe_div(F.lit(a2), n * n) + safe_div(F.lit(a3), n * n * n)
-    t = safe_div(F.col("slope"), se)
-    return fit.select(
-        *keys,
-        F.col("_n").alias("n_obs"),
-        t.alias("adf_statistic"),
-        crit.alias("critical_value_5pct"),
-        F.when(t < crit, 0).otherwise(1).alias("d"),
-    )
+    crit = F.lit(a0) + safe_div(F.lit(a1), m) + safe_div(F.lit(a2), m * m) + safe_div(F.lit(a3), m * m * m)
+    out = out.withColumn("critical_value_5pct", crit).withColumn("p_value", df_p_value(F.col("adf_statistic")))
+    return out.withColumn("d", F.when(F.col("p_value") < 0.05, 0).otherwise(1))
 
 
 def forecast_ar(series: DataFrame, keys: Sequence[str] = (), horizon: int = 12, d: DataFrame | None = None) -> DataFrame:

@@ -1000,20 +1000,69 @@ FROM (SELECT *, COALESCE(cxy / NULLIF(cxx, 0), 0.0) AS slope
 """
 
 
+def _gram_sql(rows: str, width: str) -> str:
+    return (f"list_transform(range(1, {width} + 1), lambda i: list_transform(range(1, {width} + 1), lambda j: "
+            f"list_reduce(list_transform({rows}, lambda r: r[i] * r[j]), lambda a, v: a + v, CAST(0 AS DOUBLE))))")
+
+
+def _swept_sql(g: str, upto: str) -> str:
+    """The matrix ``g`` swept on its first ``upto`` columns, one after another."""
+    cell = ("CASE WHEN i = k AND j = k THEN -1 / acc[k][k] WHEN i = k OR j = k THEN x / acc[k][k] "
+            "ELSE x - r[k] * acc[k][j] / acc[k][k] END")
+    return (f"list_reduce(range(1, {upto} + 1), lambda acc, k: CASE WHEN acc[k][k] <= 1e-12 * {g}[k][k] THEN acc ELSE "
+            f"list_transform(acc, lambda r, i: list_transform(r, lambda x, j: {cell})) END, {g})")
+
+
 def _stationarity_sql(src: str, name: str, keys: tuple[str, ...] = ()) -> None:
-    inner = (f"SELECT {_kc(keys)}{_ols_sql('dy', 'lg')} FROM (SELECT *, value - lg AS dy FROM "
-             f"(SELECT *, LAG(value) OVER ({_over(keys)}) AS lg FROM {src}) x) y{_by(keys)}")
-    n = "CAST(NULLIF(_n, 0) AS DOUBLE)"
+    obs = ("list_transform(range({p} + 2, _n + 1), lambda t: list_concat([CAST(1 AS DOUBLE), z[t - 1]], "
+           "list_transform(range(1, {p} + 1), lambda i: z[t - i] - z[t - i - 1]), [z[t] - z[t - 1]]))")
+    n = "CAST(NULLIF(n_obs, 0) AS DOUBLE)"
+    k = ", ".join(keys) + ", " if keys else ""
+    score = (f"list_transform(range(0, most + 1), lambda p: rows * ln(GREATEST({_swept_sql('g', 'p + 2')}[most + 3][most + 3], 1e-24) / rows)"
+             " + 2 * (p + 2))")
+    density = "exp(-x * x / 2) * 0.3989422804014327"
+    tail = "list_reduce(list_reverse(range(1, 121)), lambda a, i: 1 + x * x / (2 * i + 1) * a, CAST(1 AS DOUBLE))"
+    cte(f"{name}_y", f"SELECT {_kc(keys)}COALESCE(list(value ORDER BY date), []) AS y, COUNT(*) AS _n, AVG(value) AS mean FROM {src}{_by(keys)}", [src])
+    cte(
+        f"{name}_z",
+        f"""
+SELECT {k}_n, z, CASE WHEN top > 0 AND most >= 0 THEN most END AS most, _n - 1 - most AS rows
+FROM (SELECT *, list_transform(y, lambda v: (v - mean) / NULLIF(top, 0)) AS z,
+             CAST(LEAST(ceil(12 * pow(_n / 100, 0.25)), floor(_n / 2) - 2) AS BIGINT) AS most
+      FROM (SELECT *, list_max(list_transform(y, lambda v: abs(v - mean))) AS top FROM {name}_y) a) b
+""",
+        [f"{name}_y"],
+    )
+    cte(f"{name}_g", f"SELECT *, CASE WHEN most IS NOT NULL THEN {_gram_sql(obs.format(p='most'), '(most + 3)')} END AS g FROM {name}_z", [f"{name}_z"])
+    cte(
+        f"{name}_p",
+        f"SELECT {k}_n, z, CASE WHEN most IS NOT NULL THEN list_position(s, list_min(s)) - 1 END AS p "
+        f"FROM (SELECT *, CASE WHEN most IS NOT NULL THEN {score} END AS s FROM {name}_g) a",
+        [f"{name}_g"],
+    )
+    cte(
+        f"{name}_t",
+        f"""
+SELECT {k}n_obs, p, CASE WHEN s[2][2] < 0 AND s[p + 3][p + 3] > 1e-12 * h[p + 3][p + 3]
+                         THEN s[2][p + 3] / sqrt(s[p + 3][p + 3] / (n_obs - p - 2) * -s[2][2]) END AS tstat
+FROM (SELECT *, GREATEST(_n - 1 - COALESCE(p, 0), 0) AS n_obs, CASE WHEN p IS NOT NULL THEN {_swept_sql('h', 'p + 2')} END AS s
+      FROM (SELECT *, CASE WHEN p IS NOT NULL THEN {_gram_sql(obs.format(p='p'), '(p + 3)')} END AS h FROM {name}_p) a) b
+""",
+        [f"{name}_p"],
+    )
     cte(
         name,
         f"""
-SELECT {_kc(keys)}_n AS n_obs, tstat AS adf_statistic, crit AS critical_value_5pct,
-       CASE WHEN tstat < crit THEN 0 ELSE 1 END AS d
-FROM (SELECT *, CASE WHEN _n > 2 THEN slope / NULLIF(sqrt((sse / NULLIF({n} - 2, 0)) / NULLIF(cxx, 0)), 0) END AS tstat,
-             -2.86154 + -2.8903 / {n} + -4.234 / ({n} * {n}) + -40.04 / ({n} * {n} * {n}) AS crit
-      FROM ({_ols_fit_sql(inner)}) f) g
+SELECT {k}n_obs, CAST(CASE WHEN tstat IS NOT NULL THEN p END AS INTEGER) AS lags, tstat AS adf_statistic, critical_value_5pct, p_value,
+       CASE WHEN p_value < 0.05 THEN 0 ELSE 1 END AS d
+FROM (SELECT *, CASE WHEN tstat > 2.74 THEN 1.0 WHEN tstat < -18.83 THEN 0.0
+                     WHEN tstat IS NOT NULL THEN GREATEST(LEAST(0.5 + x * {tail} * {density}, 1), 0) END AS p_value
+      FROM (SELECT *, -2.86154 + -2.8903 / {n} + -4.234 / ({n} * {n}) + -40.04 / ({n} * {n} * {n}) AS critical_value_5pct,
+                   GREATEST(LEAST(CASE WHEN tstat <= -1.61 THEN 2.1659 + 1.4412 * tstat + 0.038269 * tstat * tstat
+                        ELSE 1.7339 + 0.93202 * tstat - 0.12745 * tstat * tstat - 0.010368 * tstat * tstat * tstat END, 8), -8) AS x
+            FROM {name}_t) f) e
 """,
-        [src],
+        [f"{name}_t"],
     )
 
 
@@ -1143,7 +1192,7 @@ FROM (SELECT s.date, s.forecast AS forecast_seasonal, a.forecast AS forecast_ar,
 
 _R2 = "ROUND({0}, 2) AS {0}"
 BAND = ", ".join(_R2.format(c) for c in ("forecast", "lower", "upper"))
-TEST = "ROUND(adf_statistic, 6) AS adf_statistic, ROUND(critical_value_5pct, 6) AS critical_value_5pct"
+TEST = "ROUND(adf_statistic, 6) AS adf_statistic, ROUND(critical_value_5pct, 6) AS critical_value_5pct, ROUND(p_value, 6) AS p_value"
 ERRORS = ", ".join(f"ROUND({c}, 4) AS {c}" for c in ("mae", "rmse", "mape"))
 ENSEMBLE = ", ".join(_R2.format(c) for c in ("forecast_seasonal", "forecast_ar", "forecast_ensemble", "cumulative_forecast"))
 

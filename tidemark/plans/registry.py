@@ -60,7 +60,7 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 BAND = {"forecast": 2, "lower": 2, "upper": 2}
 STD = {"std_transaction": 6}
-TEST = {"adf_statistic": 6, "critical_value_5pct": 6}
+TEST = {"adf_statistic": 6, "critical_value_5pct": 6, "p_value": 6}
 ERRORS = {"mae": 4, "rmse": 4, "mape": 4}
 ENSEMBLE = {"forecast_seasonal": 2, "forecast_ar": 2, "forecast_ensemble": 2, "cumulative_forecast": 2}
 
