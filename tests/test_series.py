@@ -300,3 +300,42 @@ def test_an_empty_series_has_no_statistic(spark):
     row = series.stationarity(empty).collect()[0]
     assert (row.n_obs, row.lags, row.adf_statistic, row.p_value, row.d) == (0, None, None, None, 1)
     assert series.stationarity(empty.selectExpr("'a' k", "*"), ["k"]).count() == 0
+
+
+def test_arma_regression_equals_plain_least_squares(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(21)
+    y = 1e5 + 1e3 * rng.normal(size=70).cumsum()
+    one = spark.createDataFrame([(0,)], "d int")
+    fc, aic = series.forecast_arma_grid(_series(spark, y.tolist()), (), 5, one)
+    n, m = 70, 7
+    x = np.column_stack([np.ones(n - m), *(y[m - i : n - i] for i in range(1, m + 1))])
+    e = np.r_[np.zeros(m), y[m:] - x @ np.linalg.lstsq(x, y[m:], rcond=None)[0]]
+    want, fits = {}, {}
+    for p, q in series.ARMA_ORDERS:
+        t = np.arange(m + 3, n)
+        x = np.column_stack([np.ones(len(t)), *(y[t - i] for i in range(1, p + 1)), *(e[t - j] for j in range(1, q + 1))])
+        beta = np.linalg.lstsq(x, y[t], rcond=None)[0]
+        resid = y[t] - x @ beta
+        want[p, q] = len(t) * np.log(resid @ resid / len(t)) + 2 * (p + q + 1)
+        fits[p, q] = beta, resid
+    got = {(r.p, r.q): r.aic for r in aic.collect()}
+    assert got == pytest.approx(want, rel=1e-7)
+    p, q = best = min(want, key=want.get)
+    rows = fc.orderBy("step").collect()
+    assert {(r.p, r.q) for r in rows} == {best}
+    beta, resid = fits[best]
+    past, shocks = list(y), list(resid)
+    for r in rows:
+        past.append(beta[0] + sum(beta[i] * past[-i] for i in range(1, p + 1)) + sum(beta[p + j] * shocks[-j] for j in range(1, q + 1)))
+        shocks.append(0.0)
+        assert r.forecast == pytest.approx(past[-1], rel=1e-7)
+    assert rows[0].upper - rows[0].forecast == pytest.approx(1.96 * np.sqrt(resid @ resid / len(resid)), rel=1e-6)
+
+
+def test_arma_grid_runs_no_python(spark):
+    plan = series.forecast_arma_grid(_series(spark, WAVE * 3), (), 3)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
+    empty = spark.createDataFrame([], "k string, date date, value double")
+    assert [f.count() for f in series.forecast_arma_grid(empty, ["k"])] == [0, 0]

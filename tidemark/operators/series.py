@@ -436,94 +436,120 @@ def forecast_totals(combined: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 ARMA_ORDERS = [(p, q) for p in range(4) for q in range(4)]
 
 
+def _lagged(values: Column, t: Column, lags: Column) -> Column:
+    """values[t - 1] .. values[t - lags]."""
+    return F.reverse(F.slice(values, t - lags + 1, lags))
+
+
+def _coefficient(s: Column, i: Column, last: Column) -> Column:
+    """Coefficient ``i`` of a swept matrix; 0 for a column that hangs on earlier ones."""
+    return F.when(s[i][i] < 0, s[i][last]).otherwise(0.0)
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+
+
+def _no_rows() -> Column:
+    return F.array().cast("array<array<double>>")
+
+
 def forecast_arma_grid(
     series: DataFrame, keys: Sequence[str] = (), horizon: int = 12, d: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """F7 grid: ARMA(p, q), p, q in 0..3, per series on the F6 difference order; best by AIC.
 
-    Hannan-Rissanen least squares in one ``applyInPandas`` task a series (one
-    row a month, so the group is bounded by the calendar).  All orders of a
-    series are estimated on the same rows, its last n - s, so their AICs compare;
-    ties go to fewer parameters.  Every series is reported: ``status`` is ``ok``,
-    ``short`` (too few points for the grid: the mean model on all of them) or
-    ``constant`` (no variance: AIC is NULL and the mean model is taken).
+    Hannan-Rissanen least squares as sweeps of Gram matrices: one for the long
+    autoregression, whose residuals stand for the shocks, and one an order; each (series,
+    order) is a row of arrays bounded by the calendar, so all of them are one job without
+    Python.  All orders of a series are estimated on the same rows, its last n - s, so their
+    AICs compare; ties go to fewer parameters.  A regressor that hangs on earlier ones has
+    coefficient 0.  Every series is reported: ``status`` is ``ok``, ``short`` (too few points
+    for the grid: the mean model on all of them) or ``constant`` (no variance is left: AIC is
+    NULL, and comes first).
 
     Returns (forecast of the best order with dates, AIC table of all orders).
     """
     keys = list(keys)
     dd = d if d is not None else stationarity(series, keys).select(*keys, "d")
-    base = series.join(dd, keys) if keys else series.crossJoin(F.broadcast(dd)).withColumn("_all", F.lit(0))
-    by = keys or ["_all"]
-    types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
-    schema = "".join(f"`{k}` {types[k]}, " for k in by) + (
-        "p int, q int, status string, aic double, step int, forecast double, lower double, upper double"
-    )
-    orders = list(ARMA_ORDERS)
-
-    def fit(pdf):
-        # self-contained: the workers need numpy and pandas, not this package
-        import numpy as np
-        import pandas as pd
-
-        pdf = pdf.sort_values("date")
-        y = pdf["value"].to_numpy(dtype=float)
-        diff = int(pdf["d"].iloc[0]) == 1
-        z = np.diff(y) if diff else y
-        n = len(z)
-        m = max(1, min(7, n // 4))  # order of the long autoregression
-        s = m + 3
-        short = n - s < 8
-        todo = [(0, 0)] if short else orders
-        start = 0 if short else s
-        e = np.zeros(n)
-        if not short:
-            x = np.column_stack([np.ones(n - m)] + [z[m - i : n - i] for i in range(1, m + 1)])
-            e[m:] = z[m:] - x @ np.linalg.lstsq(x, z[m:], rcond=None)[0]
-        out = []
-        for p, q in todo:
-            cols = [np.ones(n - start)] + [z[start - i : n - i] for i in range(1, p + 1)] + [e[start - j : n - j] for j in range(1, q + 1)]
-            x = np.column_stack(cols)
-            if n:
-                beta = np.linalg.lstsq(x, z[start:], rcond=None)[0]
-                resid = z[start:] - x @ beta
-            else:
-                beta, resid = np.zeros(1), np.zeros(0)
-            sigma2 = float(resid @ resid) / max(1, len(resid))
-            flat = sigma2 <= 1e-24 * max(1.0, float(np.max(np.abs(z), initial=0.0)) ** 2)
-            aic = None if flat else len(resid) * np.log(sigma2) + 2 * (p + q + 1)
-            c, phi, theta = beta[0], beta[1 : 1 + p], beta[1 + p :]
-            past, shocks = list(z), [0.0] * start + list(resid)
-            ahead = []
-            for _ in range(horizon):
-                v = c + sum(phi[i] * past[-1 - i] for i in range(p)) + sum(theta[j] * shocks[-1 - j] for j in range(q))
-                past.append(v)
-                shocks.append(0.0)
-                ahead.append(v)
-            # psi weights of the ARMA, integrated once for a differenced series
-            psi = [1.0]
-            for k in range(1, horizon):
-                psi.append((theta[k - 1] if k - 1 < q else 0.0) + sum(phi[i] * psi[k - 1 - i] for i in range(min(p, k))))
-            psi = np.cumsum(psi) if diff else np.array(psi)
-            half = 1.96 * np.sqrt(sigma2 * np.cumsum(np.square(psi)))
-            fc = y[-1] + np.cumsum(ahead) if diff else np.array(ahead)
-            status = "constant" if flat else "short" if short else "ok"
-            out.append(pd.DataFrame({"p": p, "q": q, "status": status, "aic": aic, "step": np.arange(1, horizon + 1), "forecast": fc, "lower": fc - half, "upper": fc + half}))
-        rows = pd.concat(out, ignore_index=True).astype({"aic": float})
-        for k in by:
-            rows[k] = pdf[k].iloc[0]
-        return rows[[*by, "p", "q", "status", "aic", "step", "forecast", "lower", "upper"]]
-
-    fitted = stage_parquet(base.groupBy(*by).applyInPandas(fit, schema=schema), "arma")
-    aic = fitted.where("step = 1").select(*by, "p", "q", "status", F.nanvl("aic", F.lit(None).cast("double")).alias("aic"))
+    values = _series_array(series, keys)
+    last_date = _grouped(series, keys, [F.max("date").alias("_T")])
+    df = values.join(last_date, keys).join(dd, keys) if keys else values.crossJoin(last_date).crossJoin(F.broadcast(dd))
+    df = df.where(F.size("_y") > 0)
+    y, size = F.col("_y"), F.size("_y")
+    change = F.when(size > 1, F.transform(F.sequence(F.lit(1), size - 1), lambda t: y[t] - y[t - 1])).otherwise(F.array().cast("array<double>"))
+    df = df.withColumn("_x", F.when(F.col("d") == 1, change).otherwise(y)).withColumn("_n", F.size("_x"))
+    mean = F.when(F.col("_n") > 0, F.aggregate("_x", F.lit(0.0), lambda a, v: a + v) / F.col("_n")).otherwise(0.0)
+    df = df.withColumn("_mean", mean)
+    df = df.withColumn("_top", F.aggregate(F.transform("_x", lambda v: F.abs(v - F.col("_mean"))), F.lit(0.0), lambda a, v: F.greatest(a, v)))
+    df = df.withColumn("_z", F.transform("_x", lambda v: F.when(F.col("_top") > 0, (v - F.col("_mean")) / F.col("_top")).otherwise(0.0)))
+    n, z = F.col("_n"), F.col("_z")
+    df = df.withColumn("_m", F.greatest(F.lit(1), F.least(F.lit(7), F.floor(n / 4))).cast("int"))
+    m = F.col("_m")
+    df = df.withColumn("_short", n - m - 3 < 8).withColumn("_start", F.when(F.col("_short"), 0).otherwise(m + 3))
+
+    # shocks: residuals of the long autoregression, 0 before it starts
+    one = F.array(F.lit(1.0))
+    long_rows = F.transform(F.sequence(m, n - 1), lambda t: F.concat(one, _lagged(z, t, m), F.array(z[t])))
+    df = df.withColumn("_lr", F.when(~F.col("_short"), long_rows).otherwise(_no_rows()))
+    df = df.withColumn("_ls", F.when(~F.col("_short"), swept(gram(F.col("_lr"), m + 2), m + 1)))
+    df = df.withColumn("_lb", F.transform(F.sequence(F.lit(0), m), lambda i: _coefficient(F.col("_ls"), i, m + 1)))
+    shocks = F.transform("_lr", lambda r: r[m + 1] - _dot(F.slice(r, F.lit(1), m + 1), F.col("_lb")))
+    df = df.withColumn("_e", F.concat(F.array_repeat(F.lit(0.0), m), shocks))
+
+    orders = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in ARMA_ORDERS])
+    df = df.withColumn("_o", F.explode(F.when(F.col("_short"), F.slice(orders, 1, 1)).otherwise(orders)))
+    df = df.withColumn("p", F.col("_o.p")).withColumn("q", F.col("_o.q"))
+    p, q, e, start = F.col("p"), F.col("q"), F.col("_e"), F.col("_start")
+    rows = F.transform(F.sequence(start, n - 1), lambda t: F.concat(one, _lagged(z, t, p), _lagged(e, t, q), F.array(z[t])))
+    df = df.withColumn("_r", F.when(n > start, rows).otherwise(_no_rows()))
+    df = df.withColumn("_g", gram(F.col("_r"), p + q + 2)).withColumn("_s", swept(F.col("_g"), p + q + 1))
+    last, used = p + q + 1, F.col("_n") - F.col("_start")
+    df = df.withColumn("_b", F.transform(F.sequence(F.lit(0), p + q), lambda i: _coefficient(F.col("_s"), i, last)))
+    df = df.withColumn("_flat", ~(F.col("_s")[last][last] > 1e-12 * F.col("_g")[last][last]))
+    df = df.withColumn("_v", F.when(F.col("_flat"), 0.0).otherwise(F.col("_s")[last][last] / used * F.col("_top") * F.col("_top")))
+    df = df.withColumn("aic", F.when(~F.col("_flat"), used * F.log("_v") + 2 * (p + q + 1)))
+    df = df.withColumn("status", F.when(F.col("_flat"), "constant").when(F.col("_short"), "short").otherwise("ok"))
+
     # without an AIC (no variance) the fewest parameters win
-    best = aic.groupBy(*by).agg(
-        F.min_by(F.struct("p", "q"), F.struct(F.coalesce("aic", F.lit(float("-inf"))), F.col("p") + F.col("q"), "p")).alias("_b")
-    )
-    best = best.select(*by, F.col("_b.p").alias("p"), F.col("_b.q").alias("q"))
-    last = base.groupBy(*by).agg(F.max("date").alias("_T"))
-    fc = fitted.join(best, [*by, "p", "q"]).join(last, by)
-    fc = fc.select(*keys, F.add_months(F.col("_T"), F.col("step")).alias("date"), "step", "p", "q", "status", "forecast", "lower", "upper")
-    return fc, aic.select(*keys, "p", "q", "status", "aic")
+    fitted = stage_parquet(df.select(*keys, "p", "q", "status", "aic", "d", "_T", "_y", "_z", "_r", "_b", "_v", "_mean", "_top"), "arma")
+    rank = F.struct(F.coalesce("aic", F.lit(float("-inf"))), F.col("p") + F.col("q"), "p")
+    rest = [c for c in fitted.columns if c not in keys]
+    best = _grouped(fitted, keys, [F.min_by(F.struct(*rest), rank).alias("_best")]).select(*keys, "_best.*")
+
+    # ahead: three lags of each kind, 0 beyond the order
+    p, q, b, three = F.col("p"), F.col("q"), F.col("_b"), F.sequence(F.lit(1), F.lit(3))
+    best = best.withColumn("_phi", F.transform(three, lambda i: F.when(i <= p, F.get(b, i)).otherwise(0.0)))
+    best = best.withColumn("_theta", F.transform(three, lambda j: F.when(j <= q, F.get(b, p + j)).otherwise(0.0)))
+    residual = lambda r: F.element_at(r, -1) - _dot(F.slice(r, F.lit(1), p + q + 1), b)
+    end = F.slice(F.concat(F.array_repeat(F.lit(0.0), 3), F.transform("_r", residual)), -3, 3)
+    best = best.withColumn("_back", F.reverse(end))
+    best = best.withColumn("_last", F.slice(F.concat(F.array_repeat(F.lit(0.0), 3), F.col("_z")), -3, 3))
+    phi, theta, back = F.col("_phi"), F.col("_theta"), F.col("_back")
+    from_past = lambda acc: _dot(phi, F.reverse(F.slice(acc, -3, 3)))
+    still = lambda k: F.aggregate(three, F.lit(0.0), lambda a, j: a + F.when(j >= k, theta[j - 1] * F.get(back, j - k)).otherwise(0.0))
+    step = lambda acc, k: F.concat(acc, F.array(b[0] + from_past(acc) + still(k)))
+    ahead = F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("_last"), step), 4, horizon)
+    best = best.withColumn("_ahead", F.transform(ahead, lambda v: F.col("_mean") + F.col("_top") * v))
+    # psi weights, integrated once for a differenced series
+    weight = lambda acc, k: F.concat(acc, F.array(from_past(acc) + F.coalesce(F.get(theta, k - 1), F.lit(0.0))))
+    zero_one = F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0))
+    steps = F.filter(F.sequence(F.lit(0), F.lit(horizon - 1)), lambda k: k > 0)
+    best = best.withColumn("_psi", F.slice(F.aggregate(steps, zero_one, weight), 3, horizon))
+    running = lambda c: F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda k: F.aggregate(F.slice(c, F.lit(1), k), F.lit(0.0), lambda a, v: a + v))
+    best = best.withColumn("_w", F.when(F.col("d") == 1, running(F.col("_psi"))).otherwise(F.col("_psi")))
+    best = best.withColumn("_var", running(F.transform("_w", lambda v: v * v)))
+    level = F.element_at("_y", -1)
+    best = best.withColumn("_fc", F.when(F.col("d") == 1, F.transform(running(F.col("_ahead")), lambda v: level + v)).otherwise(F.col("_ahead")))
+    fc = best.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    at = F.col("step") - 1
+    half = Z95 * F.sqrt(F.col("_v") * F.col("_var")[at])
+    value = F.col("_fc")[at]
+    fc = fc.select(
+        *keys, F.add_months(F.col("_T"), F.col("step")).alias("date"), "step", "p", "q", "status",
+        value.alias("forecast"), (value - half).alias("lower"), (value + half).alias("upper"),
+    )
+    return fc, fitted.select(*keys, "p", "q", "status", "aic")
 
 
 def monthly_series_by(transactions: DataFrame, customers: DataFrame, dim: str) -> DataFrame:

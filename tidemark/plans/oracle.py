@@ -1066,6 +1066,87 @@ FROM (SELECT *, CASE WHEN tstat > 2.74 THEN 1.0 WHEN tstat < -18.83 THEN 0.0
     )
 
 
+def _arma_sql(st: str, name: str, keys: tuple[str, ...] = ()) -> None:
+    """``{name}``: AIC and fit of all orders of the series behind the stationarity test ``st``; ``{name}_fc``: the best one's forecast."""
+    k = ", ".join(keys) + ", " if keys else ""
+    zero = "CAST(0 AS DOUBLE)"
+    back_of = lambda values, n: f"list_transform(range(1, {n} + 1), lambda i: {values}[t - i])"
+    total = lambda values: f"list_reduce({values}, lambda a, v: a + v, {zero})"
+    cte(
+        f"{name}_x",
+        f"""
+SELECT *, list_transform(x, lambda v: CASE WHEN top > 0 THEN (v - mean) / top ELSE {zero} END) AS z,
+       n - m - 3 < 8 AS short, CASE WHEN n - m - 3 < 8 THEN 0 ELSE m + 3 END AS start
+FROM (SELECT *, COALESCE(list_max(list_transform(x, lambda v: abs(v - mean))), 0) AS top, GREATEST(1, LEAST(7, n // 4)) AS m
+      FROM (SELECT *, len(x) AS n, COALESCE(list_avg(x), 0) AS mean
+            FROM (SELECT {_kc(keys, 'a.')}a.y, b.d, CASE WHEN b.d = 1 THEN list_transform(range(2, len(a.y) + 1), lambda t: a.y[t] - a.y[t - 1]) ELSE a.y END AS x
+                  FROM {st}_y a JOIN {st} b ON {_on(keys, 'a', 'b')} WHERE len(a.y) > 0) w) v) u
+""",
+        [f"{st}_y", st],
+    )
+    cte(
+        f"{name}_l",
+        f"""
+SELECT *, list_transform(range(1, m + 2), lambda i: CASE WHEN ls[i][i] < 0 THEN ls[i][m + 2] ELSE 0 END) AS lb
+FROM (SELECT *, CASE WHEN NOT short THEN {_swept_sql('lg', 'm + 1')} END AS ls
+      FROM (SELECT *, CASE WHEN NOT short THEN {_gram_sql('lr', '(m + 2)')} END AS lg
+            FROM (SELECT *, CASE WHEN short THEN [] ELSE list_transform(range(m + 1, n + 1), lambda t: list_concat([CAST(1 AS DOUBLE)], {back_of('z', 'm')}, [z[t]])) END AS lr
+                  FROM {name}_x) a) b) c
+""",
+        [f"{name}_x"],
+    )
+    fitted = total("list_transform(range(1, m + 2), lambda i: r[i] * lb[i])")
+    cte(
+        f"{name}_r",
+        f"""
+SELECT *, list_transform(range(start + 1, n + 1), lambda t: list_concat([CAST(1 AS DOUBLE)], {back_of('z', 'p')}, {back_of('e', 'q')}, [z[t]])) AS rs
+FROM (SELECT *, list_concat(list_transform(range(0, m), lambda i: {zero}), list_transform(lr, lambda r: r[m + 2] - {fitted})) AS e FROM {name}_l) a
+JOIN (SELECT CAST(i // 4 AS INTEGER) AS p, CAST(i % 4 AS INTEGER) AS q FROM range(16) o(i)) o ON NOT short OR (p = 0 AND q = 0)
+""",
+        [f"{name}_l"],
+    )
+    cte(
+        name,
+        f"""
+SELECT *, CASE WHEN flat THEN NULL ELSE (n - start) * ln(v) + 2 * (p + q + 1) END AS aic,
+       CASE WHEN flat THEN 'constant' WHEN short THEN 'short' ELSE 'ok' END AS status
+FROM (SELECT *, CASE WHEN flat THEN 0 ELSE s[p + q + 2][p + q + 2] / (n - start) * top * top END AS v,
+             list_transform(range(1, p + q + 2), lambda i: CASE WHEN s[i][i] < 0 THEN s[i][p + q + 2] ELSE 0 END) AS b
+      FROM (SELECT *, NOT s[p + q + 2][p + q + 2] > 1e-12 * g[p + q + 2][p + q + 2] AS flat
+            FROM (SELECT *, {_swept_sql('g', 'p + q + 1')} AS s
+                  FROM (SELECT *, {_gram_sql('rs', '(p + q + 2)')} AS g FROM {name}_r) a) c) h) i
+""",
+        [f"{name}_r"],
+    )
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    past = total("list_transform([1, 2, 3], lambda i: phi[i] * acc[len(acc) - i + 1])")
+    shock = total("list_transform([1, 2, 3], lambda j: CASE WHEN j >= k THEN theta[j] * ends[len(ends) - (j - k)] ELSE 0 END)")
+    residual = total("list_transform(range(1, p + q + 2), lambda i: r[i] * b[i])")
+    pad = f"[{zero}, {zero}, {zero}]"
+    cte(
+        f"{name}_fc",
+        f"""
+WITH best AS (
+  SELECT *, list_transform([1, 2, 3], lambda i: CASE WHEN i <= p THEN b[1 + i] ELSE 0 END) AS phi,
+         list_transform([1, 2, 3], lambda j: CASE WHEN j <= q THEN b[1 + p + j] ELSE 0 END) AS theta,
+         list_concat({pad}, list_transform(rs, lambda r: r[p + q + 2] - {residual})) AS ends
+  FROM {name} QUALIFY row_number() OVER ({part}ORDER BY COALESCE(aic, CAST('-Infinity' AS DOUBLE)), p + q, p) = 1),
+paths AS (
+  SELECT *, list_transform(list_reduce(range(1, 13), lambda acc, k: list_append(acc, b[1] + {past} + {shock}), list_concat({pad}, z)),
+                           lambda v: mean + top * v)[-12:] AS ahead,
+         list_reduce(range(1, 12), lambda acc, k: list_append(acc, {past} + CASE WHEN k <= 3 THEN theta[k] ELSE 0 END), [{zero}, {zero}, CAST(1 AS DOUBLE)])[3:] AS psi
+  FROM best),
+steps AS (SELECT *, CAST(unnest(range(1, 13)) AS INTEGER) AS step FROM paths),
+bands AS (
+  SELECT *, CASE WHEN d = 1 THEN y[-1] + list_sum(ahead[1:step]) ELSE ahead[step] END AS fc,
+         1.96 * sqrt(v * list_sum(list_transform(range(1, step + 1), lambda h: CASE WHEN d = 1 THEN list_sum(psi[1:h]) ELSE psi[h] END ** 2))) AS half
+  FROM steps)
+SELECT {k}step, p, q, status, fc AS forecast, fc - half AS lower, fc + half AS upper FROM bands
+""",
+        [name],
+    )
+
+
 def _forecast_ar_sql(src: str, name: str, horizon: int, keys: tuple[str, ...] = ()) -> None:
     _stationarity_sql(src, f"{name}_st", keys)
     cte(
@@ -1173,6 +1254,7 @@ def _holdout_sql(src: str, name: str, keys: tuple[str, ...] = ()) -> None:
 
 _decompose_sql("mseries", "decomp")
 _stationarity_sql("mseries", "stationarity")
+_arma_sql("stationarity", "arma")
 _forecast_ar_sql("mseries", "fc_ar", 12)
 _forecast_st_sql("mseries", "fc_st", 12)
 _holdout_sql("mseries", "fc_metrics")
@@ -1206,6 +1288,9 @@ register(
     "FROM decomp WHERE trend IS NOT NULL) t WHERE nt > 1",
     "decomp",
 )
+_AHEAD = "CAST((SELECT MAX(date) FROM {src} m{on}) + to_months(step) AS DATE) AS date"
+register("arma_order_aic", "SELECT p, q, status, ROUND(aic, 4) AS aic FROM arma", "arma")
+register("forecast_arma", f"SELECT * REPLACE ({BAND}), {_AHEAD.format(src='mseries', on='')} FROM arma_fc", "arma_fc", "mseries")
 register("stationarity", f"SELECT * REPLACE ({TEST}) FROM stationarity", "stationarity")
 register("forecast_ar", f"SELECT * REPLACE ({BAND}) FROM fc_ar", "fc_ar")
 register("forecast_seasonal_trend", f"SELECT * REPLACE ({BAND}) FROM fc_st", "fc_st")
@@ -1785,6 +1870,13 @@ _stationarity_sql("mseries_industry", "stationarity_industry", _K)
 _forecast_ar_sql("mseries_industry", "fc_ar_industry", 12, _K)
 _forecast_st_sql("mseries_industry", "fc_st_industry", 12, _K)
 _holdout_sql("mseries_industry", "fc_metrics_industry", _K)
+_arma_sql("stationarity_industry", "arma_industry", _K)
+register(
+    "forecast_arma_by_industry",
+    f"SELECT * REPLACE ({BAND}), {_AHEAD.format(src='mseries_industry', on=' WHERE m.industry IS NOT DISTINCT FROM f.industry')} FROM arma_industry_fc f",
+    "arma_industry_fc",
+    "mseries_industry",
+)
 register("stationarity_by_industry", f"SELECT * REPLACE ({TEST}) FROM stationarity_industry", "stationarity_industry")
 register("forecast_ar_by_industry", f"SELECT * REPLACE ({BAND}) FROM fc_ar_industry", "fc_ar_industry")
 register("forecast_seasonal_trend_by_industry", f"SELECT * REPLACE ({BAND}) FROM fc_st_industry", "fc_st_industry")

@@ -612,7 +612,7 @@ def _q_forecast_arma(t: Tables) -> DataFrame:
 
 @query("arma_order_aic")
 def _q_arma_order_aic(t: Tables) -> DataFrame:
-    return series.forecast_arma_grid(t.monthly_series)[1]
+    return rounded(series.forecast_arma_grid(t.monthly_series)[1], {"aic": 4})
 
 
 
