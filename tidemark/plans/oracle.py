@@ -1834,6 +1834,8 @@ register(
     + " FROM cohort_counts GROUP BY 1, 2",
     "cohort_counts",
 )
+# the columns are the offsets that occur
+register("cohort_counts_wide", "SELECT * FROM (PIVOT cohort_counts ON cohort_index USING FIRST(customers) GROUP BY cohort) w", "cohort_counts")
 register(
     "profit_tiers",
     "SELECT customer_id, gross_profit, profit_margin, profitability_tier, tier_rank FROM profit",
