@@ -25,17 +25,19 @@ def gram(rows: Column, width: Column) -> Column:
     return F.transform(places, lambda i: F.transform(places, lambda j: cell(i, j)))
 
 
-def swept(g: Column, upto: Column) -> Column:
-    """``g`` swept on its columns 0 to ``upto`` - 1 (at least one), without those that hang on earlier ones."""
+def sweep_one(g: Column, k: Column) -> Column:
+    """``g`` swept on column ``k``."""
+
+    def cell(row: Column, i: Column, x: Column, j: Column) -> Column:
+        d = g[k][k]
+        return F.when((i == k) & (j == k), -1 / d).when((i == k) | (j == k), x / d).otherwise(x - row[k] * g[k][j] / d)
 
-    def cell(acc: Column, k: Column, row: Column, i: Column, x: Column, j: Column) -> Column:
-        d = acc[k][k]
-        return F.when((i == k) & (j == k), -1 / d).when((i == k) | (j == k), x / d).otherwise(x - row[k] * acc[k][j] / d)
+    return F.transform(g, lambda row, i: F.transform(row, lambda x, j: cell(row, i, x, j)))
 
-    def one(acc: Column, k: Column) -> Column:
-        done = F.transform(acc, lambda row, i: F.transform(row, lambda x, j: cell(acc, k, row, i, x, j)))
-        return F.when(acc[k][k] <= COLLINEAR * g[k][k], acc).otherwise(done)
 
+def swept(g: Column, upto: Column) -> Column:
+    """``g`` swept on its columns 0 to ``upto`` - 1 (at least one), without those that hang on earlier ones."""
+    one = lambda acc, k: F.when(acc[k][k] <= COLLINEAR * g[k][k], acc).otherwise(sweep_one(acc, k))
     return F.aggregate(F.sequence(F.lit(0), upto - 1), g, one)
 
 

@@ -1230,6 +1230,84 @@ FROM (SELECT {_kc(keys, 'x.')}x.date, x.sd, CASE WHEN c.mult THEN {line.format(x
     )
 
 
+def _sweep_sql(g: str, k: str) -> str:
+    cell = f"CASE WHEN i = {k} AND j = {k} THEN -1 / {g}[{k}][{k}] WHEN i = {k} OR j = {k} THEN x / {g}[{k}][{k}] ELSE x - r[{k}] * {g}[{k}][j] / {g}[{k}][{k}] END"
+    return f"list_transform({g}, lambda r, i: list_transform(r, lambda x, j: {cell}))"
+
+
+def _bent_sql(st: str, name: str, horizon: int, keys: tuple[str, ...] = ()) -> None:
+    """The bent trend on the deseasonalised series ``{st}_h``: one step of the selection a CTE."""
+    k = ", ".join(keys) + ", " if keys else ""
+    cte(
+        f"{name}_y",
+        f"""
+SELECT *, CASE WHEN k > 0 THEN list_transform(range(1, k + 1), lambda i: (2 * i * (hist - 1) + k) // (2 * k)) ELSE [] END AS cps
+FROM (SELECT *, CASE WHEN n < 12 THEN 0 ELSE LEAST(25, hist - 1) END AS k
+      FROM (SELECT {_kc(keys)}COUNT(*) AS n, COUNT(*) * 4 // 5 AS hist, GREATEST(COUNT(*) - 1, 1) AS span, list(ds ORDER BY pos) AS y,
+                   COALESCE(NULLIF(MAX(abs(ds)), 0), 1) AS scale, MIN(date) AS first_date
+            FROM {st}_h{_by(keys)}{"" if keys else " HAVING COUNT(*) > 0"}) a) b
+""",
+        [f"{st}_h"],
+    )
+    row = ("list_concat([CAST(1 AS DOUBLE), t / span], list_transform(cps, lambda c: GREATEST(t - c, 0) / span), [y[t + 1] / scale])")
+    cte(
+        f"{name}_0",
+        f"""
+SELECT *, {_swept_sql('g', '2')} AS s
+FROM (SELECT *, {_gram_sql('seen', '(k + 3)')} AS g
+      FROM (SELECT *, list_transform(list_filter(range(0, n), lambda t: y[t + 1] IS NOT NULL), lambda t: {row}) AS seen FROM {name}_y) a) b
+""",
+        [f"{name}_y"],
+    )
+    others = "* EXCLUDE (s, gains, best, gain, sse, least)"
+    for step in range(5):
+        cte(
+            f"{name}_{step + 1}",
+            f"""
+SELECT {others}, CASE WHEN k > 0 AND sse > least AND len(seen) * ln(sse / GREATEST(sse - gain, least)) > 2 * ln(len(seen))
+                      THEN {_sweep_sql('s', 'best')} ELSE s END AS s
+FROM (SELECT *, 2 + list_position(gains, list_max(gains)) AS best, list_max(gains) AS gain, s[k + 3][k + 3] AS sse, 1e-12 * g[k + 3][k + 3] AS least
+      FROM (SELECT *, list_transform(range(3, k + 3), lambda c: CASE WHEN s[c][c] > 1e-9 * g[c][c] THEN s[c][k + 3] * s[c][k + 3] / s[c][c] ELSE 0 END) AS gains
+            FROM {name}_{step}) a) b
+""",
+            [f"{name}_{step}"],
+        )
+    cte(
+        f"{name}_b",
+        f"SELECT *, list_transform(range(1, k + 3), lambda i: CASE WHEN s[i][i] < 0 THEN s[i][k + 3] * scale ELSE 0 END) AS b FROM {name}_5",
+        [f"{name}_5"],
+    )
+    trend = ("m.b[1] + m.b[2] * {t} / m.span + COALESCE(list_sum(list_transform(range(1, m.k + 1), lambda i: m.b[i + 2] * GREATEST({t} - m.cps[i], 0) / m.span)), 0)")
+    season = lambda t: f"CASE WHEN h.mult THEN ({trend.format(t=t)}) * h.s ELSE ({trend.format(t=t)}) + h.s END"
+    cte(
+        f"{name}_past",
+        f"SELECT {_kc(keys, 'h.')}h.date, h.observed, {season('h.pos')} AS f, h.pos, h.cls, m.n FROM {st}_h h JOIN {name}_b m ON {_on(keys, 'h', 'm')}",
+        [f"{st}_h", f"{name}_b"],
+    )
+    cte(
+        name,
+        f"""
+SELECT {_kc(keys, 'a.')}a.date, a.f AS forecast, a.f - 1.96 * b.sd AS lower, a.f + 1.96 * b.sd AS upper, a.ahead AS is_forecast
+FROM (SELECT {_kc(keys)}date, f, false AS ahead FROM {name}_past
+      UNION ALL
+      SELECT {_kc(keys, 'm.')}CAST(m.first_date + to_months(CAST(m.n - 1 + o.step AS INTEGER)) AS DATE), {season('(m.n - 1 + o.step)')}, true
+      FROM {name}_b m CROSS JOIN (SELECT unnest(range(1, {horizon + 1})) AS step) o
+      JOIN {st}_h h ON {_on(keys, 'h', 'm', 'h.pos = (m.n - 1 + o.step) % GREATEST(h.period, 1)')}) a
+JOIN (SELECT {_kc(keys)}CASE WHEN COUNT(*) > 1 THEN sqrt(SUM((observed - f) * (observed - f)) / (COUNT(*) - 1)) END AS sd FROM {name}_past{_by(keys)}) b
+  ON {_on(keys, 'a', 'b')}
+""",
+        [f"{name}_past", f"{name}_b", f"{st}_h"],
+    )
+    cte(
+        f"{name}_cp",
+        f"""
+SELECT {k}CAST(first_date + to_months(CAST(cps[i] AS INTEGER)) AS DATE) AS date, list_sum(b[2:i + 1]) / span AS slope_before, list_sum(b[2:i + 2]) / span AS slope_after
+FROM (SELECT *, unnest(range(1, k + 1)) AS i FROM {name}_b) a WHERE s[i + 2][i + 2] < 0
+""",
+        [f"{name}_b"],
+    )
+
+
 def _holdout_sql(src: str, name: str, keys: tuple[str, ...] = ()) -> None:
     over = _over(keys).replace("ORDER BY date", "ORDER BY date DESC")
     cte(f"{name}_rk", f"SELECT *, ROW_NUMBER() OVER ({over}) AS rk FROM {src}", [src])
@@ -1258,6 +1336,7 @@ _arma_sql("stationarity", "arma")
 _forecast_ar_sql("mseries", "fc_ar", 12)
 _forecast_st_sql("mseries", "fc_st", 12)
 _holdout_sql("mseries", "fc_metrics")
+_bent_sql("fc_st", "fc_bent", 12)
 
 cte(
     "combined",
@@ -1288,6 +1367,9 @@ register(
     "FROM decomp WHERE trend IS NOT NULL) t WHERE nt > 1",
     "decomp",
 )
+SLOPES = ", ".join(_R2.format(c) for c in ("slope_before", "slope_after"))
+register("forecast_bent_trend", f"SELECT * REPLACE ({BAND}) FROM fc_bent", "fc_bent")
+register("trend_change_points", f"SELECT * REPLACE ({SLOPES}) FROM fc_bent_cp", "fc_bent_cp")
 _AHEAD = "CAST((SELECT MAX(date) FROM {src} m{on}) + to_months(step) AS DATE) AS date"
 register("arma_order_aic", "SELECT p, q, status, ROUND(aic, 4) AS aic FROM arma", "arma")
 register("forecast_arma", f"SELECT * REPLACE ({BAND}), {_AHEAD.format(src='mseries', on='')} FROM arma_fc", "arma_fc", "mseries")
@@ -1882,6 +1964,9 @@ register(
 register("stationarity_by_industry", f"SELECT * REPLACE ({TEST}) FROM stationarity_industry", "stationarity_industry")
 register("forecast_ar_by_industry", f"SELECT * REPLACE ({BAND}) FROM fc_ar_industry", "fc_ar_industry")
 register("forecast_seasonal_trend_by_industry", f"SELECT * REPLACE ({BAND}) FROM fc_st_industry", "fc_st_industry")
+_bent_sql("fc_st_industry", "fc_bent_industry", 12, _K)
+register("forecast_bent_trend_by_industry", f"SELECT * REPLACE ({BAND}) FROM fc_bent_industry", "fc_bent_industry")
+register("trend_change_points_by_industry", f"SELECT * REPLACE ({SLOPES}) FROM fc_bent_industry_cp", "fc_bent_industry_cp")
 register("forecast_metrics_by_industry", f"SELECT * REPLACE ({ERRORS}) FROM fc_metrics_industry", "fc_metrics_industry")
 
 # ---------------------------------------------------------------- M3 counts of the split, M9 on tied scores

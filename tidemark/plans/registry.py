@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import charts, churn, cluster, cohort, describe, features, lifecycle, profit, retention, rfm, series, unified
+from tidemark.operators import charts, churn, cluster, cohort, describe, features, lifecycle, profit, retention, rfm, series, trend, unified
 from tidemark.plans.context import Tables
 from tidemark.session import on_cleanup
 
@@ -60,6 +60,7 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 BAND = {"forecast": 2, "lower": 2, "upper": 2}
 STD = {"std_transaction": 6}
+SLOPES = {"slope_before": 2, "slope_after": 2}
 TEST = {"adf_statistic": 6, "critical_value_5pct": 6, "p_value": 6}
 ERRORS = {"mae": 4, "rmse": 4, "mape": 4}
 ENSEMBLE = {"forecast_seasonal": 2, "forecast_ar": 2, "forecast_ensemble": 2, "cumulative_forecast": 2}
@@ -383,6 +384,16 @@ def _q_forecast_seasonal_trend(t: Tables) -> DataFrame:
     return rounded(t.forecast_seasonal, BAND)
 
 
+@query("forecast_bent_trend")
+def _q_forecast_bent_trend(t: Tables) -> DataFrame:
+    return rounded(trend.forecast_bent_trend(t.monthly_series, decomposition=t.decomposition), BAND)
+
+
+@query("trend_change_points")
+def _q_trend_change_points(t: Tables) -> DataFrame:
+    return rounded(trend.change_points(t.decomposition), SLOPES)
+
+
 @query("forecast_metrics")
 def _q_forecast_metrics(t: Tables) -> DataFrame:
     return rounded(t.forecast_metrics, ERRORS)
@@ -676,6 +687,16 @@ def _q_forecast_seasonal_trend_by_industry(t: Tables) -> DataFrame:
     return rounded(series.forecast_seasonal_trend(t.industry_series, ["industry"]), BAND)
 
 
+@query("forecast_bent_trend_by_industry")
+def _q_forecast_bent_trend_by_industry(t: Tables) -> DataFrame:
+    return rounded(trend.forecast_bent_trend(t.industry_series, ["industry"]), BAND)
+
+
+@query("trend_change_points_by_industry")
+def _q_trend_change_points_by_industry(t: Tables) -> DataFrame:
+    return rounded(trend.change_points(series.decompose(t.industry_series, ["industry"]), ["industry"]), SLOPES)
+
+
 @query("forecast_metrics_by_industry")
 def _q_forecast_metrics_by_industry(t: Tables) -> DataFrame:
     return rounded(series.holdout_metrics(t.industry_series, ["industry"]), ERRORS)
