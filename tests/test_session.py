@@ -2,11 +2,13 @@
 
 import glob
 import os
+import shutil
 from types import SimpleNamespace
 
 import pytest
 
 from tidemark import session
+from tidemark.plans import registry
 from tidemark.plans.context import Tables
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +45,19 @@ def test_a_shared_file_folder_is_tried_once_and_for_new_hosts(spark, tmp_path, m
 def test_a_file_folder_in_which_rows_are_missing_is_refused(spark, tmp_path):
     with pytest.raises(RuntimeError, match="one machine"):
         session.ensure_checkpoint_dir(_cluster(spark, tmp_path, lost=1))
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+@pytest.mark.parametrize("name", ["clean_customers", "cohort_counts", "classification_metrics"])
+def test_queries_stage_again_what_was_cleared_from_the_checkpoint_folder(spark, tmp_path, name):
+    os.symlink(SF, sf := f"{tmp_path}/sf")
+    staged = session._STAGED.setdefault(spark.sparkContext.applicationId, [])
+    before = set(staged)
+    rows = registry.QUERIES[name](spark, sf).collect()
+    run = registry.tables_for(spark, sf)
+    assert registry.tables_for(spark, sf) is run
+    for path in set(session._STAGED[spark.sparkContext.applicationId]) - before:
+        shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
+    assert sorted(map(str, registry.QUERIES[name](spark, sf).collect())) == sorted(map(str, rows))
+    assert registry.tables_for(spark, sf) is not run
+    assert not registry.tables_for(spark, sf).cohort_counts.isEmpty()
