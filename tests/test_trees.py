@@ -90,6 +90,14 @@ def test_shares_of_all_stops_and_of_cut_trees():
                     assert small.share[own] == tree.share[at]
 
 
+def test_a_bootstrap_without_rows_is_a_leaf_that_says_nothing():
+    _, _, _, z = table()
+    found = [trees.grow(z[:2], 4, t, [1], SEED, TAKE, forest.UNLIMITED)[0] for t in range(60)]
+    empty = [t for t in found if t.rows[0] == 0]
+    assert empty and all(t.left.tolist() == [-1] and t.share.tolist() == [0.0] for t in empty)
+    assert forest._node_rows(0, empty[0], [np.zeros(0)] * 4).column(3).to_pylist() == [0.0]
+
+
 def test_split_points_of_few_and_of_many_values():
     few = np.array([3.0, 1.0, 1.0, 2.0])
     assert trees.thresholds([trees.summary(few[:2]), trees.summary(few[2:])]).tolist() == [1.5, 2.5]
