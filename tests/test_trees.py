@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -138,6 +139,16 @@ def test_the_grid_takes_a_few_jobs_a_fold(spark, train):
     assert 5 <= len(sc.statusTracker().getJobIdsForGroup("forest-grid")) <= 30
 
 
+def test_parts_without_a_chunk_of_trees(spark, train, monkeypatch):
+    grid = {"depth": [3, None], "leaf": [1, 4], "split": [2], "trees": [2, 5]}
+    want = forest.cross_validate(train, grid, 5, 42)
+    deal = RDD.partitionBy
+    monkeypatch.setattr(RDD, "partitionBy", lambda self, n, *a, **b: deal(self, max(n, 23), *a, **b))
+    assert forest.cross_validate(train, grid, 5, 42) == want
+    monkeypatch.setattr(RDD, "partitionBy", lambda self, n, *a, **b: deal(self, 2, *a, **b))
+    assert forest.cross_validate(train, grid, 5, 42) == want
+
+
 def test_as_good_as_spark_ml_and_larger_tables_take_its_forests(spark, train, monkeypatch):
     grid = {"depth": [3, None], "leaf": [4], "split": [2, 30], "trees": [10, 20]}
     own = dict(forest.cross_validate(train, grid, 5, 42)[1])
